@@ -1,11 +1,264 @@
-"""Registered queries of the provenance engine."""
+"""Registered queries of the provenance engine, each with its SQL for DuckDB."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from . import adapters
+from .cluster import table
+from .functions import paths as P
+from .functions import text as X
+from .plans import passes
 
-def oracle_sql() -> dict:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _listed(values: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def _case(expr: str) -> str:
+    return rf"lower(regexp_extract({expr}, '(?:^|/)\.*[^/.][^/]*?(\.[^./]*)$', 1))"
+
+
+_SUFFIX = r"lower(regexp_extract(regexp_extract(path, '([^/]*)$', 1), '^.+(\.[^.]+)$', 1))"
+_SOURCES = tuple(x for x in (*P.COMPILED, *P.INTERPRETED) if x not in (".pyc", ".pyo", ".pyd"))
+_IS_SOURCE = f"{_SUFFIX} IN {_listed(_SOURCES)}"
+_POOL = "pool AS (SELECT hash FROM dep UNION SELECT hash FROM out)"
+_PASS1 = f"""{_POOL},
+p1 AS (SELECT s.ord, s.path, s.hash, CASE WHEN s.hash NOT IN (SELECT hash FROM pool) AND s.parent IN (SELECT hash FROM pool) THEN s.parent END AS parent_hash,
+  CASE WHEN s.hash IN (SELECT hash FROM pool) THEN 'direct' WHEN s.parent IN (SELECT hash FROM pool) THEN 'parent'
+       WHEN s.hash IN (SELECT hash FROM bin) THEN 'untraced_in_distrib' ELSE 'redundant' END AS category
+  FROM sig s WHERE {_IS_SOURCE})"""
+_GOOD = """good AS (SELECT cmd_idx FROM out WHERE hash IN (SELECT hash FROM bin) OR path IN (SELECT path FROM bin)
+  UNION SELECT o.cmd_idx FROM good g JOIN dep d ON d.cmd_idx = g.cmd_idx JOIN out o ON o.hash = d.hash OR o.path = d.path)"""
+_KEYS = f"""makers AS (SELECT cmd_idx FROM cmd WHERE tool IN {_listed((*passes.COMPILERS, *passes.LINKERS))} AND cmd_idx IN (SELECT cmd_idx FROM good)),
+keys AS (SELECT hash AS key FROM dep WHERE cmd_idx IN (SELECT cmd_idx FROM makers) UNION SELECT path FROM dep WHERE cmd_idx IN (SELECT cmd_idx FROM makers))"""
+_PASS2 = f"""p2 AS (SELECT ord, path, hash, parent_hash,
+  CASE WHEN category IN ('direct', 'parent') AND {_case("path")} IN {_listed(P.COMPILED)} AND hash NOT IN (SELECT key FROM keys) AND path NOT IN (SELECT key FROM keys)
+       THEN 'not_compiled' ELSE category END AS category FROM p1)"""
+_FIRST = f"""reads AS (SELECT * FROM (SELECT d.*, row_number() OVER (PARTITION BY d.hash ORDER BY d.cmd_idx, d.pos) AS k FROM dep d JOIN cmd c ON c.cmd_idx = d.cmd_idx
+  WHERE c.tool IN {_listed(passes.INTERPRETERS)} AND {_case("d.path")} IN {_listed(P.INTERPRETED)}) WHERE k = 1),
+writes AS (SELECT o.* FROM out o JOIN cmd c ON c.cmd_idx = o.cmd_idx WHERE c.tool IN {_listed(passes.INTERPRETERS)} AND {_case("o.path")} IN {_listed(P.INTERPRETED)})"""
+_PASS3 = f"""p3 AS (SELECT s.ord, s.path, s.hash, CASE
+  WHEN s.hash IN (SELECT hash FROM bin) OR s.path IN (SELECT path FROM bin) THEN 'copied'
+  WHEN s.hash IN (SELECT hash FROM writes) OR s.path IN (SELECT path FROM writes) THEN 'compiled_unused'
+  WHEN (CASE WHEN s.hash IN (SELECT hash FROM reads) THEN s.hash IN (SELECT hash FROM reads r WHERE r.cmd_idx IN (SELECT cmd_idx FROM good))
+             ELSE s.path IN (SELECT path FROM reads r WHERE r.cmd_idx IN (SELECT cmd_idx FROM good)) END) THEN 'compiled_used'
+  WHEN {_case("s.path")} IN {_listed(P.PYTHON)} AND (s.hash IN (SELECT hash FROM reads) OR s.path IN (SELECT path FROM reads)) THEN 'executed' ELSE 'not_used' END AS category
+  FROM sig s WHERE {_case("s.path")} IN {_listed(P.INTERPRETED)})"""
+
+
+def query(sql: str | None = None):
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _build(spark: SparkSession, sf_dir: str) -> passes.Build:
+    return adapters.build(spark, sf_dir)
+
+
+W = adapters.WITH
+
+
+@query(f"{W}, {_PASS1} SELECT ord, path, hash, parent_hash, category FROM p1")
+def pass1_classes(spark, sf_dir):
+    return passes.pass1(_build(spark, sf_dir)).drop("path_norm")
+
+
+def _pass1_only(category: str) -> None:
+    def f(spark, sf_dir):
+        return passes.pass1(_build(spark, sf_dir)).filter(F.col("category") == category).select("path", "hash")
+
+    f.__name__ = f"pass1_{category}"
+    query(f"{W}, {_PASS1} SELECT path, hash FROM p1 WHERE category = '{category}'")(f)
+
+
+for _c in ("direct", "parent", "redundant", "untraced_in_distrib"):
+    _pass1_only(_c)
+
+
+@query(f"{W}, {_GOOD} SELECT cmd_idx FROM good")
+def good_commands(spark, sf_dir):
+    return passes.good(_build(spark, sf_dir))
+
+
+@query(f"{W}, {_GOOD}, {_KEYS} SELECT key FROM keys")
+def good_compiler_inputs(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return passes.compiler_inputs(b, passes.good(b))
+
+
+@query(f"{W}, {_PASS1}, {_GOOD}, {_KEYS}, {_PASS2} SELECT path, hash, parent_hash FROM p2 WHERE category = 'not_compiled'")
+def pass2_not_compiled(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return passes.pass2(b, passes.pass1(b), passes.good(b)).filter("category = 'not_compiled'").select("path", "hash", "parent_hash")
+
+
+@query(f"{W}, {_PASS1}, {_GOOD}, {_KEYS}, {_PASS2} SELECT DISTINCT path, hash FROM p2 WHERE category IN ('not_compiled', 'redundant')")
+def redundant_union(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return passes.pass2(b, passes.pass1(b), passes.good(b)).filter("category IN ('not_compiled', 'redundant')").select("path", "hash").distinct()
+
+
+@query(f"{W}, {_FIRST} SELECT cmd_idx, pos, path, hash FROM reads")
+def interp_inputs_first(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return passes.interpreter_files(b, b.dep).select("cmd_idx", F.col("pos").cast("long"), "path", "hash")
+
+
+@query(f"{W}, {_GOOD}, {_FIRST}, {_PASS3} SELECT ord, path, hash, category FROM p3")
+def pass3_classes(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return passes.pass3(b, passes.good(b))
+
+
+_EXT = f"""made AS (SELECT o.cmd_idx, b.path AS bin_path, b.hash AS bin_hash FROM out o JOIN bin b ON b.hash = o.hash JOIN cmd c ON c.cmd_idx = o.cmd_idx
+  WHERE c.tool IN {_listed((*passes.COMPILERS, *passes.LINKERS))}),
+ext AS (SELECT DISTINCT m.bin_path, m.bin_hash, d.path AS dep_path, d.hash AS dep_hash FROM made m JOIN dep d ON d.cmd_idx = m.cmd_idx
+  WHERE NOT ({" OR ".join(f"starts_with(d.path, '{x}')" for x in P.SYSTEM_PREFIXES)})
+    AND {_case("d.path")} NOT IN {_listed((*P.RESOURCES, *P.HEADERS))}
+    AND NOT (regexp_matches(d.path, '\\.so(\\.\\d+)*$') AND (regexp_matches(d.path, '/(lib|lib64|include)/') OR starts_with(d.path, '/usr/') OR starts_with(d.path, '/lib')))
+    AND d.hash NOT IN (SELECT hash FROM sig) AND d.hash NOT IN (SELECT hash FROM out))"""
+
+
+@query(f"{W}, {_EXT} SELECT * FROM ext")
+def external_deps(spark, sf_dir):
+    return passes.external_dependencies(_build(spark, sf_dir))
+
+
+@query(rf"""{W}, {_EXT}, based AS (SELECT *, regexp_replace(dep_path, '\.so(\.\d+)*$', '.so') AS base FROM ext)
+SELECT bin_path, bin_hash, CASE WHEN count(*) > 1 THEN base ELSE min(dep_path) END AS dep_path, first(dep_hash ORDER BY length(dep_path), dep_path) AS dep_hash,
+       CASE WHEN count(*) > 1 THEN string_agg(dep_path, ',' ORDER BY dep_path) END AS aliases FROM based GROUP BY bin_path, bin_hash, base""")
+def external_deps_alias_merged(spark, sf_dir):
+    return passes.merged_aliases(passes.external_dependencies(_build(spark, sf_dir)))
+
+
+@query(f"{W}, {_PASS1} SELECT category, count(*) AS files, round(100.0 * count(*) / (SELECT count(*) FROM p1), 4)::DOUBLE AS percent FROM p1 GROUP BY category")
+def summary_percent(spark, sf_dir):
+    return passes.summary(passes.pass1(_build(spark, sf_dir)))
+
+
+@query(f"{W} SELECT coalesce(tool, '__no_command__') AS tool, count(*) AS commands FROM cmd GROUP BY 1")
+def tool_histogram(spark, sf_dir):
+    return _build(spark, sf_dir).cmd.groupBy(F.coalesce("tool", F.lit("__no_command__")).alias("tool")).agg(F.count("*").alias("commands"))
+
+
+@query(f"{W} SELECT tool, cmd_idx FROM (SELECT *, row_number() OVER (PARTITION BY tool ORDER BY cmd_idx) AS k FROM cmd) WHERE k <= 5")
+def tool_first_n(spark, sf_dir):
+    by = Window.partitionBy("tool").orderBy("cmd_idx")
+    return _build(spark, sf_dir).cmd.withColumn("k", F.row_number().over(by)).filter("k <= 5").select("tool", "cmd_idx")
+
+
+@query(f"{W} SELECT cmd_idx, tool FROM cmd WHERE contains(lower(tool), 'cc') OR contains(lower(tool), 'apt')")
+def tool_search(spark, sf_dir):
+    t = F.lower("tool")
+    return _build(spark, sf_dir).cmd.filter(t.contains("cc") | t.contains("apt")).select("cmd_idx", "tool")
+
+
+_FOUND = """found AS (SELECT 'INPUT' AS role, cmd_idx, path FROM dep WHERE contains(lower(path), 'opt/ext/e1') UNION ALL
+  SELECT 'OUTPUT', cmd_idx, path FROM out WHERE contains(lower(path), 'opt/ext/e1') UNION ALL SELECT 'INPUT', cmd_idx, path FROM dep WHERE contains(lower(path), 'obj/p1')
+  UNION ALL SELECT 'OUTPUT', cmd_idx, path FROM out WHERE contains(lower(path), 'obj/p1'))"""
+
+
+def _found(spark, sf_dir) -> DataFrame:
+    b = _build(spark, sf_dir)
+    both = b.dep.select(F.lit("INPUT").alias("role"), "cmd_idx", "path").union(b.out.select(F.lit("OUTPUT").alias("role"), "cmd_idx", "path"))
+    p = F.lower("path")
+    return both.filter(p.contains("opt/ext/e1") | p.contains("obj/p1"))
+
+
+@query(f"{W}, {_FOUND} SELECT * FROM found")
+def package_search(spark, sf_dir):
+    return _found(spark, sf_dir)
+
+
+@query(f"""{W}, {_FOUND} SELECT path, CASE WHEN bool_or(role = 'OUTPUT') AND bool_or(role = 'INPUT') THEN 'intermediate' WHEN bool_or(role = 'OUTPUT') THEN 'built' ELSE 'external' END AS likely,
+  count(*) AS matches FROM found GROUP BY path""")
+def package_role_category(spark, sf_dir):
+    has = lambda r: F.bool_or(F.col("role") == r)
+    likely = F.when(has("OUTPUT") & has("INPUT"), "intermediate").when(has("OUTPUT"), "built").otherwise("external")
+    return _found(spark, sf_dir).groupBy("path").agg(likely.alias("likely"), F.count("*").alias("matches"))
+
+
+@query(f"""{W}, target AS (SELECT min(hash) AS h FROM out) SELECT 'dependencies' AS section, cmd_idx, path FROM dep, target WHERE hash = h
+  UNION ALL SELECT 'output', cmd_idx, path FROM out, target WHERE hash = h""")
+def trace_by_hash(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    target = F.broadcast(b.out.agg(F.min("hash").alias("hash")))  # one row
+    return (
+        b.dep.join(target, "hash").select(F.lit("dependencies").alias("section"), "cmd_idx", "path")
+        .union(b.out.join(target, "hash").select(F.lit("output").alias("section"), "cmd_idx", "path"))
+    )
+
+
+_DISK = r"coalesce(nullif(regexp_extract(path, '^(?:[^/]*/)*?(?:src|bin)/([^/]*)', 1), ''), 'unknown')"
+
+
+@query(f"{W}, {_PASS1} SELECT category, {_DISK} AS disk, count(*) AS files FROM p1 GROUP BY 1, 2")
+def by_disk(spark, sf_dir):
+    return passes.pass1(_build(spark, sf_dir)).groupBy("category", P.disk(F.col("path")).alias("disk")).agg(F.count("*").alias("files"))
+
+
+@query(rf"""{W} SELECT CASE WHEN contains(regexp_extract(path, '([^/]*)$', 1), '.') THEN lower(regexp_extract(path, '(\.[^.]*)$', 1)) ELSE 'no_extension' END AS ext, count(*) AS files FROM sig GROUP BY 1""")
+def ext_histogram(spark, sf_dir):
+    return _build(spark, sf_dir).src.groupBy(P.shell_extension(F.col("path")).alias("ext")).agg(F.count("*").alias("files"))
+
+
+@query(rf"""SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS base, regexp_extract(url, '(?:^|/)\.*[^/.][^/]*?(\.[^./]*)$', 1) AS ext FROM pages""")
+def path_functions(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", P.basename(F.col("url")).alias("base"), P.splitext(F.col("url")).alias("ext"))
+
+
+@query(rf"""{W} SELECT path, list_last(list_filter(list_transform(string_split(path, '/'), lambda c: regexp_replace(c, '_dir$', '')), lambda c: regexp_matches(c, '\.(iso|deb|rpm|tar|tgz|zip|gz|xz|bz2)$'))) AS container FROM bin""")
+def innermost_container(spark, sf_dir):
+    return _build(spark, sf_dir).bin.select("path", P.container(F.col("path")).alias("container"))
+
+
+@query(f"{W} SELECT ord, right(hash, 16) AS key FROM sig UNION ALL SELECT -1, '00000000000000ff' UNION ALL SELECT -2, NULL UNION ALL SELECT -3, NULL")
+def hash_key(spark, sf_dir):
+    extra = spark.createDataFrame([(-1, " FF "), (-2, "0xzz"), (-3, "")], "ord long, hash string")
+    return _build(spark, sf_dir).src.select("ord", "hash").union(extra).select("ord", X.hash_key(F.col("hash")).alias("key"))
+
+
+@query(r"SELECT doc_id, CASE WHEN length(t) > 100 THEN left(t, 97) || '...' ELSE t END AS shown FROM (SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g') AS t FROM documents)")
+def report_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.report_text(F.col("text"), 100).alias("shown"))
+
+
+@query(f"{W}, s AS (SELECT ord, regexp_replace(lower(regexp_extract(path, '([^/]*)$', 1)), '\\.py[co]?$', '') AS stem FROM sig) SELECT stem, count(*) AS files, min(ord) AS first_ord FROM s GROUP BY stem")
+def stem_match(spark, sf_dir):
+    return _build(spark, sf_dir).src.groupBy(P.stem(F.col("path")).alias("stem")).agg(F.count("*").alias("files"), F.min("ord").alias("first_ord"))
+
+
+@query("SELECT page_id, length(url) AS chars FROM pages WHERE length(url) > 30")
+def long_path_hist(spark, sf_dir):
+    return table(spark, sf_dir, "pages").filter(F.length("url") > 30).select("page_id", F.length("url").cast("long").alias("chars"))
+
+
+@query("""SELECT user_id, event_type AS status, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
+def run_status(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by(F.struct("event_type", "ts"), F.struct("ts", "event_id")).alias("e")).select("user_id", F.col("e.event_type").alias("status"), F.col("e.ts").alias("ts"))
+
+
+@query("SELECT event_type AS status, count(*) AS runs FROM events GROUP BY 1")
+def run_status_counts(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("status")).agg(F.count("*").alias("runs"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
