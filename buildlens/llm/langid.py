@@ -50,6 +50,8 @@ class Ppm:
         self.bits = np.full((len(self.langs), first[-1], size), 8.0, np.float32)
         for k, own in enumerate(contexts):
             at = first[k]
+            if not len(own):
+                break
             if k:
                 shorter = first[k - 1] + np.searchsorted(contexts[k - 1], own % size ** (k - 1))
                 self.next[at : at + len(own)] = self.next[shorter]
@@ -67,7 +69,7 @@ class Ppm:
                 rows = self.bits[g, at : at + len(own)]
                 rows[used] += (np.log2((total + distinct)[used]) - np.log2(distinct[used])).astype(np.float32)[:, None]
                 rows[context, gram % size] = np.log2((total + distinct)[context]) - np.log2(n)
-        self.flat_next, self.flat_bits = self.next.ravel(), self.bits.reshape(len(self.langs), -1)
+        self.flat_next, self.flat_bits = self.next.ravel(), self.bits.reshape(len(self.langs), self.next.size)
 
     def _grams(self, texts: list[bytes], k: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Strings of k context symbols and one more, as numbers to the base size, with counts."""
@@ -84,8 +86,8 @@ class Ppm:
         """Sorted contexts by order; all that occur at least as often as the bound on their number allows."""
         found = [(np.zeros(1, np.int64), np.array([1 << 60]))]
         for k in range(1, order + 1):
-            keys = np.concatenate([g for g, _ in grams[k - 1]])
-            counts = np.concatenate([n for _, n in grams[k - 1]])
+            keys = np.concatenate([np.zeros(0, np.int64), *(g for g, _ in grams[k - 1])])
+            counts = np.concatenate([np.zeros(0, np.int64), *(n for _, n in grams[k - 1])])
             own, place = np.unique(keys, return_inverse=True)
             found.append((own, np.bincount(place, counts, len(own)).astype(np.int64)))
         counts = np.sort(np.concatenate([n for _, n in found]))[::-1]

@@ -52,9 +52,10 @@ def white_splits(data: np.ndarray) -> np.ndarray:
 
 
 def space_splits(data: np.ndarray) -> np.ndarray:
-    """Before a space that follows another byte; a marker that stands in a text itself counts as no space."""
+    """Before a space that follows neither a space nor the marker U+2581, which stands for one."""
     cut = data == 0x20
     cut[1:] &= data[:-1] != 0x20
+    cut[3:] &= (data[:-3] != 0xE2) | (data[1:-2] != 0x96) | (data[2:-1] != 0x81)
     return cut
 
 
