@@ -33,6 +33,8 @@ SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 48, 6
 BITS = 2
+#: Most bits of the filter on ids that the second pass over texts uses.
+FILTER_BITS = 1 << 27
 #: 64-bit words of a bit plane.
 PLANE = -(-BANDS * ROWS // 64)
 
@@ -124,19 +126,34 @@ def sketch(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, SKETCH)
 
 
+def _filter(nodes: DataFrame) -> tuple[np.ndarray, int]:
+    """A bitmap of the ids' hashes, a Bloom filter with one function; its size is bounded, beyond that it only passes more."""
+    wanted = 64 * max(1, nodes.count())
+    size = min(FILTER_BITS, 1 << max(16, wanted.bit_length()))
+    spots = nodes.select(F.pmod(F.xxhash64("node"), F.lit(size)).alias("spot"))
+    rows = spots.groupBy(F.expr("spot div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(spot % 64)))").alias("bits")).toPandas()
+    bitmap = np.zeros(size // 64, np.int64)
+    bitmap[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return bitmap, size
+
+
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, set) of the documents with these ids."""
+    """(node, set) of the documents with these ids; a filter of bounded size keeps the other texts from being moved."""
+    bitmap, size = _filter(nodes)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            spot = batch.column("spot").to_numpy()
+            batch = batch.filter(pa.array((shared.value[spot // 64] >> (spot % 64)) & 1 == 1))
             for low, high in slices(batch, "text"):
                 part = batch.slice(low, high - low)
                 value, off = shingles(part.column("text"))
                 sets = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(value.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("node"), sets], names=["node", "set"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
-    return wanted.mapInArrow(rows, "node long, set array<long>")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").filter("node IS NOT NULL").withColumn("spot", F.pmod(F.xxhash64("node"), F.lit(size)))
+    return texts.mapInArrow(rows, "node long, set array<long>").join(nodes, "node", "left_semi")
 
 
 def _estimate(p: Column, q: Column) -> Column:
