@@ -1,7 +1,7 @@
 """Near-duplicate documents by b-bit MinHash, with every link confirmed on whole shingle sets.
 
 A document's set holds its distinct runs of five words. Equal sets form a class at once, by a
-digest of the set. For each class ``BANDS`` x ``ROWS`` minima give band keys; of each minimum two
+digest of the set. For each class ``BANDS`` x ``ROWS`` of ``HASHES`` minima give band keys; of each minimum four
 low bits are kept, packed as bit planes. Documents that share a band key are candidates:
 
 1. In each bucket the class with the smallest id is compared with all others of the bucket.
@@ -10,7 +10,7 @@ low bits are kept, packed as bit planes. Documents that share a band key are can
 
 So every candidate pair is either compared or already connected, and a bucket of n similar
 documents costs about n comparisons. A pair is compared on whole sets if the similarity estimated
-from equal low bits, corrected for chance collisions, is within five standard deviations of the
+from equal low bits, corrected for chance collisions, is at most four standard deviations below the
 threshold. With 48 bands of 6 rows a pair at the threshold is missed with probability 1e-4.
 """
 
@@ -32,14 +32,18 @@ SHINGLE = 5
 #: Linked from so many percent of the union on.
 PERCENT = 75
 BANDS, ROWS = 48, 6
-BITS = 2
+#: Minima in all: those of the bands, and more that only sharpen the estimate.
+HASHES = 768
+BITS = 4
+#: Standard deviations that the estimate of a pair at the threshold may fall short by.
+SLACK = 4
 #: Most bits of the filter on ids that the second pass over texts uses.
 FILTER_BITS = 1 << 27
 #: 64-bit words of a bit plane.
-PLANE = -(-BANDS * ROWS // 64)
+PLANE = -(-HASHES // 64)
 
 _RNG = np.random.default_rng(20240229)
-_FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RNG.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ROW = _RNG.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -83,7 +87,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def minima(value: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Least value of each text's shingles under each hash function: texts by functions; no text may be empty."""
-    out = np.empty((BANDS * ROWS, len(off) - 1), np.uint64)
+    out = np.empty((HASHES, len(off) - 1), np.uint64)
     for k, factor in enumerate(_FACTORS):
         out[k] = np.minimum.reduceat(value * factor, off[:-1])
     return out.T
@@ -105,12 +109,12 @@ def sketch(docs: DataFrame) -> DataFrame:
                     starts = off[:-1][some]
                     x[some], y[some] = np.add.reduceat(mixed(value, 1), starts), np.bitwise_xor.reduceat(mixed(value, 2), starts)
                     least = minima(value, np.append(starts, len(value)))
-                    keys = mixed((least.reshape(len(some), BANDS, ROWS) * _ROW).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+                    keys = mixed((least[:, : BANDS * ROWS].reshape(len(some), BANDS, ROWS) * _ROW).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
                     low_bits = mixed(least, 3)
                     packed = []
                     for b in range(BITS):
                         bits = np.zeros((len(some), PLANE * 64), np.uint8)
-                        bits[:, : BANDS * ROWS] = (low_bits >> np.uint64(b)).astype(np.uint8) & 1
+                        bits[:, :HASHES] = (low_bits >> np.uint64(b)).astype(np.uint8) & 1
                         packed.append(np.packbits(bits, axis=1).view(np.int64))
                     planes = np.hstack(packed)
 
@@ -165,14 +169,14 @@ def _estimate(p: Column, q: Column) -> Column:
             either = either.bitwiseOR(p[b * PLANE + w].bitwiseXOR(q[b * PLANE + w]))
         unequal = unequal + F.bit_count(either)
     chance = 0.5**BITS
-    return (1 - unequal / F.lit(float(BANDS * ROWS)) - chance) / (1 - chance)
+    return (1 - unequal / F.lit(float(HASHES)) - chance) / (1 - chance)
 
 
 def _least_estimate() -> float:
-    """Five standard deviations of the estimate below the threshold."""
+    """So many standard deviations of the estimate below the threshold."""
     chance, share = 0.5**BITS, PERCENT / 100
     equal = chance + (1 - chance) * share
-    return share - 5 * (equal * (1 - equal) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
+    return share - SLACK * (equal * (1 - equal) / HASHES) ** 0.5 / (1 - chance)
 
 
 def _plausible(pa_: str, pb: str, na: str, nb: str) -> Column:
