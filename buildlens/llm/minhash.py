@@ -6,7 +6,8 @@ low bits are kept, packed as bit planes. Documents that share a band key are can
 
 1. In each bucket the class with the smallest id is compared with all others of the bucket.
 2. Links of step 1 make components. In buckets that still hold several, every member outside the
-   bucket's largest component is compared with all members of other components.
+   bucket's largest component is compared with all members of other components. The join on the
+   bucket estimates similarity itself and emits a plausible pair once, from the first band it shares.
 
 So every candidate pair is either compared or already connected, and a bucket of n similar
 documents costs about n comparisons. A pair is compared on whole sets if the similarity estimated
@@ -197,7 +198,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) of nodes that are linked with another."""
-    members = nodes.select(F.explode("bands").alias("key"), "node")
+    members = nodes.select(F.posexplode("bands").alias("band", "key"), "node")
     leads = members.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("many")).filter("many > 1").select("key", "lead")
     members = saved(members.join(leads, "key"))
     facts = nodes.select("node", "n_shingles", "planes")
@@ -211,16 +212,18 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     stars = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     found = components(confirmed(docs, saved(near(stars))))
     # buckets with several components
-    placed = members.join(found, "node", "left").select("key", "node", "lead", F.coalesce("component", "node").alias("component"))
+    placed = members.join(found, "node", "left").select("key", "band", "node", "lead", F.coalesce("component", "node").alias("component"))
     sizes = placed.groupBy("key", "component").count()
     largest = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("count", -F.col("component"))).alias("main")).filter("parts > 1").select("key", "main")
-    open_ = saved(placed.join(largest, "key"))
-    outside = open_.filter("component <> main").select("key", F.col("node").alias("u"), F.col("component").alias("cu"))
-    across = (
-        open_.join(outside, "key").filter("cu <> component AND u <> node AND u <> lead AND node <> lead AND (component = main OR u < node)")
-        .select(F.least("u", "node").alias("a"), F.greatest("u", "node").alias("b")).distinct()
+    # the lead has been compared with everyone; sketches move along, so that a pair is judged where it is made
+    open_ = saved(placed.filter("node <> lead").join(largest, "key").drop("lead").join(nodes.select("node", "n_shingles", "bands", "planes"), "node"))
+    outside = open_.filter("component <> main").select("key", *(F.col(c).alias(f"{c}_u") for c in ("node", "component", "n_shingles", "bands", "planes")))
+    others = F.expr("component_u <> component AND (component = main OR node_u < node)")
+    first_shared = F.expr("array_position(zip_with(bands, bands_u, (p, q) -> p = q), true) = band + 1")
+    across = saved(
+        open_.join(outside, (open_["key"] == outside["key"]) & others & _plausible("planes", "planes_u", "n_shingles", "n_shingles_u") & first_shared)
+        .select(F.least("node_u", "node").alias("a"), F.greatest("node_u", "node").alias("b"))
     )
-    across = saved(near(across))
     if across.isEmpty():
         return found
     more = confirmed(docs, across)
