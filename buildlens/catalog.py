@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from . import adapters
 from .cluster import table
+from .functions import packages as K
 from .functions import paths as P
 from .functions import text as X
-from .plans import passes
+from .plans import binaries, passes
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -256,6 +257,69 @@ def run_status_counts(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("status")).agg(F.count("*").alias("runs"))
 
 
+_MAKERS = _listed((*passes.COMPILERS, *passes.LINKERS))
+
+
+def _round(k: int) -> str:
+    """CTEs of one step of pass 4: commands touched, suspicious edges, and the next keys unless it is the last."""
+    before = " UNION ALL ".join(f"SELECT bin_key FROM x{i}" for i in range(1, k + 1))
+    after = f""",
+f{k + 1} AS (SELECT DISTINCT key FROM d4 WHERE bucket = 'intermediate' AND cmd_idx IN (SELECT cmd_idx FROM t{k}) AND key NOT IN ({before}))"""
+    return f"""t{k} AS (SELECT o.cmd_idx, o.key FROM o4 o JOIN f{k} USING (key)),
+x{k} AS (SELECT DISTINCT t.key AS bin_key FROM t{k} t JOIN cmd c USING (cmd_idx) JOIN d4 d USING (cmd_idx) WHERE c.tool IN {_MAKERS} AND d.bucket = 'suspicious')""" + (after if k < binaries.ROUNDS else "")
+
+
+_STEPS = range(1, binaries.ROUNDS + 1)
+_CONTAINER = r"list_last(list_filter(list_transform(string_split(path, '/'), lambda c: regexp_replace(c, '_dir$', '')), lambda c: regexp_matches(c, '\.(iso|deb|rpm|tar|tgz|zip|gz|xz|bz2)$')))"
+_DISTRO = rf"NOT regexp_matches(path, '\.(deb|rpm)(_dir)?(/|$)') AND regexp_matches(regexp_replace(path, '^.*?bin/', ''), '^/?({'|'.join(K.DISTRO_PREFIXES)})')"
+_PASS4 = f"""o4 AS (SELECT DISTINCT cmd_idx, right(hash, 16) AS key FROM out WHERE hash IS NOT NULL),
+d4 AS (SELECT cmd_idx, path, right(hash, 16) AS key, CASE WHEN {" OR ".join(f"starts_with(path, '{x}')" for x in P.SYSTEM_PREFIXES)} THEN 'system' WHEN hash IN (SELECT hash FROM sig WHERE hash IS NOT NULL) THEN 'src'
+  WHEN {_case("path")} IN {_listed(P.RESOURCES)} THEN 'resource'
+  WHEN {_case("path")} IN {_listed(P.HEADERS)} OR regexp_matches(path, '\\.so(\\.\\d+)*$') AND (regexp_matches(path, '/(lib|lib64|include)/') OR starts_with(path, '/usr/') OR starts_with(path, '/lib')) THEN 'allowed'
+  WHEN hash IN (SELECT hash FROM out) THEN 'intermediate' ELSE 'suspicious' END AS bucket FROM dep WHERE hash IS NOT NULL),
+f1 AS (SELECT DISTINCT right(hash, 16) AS key FROM bin WHERE hash IS NOT NULL),
+{", ".join(_round(k) for k in _STEPS)},
+seen AS (SELECT DISTINCT key FROM d4 WHERE {" OR ".join(f"cmd_idx IN (SELECT cmd_idx FROM t{k})" for k in _STEPS)}),
+tainted AS ({" UNION ".join(f"SELECT bin_key FROM x{k}" for k in _STEPS)}),
+b4 AS (SELECT ord, path, hash, {_CONTAINER} AS container, {_DISTRO} AS system, coalesce(hash IN (SELECT hash FROM sig WHERE hash IS NOT NULL), false) AS own,
+  coalesce(hash IN (SELECT hash FROM out), false) AS made, coalesce(right(hash, 16) IN (SELECT key FROM seen), false) AS read, coalesce(right(hash, 16) IN (SELECT bin_key FROM tainted), false) AS tainted FROM bin),
+p4 AS (SELECT ord, path, hash, container, CASE WHEN system THEN 'system_binaries' WHEN hash IS NULL THEN 'untraced_external'
+  WHEN NOT made AND NOT read THEN CASE WHEN own THEN 'untraced_from_src' ELSE 'untraced_external' END
+  WHEN NOT made THEN CASE WHEN own THEN 'binaries_from_src' ELSE 'external_prebuilt' END
+  WHEN tainted THEN 'external_built' WHEN own THEN 'binaries_from_src' ELSE 'compiled_from_src' END AS category FROM b4)"""
+
+
+@query(f"{W}, {_PASS4} SELECT ord, path, hash, container, category FROM p4")
+def pass4_classes_direct(spark, sf_dir):
+    return binaries.pass4(_build(spark, sf_dir))
+
+
+@query(f"{W}, {_PASS4} SELECT category, count(*) AS files, round(100.0 * count(*) / (SELECT count(*) FROM p4), 4)::DOUBLE AS percent FROM p4 GROUP BY category")
+def pass4_percent(spark, sf_dir):
+    return passes.summary(binaries.pass4(_build(spark, sf_dir)))
+
+
+_PACKAGE = r"""CASE WHEN regexp_matches(path, '\.(deb|rpm)(_dir)?(/|$)') THEN 'deb' WHEN regexp_matches(path, '(^|/)(site|dist)-packages(/|$)') THEN 'pip' WHEN regexp_matches(path, '(^|/)node_modules(/|$)') THEN 'npm' END AS package_type,
+  CASE WHEN regexp_matches(path, '\.(deb|rpm)(_dir)?(/|$)') THEN regexp_extract(path, '(?:^|/)([^/]*\.(?:deb|rpm))(?:_dir)?(?:/|$)', 1) WHEN regexp_matches(path, '(^|/)(site|dist)-packages(/|$)') THEN regexp_extract(path, '(?:site|dist)-packages/([^/]*)', 1)
+    WHEN regexp_matches(path, '(^|/)node_modules(/|$)') THEN regexp_extract(path, 'node_modules/(@[^/]*/[^/]*|[^/]*)', 1) END AS container"""
+
+
+@query(f"{W} SELECT path, {_PACKAGE} FROM bin")
+def package_detect(spark, sf_dir):
+    return _build(spark, sf_dir).bin.select("path", K.package(F.col("path")).alias("p")).select("path", "p.package_type", "p.container")
+
+
+@query(f"{W}, {_PASS4}, u AS (SELECT path, hash FROM p4 WHERE category = 'untraced_external') SELECT * FROM (SELECT path, hash, {_PACKAGE} FROM u) WHERE package_type IS NOT NULL")
+def package_content(spark, sf_dir):
+    return binaries.package_content(binaries.pass4(_build(spark, sf_dir)))
+
+
+@query(f"""{W}, {_PASS1}, {_PASS4} SELECT category, {_DISK} AS disk, count(*) AS files FROM (SELECT category, path FROM p1 UNION ALL SELECT category, path FROM p4) GROUP BY 1, 2""")
+def pass5_by_disk(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return binaries.by_disk(passes.pass1(b), binaries.pass4(b))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -98,7 +98,7 @@ def disk(p: Column) -> Column:
 def container(p: Column) -> Column:
     """Innermost component that names an archive, without its folder suffix; null if none."""
     parts = F.transform(F.split(p, "/"), lambda c: F.regexp_replace(c, "_dir$", ""))
-    return F.try_element_at(F.filter(parts, lambda c: c.rlike(r"\.(" + "|".join(x[1:] for x in CONTAINERS) + ")$")), F.lit(-1))
+    return F.try_element_at(F.filter(parts, lambda c: c.rlike(r"\.(?i:" + "|".join(x[1:] for x in CONTAINERS) + ")$")), F.lit(-1))
 
 
 def so_base(p: Column) -> Column:

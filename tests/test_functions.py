@@ -22,7 +22,7 @@ def test_paths_match_posixpath(spark):
 
 def test_rules(spark):
     p = F.col("p")
-    rows = [("P/bin/d1/x.iso_dir/y.deb_dir/usr/f", "y.deb", "d1"), ("P/src/d2/a.c", None, "d2"), ("a/b", None, "unknown")]
+    rows = [("P/bin/d1/x.iso_dir/y.deb_dir/usr/f", "y.deb", "d1"), ("P/bin/d3/x.DEB_dir/f", "x.DEB", "d3"), ("P/src/d2/a.c", None, "d2"), ("a/b", None, "unknown")]
     got = spark.createDataFrame([(r[0],) for r in rows], "p string").select("p", P.container(p).alias("c"), P.disk(p).alias("d")).collect()
     assert [tuple(r) for r in got] == rows
     names = [("x/a.tar.gz", ".tar.gz"), ("a.TAR.Z", ".tar.Z"), (".bashrc", ".bashrc"), ("x.", "."), ("README", "no_extension")]
