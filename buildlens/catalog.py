@@ -28,7 +28,7 @@ def _case(expr: str) -> str:
 
 
 _SUFFIX = r"lower(regexp_extract(regexp_extract(path, '([^/]*)$', 1), '^.+(\.[^.]+)$', 1))"
-_SOURCES = tuple(x for x in (*P.COMPILED, *P.INTERPRETED) if x not in (".pyc", ".pyo", ".pyd"))
+_SOURCES = tuple(x for x in P.SOURCES if x not in P.EXCLUDED)
 _IS_SOURCE = f"{_SUFFIX} IN {_listed(_SOURCES)}"
 _POOL = "pool AS (SELECT hash FROM dep UNION SELECT hash FROM out)"
 _PASS1 = f"""{_POOL},

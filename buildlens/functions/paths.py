@@ -5,14 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# File kinds by extension.
-COMPILED = (".c", ".h", ".cpp", ".cc", ".cxx", ".hpp", ".hxx", ".rs", ".go", ".java", ".s", ".asm", ".m", ".swift", ".kt", ".scala")
-PYTHON = (".py", ".pyc", ".pyo", ".pyd")
-INTERPRETED = (*PYTHON, ".js", ".ts", ".sh", ".bash", ".pl", ".rb", ".php", ".lua", ".tcl", ".r")
+# File kinds by extension (compared in lower case).
+SOURCES = (
+    ".c", ".cpp", ".cc", ".cxx", ".c++", ".h", ".hpp", ".hh", ".hxx", ".h++", ".py", ".pyx", ".pxd", ".pxi", ".go", ".java", ".rs",
+    ".js", ".ts", ".jsx", ".tsx", ".mjs", ".cjs", ".rb", ".rake", ".gemspec", ".sh", ".bash", ".zsh", ".fish", ".ksh", ".csh",
+    ".pl", ".pm", ".pod", ".t", ".cs", ".swift", ".kt", ".kts", ".scala", ".sc", ".php", ".phtml", ".php3", ".php4", ".php5", ".php7",
+    ".hs", ".lhs", ".erl", ".hrl", ".ex", ".exs", ".lua", ".r", ".f", ".f77", ".f90", ".f95", ".f03", ".for", ".ftn", ".asm", ".s",
+    ".vhd", ".vhdl", ".v", ".sv", ".svh", ".m", ".mm", ".d", ".nim", ".zig", ".ml", ".mli", ".fs", ".fsi", ".fsx", ".clj", ".cljs", ".cljc",
+    ".groovy", ".gvy", ".gy", ".gsh", ".dart", ".jl", ".sql", ".cmake", ".mk",
+)
+EXCLUDED = (".sh", ".bash", ".zsh", ".fish", ".ksh", ".csh", ".sql", ".cmake", ".mk")
+COMPILED = (
+    ".c", ".cc", ".cpp", ".cxx", ".c++", ".h", ".hh", ".hpp", ".hxx", ".s", ".asm", ".rs", ".java", ".kt", ".kts", ".scala", ".go", ".cs", ".swift",
+    ".d", ".nim", ".zig", ".ml", ".mli", ".fs", ".fsi", ".fsx", ".hs", ".lhs", ".erl", ".hrl", ".f", ".f77", ".f90", ".f95", ".f03", ".for", ".ftn",
+)
+BYTE_CODE = (".pyc", ".pyo", ".pyd")
+INTERPRETED = (*(x for x in SOURCES if x not in COMPILED and x not in EXCLUDED), *BYTE_CODE)
+PYTHON = (".py", ".pyx", ".pxd", ".pxi")
 BUILD_FILES = ("Makefile", "makefile", "GNUmakefile", "Kbuild", "Kconfig")
 HEADERS = (".h", ".hpp", ".hxx", ".h++", ".hh")
-RESOURCES = (".xml", ".png", ".svg", ".json", ".yaml", ".yml", ".txt", ".md", ".conf", ".ini")
-SYSTEM_PREFIXES = ("/usr/include/", "/usr/lib/", "/usr/lib64/", "/usr/share/", "/lib/", "/lib64/", "/etc/", "/proc/", "/dev/")
+RESOURCES = (
+    ".xml", ".properties", ".yaml", ".yml", ".json", ".toml", ".ini", ".cfg", ".txt", ".csv", ".tsv", ".md", ".rst", ".html", ".htm", ".css", ".adoc",
+    ".png", ".jpg", ".jpeg", ".gif", ".svg", ".ico", ".bmp", ".tiff", ".ttf", ".woff", ".woff2", ".eot", ".otf", ".mp3", ".mp4", ".wav", ".ogg",
+    ".mf", ".sf", ".dsp", ".dtd", ".xsd", ".xsl", ".xslt", ".bat", ".cmd", ".ps1", ".sql", ".graphql", ".lock", ".map",
+)
+# Folders inside others of the list are left out.
+SYSTEM_PREFIXES = (
+    "/usr/lib/", "/usr/lib64/", "/lib/", "/lib64/", "/usr/include/", "/usr/local/lib/", "/usr/local/include/", "/etc/", "/proc/", "/sys/", "/dev/",
+    "/usr/share/", "/var/", "/tmp/hsperfdata_", "/run/", "/snap/",
+    "/usr/arm-linux-gnueabi/", "/usr/arm-linux-gnueabihf/", "/usr/aarch64-linux-gnu/", "/usr/mips-linux-gnu/", "/usr/mipsel-linux-gnu/", "/usr/powerpc-linux-gnu/",
+    "/usr/powerpc64-linux-gnu/", "/usr/powerpc64le-linux-gnu/", "/usr/riscv64-linux-gnu/", "/usr/s390x-linux-gnu/", "/usr/x86_64-linux-gnu/", "/usr/i686-linux-gnu/",
+    "/usr/sparc64-linux-gnu/", "/usr/m68k-linux-gnu/", "/usr/sh4-linux-gnu/", "/usr/hppa-linux-gnu/",
+)
 CONTAINERS = (".iso", ".deb", ".rpm", ".tar", ".tgz", ".zip", ".gz", ".xz", ".bz2")
 
 
@@ -56,7 +80,7 @@ def normpath(p: Column) -> Column:
 
 def is_source(p: Column) -> Column:
     ext = F.lower(suffix(p))
-    return ext.isin(*COMPILED, *INTERPRETED) & ~ext.isin(".pyc", ".pyo", ".pyd") | name(p).isin(*BUILD_FILES)
+    return ~ext.isin(*EXCLUDED) & (ext.isin(*SOURCES) | name(p).isin(*BUILD_FILES))
 
 
 def is_compiled(p: Column) -> Column:
@@ -72,10 +96,8 @@ def is_python(p: Column) -> Column:
 
 
 def is_system(p: Column) -> Column:
-    out = F.lit(False)
-    for prefix in SYSTEM_PREFIXES:
-        out = out | p.startswith(prefix)
-    return out
+    """Inside a system folder; one pattern, as a chain of prefixes overgrows generated code."""
+    return p.rlike("^(?:" + "|".join(SYSTEM_PREFIXES) + ")")
 
 
 def is_resource(p: Column) -> Column:
