@@ -299,6 +299,56 @@ def pass4_percent(spark, sf_dir):
     return passes.summary(binaries.pass4(_build(spark, sf_dir)))
 
 
+_TAINTED = f"""tainted AS ({" UNION ".join(f"SELECT bin_key FROM x{k}" for k in _STEPS)})"""
+_REACHED = f"""e4 AS (SELECT DISTINCT o.key AS made, d.key AS used, d.bucket FROM o4 o JOIN cmd c USING (cmd_idx) JOIN d4 d USING (cmd_idx) WHERE c.tool IN {_MAKERS} AND d.bucket IN ('intermediate', 'suspicious')),
+r1 AS (SELECT DISTINCT made FROM e4 WHERE bucket = 'suspicious'),
+{", ".join(f"r{k} AS (SELECT DISTINCT made FROM e4 WHERE bucket = 'intermediate' AND used IN (SELECT made FROM r{k - 1}))" for k in _STEPS if k > 1)},
+tainted AS (SELECT made AS bin_key FROM ({" UNION ".join(f"SELECT made FROM r{k}" for k in _STEPS)}))"""
+
+
+@query(f"{W}, {_PASS4.replace(_TAINTED, _REACHED)} SELECT ord, path, hash, container, category FROM p4")
+def pass4_classes_transitive(spark, sf_dir):
+    return binaries.pass4(_build(spark, sf_dir), transitive=True)
+
+
+_SUSPICIOUS = f"""x4 AS (SELECT DISTINCT key, regexp_replace(path, '\\.so(\\.\\d+)*$', '.so') AS dep_path FROM (
+  {" UNION ".join(f"SELECT t.key, d.path FROM t{k} t JOIN cmd c USING (cmd_idx) JOIN d4 d USING (cmd_idx) WHERE c.tool IN {_MAKERS} AND d.bucket = 'suspicious'" for k in _STEPS)})),
+s4 AS (SELECT p.ord, p.path, p.hash, x.dep_path FROM p4 p JOIN x4 x ON x.key = right(p.hash, 16) WHERE p.category = 'external_built')"""
+
+
+@query(f"{W}, {_PASS4}, {_SUSPICIOUS} SELECT ord, path, hash, dep_path FROM s4")
+def suspicious_inputs(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return binaries.suspicious_inputs(b, binaries.pass4(b))
+
+
+def _outer(path: str) -> str:
+    return rf"lower(split_part(regexp_replace(regexp_extract({path}, '([^/]*)$', 1), '\.[^.]*$', ''), '$', 1))"
+
+
+@query(f"""{W}, {_PASS4}, {_SUSPICIOUS}, named AS (SELECT lower(regexp_replace(regexp_extract(path, '([^/]*)$', 1), '\\.[^.]*$', '')) AS stem FROM sig WHERE {_case("path")} = '.java'),
+judged AS (SELECT *, {_case("dep_path")} = '.class' AND {_outer("dep_path")} NOT IN (SELECT stem FROM named) AS real, ends_with(lower(path), '.class') AND {_outer("path")} IN (SELECT stem FROM named) AS trusted FROM s4)
+SELECT ord, path, hash, CASE WHEN trusted OR NOT bool_or(real) THEN 'compiled_from_src' ELSE 'external_built' END AS category,
+  CASE WHEN NOT trusted THEN count(*) FILTER (WHERE NOT real) END AS deps_removed FROM judged GROUP BY ord, path, hash, trusted""")
+def java_trust(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return binaries.trusted_java(b, binaries.pass4(b))
+
+
+_ALLOWED = f"""({" OR ".join(f"starts_with(path, '{x}')" for x in P.SYSTEM_PREFIXES)} OR {_case("path")} IN {_listed(P.HEADERS)}
+    OR regexp_matches(path, '\\.so(\\.\\d+)*$') AND (regexp_matches(path, '/(lib|lib64|include)/') OR starts_with(path, '/usr/') OR starts_with(path, '/lib')))"""
+
+
+@query(f"""{W}, {_PASS4}, l4 AS (SELECT * FROM (SELECT *, right(hash, 16) AS key, row_number() OVER (PARTITION BY right(hash, 16) ORDER BY ord DESC) AS k FROM p4 WHERE category = 'external_built') WHERE k = 1),
+a4 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cmd_idx, path ORDER BY pos) AS k FROM dep WHERE {_ALLOWED}) WHERE k = 1),
+c4 AS (SELECT key, max(cmd_idx) AS cmd_idx FROM o4 WHERE key IN (SELECT key FROM l4) AND cmd_idx IN (SELECT cmd_idx FROM a4) GROUP BY key)
+SELECT l.ord, l.path, l.hash, a.path AS dep_path, coalesce(a.hash, '') AS dep_hash, CASE WHEN {_case("a.path")} IN ('.h', '.hpp', '.hxx') THEN 'header' ELSE 'system_path' END AS reason
+FROM c4 JOIN l4 l USING (key) JOIN a4 a ON a.cmd_idx = c4.cmd_idx""")
+def filtered_deps(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return binaries.filtered_dependencies(b, binaries.pass4(b))
+
+
 _PACKAGE = r"""CASE WHEN regexp_matches(path, '\.(deb|rpm)(_dir)?(/|$)') THEN 'deb' WHEN regexp_matches(path, '(^|/)(site|dist)-packages(/|$)') THEN 'pip' WHEN regexp_matches(path, '(^|/)node_modules(/|$)') THEN 'npm' END AS package_type,
   CASE WHEN regexp_matches(path, '\.(deb|rpm)(_dir)?(/|$)') THEN regexp_extract(path, '(?:^|/)([^/]*\.(?:deb|rpm))(?:_dir)?(?:/|$)', 1) WHEN regexp_matches(path, '(^|/)(site|dist)-packages(/|$)') THEN regexp_extract(path, '(?:site|dist)-packages/([^/]*)', 1)
     WHEN regexp_matches(path, '(^|/)node_modules(/|$)') THEN regexp_extract(path, 'node_modules/(@[^/]*/[^/]*|[^/]*)', 1) END AS container"""

@@ -59,21 +59,23 @@ def scan(b: Build) -> tuple[DataFrame, DataFrame, DataFrame]:
     return made, seen, external
 
 
-def pass4(b: Build, apt: DataFrame | None = None) -> DataFrame:
+def pass4(b: Build, apt: DataFrame | None = None, transitive: bool = False) -> DataFrame:
     """(ord, path, hash, container, category) of the distribution's files.
 
     ``apt``: names (column container) of packages that the build downloaded. The first that holds:
     apt_package_content, system_binaries, untraced_external without a valid hash; for files that no
     command made or read untraced_from_src or untraced_external, for those only read binaries_from_src
     or external_prebuilt; for built ones external_built with a suspicious input, else
-    binaries_from_src or compiled_from_src. Whether a file is in the sources is told by its whole hash.
+    binaries_from_src or compiled_from_src. In transitive mode suspicious inputs of compiled or linked
+    inputs count too, up to ``ROUNDS`` steps away. Whether a file is in the sources is told by its whole hash.
     """
     made, seen, external = scan(b)
+    tainted = tainted_within(maker_edges(b)) if transitive else external.select("bin_key")
     p = F.col("path")
     rows = b.bin.select("ord", "path", "hash").withColumns({"key": hash_key(F.col("hash")), "container": paths.container(p)})
     rows = (
         rows.join(_flag(made, "made"), "key", "left").join(_flag(seen, "seen"), "key", "left")
-        .join(_flag(external.select(F.col("bin_key").alias("key")), "tainted"), "key", "left")
+        .join(_flag(tainted.select(F.col("bin_key").alias("key")), "tainted"), "key", "left")
         .join(_flag(b.src.select("hash").filter("hash IS NOT NULL"), "own"), "hash", "left")
     )
     rows = rows.withColumn("loaded", F.lit(None).cast("boolean")) if apt is None else rows.join(_flag(apt.select("container"), "loaded"), "container", "left")
@@ -103,3 +105,78 @@ def by_disk(*tables: DataFrame) -> DataFrame:
         part = rows.select("category", paths.disk(F.col("path")).alias("disk"))
         counted = part if counted is None else counted.union(part)
     return counted.groupBy("category", "disk").agg(F.count("*").alias("files"))
+
+
+def tainted_within(edges: DataFrame, hops: int = ROUNDS) -> DataFrame:
+    """bin_key of outputs that lead over at most so many inputs to a suspicious one.
+
+    ``edges``: (made, used, bucket), intermediate or suspicious. The walk goes from suspicious inputs
+    towards outputs, so each round costs its edges, not products of outputs and all they reach.
+    """
+    inner = edges.filter("bucket = 'intermediate'").select("made", "used")
+    reached = durable(edges.filter("bucket = 'suspicious'").select(F.col("made").alias("bin_key")).distinct())
+    for _ in range(hops - 1):
+        more = inner.join(reached.select(F.col("bin_key").alias("used")), "used", "left_semi").select(F.col("made").alias("bin_key")).distinct()
+        new = durable(more.join(reached, "bin_key", "left_anti"))
+        if new.isEmpty():
+            break
+        reached = durable(reached.union(new))
+    return reached
+
+
+def maker_edges(b: Build) -> DataFrame:
+    """(made, used, bucket): keys of outputs and inputs of compiler and linker commands; inputs that need a source or an origin only."""
+    out = _keyed(b.out).select("cmd_idx", F.col("key").alias("made")).distinct()
+    makers = b.cmd.filter(F.col("tool").isin(*COMPILERS, *LINKERS)).select("cmd_idx")
+    deps = judged_inputs(b, out.select(F.col("made").alias("key")).distinct()).filter("bucket IN ('intermediate', 'suspicious')")
+    return durable(out.join(makers, "cmd_idx", "left_semi").join(deps.select("cmd_idx", F.col("key").alias("used"), "bucket"), "cmd_idx").drop("cmd_idx").distinct())
+
+
+def suspicious_inputs(b: Build, fourth: DataFrame) -> DataFrame:
+    """(ord, path, hash, dep_path) of external_built files: the suspicious inputs of direct mode, versions of one shared library as one."""
+    external = scan(b)[2].select(F.col("bin_key").alias("key"), paths.so_base(F.col("path")).alias("dep_path")).distinct()
+    built = fourth.filter("category = 'external_built'").select("ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
+    return built.join(external, "key").drop("key")
+
+
+def trusted_java(b: Build, fourth: DataFrame) -> DataFrame:
+    """(ord, path, hash, category, deps_removed) of external_built files after trust in Java classes.
+
+    A class file whose stem (before a dollar sign, in lower case) names a Java source is
+    compiled_from_src. Of the others only suspicious inputs count that are class files without such a
+    source; a file of any language that has none left is compiled_from_src too. deps_removed counts
+    the inputs left out, null for a trusted class file itself.
+    """
+    def stem(p: F.Column) -> F.Column:
+        name = paths.basename(p)
+        return F.lower(F.left(name, F.length(name) - F.length(paths.splitext(p))))
+
+    def outer(p: F.Column) -> F.Column:
+        return F.split(stem(p), r"\$")[0]
+
+    java = F.lower(paths.splitext(F.col("path"))) == ".java"
+    named = _flag(b.src.filter(java).select(stem(F.col("path")).alias("stem")), "named")
+    deps = suspicious_inputs(b, fourth).withColumn("class", F.lower(paths.splitext(F.col("dep_path"))) == ".class")
+    judged = deps.withColumn("stem", outer(F.col("dep_path"))).join(named, "stem", "left").withColumn("real", F.col("class") & F.col("named").isNull())
+    counts = judged.groupBy("ord", "path", "hash").agg(F.count_if("real").alias("real"), F.count_if(~F.col("real")).alias("removed"))
+    own = counts.withColumn("stem", outer(F.col("path"))).join(named, "stem", "left")
+    trusted = F.coalesce(F.col("named"), F.lit(False)) & F.lower(F.col("path")).endswith(".class")
+    category = F.when(trusted | (F.col("real") == 0), "compiled_from_src").otherwise("external_built")
+    return own.select("ord", "path", "hash", category.alias("category"), F.when(~trusted, F.col("removed")).alias("deps_removed"))
+
+
+def filtered_dependencies(b: Build, fourth: DataFrame) -> DataFrame:
+    """(ord, path, hash, dep_path, dep_hash, reason) of inputs that external_built files may have: header or system_path.
+
+    They come from the last command, of any tool, that made the file and had such inputs; a path
+    counts once, by its first place. Of files with one hash only the last gets them.
+    """
+    p = F.col("path")
+    built = fourth.filter("category = 'external_built'").select(hash_key(F.col("hash")).alias("key"), "ord", "path", "hash")
+    last = built.groupBy("key").agg(F.max_by(F.struct("ord", "path", "hash"), "ord").alias("file"))
+    allowed = b.dep.filter(paths.is_system(p) | paths.is_allowed(p)).groupBy("cmd_idx", "path").agg(F.min_by(F.struct(F.coalesce("hash", F.lit("")).alias("hash")), "pos").alias("first"))
+    commands = _keyed(b.out).select("cmd_idx", "key").distinct().join(last.select("key"), "key").join(allowed.select("cmd_idx").distinct(), "cmd_idx", "left_semi")
+    chosen = commands.groupBy("key").agg(F.max("cmd_idx").alias("cmd_idx")).join(last, "key")
+    reason = F.when(F.lower(paths.splitext(F.col("dep_path"))).isin(".h", ".hpp", ".hxx"), "header").otherwise("system_path")
+    rows = chosen.join(allowed.withColumnRenamed("path", "dep_path"), "cmd_idx")
+    return rows.select("file.*", "dep_path", F.col("first.hash").alias("dep_hash"), reason.alias("reason"))

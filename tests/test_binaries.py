@@ -63,3 +63,30 @@ def test_packages(spark):
     ]
     got = spark.createDataFrame([(r[0],) for r in system], "p string").select(packages.is_distro_system(F.col("p"))).collect()
     assert [r[0] for r in got] == [r[1] for r in system]
+
+
+def test_transitive_java_and_filtered(spark):
+    b = build(
+        spark,
+        src=[("P/src/A.java", h(1)), ("P/src/x$y.java", h(2))],
+        bin_=[("P/bin/d/deep", h(10)), ("P/bin/d/far", h(14)), ("P/bin/d/A$In.class", h(20)), ("P/bin/d/x$Q.class", h(21)), ("P/bin/d/lib", h(22)), ("P/bin/d/lib2", h(22))],
+        cmd=[(1, "ld"), (2, "gcc"), (3, "ld"), (4, "ld"), (5, "ld"), (6, "javac"), (7, "javac"), (8, "gcc"), (9, "cp")],
+        dep=[
+            (1, "a.o", h(11)), (2, "/opt/v.c", h(30)), (3, "m2", h(13)), (4, "m3", h(12)), (5, "a.o", h(11)), (6, "/opt/Q.class", h(31)), (7, "/opt/Q.class", h(31)), (7, "/opt/A.class", h(33)),
+            (8, "/opt/z.so.1", h(34)), (8, "/opt/z.so", h(35)), (8, "/usr/include/s.h", h(36)), (8, "/etc/c", None), (9, "/opt/r.hpp", h(37)), (9, "/opt/r.hpp", h(38)),
+        ],
+        out=[(1, "deep", h(10)), (2, "a.o", h(11)), (3, "far", h(14)), (4, "m2", h(13)), (5, "m3", h(12)), (6, "A$In.class", h(20)), (7, "x$Q.class", h(21)), (8, "lib", h(22)), (9, "lib", h(22))],
+    )
+    direct, transitive = binaries.pass4(b), binaries.pass4(b, transitive=True)
+    classes = lambda df: {r.path.removeprefix("P/bin/d/"): r.category for r in df.collect()}
+    assert {k for k, v in classes(direct).items() if v == "external_built"} == {"A$In.class", "lib", "lib2", "x$Q.class"}
+    # one step to /opt/v.c is direct for a.o, two for deep, four for far, which is too many
+    changed = {k: v for k, v in classes(transitive).items() if classes(direct)[k] != v}
+    assert changed == {"deep": "external_built"}
+    trusted = {r.path.removeprefix("P/bin/d/"): (r.category, r.deps_removed) for r in binaries.trusted_java(b, direct).collect()}
+    assert trusted == {"A$In.class": ("compiled_from_src", None), "x$Q.class": ("external_built", 1), "lib": ("compiled_from_src", 1), "lib2": ("compiled_from_src", 1)}
+    rows = [(r.path, r.dep_path, r.dep_hash, r.reason) for r in binaries.filtered_dependencies(b, direct).collect()]
+    assert rows in ([("P/bin/d/lib2", "/opt/r.hpp", x, "header")] for x in (h(37), h(38)))
+    empty = build(spark, [], [], [], [], [])
+    for f in (binaries.trusted_java, binaries.filtered_dependencies):
+        assert f(empty, binaries.pass4(empty, transitive=True)).collect() == []
