@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import adapters
 from .cluster import table
+from .functions import archives as A
 from .functions import packages as K
 from .functions import paths as P
 from .functions import text as X
-from .plans import binaries, passes
+from .plans import binaries, hotspots, packages, passes
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -370,6 +372,72 @@ def pass5_by_disk(spark, sf_dir):
     return binaries.by_disk(passes.pass1(b), binaries.pass4(b))
 
 
+_ENDINGS = (".tar.gz", ".jar", ".o", ".bin", "", ".TXT", ".tar.Z", ".rpm", ".whl", ".so", ".xz", ".png", ".lz4")
+_NAMED = f"""f AS (SELECT doc_id AS ord, source || '/f' || doc_id || {adapters._case(f"doc_id % {len(_ENDINGS)}", _ENDINGS)} AS path,
+  {adapters._case("doc_id % 4", ("gzip compressed data", "ELF 64-bit LSB executable", "Zip archive data", "RPM v3"))} AS magic FROM documents)"""
+_NAME = "lower(regexp_extract(path, '([^/]*)$', 1))"
+
+
+def _named_files(spark, sf_dir) -> DataFrame:
+    table(spark, sf_dir, "documents").createOrReplaceTempView("documents")
+    return spark.sql(f"WITH {_NAMED} SELECT * FROM f")
+
+
+_PLAN = f"""CASE {" ".join(f"WHEN regexp_matches({_NAME}, '{A.pattern(e)}') THEN '{m}'" for e, m in A.METHODS_BY_ENDING)} ELSE '' END AS m1,
+  CASE {" ".join(f"WHEN contains(magic, '{part.replace(chr(39), chr(39) * 2)}') THEN '{m}'" for part, m in A.METHODS_BY_MAGIC)} ELSE '' END AS m2"""
+_ARCHIVES = A.pattern(tuple(e for es, _ in A.METHODS_BY_ENDING for e in es) + A.ONLY_ARCHIVES)
+
+
+@query(f"""WITH {_NAMED}, m AS (SELECT ord, path, {_PLAN} FROM f), l AS (SELECT *, list_filter(string_split(m1, ' '), lambda x: x <> '') AS a, list_filter(string_split(m2, ' '), lambda x: x <> '') AS b FROM m)
+SELECT ord, array_to_string(list_concat(a, list_filter(b, lambda x: NOT list_contains(a, x))), ' ') AS methods,
+  CASE WHEN ends_with({_NAME}, '.jar') THEN 'skipped' WHEN regexp_matches({_NAME}, '{_ARCHIVES}') THEN 'archive'
+    WHEN NOT contains({_NAME}, '.') OR regexp_extract({_NAME}, '([^.]*)$', 1) IN {_listed(A.AMBIGUOUS)} THEN 'check' ELSE 'other' END AS kind FROM l""")
+def archive_method_plan(spark, sf_dir):
+    p = F.col("path")
+    return _named_files(spark, sf_dir).select("ord", F.array_join(A.plan(p, F.col("magic")), " ").alias("methods"), A.kind(p).alias("kind"))
+
+
+@query(f"""WITH {_NAMED}, e AS (SELECT path, CASE WHEN contains({_NAME}, '.') THEN regexp_extract({_NAME}, '(\\.[^.]*)$', 1) ELSE 'no_extension' END AS ext FROM f)
+SELECT CASE WHEN ext IN {_listed(A.BINARY)} THEN 'BINARY_EXT' WHEN ext IN {_listed(A.SAFE)} THEN 'SAFE' ELSE 'MAGIC' END AS type, count(*) AS files FROM e GROUP BY 1""")
+def binary_triage(spark, sf_dir):
+    return _named_files(spark, sf_dir).groupBy(A.triage(F.col("path")).alias("type")).agg(F.count("*").alias("files"))
+
+
+_SPOTS = f"""spots AS (SELECT 'rule:' || lang AS ruleKey, text AS message, {adapters._case("doc_id % 4", ("xss", "dos", "unheard-of", "auth"))} AS securityCategory,
+  {adapters._case("doc_id % 3", ("HIGH", "MEDIUM", "LOW"))} AS vulnerabilityProbability, CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'K:' END || 'src/f' || doc_id || {adapters._case("doc_id % 12", adapters.EXTENSIONS)} AS component,
+  CASE WHEN doc_id % 5 > 0 THEN doc_id % 100 END AS line, 'TO_REVIEW' AS status, CAST(NULL AS STRING) AS resolution FROM documents)"""
+
+
+def _lookup(key: str, names: dict[str, str], other: str) -> str:
+    return f"CASE {key} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items()) + f" ELSE {other} END"
+
+
+@query(rf"""WITH {_SPOTS}, t AS (SELECT *, regexp_replace(message, '[\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g') AS clean, CASE WHEN contains(component, '.') THEN regexp_extract(component, '([^.]*)$', 1) ELSE '' END AS ext FROM spots)
+SELECT coalesce(ruleKey, '') AS "rule", coalesce(CASE WHEN length(clean) > 32767 THEN left(clean, 32764) || '...' ELSE clean END, '') AS message, {_lookup("securityCategory", hotspots.CATEGORIES, "securityCategory")} AS category,
+  vulnerabilityProbability AS probability, CASE vulnerabilityProbability WHEN 'HIGH' THEN 'CRITICAL' WHEN 'MEDIUM' THEN 'MAJOR' ELSE 'MINOR' END AS severity,
+  CASE WHEN ext = '' THEN 'Unknown' ELSE {_lookup("ext", hotspots.LANGUAGES, "upper(ext)")} END AS language, regexp_replace(component, '^K:', '') AS file, coalesce(CAST(line AS VARCHAR), '') AS line,
+  status, '' AS resolution, '' AS comments FROM t""")
+def hotspot_report(spark, sf_dir):
+    table(spark, sf_dir, "documents").createOrReplaceTempView("documents")
+    return hotspots.report(spark.sql(f"WITH {_SPOTS} SELECT * FROM spots"), "K")
+
+
+_WRITTEN = "CASE WHEN tool IN ('apt', 'cp') THEN 'dl/e' || (cmd_idx % 50) || '_1' || CASE WHEN cmd_idx % 2 = 0 THEN '.deb' ELSE '.whl' END ELSE path END"
+_INDEX = f"""o9 AS (SELECT cmd_idx, pos, tool, {_WRITTEN} AS path FROM out JOIN cmd USING (cmd_idx)),
+i9 AS (SELECT * FROM (SELECT *, regexp_extract(path, '([^/]*)$', 1) AS container, row_number() OVER (PARTITION BY regexp_extract(path, '([^/]*)$', 1) ORDER BY cmd_idx, pos) AS k FROM o9 WHERE regexp_matches(path, '\\.(deb|rpm|whl)$')) WHERE k = 1),
+d9 AS (SELECT i.container, d.path, row_number() OVER (PARTITION BY i.container ORDER BY regexp_extract(d.path, '([^/]*)$', 1) <> i.container, d.pos) AS k FROM i9 i JOIN dep d ON d.cmd_idx = i.cmd_idx
+  WHERE contains(lower(d.path), split_part(i.container, '_', 1)))"""
+
+
+@query(f"""{W}, {_INDEX} SELECT i.container, CASE WHEN ends_with(i.path, '.whl') THEN 'pip' ELSE 'deb' END AS package_type, coalesce(d.path, i.path) AS source,
+  CASE i.tool WHEN 'apt' THEN 'apt download' ELSE i.tool END AS command, i.cmd_idx, i.pos FROM i9 i LEFT JOIN d9 d ON d.container = i.container AND d.k = 1""")
+def package_index(spark, sf_dir):
+    """The adapter's commands write no packages: outputs of two tools are renamed."""
+    b = _build(spark, sf_dir)
+    out = b.out.join(b.cmd.select("cmd_idx", "tool"), "cmd_idx").withColumn("path", F.expr(_WRITTEN)).drop("tool")
+    return packages.package_index(replace(b, out=out))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
