@@ -126,6 +126,18 @@ def pass3_classes(spark, sf_dir):
     return passes.pass3(b, passes.good(b))
 
 
+@query(f"""{W}, {_GOOD}, {_FIRST}, {_PASS3},
+w1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY cmd_idx, pos) AS k FROM writes) WHERE k = 1),
+w2 AS (SELECT * FROM (SELECT cmd_idx, pos, path, hash, row_number() OVER (PARTITION BY path ORDER BY cmd_idx, pos) AS k FROM w1) WHERE k = 1)
+SELECT path, hash, CASE WHEN hash IN (SELECT hash FROM bin) OR path IN (SELECT path FROM bin)
+  OR CASE WHEN hash IN (SELECT hash FROM reads) THEN hash IN (SELECT hash FROM reads WHERE cmd_idx IN (SELECT cmd_idx FROM good)) ELSE path IN (SELECT path FROM reads WHERE cmd_idx IN (SELECT cmd_idx FROM good)) END
+  THEN 'compiled_used' ELSE 'compiled_unused' END AS category FROM w2 WHERE path NOT IN (SELECT path FROM p3 WHERE category IN ('compiled_used', 'compiled_unused'))""")
+def pass3_outputs(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    good = passes.good(b)
+    return passes.pass3_outputs(b, good, passes.pass3(b, good))
+
+
 _EXT = f"""made AS (SELECT o.cmd_idx, b.path AS bin_path, b.hash AS bin_hash FROM out o JOIN bin b ON b.hash = o.hash JOIN cmd c ON c.cmd_idx = o.cmd_idx
   WHERE c.tool IN {_listed((*passes.COMPILERS, *passes.LINKERS))}),
 ext AS (SELECT DISTINCT m.bin_path, m.bin_hash, d.path AS dep_path, d.hash AS dep_hash FROM made m JOIN dep d ON d.cmd_idx = m.cmd_idx
@@ -239,6 +251,16 @@ def report_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", X.report_text(F.col("text"), 100).alias("shown"))
 
 
+_CYRILLIC, _LATIN = "".join(X.ONE), "".join(X.ONE.values())
+
+
+@query(rf"""WITH t AS (SELECT doc_id, upper(translate(lower(name), '{_CYRILLIC}', '{_LATIN}')) AS t FROM (SELECT doc_id, source || ' Отдел ' || lang || '__№' || doc_id || '.tar' AS name FROM documents))
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(t, ' ', '_'), '[^A-Z0-9_.-]', '', 'g'), '_+', '_', 'g'), '^_|_$', '', 'g') AS name FROM t""")
+def translit(spark, sf_dir):
+    name = F.concat("source", F.lit(" Отдел "), "lang", F.lit("__№"), F.col("doc_id").cast("string"), F.lit(".tar"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.transliterate(name).alias("name"))
+
+
 @query(f"{W}, s AS (SELECT ord, regexp_replace(lower(regexp_extract(path, '([^/]*)$', 1)), '\\.py[co]?$', '') AS stem FROM sig) SELECT stem, count(*) AS files, min(ord) AS first_ord FROM s GROUP BY stem")
 def stem_match(spark, sf_dir):
     return _build(spark, sf_dir).src.groupBy(P.stem(F.col("path")).alias("stem")).agg(F.count("*").alias("files"), F.min("ord").alias("first_ord"))

@@ -100,6 +100,24 @@ def pass3(b: Build, good_: DataFrame) -> DataFrame:
     return rows.select("ord", "path", "hash", category.alias("category"))
 
 
+def pass3_outputs(b: Build, good_: DataFrame, third: DataFrame) -> DataFrame:
+    """(path, hash, category) of interpreted files that interpreter commands wrote and pass 3 has not recorded by path as compiled.
+
+    The first of a path counts; one without a path doesn't. compiled_used if it is in the distribution
+    by hash or path, or if its first reader, by hash or else by path, is a good command; else compiled_unused.
+    """
+    reads, writes = interpreter_files(b, b.dep), interpreter_files(b, b.out)
+    recorded = third.filter("category IN ('compiled_used', 'compiled_unused')").select(P.normpath(F.col("path")).alias("path_norm")).distinct()
+    first = writes.filter("path_norm IS NOT NULL").groupBy("path_norm").agg(F.min_by(F.struct("path", "hash"), F.struct("cmd_idx", "pos")).alias("f"))
+    rows = first.join(recorded, "path_norm", "left_anti").select("path_norm", "f.*")
+    led = reads.join(good_.withColumn("good", F.lit(True)), "cmd_idx", "left").withColumn("good", F.coalesce("good", F.lit(False)))
+    for key in ("hash", "path_norm"):
+        rows = rows.join(led.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max("good").alias(f"good_{key}")), key, "left")
+        rows = rows.join(b.bin.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(f"bin_{key}", F.lit(True)), key, "left")
+    used = F.coalesce("bin_hash", "bin_path_norm", "good_hash", "good_path_norm", F.lit(False))
+    return rows.select("path", "hash", F.when(used, "compiled_used").otherwise("compiled_unused").alias("category"))
+
+
 def external_dependencies(b: Build) -> DataFrame:
     """(bin_path, bin_hash, dep_path, dep_hash) of suspicious inputs of the compiler commands that made distribution files: not system, source, resource, allowed, or made by the build."""
     makers = b.cmd.filter(F.col("tool").isin(*COMPILERS, *LINKERS)).select("cmd_idx")
