@@ -14,7 +14,7 @@ from .functions import archives as A
 from .functions import packages as K
 from .functions import paths as P
 from .functions import text as X
-from .plans import binaries, hotspots, packages, passes
+from .plans import binaries, hotspots, packages, passes, signatures
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -460,6 +460,19 @@ def package_index(spark, sf_dir):
     return packages.package_index(replace(b, out=out))
 
 
+_UNPACKED = """files AS (
+SELECT 'x' || (p_partkey % 7) || '.iso_dir/y' || (p_partkey % 11) || '.deb_dir/f' || p_partkey AS path, md5('f' || p_partkey) AS hash FROM part
+UNION ALL SELECT DISTINCT 'x' || (p_partkey % 7) || '.iso' AS path, md5('x' || (p_partkey % 7)) AS hash FROM part WHERE p_partkey % 7 < 5
+UNION ALL SELECT DISTINCT 'x' || (p_partkey % 7) || '.iso_dir/y' || (p_partkey % 11) || '.deb' AS path, md5('y' || (p_partkey % 11)) AS hash FROM part WHERE p_partkey % 11 < 8)"""
+
+
+@query(f"""WITH {_UNPACKED}, c AS (SELECT f.path, f.hash, coalesce(list(a.hash ORDER BY length(a.path) DESC) FILTER (WHERE a.hash IS NOT NULL), []) AS c FROM files f LEFT JOIN files a ON starts_with(f.path, a.path || '_dir/') GROUP BY f.path, f.hash)
+SELECT path, hash, replace(path, '_dir/', '/') AS virtual_path, coalesce(c[1], '0') AS parents_hash, array_to_string(c, ',') AS parents_chain FROM c""")
+def parent_chain(spark, sf_dir):
+    table(spark, sf_dir, "part").createOrReplaceTempView("part")
+    return signatures.parent_chain(spark.sql(f"WITH {_UNPACKED} SELECT * FROM files")).withColumn("parents_chain", F.array_join("parents_chain", ","))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
