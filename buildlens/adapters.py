@@ -20,29 +20,31 @@ FOLDERS = ("/usr/include/", "/opt/ext/", "/home/b/", "/usr/lib/", "/srv/lib/", "
 ENDINGS = (".c", ".h", ".so.1", ".xml", ".class", ".a")
 PLACES = ("P/bin/d1/", "P/bin/d1/x.deb_dir/", "P/bin/usr/lib/", "P/bin/d2/node_modules/@s/n/", "P/bin/d2/site-packages/p/")
 
+#: Every order is a command with an output, every line item an input: an output, a source, an external file, an archive, or else a file of
+#: the system. Sources with ord % 5 = 0 aren't read by their own row's command, so that some are redundant.
 RELATIONS = {
     "sig": f"""
 SELECT doc_id AS ord, 'P/src/' || source || '/' || lang || '/f' || CAST(doc_id AS STRING) || {_case("doc_id % 12", EXTENSIONS)} AS path, md5(text) AS hash,
        md5('arc' || source) AS parent
 FROM documents""",
     "cmd": f"""
-SELECT o_orderkey AS cmd_idx, {_case("o_custkey % 8", TOOLS)} AS tool FROM orders WHERE o_orderkey < (SELECT count(*) FROM part)""",
+SELECT o_orderkey AS cmd_idx, {_case("o_custkey % 8", TOOLS)} AS tool FROM orders""",
     "out": """
 SELECT o_orderkey AS cmd_idx, 0 AS pos, 'obj/p' || CAST(o_orderkey AS STRING) || CASE WHEN o_orderkey % 3 = 0 THEN '.py' ELSE '.o' END AS path,
        md5('p' || CAST(o_orderkey AS STRING)) AS hash
-FROM orders WHERE o_orderkey < (SELECT count(*) FROM part)""",
+FROM orders""",
     "dep": f"""
 SELECT l.l_orderkey AS cmd_idx,
        row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_shipdate) - 1 AS pos,
        CASE WHEN l_linenumber = 1 THEN 'obj/p' || CAST(l_partkey AS STRING) || CASE WHEN l_partkey % 3 = 0 THEN '.py' ELSE '.o' END
-            WHEN l_linenumber IN (2, 3, 4) THEN s.path
+            WHEN l_linenumber IN (2, 3, 4) AND s.ord IS NOT NULL THEN s.path
             WHEN l_linenumber = 5 THEN {_case("l_suppkey % 6", FOLDERS)} || 'e' || CAST(l_partkey AS STRING) || {_case("l_partkey % 6", ENDINGS)}
-            ELSE 'arc/a' || CAST(l_suppkey % 40 AS STRING) END AS path,
-       CASE WHEN l_linenumber = 1 THEN md5('p' || CAST(l_partkey AS STRING)) WHEN l_linenumber IN (2, 3, 4) THEN s.hash
-            WHEN l_linenumber = 5 THEN md5('x' || CAST(l_partkey AS STRING)) ELSE md5('arcsrc' || CAST(l_suppkey % 40 AS STRING)) END AS hash
-FROM lineitem l LEFT JOIN sig s ON s.ord = l.l_partkey % (SELECT count(*) FROM documents)
-WHERE l.l_orderkey < (SELECT count(*) FROM part)
-  AND (l_linenumber IN (1, 5) OR (l_linenumber IN (2, 3, 4) AND l_partkey % 3 <> 0) OR (l_linenumber = 6 AND l_suppkey % 10 < 3))""",
+            WHEN l_linenumber = 6 AND l_suppkey % 10 < 3 THEN 'arc/a' || CAST(l_suppkey % 40 AS STRING)
+            ELSE '/usr/share/d' || CAST(l_suppkey AS STRING) END AS path,
+       CASE WHEN l_linenumber = 1 THEN md5('p' || CAST(l_partkey AS STRING)) WHEN l_linenumber IN (2, 3, 4) AND s.ord IS NOT NULL THEN s.hash
+            WHEN l_linenumber = 5 THEN md5('x' || CAST(l_partkey AS STRING)) WHEN l_linenumber = 6 AND l_suppkey % 10 < 3 THEN md5('arcsrc' || CAST(l_suppkey % 40 AS STRING))
+            ELSE md5('d' || CAST(l_suppkey AS STRING)) END AS hash
+FROM lineitem l LEFT JOIN sig s ON s.ord = l.l_partkey % (SELECT count(*) FROM documents) AND s.ord % 5 <> 0""",
     "bin": f"""
 SELECT p_partkey AS ord, {_case("p_partkey % 5", PLACES)} || 'b' || CAST(p_partkey AS STRING) || CASE WHEN p_partkey % 7 = 0 THEN '.class' ELSE '' END AS path,
        md5('p' || CAST(p_partkey AS STRING)) AS hash
