@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .text import bounded, per_text, raw, share_of, slices, words
 
-#: Marked rows of either kind that are kept as voters, and the longest of their texts in bytes.
+#: Marked rows that are kept as voters, for each of the two marks on average, and the longest of their texts in bytes.
 TRAIN_ROWS = 2000
 TRAIN_BYTES = 100_000
 #: Places for words, for shapes, and for bands of ratios.
@@ -146,13 +146,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], marks: np.ndarray) -> Voters:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Voters:
-    """Voters from at most about ``TRAIN_ROWS`` rows of either mark; rows with crc32(doc_id) mod 5 = 0 aren't used.
+    """Voters from at most about twice ``TRAIN_ROWS`` rows, one sample in which each mark has its share of the whole table; rows with crc32(doc_id) mod 5 = 0 aren't used.
 
     The driver gets the sample's hashed terms, a few MB by the bound on rows.
     """
     usable = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~share_of("doc_id", 5, 0))
     marks: dict[int, int] = {}
-    for r in sorted(bounded(usable, "quality", TRAIN_ROWS).collect()):
+    for r in sorted(bounded(usable, None, 2 * TRAIN_ROWS).collect()):
         marks.setdefault(r.doc_id, r.quality)
     sample = docs.sparkSession.createDataFrame(sorted(marks.items()), "marked_id long, quality int")
     rows = (

@@ -99,14 +99,17 @@ def share_of(column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def bounded(rows: DataFrame, by: str, most: int, key: str = "doc_id", total: int | None = None) -> DataFrame:
-    """About ``most`` rows for each value of ``by``, chosen by a hash of the key.
+def bounded(rows: DataFrame, by: str | None, most: int, key: str = "doc_id", total: int | None = None) -> DataFrame:
+    """About ``most`` rows for each value of ``by``, or of all rows without it, chosen by a hash of the key.
 
     Only the counts by value reach the driver, and no shuffle moves a row: a row's own hash decides.
     The share is by key, so the same rows are chosen however the table is partitioned.
     """
-    counts = rows.groupBy(by).count().collect()
     u = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    if by is None:
+        many = rows.count()
+        return rows.filter(u < most / many) if many > most else rows
+    counts = rows.groupBy(by).count().collect()
     chosen = F.lit(False)
     for r in counts:
         if r["count"] > most:
