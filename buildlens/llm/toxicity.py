@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .text import LOWER, NOT_ALNUM, bounded, raw, share_of, slices, words
 
-#: Marked rows of either kind that training uses, and the longest of their texts in bytes.
+#: Marked rows that training uses, for each of the two marks on average, and the longest of their texts in bytes.
 TRAIN_ROWS = 2000
 TRAIN_BYTES = 60_000
 #: Most terms, least texts and least standard deviations above chance of a term.
@@ -155,7 +155,7 @@ def _marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text and toxic of the training sample. The marks that are joined are bounded in number, so they're broadcast."""
     usable = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~share_of("doc_id", 5, 0))
     marks: dict[int, int] = {}
-    for r in sorted(bounded(usable, "toxic", TRAIN_ROWS).collect()):
+    for r in sorted(bounded(usable, None, 2 * TRAIN_ROWS).collect()):
         marks[r.doc_id] = max(r.toxic, marks.get(r.doc_id, 0))
     sample = docs.sparkSession.createDataFrame(sorted(marks.items()), "marked_id long, toxic int")
     return (
@@ -165,7 +165,7 @@ def _marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Chain:
-    """A chain from at most about ``TRAIN_ROWS`` marked rows of either kind; rows with crc32(doc_id) mod 5 = 0 aren't used."""
+    """A chain from at most about twice ``TRAIN_ROWS`` marked rows, one sample in which each mark has its share of the whole table; rows with crc32(doc_id) mod 5 = 0 aren't used."""
     sample = _marked(docs, labels)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
