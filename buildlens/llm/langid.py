@@ -5,9 +5,9 @@ length of a byte under a language is that of PPM with escape method C: in the lo
 known to the language a seen symbol costs -log2(n / (N + U)), an unseen one pays the escape
 -log2(U / (N + U)) and is coded in the next shorter context, down to eight bits below order 0
 (N symbols and U distinct ones seen in the context). Statistics are frozen after training, so
-a byte's code length depends on its last ``order`` bytes only. The trees of all languages share
-one automaton whose states are contexts; scoring looks up, for all bytes of a slice at once,
-the state after their last ``order`` bytes and the code lengths of the byte in every language.
+a byte's code length depends on its last ``order`` bytes only. Each language's tree is an automaton
+whose states are contexts; scoring looks up, for all bytes of a slice at once, the state after
+their last ``order`` bytes and the code length of the byte, language by language.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from .text import bounded, per_text, raw, share_of, slices
 
 #: Longest context in bytes.
 ORDER = 4
-#: Contexts kept over all languages; rarer ones go first. Bounds the model at a few MB a language.
+#: Contexts kept for each language; those rarer in it go first. Bounds the model at some 10 to 25 MB a language.
 MAX_CONTEXTS = 12_000
 #: Training texts for each language, and the longest one used in bytes.
 TRAIN_TEXTS = 240
@@ -33,7 +33,7 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
 class Ppm:
-    """Frozen statistics of all languages: an automaton over contexts and code lengths in bits."""
+    """Frozen statistics of all languages: for each an automaton over its contexts and code lengths in bits."""
 
     def __init__(self, texts: dict[str, list[bytes]], order: int = ORDER, max_contexts: int = MAX_CONTEXTS):
         self.langs = sorted(texts)
@@ -44,32 +44,38 @@ class Ppm:
         self.symbol[seen] = np.arange(1, len(seen) + 1)
         self.size = size = len(seen) + 1
         grams = [[self._grams(texts[lang], k, size) for lang in self.langs] for k in range(order + 1)]
-        contexts = self._contexts(grams, order, max_contexts)
+        repeated = self._repeated(grams, order)
+        self.trees = [self._tree([grams[k][g] for k in range(order + 1)], repeated, max_contexts) for g in range(len(self.langs))]
+
+    def _tree(self, grams: list[tuple[np.ndarray, np.ndarray]], repeated: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+        """One language's next states and code lengths, both flat by state and symbol."""
+        size = self.size
+        contexts = self._contexts(grams, repeated, most)
         first = np.cumsum([0] + [len(c) for c in contexts])
-        self.next = np.zeros((first[-1], size), np.int32)
-        self.bits = np.full((len(self.langs), first[-1], size), 8.0, np.float32)
+        states = np.zeros((first[-1], size), np.int32)
+        bits = np.full((first[-1], size), 8.0, np.float32)
         for k, own in enumerate(contexts):
             at = first[k]
             if not len(own):
                 break
             if k:
                 shorter = first[k - 1] + np.searchsorted(contexts[k - 1], own % size ** (k - 1))
-                self.next[at : at + len(own)] = self.next[shorter]
-                self.bits[:, at : at + len(own)] = self.bits[:, shorter]
-            if k < order and len(contexts[k + 1]):
+                states[at : at + len(own)] = states[shorter]
+                bits[at : at + len(own)] = bits[shorter]
+            if k < self.order and len(contexts[k + 1]):
                 longer = contexts[k + 1]
-                self.next[at + np.searchsorted(own, longer // size), longer % size] = first[k + 1] + np.arange(len(longer))
-            for g, (gram, n) in enumerate(grams[k]):
-                context = np.searchsorted(own, gram // size)
-                known = (context < len(own)) & (own[np.minimum(context, len(own) - 1)] == gram // size)
-                context, gram, n = context[known], gram[known], n[known]
-                total = np.bincount(context, n, len(own))
-                distinct = np.bincount(context, minlength=len(own))
-                used = total > 0
-                rows = self.bits[g, at : at + len(own)]
-                rows[used] += (np.log2((total + distinct)[used]) - np.log2(distinct[used])).astype(np.float32)[:, None]
-                rows[context, gram % size] = np.log2((total + distinct)[context]) - np.log2(n)
-        self.flat_next, self.flat_bits = self.next.ravel(), self.bits.reshape(len(self.langs), self.next.size)
+                states[at + np.searchsorted(own, longer // size), longer % size] = first[k + 1] + np.arange(len(longer))
+            gram, n = grams[k]
+            context = np.searchsorted(own, gram // size)
+            known = (context < len(own)) & (own[np.minimum(context, len(own) - 1)] == gram // size)
+            context, gram, n = context[known], gram[known], n[known]
+            total = np.bincount(context, n, len(own))
+            distinct = np.bincount(context, minlength=len(own))
+            used = total > 0
+            rows = bits[at : at + len(own)]
+            rows[used] += (np.log2((total + distinct)[used]) - np.log2(distinct[used])).astype(np.float32)[:, None]
+            rows[context, gram % size] = np.log2((total + distinct)[context]) - np.log2(n)
+        return states.ravel(), bits.ravel()
 
     def _grams(self, texts: list[bytes], k: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Strings of k context symbols and one more, as numbers to the base size, with counts."""
@@ -82,17 +88,26 @@ class Ppm:
             key, whole = key * size + part, whole & (part > 0)
         return np.unique(key[whole], return_counts=True)
 
-    def _contexts(self, grams: list, order: int, most: int) -> list[np.ndarray]:
-        """Sorted contexts by order; all that occur at least as often as the bound on their number allows."""
-        found = [(np.zeros(1, np.int64), np.array([1 << 60]))]
+    def _repeated(self, grams: list, order: int) -> list[np.ndarray]:
+        """Sorted contexts by order that all languages together hold at least twice."""
+        found = [np.zeros(1, np.int64)]
         for k in range(1, order + 1):
             keys = np.concatenate([np.zeros(0, np.int64), *(g for g, _ in grams[k - 1])])
             counts = np.concatenate([np.zeros(0, np.int64), *(n for _, n in grams[k - 1])])
             own, place = np.unique(keys, return_inverse=True)
-            found.append((own, np.bincount(place, counts, len(own)).astype(np.int64)))
+            found.append(own[np.bincount(place, counts, len(own)) >= 2])
+        return found
+
+    def _contexts(self, grams: list[tuple[np.ndarray, np.ndarray]], repeated: list[np.ndarray], most: int) -> list[np.ndarray]:
+        """Sorted contexts of one language by order; all repeated ones that occur in it at least as often as the bound on their number allows."""
+        found = [(np.zeros(1, np.int64), np.array([1 << 60]))]
+        for k in range(1, len(repeated)):
+            own, n = grams[k - 1]
+            some = np.isin(own, repeated[k])
+            found.append((own[some], n[some]))
         counts = np.sort(np.concatenate([n for _, n in found]))[::-1]
-        least = max(2, int(counts[most]) + 1) if len(counts) > most else 2
-        return [own[n >= least] if k else own for k, (own, n) in enumerate(found)]
+        least = int(counts[most]) + 1 if len(counts) > most else 1
+        return [own[n >= least] for own, n in found]
 
     def code_lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Bits that each text takes in each language: an array of languages by texts."""
@@ -102,11 +117,14 @@ class Ppm:
         place = np.arange(len(data)) + np.repeat((np.arange(n) + 1) * d, lengths)
         sym = np.zeros(len(data) + (n + 1) * d, np.int32)
         sym[place] = self.symbol[data]
-        state = np.zeros(len(data), np.int32)
-        for j in range(d, 0, -1):
-            state = self.flat_next[state * size + sym[place - j]]
-        index = state * size + sym[place]
-        return np.stack([per_text(bits[index], off) for bits in self.flat_bits]) if len(self.langs) else np.zeros((0, n))
+        before = [sym[place - j] for j in range(d + 1)]
+        out = np.zeros((len(self.trees), n))
+        for g, (states, bits) in enumerate(self.trees):
+            state = np.zeros(len(data), np.int32)
+            for j in range(d, 0, -1):
+                state = states[state * size + before[j]]
+            out[g] = per_text(bits[state * size + before[0]], off)
+        return out
 
 
 def train(docs: DataFrame, order: int = ORDER, texts: int = TRAIN_TEXTS, longest: int = TRAIN_BYTES) -> Ppm:
