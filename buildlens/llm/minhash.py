@@ -244,8 +244,8 @@ def duplicates(docs: DataFrame) -> DataFrame:
     Words are separated by space, tab and line ends, A-Z count as a-z. Fewer than five words are one
     shingle; without words the set is empty and the row is linked with nothing. component_id is the
     smallest id reachable over links, kept says whether it is the row's own. Rows that share an id
-    count as one document and get the same answer. A row without id gets the component of documents
-    with an equal set, null without any, and isn't kept.
+    but not the text are each judged by their own text. A row without id gets the component of
+    documents with an equal set, null without any, and isn't kept.
     """
     base = saved(sketch(docs))
     classes = (
@@ -262,6 +262,11 @@ def duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of documents of which ``duplicates`` keeps the id, with all their columns; rows without id stay."""
-    gone = duplicates(docs).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone_id")).distinct()
+    """The rows of documents of which ``duplicates`` keeps the id, with all their columns; rows without id stay.
+
+    Rows that share an id stay or go together: they stay if any of them is kept, so no text is lost
+    that has no copy elsewhere.
+    """
+    judged = duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
+    gone = judged.filter("NOT kept").select(F.col("doc_id").alias("gone_id"))
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
