@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,3 +32,32 @@ def ship_code(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, read by Spark from wherever it lies."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, for tables between steps.
+
+    Where none is set, a temporary one is made and set, but only for a local master: on a cluster
+    other machines couldn't see it, so that is an error.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder:
+        if not context.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The table written to the shared folder and read back: cuts lineage and survives lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/tables-{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_saved(spark: SparkSession) -> None:
+    """Deletes all tables that ``saved`` wrote in this application; results that still read them must be written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
