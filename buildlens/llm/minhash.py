@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import components, looked_up
 from .store import saved
 from .text import LOWER, raw, slices, words
 
@@ -108,7 +108,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                 keys, planes = np.zeros((0, BANDS), np.uint64), np.zeros((0, BITS * PLANE), np.int64)
                 if len(some):
                     starts = off[:-1][some]
-                    x[some], y[some] = np.add.reduceat(mixed(value, 1), starts), np.bitwise_xor.reduceat(mixed(value, 2), starts)
+                    x[some], y[some] = _digest(value, starts)
                     least = minima(value, np.append(starts, len(value)))
                     keys = mixed((least[:, : BANDS * ROWS].reshape(len(some), BANDS, ROWS) * _ROW).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
                     low_bits = mixed(least, 3)
@@ -131,19 +131,25 @@ def sketch(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, SKETCH)
 
 
-def _filter(nodes: DataFrame) -> tuple[np.ndarray, int]:
+def _filter(ids: DataFrame) -> tuple[np.ndarray, int]:
     """A bitmap of the ids' hashes, a Bloom filter with one function; its size is bounded, beyond that it only passes more."""
-    wanted = 64 * max(1, nodes.count())
+    wanted = 64 * max(1, ids.count())
     size = min(FILTER_BITS, 1 << max(16, wanted.bit_length()))
-    spots = nodes.select(F.pmod(F.xxhash64("node"), F.lit(size)).alias("spot"))
+    spots = ids.select(F.pmod(F.xxhash64("first_id"), F.lit(size)).alias("spot"))
     rows = spots.groupBy(F.expr("spot div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(spot % 64)))").alias("bits")).toPandas()
     bitmap = np.zeros(size // 64, np.int64)
     bitmap[rows["w"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return bitmap, size
 
 
+def _digest(value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits (as two numbers) of each set of shingles that begins at one of the places."""
+    return np.add.reduceat(mixed(value, 1), starts), np.bitwise_xor.reduceat(mixed(value, 2), starts)
+
+
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, set) of the documents with these ids; a filter of bounded size keeps the other texts from being moved."""
+    """(node, set) of these nodes (node, first_id), read from the documents; a filter of bounded size keeps other texts from being moved."""
+    nodes = saved(nodes)
     bitmap, size = _filter(nodes)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -154,11 +160,14 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             for low, high in slices(batch, "text"):
                 part = batch.slice(low, high - low)
                 value, off = shingles(part.column("text"))
-                sets = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(value.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("node"), sets], names=["node", "set"])
+                some = np.flatnonzero(np.diff(off))
+                if len(some):
+                    sets = pa.ListArray.from_arrays(pa.array(np.append(off[:-1][some], off[-1]), pa.int32()), pa.array(value.view(np.int64)))
+                    x, _ = _digest(value, off[:-1][some])
+                    yield pa.RecordBatch.from_arrays([part.column("first_id").take(pa.array(some)), pa.array(x.view(np.int64)), sets], names=["first_id", "node", "set"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").filter("node IS NOT NULL").withColumn("spot", F.pmod(F.xxhash64("node"), F.lit(size)))
-    return texts.mapInArrow(rows, "node long, set array<long>").join(nodes, "node", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").filter("first_id IS NOT NULL").withColumn("spot", F.pmod(F.xxhash64("first_id"), F.lit(size)))
+    return texts.mapInArrow(rows, "first_id long, node long, set array<long>").join(nodes, ["first_id", "node"], "left_semi").select("node", "set")
 
 
 def _estimate(p: Column, q: Column) -> Column:
@@ -184,14 +193,12 @@ def _plausible(pa_: str, pb: str, na: str, nb: str) -> Column:
     return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & (_estimate(F.col(pa_), F.col(pb)) >= _least_estimate())
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets overlap enough. The second's set moves to the first's, once a pair."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = saved(_sets(docs, nodes))
-    both = (
-        pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b")
-        .join(sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a")
-    )
+def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets overlap enough. The second's set moves to the first's, once a pair."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = saved(_sets(docs, ends.join(nodes.select("node", "first_id"), "node")))
+    # one lead may have a third of all pairs
+    both = looked_up(pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b"), sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a", "b")
     common = F.size(F.array_intersect("s", "t"))
     return both.filter(100 * common >= PERCENT * (F.size("s") + F.size("t") - common)).select("a", "b")
 
@@ -204,13 +211,11 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     facts = nodes.select("node", "n_shingles", "planes")
 
     def near(pairs: DataFrame) -> DataFrame:
-        out = pairs
-        for end in ("a", "b"):
-            out = out.join(facts.select(F.col("node").alias(end), F.col("n_shingles").alias(f"n{end}"), F.col("planes").alias(f"p{end}")), end)
-        return out.filter(_plausible("pa", "pb", "na", "nb")).select("a", "b")
+        of = lambda end: facts.select(F.col("node").alias(end), F.col("n_shingles").alias(f"n{end}"), F.col("planes").alias(f"p{end}"))
+        return looked_up(pairs.join(of("b"), "b"), of("a"), "a", "b").filter(_plausible("pa", "pb", "na", "nb")).select("a", "b")
 
     stars = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    found = components(confirmed(docs, saved(near(stars))))
+    found = components(confirmed(docs, nodes, saved(near(stars))))
     # buckets with several components
     placed = members.join(found, "node", "left").select("key", "band", "node", "lead", F.coalesce("component", "node").alias("component"))
     sizes = placed.groupBy("key", "component").count()
@@ -226,7 +231,7 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
     if across.isEmpty():
         return found
-    more = confirmed(docs, across)
+    more = confirmed(docs, nodes, across)
     of = found.select("node", "component")
     ends = (
         more.join(of.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
@@ -235,26 +240,31 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
     merged = components(ends).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     alone = merged.select(F.col("component").alias("node"), "whole").join(found, "node", "left_anti").select("node", F.col("whole").alias("component"))
-    return found.join(merged, "component", "left").select("node", F.coalesce("whole", "component").alias("component")).union(alone)
+    wholes = found.select("component").distinct().join(merged, "component", "left").select("component", F.coalesce("whole", "component").alias("whole"))
+    return looked_up(found, wholes, "component", "node").select("node", F.col("whole").alias("component")).union(alone)
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of documents.
 
     Words are separated by space, tab and line ends, A-Z count as a-z. Fewer than five words are one
-    shingle; without words the set is empty and the row is linked with nothing. component_id is the
-    smallest id reachable over links, kept says whether it is the row's own. Rows that share an id
-    but not the text are each judged by their own text. A row without id gets the component of
-    documents with an equal set, null without any, and isn't kept.
+    shingle; without words (or text) the set is empty and the row is linked with nothing. component_id
+    is the smallest id reachable over links, kept says whether it is the row's own. Repeated rows give
+    a row each. Rows that share an id but not the text are each judged by their own text, and never
+    linked by the id alone. A row without id gets the component of documents with an equal set, null
+    without any, and isn't kept. An empty table gives no rows; columns besides doc_id and text aren't read.
     """
     base = saved(sketch(docs))
     classes = (
         base.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("x", "y")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
+        .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
     )
-    nodes = saved(classes)
-    linked = _links(docs, nodes)
-    whole = nodes.select("x", "y", "node").join(linked, "node", "left").select("x", "y", F.coalesce("component", "node").alias("component_id"))
+    nodes = saved(classes.withColumn("node", F.col("x")))
+    linked = saved(_links(docs, nodes))
+    firsts = linked.join(nodes.select("node", "first_id"), "node")
+    ids = firsts.groupBy("component").agg(F.min("first_id").alias("least_id"))
+    least = looked_up(firsts, ids, "component", "node").select("node", "least_id")
+    whole = nodes.join(least, "node", "left").select("x", "y", F.coalesce("least_id", "first_id").alias("component_id"))
     own = base.select("doc_id", "n_shingles", "x", "y")
     some = own.filter("n_shingles > 0").join(whole, ["x", "y"], "left").select("doc_id", "n_shingles", "component_id")
     none = own.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -265,8 +275,9 @@ def keep(docs: DataFrame) -> DataFrame:
     """The rows of documents of which ``duplicates`` keeps the id, with all their columns; rows without id stay.
 
     Rows that share an id stay or go together: they stay if any of them is kept, so no text is lost
-    that has no copy elsewhere.
+    that has no copy elsewhere. Columns of any other name are passed on as they are.
     """
+    spare = "_" * (1 + max(map(len, docs.columns), default=0))  # longer than any column of the table
     judged = duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
-    gone = judged.filter("NOT kept").select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
+    gone = judged.filter("NOT kept").select(F.col("doc_id").alias(spare))
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(spare), "left_anti")

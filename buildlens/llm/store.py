@@ -2,25 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from ..cluster import saved, shared_folder
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where none is set, as in local tests, a temporary one that is then set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """The table written to the shared folder and read back."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["saved", "shared_folder"]
