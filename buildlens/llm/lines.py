@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .graph import looked_up
 from .store import saved
 
 #: Fewest words of a run whose later copies go.
@@ -110,7 +111,7 @@ def _place() -> Column:
 def _ranked(rows: DataFrame, by: list[str], *also: str) -> DataFrame:
     """Suffixes whose ``by`` occurs more than once, with the first place of its group as rank."""
     groups = rows.groupBy(*by).agg(F.min("at").alias("rank"), F.count("*").alias("many")).filter("many > 1").select(*by, "rank")
-    return rows.join(groups, by).select("doc", "place", "at", "rank", *also)
+    return looked_up(rows, groups, by, "at").select("doc", "place", "at", "rank", *also)
 
 
 def copies(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -136,28 +137,29 @@ def copies(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         whole = own.join(head, ["doc", "start"])
         whole = whole.withColumn("tail", F.col("head")) if not k else whole.withColumn("end", F.col("start") + F.col("length") - (1 << k)).join(tail, ["doc", "end"])
         first = whole.groupBy("length", "head", "tail").agg(F.min("at").alias("first"), F.count("*").alias("many")).filter("many > 1")
-        later = whole.join(first, ["length", "head", "tail"]).filter("at <> first").select("doc", "start", "length", "first")
+        later = looked_up(whole, first.drop("many"), ["length", "head", "tail"], "at").filter("at <> first").select("doc", "start", "length", "first")
         found = later if found is None else found.union(later)
     return found
 
 
-def dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """The columns of documents with new ``text``, and ``removed``: numbers of the lines that went (from 0).
+def dedup(docs: DataFrame, least: int = MIN_WORDS, note: str = "removed") -> DataFrame:
+    """The columns of documents with new ``text``, and ``note``: numbers of the lines that went (from 0).
 
     Of every run of lines with at least ``least`` words (lines without a word don't count and never
     go) that occurs more than once in the corpus, the first in order of doc_id (null first) and line
     stays, and lines of all later ones go, also within a document. Rows that share id and text are
     one document here and get the same answer, so a repeated row isn't a later copy of itself. A null
-    text stays null. A column ``removed`` of the table is replaced. An n_chars column is left as it is.
+    text stays null. A column of the table that is named as ``note`` is replaced, all others but ``text`` are
+    left as they are. An empty table gives no rows.
     """
     spans = copies(docs, least).groupBy("doc").agg(F.collect_set(F.struct("start", "length")).alias("gone"))
-    names = [c for c in docs.columns if c != "removed"]
-    spare = "_" * (1 + max(map(len, names), default=0))  # longer than any column of the table
+    names = [c for c in docs.columns if c != note]
+    spare = "_" * (2 + max(map(len, [*names, note])))  # longer than any column of the table
     known = F.col("doc_id").isNotNull()
     flip = lambda c: F.unhex(F.lpad(F.hex(c.bitwiseXOR(F.lit(-(1 << 63)).cast("long"))), 16, "0"))
     key = F.concat(F.when(known, F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00"))), flip(F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))), flip(F.xxhash64("text")))
     joined = docs.withColumn(spare, key).join(spans.select(F.col("doc").alias(spare), F.col("gone").alias(spare + "_")), spare, "left").drop(spare)
-    schema = T.StructType([*docs.select(*names).schema.fields, T.StructField("removed", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*docs.select(*names).schema.fields, T.StructField(note, T.ArrayType(T.IntegerType()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,6 +175,6 @@ def dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
                     removed.append([])
                 texts.append(text)
             columns = [pa.array(texts, batch.column(c).type) if c == "text" else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.list_(pa.int32()))], names=[*names, "removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.list_(pa.int32()))], names=[*names, note])
 
     return joined.mapInArrow(rows, schema)
