@@ -2,16 +2,18 @@
 
 Coarse centroids and, for residuals, a codebook of ``CODES`` words in each of ``PARTS`` subspaces
 are fitted on a bounded sample. Every vector goes to its centroid's list with the codes of its
-residual. The file is sharded by a hash of the id into
-parts of about ``SHARD_ROWS`` rows, each with its share of every list, so that a list that draws a
-third of all rows is spread evenly. A group of queries meets a shard in one task: a query probes
-the lists whose centroids have the largest inner products with it, its asymmetric distance tables
-(inner products of its parts with all codewords) score their vectors by code, and the best
-``RERANK`` of the shard are scored exactly in double precision. The best of all shards remain.
+residual, and the file is written. Lists are packed into shards of about ``SHARD_ROWS`` rows; a list
+that is longer has several shards of its own, dealt by a hash of the id. A query ranks the lists by
+the score that their best vectors may have (inner product with the centroid, and ``REACH`` times the
+list's spread) and probes as many as hold ``PROBED_SHARE`` of all rows, ``LEAST_ROWS`` at least. It is
+sent only to shards with such lists, and scores there only these lists' rows: by code, from its
+asymmetric distance tables (inner products of its parts with all codewords), and the best ``RERANK``
+of a shard exactly in double precision. The best of all shards remain.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,18 +21,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import saved
+
 #: Rows that training uses at most (about), rounds of k-means.
 TRAIN_ROWS = 20_000
 ROUNDS = 8
-#: Rows a list has on average and bounds on the number of lists; the share of lists that a query probes, and the least number.
-LIST_ROWS, LEAST_LISTS, MOST_LISTS = 200, 8, 4096
-PROBED_SHARE, LEAST_PROBED = 0.7, 16
+#: Rows a list has on average, and bounds on the number of lists: beyond the upper one lists grow, and are split over shards.
+LIST_ROWS, LEAST_LISTS, MOST_LISTS = 40, 8, 2048
+#: Share of all rows that a query's probed lists hold (just exceeded by the last list), and the least number of rows.
+PROBED_SHARE, LEAST_ROWS = 0.47, 4096
+#: Spread of a list that counts for its best vectors, in standard deviations.
+REACH = 2.0
 PARTS, CODES = 16, 128
-#: Vectors of a shard that are scored exactly for each query.
-RERANK = 512
-SHARD_ROWS = 16_384
-#: Queries that meet a shard in one task, and those that are scored at once.
-QUERY_GROUP, QUERY_BLOCK = 2048, 64
+#: Rows of a shard, and those of them that are scored exactly for each query.
+SHARD_ROWS, RERANK = 4096, 192
+#: Queries that meet a shard in one task; a shard is copied for each such group.
+QUERY_GROUP = 4096
+#: Queries that are scored by code at once.
+QUERY_BLOCK = 256
 NEAREST = 20
 
 
@@ -49,12 +57,6 @@ class Index:
         r = _parts((x - self.centroids[lists]) / self.scales[lists, None])
         return np.stack([_nearest(r[:, p], self.books[p]) for p in range(PARTS)], axis=1).astype(np.uint8)
 
-    def probes(self, inner: np.ndarray, many: int) -> np.ndarray:
-        """Whether each query probes each list: those with the largest inner products of query and centroid."""
-        out = np.zeros(inner.shape, bool)
-        np.put_along_axis(out, np.argsort(-inner, axis=1, kind="stable")[:, :many], True, 1)
-        return out
-
     def tables(self, q: np.ndarray) -> np.ndarray:
         """Inner products of each query's parts with all codewords."""
         return np.einsum("qpd,pcd->qpc", _parts(q), self.books)
@@ -112,12 +114,88 @@ def usable(embeddings: DataFrame) -> DataFrame:
     return rows.filter(F.size("v") == widths[0].w) if widths else rows
 
 
-def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 20) -> DataFrame:
+def plan(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(first shard, number of shards) of each list and the number of all shards: short lists share one, long ones have several."""
+    first, many = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64)
+    shard, held = 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        parts = -(-size // SHARD_ROWS)
+        if held and (parts > 1 or held + size > SHARD_ROWS):
+            shard, held = shard + 1, 0
+        first[k], many[k] = shard, max(1, parts)
+        shard, held = (shard + parts, 0) if parts > 1 else (shard, held + size)
+    return first, many, shard + (held > 0)
+
+
+def probes(index: Index, q: np.ndarray, sizes: np.ndarray, rows: int) -> np.ndarray:
+    """Whether each query probes each list: those that may hold the best vectors, until they hold so many rows together."""
+    hope = q @ index.centroids.T + REACH * np.linalg.norm(q, axis=1, keepdims=True) * index.scales * (sizes > 0)
+    order = np.argsort(-hope, axis=1, kind="stable")
+    before = np.cumsum(sizes[order], axis=1) - sizes[order]
+    out = np.zeros(hope.shape, bool)
+    np.put_along_axis(out, order, before < rows, 1)
+    return out & (sizes > 0)
+
+
+def best_of(index: Index, left: pd.DataFrame, right: pd.DataFrame, nearest: int) -> tuple[pd.DataFrame, int]:
+    """The nearest of a shard's rows (vec_id, v, list, codes) for each query (query_id, v, lists) that probes it, and the rows scored."""
+    out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
+    if not len(left) or not len(right):
+        return out[0], 0
+    left = left.sort_values(["list", "vec_id"], kind="stable")
+    ids, at = left["vec_id"].to_numpy(), left["list"].to_numpy()
+    codes = np.frombuffer(b"".join(left["codes"]), np.uint8).reshape(len(left), PARTS).astype(np.int64)
+    x = np.stack(left["v"].to_numpy()).astype(float)
+    lists, starts = np.unique(at, return_index=True)
+    bounds = np.append(starts, len(at))
+    take, scored = min(RERANK, len(ids)), 0
+    for low in range(0, len(right), QUERY_BLOCK):
+        part = right.iloc[low : low + QUERY_BLOCK]
+        q_ids, q = part["query_id"].to_numpy(), np.stack(part["v"].to_numpy()).astype(float)
+        wanted = np.zeros((len(q), len(lists)), bool)
+        for k, own in enumerate(part["lists"]):
+            wanted[k, np.searchsorted(lists, np.intersect1d(own, lists))] = True
+        inner, tables = q @ index.centroids[lists].T, index.tables(q)
+        rough = np.full((len(q), len(ids)), -np.inf)
+        for k in range(len(lists)):
+            who = np.flatnonzero(wanted[:, k])
+            a, b = bounds[k], bounds[k + 1]
+            if len(who):
+                total = np.zeros((len(who), b - a))
+                for p in range(PARTS):
+                    total += tables[who, p][:, codes[a:b, p]]
+                rough[who, a:b] = (total * index.scales[lists[k]] + inner[who, k : k + 1]).round(9)  # equal codes tie
+                scored += len(who) * int(b - a)
+        rough[q_ids[:, None] == ids[None, :]] = -np.inf
+        # among ties at the edge the smaller ids are taken
+        order = np.argsort(ids, kind="stable")
+        rough, own_ids, own_x = rough[:, order], ids[order], x[order]
+        if take < len(ids):
+            edge = -np.partition(-rough, take - 1, axis=1)[:, take - 1 : take]
+            above, level = rough > edge, rough == edge
+            room = take - above.sum(1, keepdims=True)
+            best = np.nonzero(above | (level & (np.cumsum(level, axis=1) <= room)))[1].reshape(len(q), take)
+        else:
+            best = np.tile(np.arange(take), (len(q), 1))
+        exact = np.empty(best.shape)
+        for k in range(0, len(q), 32):
+            exact[k : k + 32] = (q[k : k + 32, None, :] * own_x[best[k : k + 32]]).sum(2)  # summed alike for equal vectors
+        exact[np.isneginf(np.take_along_axis(rough, best, 1))] = -np.inf
+        first = np.lexsort((own_ids[best], -exact), axis=1)[:, :nearest]
+        score, found = np.take_along_axis(exact, first, 1), np.take_along_axis(own_ids[best], first, 1)
+        there = ~np.isneginf(score)
+        out.append(pd.DataFrame({"query_id": np.broadcast_to(q_ids[:, None], score.shape)[there], "vec_id": found[there], "score": score[there]}))
+    return pd.concat(out), scored
+
+
+def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 20, share: float = PROBED_SHARE, least_rows: int = LEAST_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of every query, by inner product, ties to the smaller vec_id.
 
     Queries are the rows whose id is divisible by ``query_modulus``; a query's own id is no candidate.
-    Null, zero and non-finite vectors, rows without id, and vectors of another width than most take no
-    part. Repeated ids are vectors of their own. An empty table gives no rows.
+    Every query gets ``nearest`` rows, or all candidates where there are fewer: the probed lists hold at
+    least so many besides rows with its own id. Null, zero and non-finite vectors, rows without id, and
+    vectors of another width than most take no part. Repeated ids are vectors of their own; as queries
+    they share one answer. An empty table gives no rows; columns besides vec_id and embedding aren't read.
     """
     rows = usable(embeddings)
     kind = rows.schema["v"].dataType.elementType.simpleString()
@@ -126,15 +204,13 @@ def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 2
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     u = F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(u < max(2.0 * LEAST_LISTS, TRAIN_ROWS) / total).select("v").toPandas()
+    sample = rows.filter(u < max(2.0 * LEAST_LISTS, TRAIN_ROWS) / total).select("v").limit(2 * TRAIN_ROWS).toPandas()
     if not len(sample):
         sample = rows.limit(TRAIN_ROWS).select("v").toPandas()
-    lists = int(min(MOST_LISTS, max(LEAST_LISTS, total // LIST_ROWS)))
-    index = spark.sparkContext.broadcast(fit(np.stack(sample["v"].to_numpy()), lists))
-    lists = len(index.value.centroids)
-    probed = min(lists, max(LEAST_PROBED, int(np.ceil(PROBED_SHARE * lists))))
+    fitted = fit(np.stack(sample["v"].to_numpy()), int(min(MOST_LISTS, max(LEAST_LISTS, total // LIST_ROWS))))
+    index = spark.sparkContext.broadcast(fitted)  # at most MOST_LISTS centroids and PARTS books
 
-    def placed(batches):
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = index.value
         for pdf in batches:
             if len(pdf):
@@ -142,47 +218,45 @@ def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 2
                 at = own.assign(x)
                 yield pd.DataFrame({"vec_id": pdf["vec_id"], "v": pdf["v"], "list": at.astype(np.int32), "codes": [c.tobytes() for c in own.encode(x, at)]})
 
-    shards, groups = -(-total // SHARD_ROWS), max(1, -(-(total // query_modulus) // QUERY_GROUP))
-    salted = lambda seed, many: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(many)).cast("int")
-    file = rows.mapInPandas(placed, f"vec_id long, v array<{kind}>, list int, codes binary").withColumn("shard", salted(7, shards))
-    file = file.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    asks = rows.filter(F.col("vec_id") % query_modulus == 0).withColumn("part", salted(11, groups))
-    asks = asks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keys = ["shard", "part"]
+    file = saved(rows.mapInPandas(placed, f"vec_id long, v array<{kind}>, list int, codes binary"))
+    sizes = np.zeros(len(fitted.centroids), np.int64)
+    for r in file.groupBy("list").count().collect():  # a row a list
+        sizes[r["list"]] = r["count"]
+    first, many, _ = plan(sizes)
+    asked = file.filter(F.col("vec_id") % query_modulus == 0)
+    most_alike = asked.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 0
+    wanted_rows = max(int(np.ceil(share * total)), least_rows, nearest + most_alike)
+    groups = max(1, -(-asked.count() // QUERY_GROUP))
+    of_list = F.broadcast(spark.createDataFrame([(k, int(first[k]), int(many[k])) for k in range(len(sizes))], "list int, first long, many long"))  # a row a list
+    shards = (
+        file.join(of_list, "list").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("many"))).drop("first", "many")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    )
 
-    def matched(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
+    def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = index.value
-        left = left.sort_values("vec_id", kind="stable")
-        ids, at = left["vec_id"].to_numpy(), left["list"].to_numpy()
-        codes = np.frombuffer(b"".join(left["codes"]), np.uint8).reshape(len(left), PARTS).T.astype(np.int64)
-        x = np.stack(left["v"].to_numpy()).astype(float) if len(left) else np.zeros((0, 1))
-        take = min(RERANK, len(ids))
-        for low in range(0, len(right) if take else 0, QUERY_BLOCK):
-            q, q_ids = (c.to_numpy() for c in (right["v"].iloc[low : low + QUERY_BLOCK], right["vec_id"].iloc[low : low + QUERY_BLOCK]))
-            q = np.stack(q).astype(float)
-            inner, tables = q @ own.centroids.T, own.tables(q)
-            rough = np.zeros((len(q), len(ids)))
-            for p in range(PARTS):
-                rough += tables[:, p][:, codes[p]]
-            rough = (rough * own.scales[at] + inner[:, at]).round(9)  # equal codes tie
-            rough[~own.probes(inner, probed)[:, at] | (q_ids[:, None] == ids[None, :])] = -np.inf
-            # ids rise, so among ties at the edge the smaller ids are taken
-            if take < len(ids):
-                edge = -np.partition(-rough, take - 1, axis=1)[:, take - 1 : take]
-                above, level = rough > edge, rough == edge
-                room = take - above.sum(1, keepdims=True)
-                best = np.nonzero(above | (level & (np.cumsum(level, axis=1) <= room)))[1].reshape(len(q), take)
-            else:
-                best = np.tile(np.arange(take), (len(q), 1))
-            exact = (q[:, None, :] * x[best]).sum(2)  # summed alike for equal vectors
-            exact[np.isneginf(np.take_along_axis(rough, best, 1))] = -np.inf
-            first = np.lexsort((ids[best], -exact), axis=1)[:, :nearest]
-            score, found = np.take_along_axis(exact, first, 1), np.take_along_axis(ids[best], first, 1)
-            there = ~np.isneginf(score)
-            out.append(pd.DataFrame({"query_id": np.broadcast_to(q_ids[:, None], score.shape)[there], "vec_id": found[there], "score": score[there]}))
-        return pd.concat(out)
-
-    found = file.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(matched, "query_id long, vec_id long, score double")
+        for pdf in batches:
+            for low in range(0, len(pdf), QUERY_BLOCK):
+                block = pdf.iloc[low : low + QUERY_BLOCK]
+                chosen = probes(own, np.stack(block["v"].to_numpy()).astype(float), sizes, wanted_rows)
+                made: tuple[list, list, list, list, list] = ([], [], [], [], [])
+                for k, (query, v, part) in enumerate(zip(block["vec_id"], block["v"], block["part"], strict=True)):
+                    lists = np.flatnonzero(chosen[k])
+                    homes = np.repeat(lists, many[lists])
+                    shard = np.repeat(first[lists], many[lists]) + np.arange(len(homes)) - np.repeat(np.cumsum(many[lists]) - many[lists], many[lists])
+                    edges = np.flatnonzero(np.diff(shard, prepend=-1))
+                    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(shard)], strict=True):
+                        for column, value in zip(made, (query, v, int(shard[a]), part, homes[a:b].astype(np.int32)), strict=True):
+                            column.append(value)
+                yield pd.DataFrame(dict(zip(("query_id", "v", "shard", "part", "lists"), made, strict=True)))
+
+    asks = asked.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(11)), F.lit(groups)).cast("int").alias("part"))
+    asks = asks.mapInPandas(sent, f"query_id long, v array<{kind}>, shard long, part int, lists array<int>")
+
+    def matched(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return best_of(index.value, left, right, nearest)[0]
+
+    keys = ["shard", "part"]
+    found = shards.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(matched, "query_id long, vec_id long, score double")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= nearest).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
