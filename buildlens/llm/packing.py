@@ -2,16 +2,18 @@
 
 The documents of a partition form a stream of tokens in their order. A window is a run of at most
 ``capacity`` tokens; its end costs nothing between documents, ``SENTENCE_CUT`` tokens after a
-sentence and ``HARD_CUT`` elsewhere, and its padding costs a token each. With f(j) the least cost
-up to the cut j at position p(j),
+sentence and ``HARD_CUT`` elsewhere, and its padding costs a token each. A window whose length is a
+power of two isn't padded. With f(j) the least cost up to the cut j at position p(j),
 
-    f(j) = penalty(j) + capacity - p(j) + min of f(i) + p(i) over cuts i with p(j) - p(i) <= capacity,
+    f(j) = penalty(j) + min of capacity - p(j) + f(i) + p(i) over cuts i with p(j) - p(i) <= capacity,
+                           and f(i) over cuts i with p(j) - p(i) a power of two.
 
-and as p grows the minimum moves over a sliding window: a monotone queue finds it in constant
-amortised time. Where sentences are long, cuts within them are allowed every ``GRID`` tokens.
+As p grows the first minimum moves over a sliding window: a monotone queue finds it in constant
+amortised time. The second has a few cuts at most. Where sentences are long, cuts within them are allowed every ``GRID`` tokens.
 
 Streams are solved a segment of ``SEGMENT`` tokens at a time; a segment's last window goes on into
-the next, so only the last window of a partition has more padding than its cuts ask for. A row is
+the next, so only the last window of a partition has more padding than its cuts ask for; it is cut
+into powers of two where that is cheaper. A row is
 never moved to another partition, and memory holds one segment or one document.
 """
 
@@ -34,6 +36,8 @@ CAPACITY = 1024
 SENTENCE_CUT = 4
 HARD_CUT = 12
 GRID = 24
+#: Shortest window that the search leaves without padding as a power of two.
+LEAST_POWER = 64
 SEGMENT = 1 << 19
 #: Text that is tokenised at once, in bytes.
 SLICE = 8 << 20
@@ -43,8 +47,15 @@ SCHEMA_IDS = PIECE.format("ids array<int>")
 SCHEMA_DIGEST = PIECE.format("ids_crc32 long")
 
 
-def cuts(positions: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY) -> list[int]:
+def cuts(positions: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY, least_power: int = LEAST_POWER) -> list[int]:
     """Places in ``positions`` (rising, none over capacity apart, from 0) that end windows on the cheapest way to the last."""
+    whole: dict[int, list[tuple[int, int]]] = {}  # cuts a power of two before
+    power = least_power
+    while power < capacity:
+        at = np.minimum(np.searchsorted(positions, positions - power), len(positions) - 1)
+        for j in np.flatnonzero(positions[at] == positions - power).tolist():
+            whole.setdefault(j, []).append((int(at[j]), power))
+        power *= 2
     pos, pen = positions.tolist(), penalties.tolist()
     n = len(pos)
     back = [0] * n
@@ -57,8 +68,13 @@ def cuts(positions: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY)
         while pos[queue[0]] < low:
             queue.popleft()
         i = queue[0]
+        v = value[i] + capacity
+        if j in whole:
+            for k, power in whole[j]:
+                if value[k] + power < v:
+                    i, v = k, value[k] + power
         back[j] = i
-        v = value[i] + capacity + pen[j]
+        v += pen[j]
         value[j] = v
         while queue and value[queue[-1]] > v:
             queue.pop()
@@ -70,6 +86,11 @@ def cuts(positions: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY)
     return way[::-1]
 
 
+def in_powers(length: int) -> list[int]:
+    """The powers of two that add up to the length, largest first."""
+    return [1 << k for k in range(length.bit_length() - 1, -1, -1) if length >> k & 1]
+
+
 def candidates(ends: np.ndarray, sentences: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
     """Possible cuts from 0 to total and their penalties: documents' ends, sentences' ends, and a grid in wide gaps."""
     penalty = np.full(total + 1, -1, np.int32)
@@ -113,6 +134,10 @@ class Stream:
         at, penalty = candidates(np.append(begin[begin > 0], self.total), np.flatnonzero(marks) + 1, self.total)
         way = at[cuts(at, penalty, self.capacity)]
         edges = np.concatenate(([0], way if last else way[:-1]))
+        if last:
+            parts = in_powers(int(edges[-1] - edges[-2]))
+            if HARD_CUT * (len(parts) - 1) < self.capacity - sum(parts):
+                edges = np.concatenate((edges[:-1], edges[-2] + np.cumsum(parts)))
         done = int(edges[-1])
         breaks = np.unique(np.concatenate((edges, begin[(begin > 0) & (begin < done)])))
         doc = np.searchsorted(begin, breaks[:-1], "right") - 1
@@ -157,7 +182,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     piece, and pieces of a sequence follow each other from offset 0 without gaps. ``digest`` gives
     crc32 of the little-endian 32-bit ids in place of the ids. Sequence ids are the partition's number
     times 2^33 and a running number, so they don't depend on other partitions; a partition that is
-    computed again gives the same pieces. Repeated rows and null ids are packed as rows of their own.
+    computed again gives the same pieces. Repeated rows and null ids are packed as rows of their own, an
+    empty text is its ``end_id`` alone, an empty table gives no rows. Only doc_id and text are read.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

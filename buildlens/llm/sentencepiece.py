@@ -203,7 +203,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded) for every row: ids of the whole text and the text they decode to.
 
     A null or empty text has no ids and decodes to an empty text. Rows aren't moved; repeated rows and
-    null ids give a row each.
+    null ids give a row each, an empty table none. Only doc_id and text are read.
     """
 
     def make(own, part, data, off, ids, ends):
@@ -216,7 +216,10 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_crc32, decoded_crc32, round_trip) for every row, from the same encoding and decoding as ``encode``."""
+    """(doc_id, n_tokens, ids_crc32, decoded_crc32, round_trip) for every row, from the same encoding and decoding as ``encode``.
+
+    Null and empty texts, repeated rows, null ids and empty tables are treated as there.
+    """
 
     def make(own, part, data, off, ids, ends):
         back, back_ends = own.decode(ids, ends)

@@ -10,13 +10,14 @@ hasn't met go through the library, and a bounded cache in each worker keeps thei
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 
-#: Distinct parts whose ids a worker remembers; it starts afresh beyond that.
-CACHE_PARTS = 600_000
+#: Distinct parts whose ids a worker remembers, and the bytes of them; it starts afresh beyond that. Longer parts are never kept.
+CACHE_PARTS, CACHE_BYTES, LONGEST_KEPT = 400_000, 16 << 20, 256
 
 #: ASCII bytes that some definition of white space includes.
 ASCII_SPACE = np.zeros(256, bool)
@@ -64,16 +65,28 @@ class Encoder:
 
     splits(data) tells where parts begin besides at texts' beginnings, encode(parts) gives their ids.
     With by_start, a text's first part is encoded apart: encode gets it with b"\\1" before it, and
-    other parts with b"\\0".
+    other parts with b"\\0". A text that holds one of ``whole`` is one part.
     """
 
-    def __init__(self, splits: Callable[[np.ndarray], np.ndarray], encode: Callable[[list[bytes]], Iterable], by_start: bool = False):
-        self.splits, self.encode, self.by_start = splits, encode, by_start
+    def __init__(self, splits: Callable[[np.ndarray], np.ndarray], encode: Callable[[list[bytes]], Iterable], by_start: bool = False, whole: tuple[bytes, ...] = ()):
+        self.splits, self.encode, self.by_start, self.whole = splits, encode, by_start, whole
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.flat, self.off = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.held = 0  # bytes of known parts
+        self.flat, self.off = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)  # with room at the end
+
+    def _uncut(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Numbers of the texts that must stay in one part."""
+        found, blob = set(), data.tobytes() if self.whole else b""
+        for mark in self.whole:
+            at = blob.find(mark)
+            while at >= 0:
+                k = int(np.searchsorted(off, at, "right")) - 1
+                found.add(k)
+                at = blob.find(mark, int(off[k + 1]))
+        return np.array(sorted(found), np.int64)
 
     def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, n + 1 offsets)."""
@@ -81,6 +94,8 @@ class Encoder:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
         cut = self.splits(data)
+        for k in self._uncut(data, off).tolist():
+            cut[off[k] : off[k + 1]] = False
         heads = off[:-1][off[:-1] < off[1:]]
         cut[heads] = True
         at = np.flatnonzero(cut)
@@ -94,28 +109,52 @@ class Encoder:
             code = code.copy()
             code[first] = len(keys) + place
             keys = [b"\0" + k for k in keys] + [b"\1" + keys[k] for k in starts.tolist()]
-        index = self._look_up(keys)[code]
-        low, sizes = self.off[index], self.off[index + 1] - self.off[index]
-        lists = pa.LargeListArray.from_arrays(pa.array(self.off), pa.array(self.flat))
+        flat, bounds, index = self._look_up(keys)
+        index = index[code]
+        sizes = bounds[index + 1] - bounds[index]
+        lists = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(flat))
         ids = lists.take(pa.array(index)).flatten().to_numpy(zero_copy_only=False)
         return ids, np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(at, off)]
 
-    def _look_up(self, keys: list[bytes]) -> np.ndarray:
-        known = self.known
-        missing = [k for k in keys if k not in known]
-        if len(known) + len(missing) > CACHE_PARTS:
+    def _look_up(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of known parts and of long ones, end to end; their bounds; the place of each key)."""
+        long = [k for k in keys if len(k) > LONGEST_KEPT]
+        short = keys if not long else [k for k in keys if len(k) <= LONGEST_KEPT]
+        missing = [k for k in short if k not in self.known]
+        if len(self.known) + len(missing) > CACHE_PARTS or self.held + sum(map(len, missing)) > CACHE_BYTES:
             self._clear()
-            known, missing = self.known, keys
+            missing = short
+        known = self.known
         if missing:
-            known.update(zip(missing, range(len(known), len(known) + len(missing)), strict=True))
-            found: list[int] = []
-            ends: list[int] = []
-            for ids in self.encode(missing):
-                found.extend(ids)
-                ends.append(len(found))
-            self.off = np.concatenate((self.off, len(self.flat) + np.array(ends, np.int64)))
-            self.flat = np.concatenate((self.flat, np.array(found, np.uint32)))
-        return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+            ids, ends = self._encoded(missing)
+            many = len(known)
+            start = int(self.off[many])
+            self.flat, self.off = _roomy(self.flat, start + len(ids)), _roomy(self.off, many + len(missing) + 1)
+            self.flat[start : start + len(ids)] = ids
+            self.off[many + 1 : many + 1 + len(missing)] = start + ends
+            known.update(zip(missing, range(many, many + len(missing)), strict=True))
+            self.held += sum(map(len, missing))
+        many = len(known)
+        bounds = self.off[: many + 1]
+        flat = self.flat[: int(bounds[-1])]
+        if not long:
+            return flat, bounds, np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
+        ids, ends = self._encoded(long)
+        place = {k: many + i for i, k in enumerate(long)}
+        index = np.fromiter((known[k] if len(k) <= LONGEST_KEPT else place[k] for k in keys), np.int64, len(keys))
+        return np.concatenate((flat, ids)), np.concatenate((bounds, bounds[-1] + ends)), index
+
+    def _encoded(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found, ends = array("I"), []
+        for ids in self.encode(parts):
+            found.extend(ids)
+            ends.append(len(found))
+        return np.frombuffer(found, np.uint32) if found else np.zeros(0, np.uint32), np.array(ends, np.int64)
+
+
+def _roomy(x: np.ndarray, least: int) -> np.ndarray:
+    """The array with room for so many entries, doubled where it is too short."""
+    return x if len(x) >= least else np.concatenate((x, np.zeros(max(len(x), least - len(x)), x.dtype)))
 
 
 def _byte_characters() -> dict[int, str]:
@@ -129,15 +168,16 @@ _made: dict[tuple, Encoder] = {}
 
 
 def byte_bpe(path: str) -> Encoder:
-    """Encoder of a byte-level BPE file of the tokenizers library; special tokens in a text are ordinary text.
+    """Encoder of a byte-level BPE file of the tokenizers library, with the ids that its plain call gives.
 
-    A part that is one word needs the library's model alone; others take its whole way.
+    A part that is one word needs the library's model alone; others take its whole way. Texts that hold
+    an added token's words take it whole, as those are recognised before a text is split.
     """
     if ("bpe", path) not in _made:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        added = tuple(t.content.encode() for t in tokenizer.get_added_tokens_decoder().values())
         model, shown = tokenizer.model, _byte_characters()
 
         def encode(parts: list[bytes]):
@@ -147,6 +187,6 @@ def byte_bpe(path: str) -> Encoder:
                 else:
                     yield tokenizer.encode(part.decode(), add_special_tokens=False).ids
 
-        _made["bpe", path] = Encoder(white_splits, encode)
+        _made["bpe", path] = Encoder(white_splits, encode, whole=added)
         _made["bpe", path].tokenizer = tokenizer
     return _made["bpe", path]
