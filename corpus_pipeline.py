@@ -30,10 +30,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of long runs of lines; one that loses its last word goes."""
     ship_code(spark)
-    found = lines.dedup(docs)
-    changed = F.size("removed") > 0
+    note = "_" * (1 + max(map(len, docs.columns)))  # longer than any column of the table
+    found = lines.dedup(docs, note=note)
+    changed = F.size(note) > 0
     left = found.filter(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return left.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        left = left.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
