@@ -148,7 +148,7 @@ def _digest(value: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, set) of these nodes (node, first_id), read from the documents; a filter of bounded size keeps other texts from being moved."""
+    """(node, set) of these nodes (node, first_id, x), read from the documents; a filter of bounded size keeps other texts from being moved."""
     nodes = saved(nodes)
     bitmap, size = _filter(nodes)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
@@ -164,10 +164,10 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 if len(some):
                     sets = pa.ListArray.from_arrays(pa.array(np.append(off[:-1][some], off[-1]), pa.int32()), pa.array(value.view(np.int64)))
                     x, _ = _digest(value, off[:-1][some])
-                    yield pa.RecordBatch.from_arrays([part.column("first_id").take(pa.array(some)), pa.array(x.view(np.int64)), sets], names=["first_id", "node", "set"])
+                    yield pa.RecordBatch.from_arrays([part.column("first_id").take(pa.array(some)), pa.array(x.view(np.int64)), sets], names=["first_id", "x", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").filter("first_id IS NOT NULL").withColumn("spot", F.pmod(F.xxhash64("first_id"), F.lit(size)))
-    return texts.mapInArrow(rows, "first_id long, node long, set array<long>").join(nodes, ["first_id", "node"], "left_semi").select("node", "set")
+    return texts.mapInArrow(rows, "first_id long, x long, set array<long>").join(nodes, ["first_id", "x"]).select("node", "set")
 
 
 def _estimate(p: Column, q: Column) -> Column:
@@ -196,7 +196,7 @@ def _plausible(pa_: str, pb: str, na: str, nb: str) -> Column:
 def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets overlap enough. The second's set moves to the first's, once a pair."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = saved(_sets(docs, ends.join(nodes.select("node", "first_id"), "node")))
+    sets = saved(_sets(docs, ends.join(nodes.select("node", "first_id", "x"), "node")))
     # one lead may have a third of all pairs
     both = looked_up(pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b"), sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a", "b")
     common = F.size(F.array_intersect("s", "t"))
@@ -244,6 +244,14 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return looked_up(found, wholes, "component", "node").select("node", F.col("whole").alias("component")).union(alone)
 
 
+def _named(classes: DataFrame) -> DataFrame:
+    """The classes with a number ``node`` of their own: the smallest id, and a hash for those that share theirs with another class."""
+    shared = classes.groupBy("first_id").agg(F.count("*").alias("many")).filter("many > 1").select("first_id", F.lit(True).alias("shared"))
+    if shared.isEmpty():
+        return classes.withColumn("node", F.col("first_id"))
+    return saved(classes.join(shared, "first_id", "left").withColumn("node", F.when(F.col("shared"), F.xxhash64("x", "y")).otherwise(F.col("first_id"))).drop("shared"))
+
+
 def duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of documents.
 
@@ -259,7 +267,7 @@ def duplicates(docs: DataFrame) -> DataFrame:
         base.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("x", "y")
         .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
     )
-    nodes = saved(classes.withColumn("node", F.col("x")))
+    nodes = _named(saved(classes))
     linked = saved(_links(docs, nodes))
     firsts = linked.join(nodes.select("node", "first_id"), "node")
     ids = firsts.groupBy("component").agg(F.min("first_id").alias("least_id"))
