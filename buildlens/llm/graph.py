@@ -23,25 +23,37 @@ def looked_up(rows: DataFrame, table: DataFrame, key: str | list[str], by: str)
     return salted.join(wanted, [*keys, "_salt"]).drop("_salt")
 
 
+def _ends(pointers: DataFrame) -> DataFrame:
+    """(node, parent): where each chain of pointers to smaller nodes ends. Written rounds halve the chains twice each."""
+    while True:
+        step = lambda rows, table: looked_up(rows, table.select(F.col("node").alias("parent"), F.col("parent").alias("above")), "parent", "node")
+        once = step(pointers, pointers).select("node", F.col("parent").alias("was"), F.col("above").alias("parent"))
+        new = saved(step(once, once).select("node", "was", F.col("above").alias("parent")))
+        if new.filter("was <> parent").isEmpty():
+            return new.select("node", "parent")
+        pointers = new.select("node", "parent")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all ends of the links (a, b): component is the smallest node reachable.
 
-    Every node points to a smaller one or itself. In a round a node, and the node that it points to, take the
-    least label that a neighbour's parent points to, and every node points on to its parent's parent. So trees
-    are hooked at their roots and halve in height: rounds grow with the logarithm of the longest path (13 for a
-    path of 4096 nodes), and each is written. Hubs are looked up by salted keys.
+    In a round every node points to its least neighbour, if that is smaller; chains of pointers are followed
+    to their ends by doubling, and the graph is contracted: each link joins the ends of its own ends, links
+    within one end go. Every tree has two nodes at least, so the nodes that are left at least halve, and
+    each round works on what is left only. Hubs, with a third of all links, are looked up by salted keys.
     """
-    once = saved(links.select("a", "b").filter("a <> b").distinct())
-    both = once.union(once.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("near", "node").alias("parent")))
-    while True:
-        beyond = labels.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-        placed = looked_up(labels, beyond, "parent", "node")
-        heard = looked_up(both, placed.select(F.col("node").alias("b"), "above"), "b", "a").groupBy(F.col("a").alias("node")).agg(F.min("above").alias("heard"))
-        met = placed.join(heard, "node").select("node", "parent", F.least("above", "heard").alias("least"))
-        none = F.lit(None).cast("long")
-        offers = met.select("node", F.col("parent").alias("was"), "least").union(met.select("parent", none, "least"))
-        new = saved(offers.groupBy("node").agg(F.max("was").alias("was"), F.min("least").alias("parent")))
-        if new.filter("was <> parent").isEmpty():
-            return new.select("node", F.col("parent").alias("component"))
-        labels = new.select("node", "parent")
+    least, most = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges = saved(links.filter("a <> b").select(least, most).distinct())
+    labels = None
+    while labels is None or not edges.isEmpty():
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = _ends(saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("near", "node").alias("parent"))))
+        if labels is None:
+            labels = ends.select("node", F.col("parent").alias("component"))
+        else:
+            moved = labels.select("component").distinct().join(ends.withColumnRenamed("node", "component"), "component", "left").select("component", F.coalesce("parent", "component").alias("to"))
+            labels = saved(looked_up(labels, moved, "component", "node").select("node", F.col("to").alias("component")))
+        for end, other in (("a", "b"), ("b", "a")):
+            edges = looked_up(edges, ends.select(F.col("node").alias(end), F.col("parent").alias("end")), end, other).select(F.col("end").alias(end), other)
+        edges = saved(edges.filter("a <> b").select(least, most).distinct())
+    return labels

@@ -23,12 +23,21 @@ def test_a_path_needs_few_rounds(spark, monkeypatch):
     real = graph.saved
     monkeypatch.setattr(graph, "saved", lambda df: written.append(1) or real(df))
     n = 4096
-    way = [0, *range(n - 1, 0, -1)]
-    found = graph.components(spark.createDataFrame(list(zip(way[:-1], way[1:], strict=True)), "a long, b long"))
+    found = graph.components(spark.createDataFrame(list(zip([0, *range(n - 1, 1, -1)], range(n - 1, 0, -1), strict=True)), "a long, b long"))
     assert found.count() == n and found.filter("component <> 0").isEmpty()
     assert len(written) <= 20
 
 
+def test_a_shuffled_path_needs_few_contractions(spark, monkeypatch):
+    rounds = []
+    real = graph._ends
+    monkeypatch.setattr(graph, "_ends", lambda p: rounds.append(1) or real(p))
+    way = list(range(1024))
+    random.Random(2).shuffle(way)
+    found = graph.components(spark.createDataFrame(list(zip(way[:-1], way[1:], strict=True)), "a long, b long"))
+    assert found.count() == 1024 and found.filter("component <> 0").isEmpty() and len(rounds) <= 10
+
+
 def test_components_match_a_search(spark):
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(400, k) for k in range(401, 480)]
