@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
+#: Bytes of a batch that a Python operator gets, so that its memory doesn't follow the number of rows times their length.
+BATCH_BYTES = 4 << 20
+
 
 def ship_code(spark: SparkSession) -> None:
-    """Adds this package to the application's Python files, once, so that executors can import it."""
+    """Adds this package to the application's Python files, once, so that executors can import it, and bounds the session's Arrow batches in bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
