@@ -99,16 +99,18 @@ def share_of(column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def bounded(rows: DataFrame, by: str | None, most: int, key: str = "doc_id", total: int | None = None) -> DataFrame:
-    """About ``most`` rows for each value of ``by``, or of all rows without it, chosen by a hash of the key.
+def bounded(rows: DataFrame, by: str | None, most: int, key: str = "doc_id") -> DataFrame:
+    """About ``most`` rows for each value of ``by``, or of all rows without it, chosen by a hash of the key; never more than twice as many.
 
-    Only the counts by value reach the driver, and no shuffle moves a row: a row's own hash decides.
-    The share is by key, so the same rows are chosen however the table is partitioned.
+    Only the counts by value reach the driver. The share is by key, so the same rows are chosen however
+    the table is partitioned. Of a key that many rows repeat, rows beyond the bound are left out, those
+    with the largest hash of all columns.
     """
     u = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    first = [u, F.xxhash64(*rows.columns)]
     if by is None:
         many = rows.count()
-        return rows.filter(u < most / many) if many > most else rows
+        return rows.filter(u < most / many).orderBy(*first).limit(2 * most) if many > most else rows
     counts = rows.groupBy(by).count().collect()
     chosen = F.lit(False)
     for r in counts:
@@ -116,4 +118,4 @@ def bounded(rows: DataFrame, by: str | None, most: int, key: str = "doc_id", tot
             chosen = chosen | (F.col(by).eqNullSafe(F.lit(r[by])) & (u < most / r["count"]))
         else:
             chosen = chosen | F.col(by).eqNullSafe(F.lit(r[by]))
-    return rows.filter(chosen)
+    return rows.filter(chosen).orderBy(*first).limit(2 * most * max(1, len(counts)))
