@@ -117,17 +117,30 @@ class Voters:
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
     def votes(self, vectors: np.ndarray) -> np.ndarray:
-        """Share of label 1 among the nearest marked texts, each weighted by its cosine to a power; 0.5 without any."""
+        """Share of label 1 among the nearest marked texts, each weighted by its cosine to a power; 0.5 without any. Ties go to the first voters, those with the smallest ids."""
         out = np.full(len(vectors), 0.5)
         k = min(NEAREST, len(self.marks))
         for low in range(0, len(vectors) if k else 0, BLOCK):
             cosine = np.clip(vectors[low : low + BLOCK] @ self.vectors.T, 0, 1)
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k] if k < len(self.marks) else np.tile(np.arange(k), (len(cosine), 1))
+            near = _largest(cosine, k)
             weight = np.take_along_axis(cosine, near, 1).astype(float) ** POWER + 1e-9
             out[low : low + BLOCK] = (weight * self.marks[near]).sum(1) / weight.sum(1)
         return out
 
 
+def _largest(x: np.ndarray, k: int) -> np.ndarray:
+    """Places of each row's k largest values, by place; of equal values at the edge the first."""
+    n = x.shape[1]
+    if k == n:
+        return np.tile(np.arange(n), (len(x), 1))
+    edge = np.partition(x, n - k, axis=1)[:, n - k : n - k + 1]
+    level = x == edge
+    room = k - (x > edge).sum(1)
+    for row in np.flatnonzero(level.sum(1) > room):
+        level[row, np.flatnonzero(level[row])[room[row] :]] = False
+    return np.nonzero((x > edge) | level)[1].reshape(len(x), k)
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], marks: np.ndarray) -> Voters:
     """Voters from (places, weights) of each marked text."""
     n = len(rows)
@@ -178,7 +191,9 @@ def score(docs: DataFrame, labels: DataFrame, model: Voters | None = None) -> Da
     """(doc_id, held_out, score, predicted) for every row of documents; predicted is 1 from ``THRESHOLD`` on.
 
     A null or empty text has only bands and is scored like any other. Without marked texts every
-    score is 0.5. Repeated rows and null ids give a row each; rows aren't moved.
+    score is 0.5. Repeated rows and null ids give a row each, an empty table none; rows aren't moved.
+    An id that is marked 0 and 1 counts as 0. Voters at the same cosine count in the order of their ids.
+    Other columns of the tables aren't read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels))
 
