@@ -135,8 +135,18 @@ def _groups(x: np.ndarray, k: int) -> np.ndarray:
     return (v @ c.T).argmax(1)
 
 
+def solid(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Which terms these rows alone would choose: in enough texts, and in toxic ones far above chance."""
+    n, share = x.sum(0), toxic.mean() if len(toxic) else 0.0
+    spread = np.sqrt(np.maximum(n * share * (1 - share), 1e-12))
+    return (n >= LEAST_TEXTS) & ((x.T @ toxic - n * share) / spread >= LEAST_Z)
+
+
 def chain(x: np.ndarray, toxic: np.ndarray, fold: np.ndarray, terms: dict[str, int], categories: int = CATEGORIES) -> Chain:
-    """Fits the links in turn; a link learns from out-of-fold probabilities of the earlier ones."""
+    """Fits the links in turn; a link learns from out-of-fold probabilities of the earlier ones.
+
+    The model for a fold's probabilities sees nothing of the fold: it uses only terms that the other rows choose.
+    """
     groups = _groups(x[toxic == 1], categories) if len(terms) else np.zeros(0, np.int64)
     targets = [toxic * (x[:, groups == g].sum(1) > 0) for g in range(categories)] + [toxic]
     links, held = [], np.zeros((len(x), 0))
@@ -146,7 +156,9 @@ def chain(x: np.ndarray, toxic: np.ndarray, fold: np.ndarray, terms: dict[str, i
         out = np.zeros(len(x))
         for f in range(FOLDS):
             inside = fold != f
-            out[~inside] = sigmoid(np.hstack([own[~inside], np.ones(((~inside).sum(), 1))]) @ (fit(own[inside], y[inside]) if inside.any() else np.zeros(own.shape[1] + 1)))
+            used = np.append(solid(x[inside], toxic[inside]), np.ones(held.shape[1], bool))
+            w = fit(own[inside][:, used], y[inside]) if inside.any() else np.zeros(used.sum() + 1)
+            out[~inside] = sigmoid(own[~inside][:, used] @ w[:-1] + w[-1])
         held = np.hstack([held, out[:, None]])
     return Chain(terms, groups, links)
 
@@ -209,7 +221,8 @@ def score(docs: DataFrame, labels: DataFrame, model: Chain | None = None) -> Dat
     categories holds the earlier links' probabilities, score that of the mark; predicted is 1 from
     0.5 on. A null or empty text has no terms and gets the chain's base probability. With marks of
     one kind only, or none, that kind is predicted for all (none: 0). Repeated rows and null ids
-    give a row each; rows aren't moved. Marks and ids serve training alone.
+    give a row each, an empty table none; rows aren't moved. An id that is marked 0 and 1 counts as 1.
+    Marks and ids serve training alone; other columns aren't read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels))
 
