@@ -9,6 +9,8 @@ from .store import saved
 
 #: Parts that the rows of one key are dealt to.
 SALTS = 64
+#: Groups that ``joined_apart`` broadcasts.
+FREQUENT = 256
 
 
 def looked_up(rows: DataFrame, table: DataFrame, key: str | list[str], by: str) -> DataFrame:
@@ -23,6 +25,19 @@ def looked_up(rows: DataFrame, table: DataFrame, key: str | list[str], by: str)
     return salted.join(wanted, [*keys, "_salt"]).drop("_salt")
 
 
+def joined_apart(rows: DataFrame, groups: DataFrame, by: list[str], value: str, unique: str) -> DataFrame:
+    """``rows`` with the ``value`` of their group, for rows whose group is in ``groups`` (by, value, many); binary columns ``by``.
+
+    The ``FREQUENT`` largest groups are broadcast, so that their rows needn't meet in one task: they are dealt by
+    a digest of ``unique`` instead, which no group has. Of the other groups none holds more than one of that many parts of all rows.
+    """
+    spare = f"{value}_frequent"
+    frequent = groups.orderBy(F.desc("many"), *by).limit(FREQUENT).select(*by, F.col(value).alias(spare))
+    dealt = rows.join(F.broadcast(frequent), by, "left")
+    dealt = dealt.withColumn(by[0], F.when(F.col(spare).isNull(), F.col(by[0])).otherwise(F.unhex(F.md5(unique))))
+    return dealt.join(groups.select(*by, value), by, "left").withColumn(value, F.coalesce(spare, value)).filter(F.col(value).isNotNull()).drop(spare)
+
+
 def _ends(pointers: DataFrame) -> DataFrame:
     """(node, parent): where each chain of pointers to smaller nodes ends. Written rounds halve the chains twice each."""
     while True:
