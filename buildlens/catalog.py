@@ -343,7 +343,8 @@ s4 AS (SELECT p.ord, p.path, p.hash, x.dep_path FROM p4 p JOIN x4 x ON x.key = r
 @query(f"{W}, {_PASS4}, {_SUSPICIOUS} SELECT ord, path, hash, dep_path FROM s4")
 def suspicious_inputs(spark, sf_dir):
     b = _build(spark, sf_dir)
-    return binaries.suspicious_inputs(b, binaries.pass4(b))
+    scanned = binaries.scan(b)
+    return binaries.suspicious_inputs(b, binaries.pass4(b, scanned=scanned), scanned)
 
 
 def _outer(path: str) -> str:
@@ -356,7 +357,8 @@ SELECT ord, path, hash, CASE WHEN trusted OR NOT bool_or(real) THEN 'compiled_fr
   CASE WHEN NOT trusted THEN count(*) FILTER (WHERE NOT real) END AS deps_removed FROM judged GROUP BY ord, path, hash, trusted""")
 def java_trust(spark, sf_dir):
     b = _build(spark, sf_dir)
-    return binaries.trusted_java(b, binaries.pass4(b))
+    scanned = binaries.scan(b)
+    return binaries.trusted_java(b, binaries.pass4(b, scanned=scanned), scanned)
 
 
 _ALLOWED = f"""({" OR ".join(f"starts_with(path, '{x}')" for x in P.SYSTEM_PREFIXES)} OR {_case("path")} IN {_listed(P.HEADERS)}

@@ -1,19 +1,13 @@
-"""Graph operators over the commands of a build: a frontier loop on edge tables."""
+"""Graph operators over the commands of a build: a frontier loop on tables of commands and keys."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def durable(df: DataFrame) -> DataFrame:
-    """Checkpointed in the session's checkpoint folder; where none is set, as in local runs, a temporary one is set."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+from ..cluster import saved, shared_folder
 
 
 def by_hash_or_path(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -23,22 +17,31 @@ def by_hash_or_path(left: DataFrame, right: DataFrame) -> DataFrame:
     return h.unionByName(p)
 
 
-def command_edges(dep: DataFrame, out: DataFrame) -> DataFrame:
-    """(consumer, producer): a command and one that made an input of it, by hash or path."""
-    d = dep.select(F.col("cmd_idx").alias("consumer"), "hash", "path_norm")
-    o = out.select(F.col("cmd_idx").alias("producer"), "hash", "path_norm")
-    by_hash = d.filter("hash IS NOT NULL").join(o.select("producer", "hash"), "hash").select("consumer", "producer")
-    by_path = d.filter("path_norm IS NOT NULL").join(o.select("producer", "path_norm"), "path_norm").select("consumer", "producer")
-    return by_hash.union(by_path).distinct()
+def command_keys(edges: DataFrame) -> DataFrame:
+    """(cmd_idx, key): hashes and normalised paths of the edges, as keys that can't meet each other."""
+    keys = F.array(F.concat(F.lit("h"), "hash"), F.concat(F.lit("p"), "path_norm"))
+    return edges.select("cmd_idx", F.explode(keys).alias("key")).filter("key IS NOT NULL").distinct()
 
 
 def good_commands(dep: DataFrame, out: DataFrame, bin_: DataFrame) -> DataFrame:
-    """cmd_idx of commands that lead to the distribution: those with an output in it, and producers of their inputs, to the fixpoint."""
-    edges = durable(command_edges(dep, out))
-    frontier = durable(by_hash_or_path(out, bin_).select("cmd_idx").distinct())
-    good = frontier
-    while not frontier.isEmpty():
-        reached = edges.join(frontier.select(F.col("cmd_idx").alias("consumer")), "consumer", "left_semi").select(F.col("producer").alias("cmd_idx")).distinct()
-        frontier = durable(reached.join(good, "cmd_idx", "left_anti"))
-        good = durable(good.union(frontier))
-    return good
+    """cmd_idx of commands that lead to the distribution: those with an output in it, and producers of their inputs, to the fixpoint.
+
+    A round goes from new commands to the keys that they read and from these to the commands that write
+    them, so it costs the edges of new commands, never their pairs of readers and writers. Edges are
+    written once, and each round only its new commands.
+    """
+    spark = dep.sparkSession
+    reads, makes = saved(command_keys(dep)), saved(command_keys(out))
+    folder = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    frontier = by_hash_or_path(out, bin_).select("cmd_idx").distinct()
+    kind = frontier.schema
+    turn = 0
+    while True:
+        frontier.write.parquet(f"{folder}/round={turn}")
+        new = spark.read.schema(kind).parquet(f"{folder}/round={turn}")
+        good = spark.read.schema(kind).parquet(*(f"{folder}/round={k}" for k in range(turn + 1)))
+        if new.isEmpty():
+            return good
+        keys = reads.join(new, "cmd_idx", "left_semi").select("key").distinct()
+        frontier = makes.join(keys, "key", "left_semi").select("cmd_idx").distinct().join(good, "cmd_idx", "left_anti")
+        turn += 1

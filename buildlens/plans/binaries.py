@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import saved
 from ..functions import packages, paths
 from ..functions.text import hash_key
-from ..operators.closure import durable
-from .passes import COMPILERS, LINKERS, Build
+from . import passes
+from .passes import Build
 
 #: So many steps from a distribution's file back along the commands that made it.
 ROUNDS = 3
@@ -33,33 +37,57 @@ def judged_inputs(b: Build, made: DataFrame) -> DataFrame:
     return rows.select("cmd_idx", "path", "hash", "key", bucket.alias("bucket"))
 
 
-def scan(b: Build) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(keys that the build made; keys read on the way back; suspicious inputs as (bin_key, path, hash)).
+@dataclass
+class Scan:
+    """What one walk back from the distribution found; pass 4 and all that follows share it.
 
-    From the distribution's keys the commands that made them are found, and from their intermediate
-    inputs the next keys, without those that already have a suspicious input.
+    out: (cmd_idx, key) of outputs; deps: judged inputs; made: keys of outputs; seen: keys read on the way;
+    external: (bin_key, path, hash) of suspicious inputs; touched: (cmd_idx) of the commands on the way.
     """
-    out = durable(_keyed(b.out).select("cmd_idx", "key").distinct())
+
+    out: DataFrame
+    deps: DataFrame
+    made: DataFrame
+    seen: DataFrame
+    external: DataFrame
+    touched: DataFrame
+
+
+def scan(b: Build) -> Scan:
+    """From the distribution's keys the commands that made them are found, and from their intermediate inputs the next keys.
+
+    Keys that already have a suspicious input lead no further. Each round is written once.
+    """
+    out = saved(_keyed(b.out).select("cmd_idx", "key").distinct())
     made = out.select("key").distinct()
-    deps = durable(judged_inputs(b, made))
-    makers = b.cmd.filter(F.col("tool").isin(*COMPILERS, *LINKERS)).select("cmd_idx")
-    frontier = durable(_keyed(b.bin).select("key").distinct())
-    seen, external = deps.select("key").limit(0), deps.select(F.col("key").alias("bin_key"), "path", "hash").limit(0)
+    deps = saved(judged_inputs(b, made))
+    makers = passes.makers(b)
+    frontier = saved(_keyed(b.bin).select("key").distinct())
+    commands, external = [], []
     for _ in range(ROUNDS):
-        touched = durable(out.join(frontier, "key").select("cmd_idx", "key"))
+        touched = saved(out.join(frontier, "key").select("cmd_idx", "key"))
         read = deps.join(touched, "cmd_idx", "left_semi")
-        seen = durable(seen.union(read.select("key")).distinct())
         suspicious = deps.filter("bucket = 'suspicious'").select("cmd_idx", "path", "hash")
         found = touched.join(makers, "cmd_idx", "left_semi").withColumnRenamed("key", "bin_key").join(suspicious, "cmd_idx").drop("cmd_idx")
-        external = durable(external.unionByName(found))
-        inner = read.filter("bucket = 'intermediate'").select("key").distinct()
-        frontier = durable(inner.join(external.select(F.col("bin_key").alias("key")), "key", "left_anti"))
+        commands.append(touched.select("cmd_idx"))
+        external.append(saved(found))
+        known = reduce(DataFrame.union, external).select(F.col("bin_key").alias("key"))
+        frontier = saved(read.filter("bucket = 'intermediate'").select("key").distinct().join(known, "key", "left_anti"))
         if frontier.isEmpty():
             break
-    return made, seen, external
+    touched = saved(reduce(DataFrame.union, commands).distinct())
+    seen = saved(deps.join(touched, "cmd_idx", "left_semi").select("key").distinct())
+    return Scan(out, deps, made, seen, reduce(DataFrame.union, external), touched)
+
 
+def filter_statistics(s: Scan) -> DataFrame:
+    """(bucket, inputs, percent): what the inputs of the commands on the way were judged to be, whole percents."""
+    counts = s.deps.join(s.touched, "cmd_idx", "left_semi").groupBy("bucket").agg(F.count("*").alias("inputs"))
+    total = counts.agg(F.sum("inputs").alias("total"))  # one row of at most six
+    return counts.join(F.broadcast(total)).select("bucket", "inputs", F.expr("inputs * 100 div total").alias("percent"))
 
-def pass4(b: Build, apt: DataFrame | None = None, transitive: bool = False) -> DataFrame:
+
+def pass4(b: Build, apt: DataFrame | None = None, transitive: bool = False, scanned: Scan | None = None) -> DataFrame:
     """(ord, path, hash, container, category) of the distribution's files.
 
     ``apt``: names (column container) of packages that the build downloaded. The first that holds:
@@ -69,8 +97,9 @@ def pass4(b: Build, apt: DataFrame | None = None, transitive: bool = False) -> D
     binaries_from_src or compiled_from_src. In transitive mode suspicious inputs of compiled or linked
     inputs count too, up to ``ROUNDS`` steps away. Whether a file is in the sources is told by its whole hash.
     """
-    made, seen, external = scan(b)
-    tainted = tainted_within(maker_edges(b)) if transitive else external.select("bin_key")
+    s = scanned or scan(b)
+    made, seen = s.made, s.seen
+    tainted = tainted_within(maker_edges(b, s)) if transitive else s.external.select("bin_key")
     p = F.col("path")
     rows = b.bin.select("ord", "path", "hash").withColumns({"key": hash_key(F.col("hash")), "container": paths.container(p)})
     rows = (
@@ -114,32 +143,63 @@ def tainted_within(edges: DataFrame, hops: int = ROUNDS) -> DataFrame:
     towards outputs, so each round costs its edges, not products of outputs and all they reach.
     """
     inner = edges.filter("bucket = 'intermediate'").select("made", "used")
-    reached = durable(edges.filter("bucket = 'suspicious'").select(F.col("made").alias("bin_key")).distinct())
+    reached = saved(edges.filter("bucket = 'suspicious'").select(F.col("made").alias("bin_key")).distinct())
     for _ in range(hops - 1):
         more = inner.join(reached.select(F.col("bin_key").alias("used")), "used", "left_semi").select(F.col("made").alias("bin_key")).distinct()
-        new = durable(more.join(reached, "bin_key", "left_anti"))
+        new = saved(more.join(reached, "bin_key", "left_anti"))
         if new.isEmpty():
             break
-        reached = durable(reached.union(new))
+        reached = saved(reached.union(new))
     return reached
 
 
-def maker_edges(b: Build) -> DataFrame:
+def maker_edges(b: Build, s: Scan) -> DataFrame:
     """(made, used, bucket): keys of outputs and inputs of compiler and linker commands; inputs that need a source or an origin only."""
-    out = _keyed(b.out).select("cmd_idx", F.col("key").alias("made")).distinct()
-    makers = b.cmd.filter(F.col("tool").isin(*COMPILERS, *LINKERS)).select("cmd_idx")
-    deps = judged_inputs(b, out.select(F.col("made").alias("key")).distinct()).filter("bucket IN ('intermediate', 'suspicious')")
-    return durable(out.join(makers, "cmd_idx", "left_semi").join(deps.select("cmd_idx", F.col("key").alias("used"), "bucket"), "cmd_idx").drop("cmd_idx").distinct())
+    deps = s.deps.filter("bucket IN ('intermediate', 'suspicious')").select("cmd_idx", F.col("key").alias("used"), "bucket")
+    out = s.out.select("cmd_idx", F.col("key").alias("made")).join(passes.makers(b), "cmd_idx", "left_semi")
+    return saved(out.join(deps, "cmd_idx").drop("cmd_idx").distinct())
 
 
-def suspicious_inputs(b: Build, fourth: DataFrame) -> DataFrame:
+def suspicious_inputs(b: Build, fourth: DataFrame, scanned: Scan | None = None) -> DataFrame:
     """(ord, path, hash, dep_path) of external_built files: the suspicious inputs of direct mode, versions of one shared library as one."""
-    external = scan(b)[2].select(F.col("bin_key").alias("key"), paths.so_base(F.col("path")).alias("dep_path")).distinct()
+    external = (scanned or scan(b)).external.select(F.col("bin_key").alias("key"), paths.so_base(F.col("path")).alias("dep_path")).distinct()
     built = fourth.filter("category = 'external_built'").select("ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
     return built.join(external, "key").drop("key")
 
 
-def trusted_java(b: Build, fourth: DataFrame) -> DataFrame:
+def external_inputs(b: Build, fourth: DataFrame, scanned: Scan | None = None, transitive: bool = False) -> DataFrame:
+    """(ord, path, hash, dep_path, dep_hash, aliases) of external_built files: their external inputs, versions of a shared library in one folder as one row.
+
+    Such a row has the folder and the library's name without versions, the hash of the shortest path, and all
+    its paths, sorted; others have no aliases. In transitive mode inputs that are up to ``ROUNDS`` steps away
+    over made ones count too.
+    """
+    s = scanned or scan(b)
+    reach = s.external.select(F.col("bin_key").alias("key"), "path", "hash")
+    if transitive:
+        edges = s.deps.filter("bucket IN ('intermediate', 'suspicious')")
+        made = s.out.join(passes.makers(b), "cmd_idx", "left_semi")
+        own = saved(made.join(edges.drop("key").filter("bucket = 'suspicious'").select("cmd_idx", "path", "hash"), "cmd_idx").select("key", "path", "hash").distinct())
+        inner = saved(made.join(edges.filter("bucket = 'intermediate'").select("cmd_idx", F.col("key").alias("used")), "cmd_idx").select("key", "used").distinct())
+        wanted = saved(fourth.filter("category = 'external_built'").select(hash_key(F.col("hash")).alias("key")).distinct())
+        at = wanted.select("key", F.col("key").alias("node"))
+        seen = [at]
+        for _ in range(ROUNDS - 1):
+            further = at.join(inner.select(F.col("key").alias("node"), "used"), "node").select("key", F.col("used").alias("node")).distinct()
+            at = saved(further.join(reduce(DataFrame.union, seen), ["key", "node"], "left_anti"))
+            seen.append(at)
+        reach = reduce(DataFrame.union, seen).join(own.withColumnRenamed("key", "node"), "node").select("key", "path", "hash").distinct()
+    built = fourth.filter("category = 'external_built'").select("ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
+    rows = built.join(reach.select("key", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), "key")
+    short = F.struct(F.length("dep_path"), "dep_path")
+    groups = rows.groupBy("ord", "path", "hash", paths.so_base(F.col("dep_path")).alias("base")).agg(
+        F.min_by("dep_hash", short).alias("dep_hash"), F.min_by("dep_path", short).alias("only"), F.array_sort(F.collect_set("dep_path")).alias("all")
+    )
+    many = F.size("all") > 1
+    return groups.select("ord", "path", "hash", F.when(many, F.col("base")).otherwise(F.col("only")).alias("dep_path"), "dep_hash", F.when(many, F.col("all")).alias("aliases"))
+
+
+def trusted_java(b: Build, fourth: DataFrame, scanned: Scan | None = None) -> DataFrame:
     """(ord, path, hash, category, deps_removed) of external_built files after trust in Java classes.
 
     A class file whose stem (before a dollar sign, in lower case) names a Java source is
@@ -156,7 +216,7 @@ def trusted_java(b: Build, fourth: DataFrame) -> DataFrame:
 
     java = F.lower(paths.splitext(F.col("path"))) == ".java"
     named = _flag(b.src.filter(java).select(stem(F.col("path")).alias("stem")), "named")
-    deps = suspicious_inputs(b, fourth).withColumn("class", F.lower(paths.splitext(F.col("dep_path"))) == ".class")
+    deps = suspicious_inputs(b, fourth, scanned).withColumn("class", F.lower(paths.splitext(F.col("dep_path"))) == ".class")
     judged = deps.withColumn("stem", outer(F.col("dep_path"))).join(named, "stem", "left").withColumn("real", F.col("class") & F.col("named").isNull())
     counts = judged.groupBy("ord", "path", "hash").agg(F.count_if("real").alias("real"), F.count_if(~F.col("real")).alias("removed"))
     own = counts.withColumn("stem", outer(F.col("path"))).join(named, "stem", "left")

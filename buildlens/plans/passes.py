@@ -10,12 +10,31 @@ from pyspark.sql import functions as F
 from ..functions import paths as P
 from ..operators.closure import by_hash_or_path, good_commands
 
-# Roles of tools.
+# Roles of tools where no dictionary is given.
 COMPILERS = ("gcc", "g++", "cc", "c++", "clang", "rustc", "javac", "go")
 LINKERS = ("ld", "ar", "gold", "lld")
 INTERPRETERS = ("python3", "python", "node", "bash", "sh", "perl", "ruby")
 
 
+@dataclass(frozen=True)
+class Roles:
+    """Names of tools by role. Without compilers pass 2 moves nothing and only commands with an output in the distribution are good; without interpreters pass 3 is empty."""
+
+    compilers: tuple[str, ...] = COMPILERS
+    linkers: tuple[str, ...] = LINKERS
+    interpreters: tuple[str, ...] = INTERPRETERS
+
+    @property
+    def makers(self) -> tuple[str, ...]:
+        return (*self.compilers, *self.linkers)
+
+
+def roles_of(tools: DataFrame) -> Roles:
+    """Roles from a dictionary (role, tool), a small configuration; a tool may have several."""
+    rows = sorted((r.role, r.tool) for r in tools.select("role", "tool").distinct().collect())
+    return Roles(*(tuple(t for r, t in rows if r == role) for role in ("compilers", "linkers", "interpreters")))
+
+
 @dataclass
 class Build:
     """src, bin: (ord, path, path_norm, hash, chain); cmd: (cmd_idx, tool, argv); dep, out: (cmd_idx, pos, path, path_norm, hash)."""
@@ -25,6 +44,17 @@ class Build:
     cmd: DataFrame
     dep: DataFrame
     out: DataFrame
+    roles: Roles = Roles()
+
+
+def with_tool(tools: tuple[str, ...], cmd: DataFrame) -> DataFrame:
+    """cmd_idx of commands of these tools."""
+    return cmd.filter(F.col("tool").isin(*tools) if tools else F.lit(False)).select("cmd_idx")
+
+
+def makers(b: Build) -> DataFrame:
+    """cmd_idx of compilers and linkers; of all commands where the dictionary names neither."""
+    return with_tool(b.roles.makers, b.cmd) if b.roles.makers else b.cmd.select("cmd_idx")
 
 
 def pool(b: Build) -> DataFrame:
@@ -47,30 +77,31 @@ def pass1(b: Build) -> DataFrame:
 
 
 def good(b: Build) -> DataFrame:
-    return good_commands(b.dep, b.out, b.bin)
+    """cmd_idx of good commands; without compilers those with an output in the distribution."""
+    return good_commands(b.dep, b.out, b.bin) if b.roles.compilers else by_hash_or_path(b.out, b.bin).select("cmd_idx").distinct()
 
 
 def compiler_inputs(b: Build, good_: DataFrame) -> DataFrame:
     """Distinct keys, hashes and paths alike, of what good compiler and linker commands read."""
-    cmds = b.cmd.filter(F.col("tool").isin(*COMPILERS, *LINKERS)).join(good_, "cmd_idx", "left_semi").select("cmd_idx")
+    cmds = with_tool(b.roles.makers, b.cmd).join(good_, "cmd_idx", "left_semi")
     deps = b.dep.join(cmds, "cmd_idx", "left_semi")
     return deps.select(F.explode(F.array("hash", "path_norm")).alias("key")).filter("key IS NOT NULL").distinct()
 
 
 def pass2(b: Build, first: DataFrame, good_: DataFrame) -> DataFrame:
-    """Rows of pass 1 after the compiler check: compiled sources that no good command read become not_compiled."""
+    """Rows of pass 1 after the compiler check: compiled sources that no good command read become not_compiled; without compilers none does."""
     keys = compiler_inputs(b, good_).withColumn("read", F.lit(True))
     checked = (
         first.join(keys.withColumnRenamed("key", "hash").withColumnRenamed("read", "by_hash"), "hash", "left")
         .join(keys.withColumnRenamed("key", "path_norm").withColumnRenamed("read", "by_path"), "path_norm", "left")
     )
-    unread = F.col("category").isin("direct", "parent") & P.is_compiled(F.col("path")) & F.col("by_hash").isNull() & F.col("by_path").isNull()
+    unread = F.lit(bool(b.roles.compilers)) & F.col("category").isin("direct", "parent") & P.is_compiled(F.col("path")) & F.col("by_hash").isNull() & F.col("by_path").isNull()
     return checked.select("ord", "path", "path_norm", "hash", "parent_hash", F.when(unread, F.col("category")).alias("source"), F.when(unread, "not_compiled").otherwise(F.col("category")).alias("category"))
 
 
 def interpreter_files(b: Build, edges: DataFrame) -> DataFrame:
     """First (cmd_idx, pos) for each interpreted file that interpreter commands read or wrote, by hash or else path."""
-    rows = edges.join(b.cmd.filter(F.col("tool").isin(*INTERPRETERS)).select("cmd_idx"), "cmd_idx", "left_semi").filter(P.is_interpreted(F.col("path")))
+    rows = edges.join(with_tool(b.roles.interpreters, b.cmd), "cmd_idx", "left_semi").filter(P.is_interpreted(F.col("path")))
     by = Window.partitionBy(F.coalesce("hash", "path_norm")).orderBy("cmd_idx", "pos")
     return rows.withColumn("k", F.row_number().over(by)).filter("k = 1").drop("k")
 
@@ -79,7 +110,7 @@ def pass3(b: Build, good_: DataFrame) -> DataFrame:
     """(ord, path, hash, category) of interpreted files: copied, compiled_unused, compiled_used, executed or not_used, the first that holds."""
     reads, writes = interpreter_files(b, b.dep), interpreter_files(b, b.out)
     led = reads.join(good_.withColumn("good", F.lit(True)), "cmd_idx", "left")
-    rows = b.src.filter(P.is_interpreted(F.col("path")))
+    rows = b.src.filter(P.is_interpreted(F.col("path")) & F.lit(bool(b.roles.interpreters)))
 
     def flag(table: DataFrame, key: str, label: str, *value: F.Column) -> None:
         nonlocal rows
@@ -120,8 +151,7 @@ def pass3_outputs(b: Build, good_: DataFrame, third: DataFrame) -> DataFrame:
 
 def external_dependencies(b: Build) -> DataFrame:
     """(bin_path, bin_hash, dep_path, dep_hash) of suspicious inputs of the compiler commands that made distribution files: not system, source, resource, allowed, or made by the build."""
-    makers = b.cmd.filter(F.col("tool").isin(*COMPILERS, *LINKERS)).select("cmd_idx")
-    made = b.out.join(b.bin.select(F.col("path").alias("bin_path"), "hash"), "hash").select("cmd_idx", "bin_path", F.col("hash").alias("bin_hash")).join(makers, "cmd_idx", "left_semi")
+    made = b.out.join(b.bin.select(F.col("path").alias("bin_path"), "hash"), "hash").select("cmd_idx", "bin_path", F.col("hash").alias("bin_hash")).join(makers(b), "cmd_idx", "left_semi")
     p = F.col("path")
     deps = b.dep.filter(F.col("hash").isNotNull() & ~P.is_system(p) & ~P.is_resource(p) & ~P.is_allowed(p))
     deps = deps.join(b.src.select("hash").distinct(), "hash", "left_anti").join(b.out.select("hash").filter("hash IS NOT NULL").distinct(), "hash", "left_anti")

@@ -7,6 +7,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.paths import without_dir
+from .trace import stripped
+
 # Kinds of binaries that a list may name.
 KINDS = ("ELF", "PE32", "MSDOS", "BINARY_EXT")
 
@@ -32,3 +35,34 @@ def read_tools(spark: SparkSession, path: str) -> DataFrame:
         elif role and (item := re.match(r"^\s*-\s+(.+)$", bare)):
             rows.append((role, item[1].strip().strip("'\"")))
     return spark.createDataFrame(rows, "role string, tool string").distinct()
+
+
+def read_path_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, hash) of a distribution's file list: a JSON list, or an object with the list under ``signatures`` or else ``files``; rows without either are left out.
+
+    Of a path that occurs again, also with slashes before it, the last hash counts.
+    """
+    entry = "array<struct<path:string,hash:string>>"
+    options = {"allowUnquotedControlChars": "true"}
+    text = F.make_valid_utf8("value")
+    rows = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.ltrim(text).alias("text"))
+    whole = F.from_json("text", f"struct<signatures:{entry},files:{entry}>", options)
+    listed = F.when(F.col("text").startswith("["), F.from_json("text", entry, options)).otherwise(F.coalesce(whole.signatures, whole.files))
+    found = rows.select("file", F.posexplode(listed).alias("pos", "e")).select("file", "pos", stripped(F.col("e.path")).alias("path"), stripped(F.col("e.hash")).alias("hash"))
+    found = found.filter("path <> '' AND hash <> ''")
+    both = found.select(F.explode(F.array_distinct(F.array("path", F.ltrim("path", F.lit("/"))))).alias("path"), "hash", F.struct("file", "pos").alias("at"))
+    return both.groupBy("path").agg(F.max_by("hash", "at").alias("hash"))
+
+
+def binary_entries(listed: DataFrame, hashes: DataFrame, project: str) -> DataFrame:
+    """(path, hash) of listed binaries whose hash is known, for pass 4.
+
+    ``listed``: (type, path) relative to the project; ``hashes``: see ``read_path_hashes``. The first of four
+    ways to write the path that has a hash counts: below the project without the suffix _dir of unpacked
+    archives, below the project, as it is, without slashes before it. A path that is listed twice gives two rows.
+    """
+    below = F.concat(F.lit(f"{project}/"), "path")
+    ways = F.array(without_dir(below), below, F.col("path"), F.ltrim("path", F.lit("/")))
+    tried = listed.select("path").distinct().select("path", F.posexplode(ways).alias("prio", "way"))
+    known = tried.join(hashes.select(F.col("path").alias("way"), "hash"), "way").groupBy("path").agg(F.min_by("hash", "prio").alias("hash"))
+    return listed.join(known, "path").select(without_dir(below).alias("path"), "hash")

@@ -5,15 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.paths import normpath
+from ..cluster import saved
+from ..functions.paths import basename, normpath
 
 COMMANDS = "component_commands array<struct<id:bigint,command:array<string>,dependencies:string,output:string,modified:string>>"
 SIGNATURES = "directory string, signatures array<struct<path:string,hash:string,archive:int,parents_hash:string,parents_chain:array<string>>>"
 ENTRY = "struct<path:string,hash:string>"
 
 
-def _lenient(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).option("allowUnquotedControlChars", True).option("mode", "PERMISSIVE").json(paths)
+def read_documents(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    """(file, doc, broken): each JSON file as one value; bytes that aren't UTF-8 become U+FFFD, control characters may stand in strings.
+
+    ``broken`` is the beginning of a file that can't be parsed, cut off or not JSON; its doc is null.
+    """
+    text = F.make_valid_utf8("value")
+    options = {"allowUnquotedControlChars": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    rows = spark.read.option("recursiveFileLookup", True).text(paths, wholetext=True)
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), text.alias("text"), F.from_json(text, f"{schema}, _broken string", options).alias("doc"))
+    broken = F.col("doc").isNull() | F.col("doc._broken").isNotNull()
+    return rows.select("file", F.when(~broken, F.col("doc")).alias("doc"), F.when(broken, F.left("text", F.lit(200))).alias("broken"))
+
+
+def broken_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, broken) of trace files that can't be parsed."""
+    return read_documents(spark, paths, COMMANDS).filter("broken IS NOT NULL").select("file", "broken")
+
+
+def stripped(s: Column) -> Column:
+    """Without white space at either end."""
+    return F.trim(s, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def entries(raw: Column) -> Column:
@@ -24,16 +44,34 @@ def entries(raw: Column) -> Column:
         lambda e: F.when(e.startswith("{"), F.from_json(e, ENTRY)).otherwise(F.struct(e.alias("path"), F.lit(None).cast("string").alias("hash"))),
     )
     found = F.when(F.ltrim(raw).startswith("{"), mapped).when(F.ltrim(raw).startswith("["), listed)
-    return F.transform(found, lambda e: F.struct(F.when(e.path != "", e.path).alias("path"), F.when(e.hash != "", e.hash).alias("hash")))
+    known = lambda c: F.when(stripped(c) != "", stripped(c))
+    return F.transform(found, lambda e: F.struct(known(e.path).alias("path"), known(e.hash).alias("hash")))
 
 
-def read_commands(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(cmd_idx, id, command, dependencies, output, modified): commands of all files, by file name and place in it."""
-    rows = _lenient(spark, paths, COMMANDS).select(F.col("_metadata.file_name").alias("file"), F.posexplode("component_commands").alias("pos", "c"))
+def read_commands(spark: SparkSession, paths: list[str], strict: bool = True) -> DataFrame:
+    """(cmd_idx, file, id, command, dependencies, output, modified): commands of all files, by file name, then path, and place in it.
+
+    A file that can't be parsed fails the job with its name; unless ``strict`` it is left out, see ``broken_files``.
+    """
+    found = read_documents(spark, paths, COMMANDS)
+    if strict:
+        found = found.withColumn("doc", F.when(F.col("broken").isNotNull(), F.raise_error(F.concat(F.lit("unreadable trace: "), "file"))).otherwise(F.col("doc")))
+    rows = found.select("file", F.posexplode("doc.component_commands").alias("pos", "c"))
     sizes = rows.groupBy("file").agg(F.count("*").alias("n"))
-    # one row a file
-    before = sizes.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
-    return rows.join(F.broadcast(before), "file").select((F.col("before") + F.col("pos")).alias("cmd_idx"), "c.*")
+    return rows.join(placed(sizes), "file").select((F.col("before") + F.col("pos")).alias("cmd_idx"), "file", "c.*")
+
+
+def placed(sizes: DataFrame) -> DataFrame:
+    """(file, before): the sum of n of files before each one, by name and path. No task has more than a range of files; sums of ranges meet on the driver."""
+    ranges = sizes.withColumn("name", basename(F.col("file"))).repartitionByRange("name", "file").withColumn("part", F.spark_partition_id())
+    ranges = saved(ranges)
+    before, start = [], 0
+    for r in ranges.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # a row a partition
+        before.append((r.part, start))
+        start += r.n
+    starts = F.create_map(*(F.lit(x) for pair in before for x in pair)) if before else F.create_map(F.lit(0), F.lit(0))
+    within = Window.partitionBy("part").orderBy("name", "file")
+    return ranges.select("file", (F.try_element_at(starts, F.col("part")) + F.sum("n").over(within) - F.col("n")).alias("before"))
 
 
 def edges(commands: DataFrame, column: str) -> DataFrame:
@@ -43,6 +81,15 @@ def edges(commands: DataFrame, column: str) -> DataFrame:
 
 
 def read_signatures(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, path_norm, hash, archive, parents_hash, chain) of all signature files; a blank hash is null."""
-    rows = _lenient(spark, paths, SIGNATURES).select(F.inline("signatures"))
-    return rows.select("path", normpath(F.col("path")).alias("path_norm"), F.when(F.col("hash") != "", F.col("hash")).alias("hash"), "archive", "parents_hash", F.col("parents_chain").alias("chain"))
+    """(path, path_norm, hash, archive, parents_hash, chain) of all signature files; a blank hash is null. A file that can't be parsed fails the job."""
+    found = read_documents(spark, paths, SIGNATURES)
+    doc = F.when(F.col("broken").isNotNull(), F.raise_error(F.concat(F.lit("unreadable signatures: "), "file"))).otherwise(F.col("doc"))
+    rows = found.select(doc.alias("doc")).select(F.inline("doc.signatures"))
+    bare = stripped(F.col("hash"))
+    return rows.select("path", normpath(F.col("path")).alias("path_norm"), F.when(bare != "", bare).alias("hash"), "archive", "parents_hash", F.col("parents_chain").alias("chain"))
+
+
+def shipped_sets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Distinct hashes and distinct normalised paths of a distribution's signatures, blanks left out; both empty where no file is given."""
+    rows = read_signatures(spark, paths) if paths else spark.createDataFrame([], "hash string, path_norm string, path string")
+    return rows.select("hash").filter("hash IS NOT NULL").distinct(), rows.filter(stripped(F.col("path")) != "").select("path_norm").distinct()

@@ -36,7 +36,7 @@ def test_pass4_cascade(spark):
         "d/apt.deb_dir/f": "apt_package_content", "d/zz": "untraced_external",
     }
     # an input of an input belongs to the intermediate file, not to the distribution's
-    external = {(r.bin_key, r.path) for r in binaries.scan(b)[2].collect()}
+    external = {(r.bin_key, r.path) for r in binaries.scan(b).external.collect()}
     assert external == {(h(11)[-16:], "/opt/v.a"), (h(13)[-16:], "/opt/w.a")}
     content = [tuple(r) for r in binaries.package_content(binaries.pass4(b, apt)).collect()]
     assert content == [("P/bin/d/y.deb_dir/f", h(99), "deb", "y.deb")]
