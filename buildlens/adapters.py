@@ -17,8 +17,8 @@ def _case(key: str, values: tuple[str, ...]) -> str:
 EXTENSIONS = (".c", ".h", ".cpp", ".py", ".js", ".java", ".sh", ".txt", ".rs", ".go", "", ".pyc")
 TOOLS = ("gcc", "ld", "python3", "cp", "apt", "bash", "rustc", "g++")
 FOLDERS = ("/usr/include/", "/opt/ext/", "/home/b/", "/usr/lib/", "/srv/lib/", "/tmp/")
-ENDINGS = (".c", ".h", ".so.1", ".xml", ".class", ".a")
-PLACES = ("P/bin/d1/", "P/bin/d1/x.deb_dir/", "P/bin/usr/lib/", "P/bin/d2/node_modules/@s/n/", "P/bin/d2/site-packages/p/")
+ENDINGS = (".c", ".h", ".so.1", ".so.2", ".class", ".so")
+PLACES = ("P/bin/d1/", "P/bin/d1/x.deb_dir/", "P/bin/usr/lib/", "P/bin/d2/node_modules/@s/n/", "P/bin/d2/site-packages/p/", "P/bin/d4/e8_1.deb_dir/")
 
 #: Every order is a command with an output, every line item an input: an output, a source, an external file, an archive, or else a file of
 #: the system. Sources with ord % 5 = 0 aren't read by their own row's command, so that some are redundant.
@@ -28,7 +28,8 @@ SELECT doc_id AS ord, 'P/src/' || source || '/' || lang || '/f' || CAST(doc_id A
        md5('arc' || source) AS parent
 FROM documents""",
     "cmd": f"""
-SELECT o_orderkey AS cmd_idx, {_case("o_custkey % 8", TOOLS)} AS tool FROM orders""",
+SELECT o_orderkey AS cmd_idx, {_case("o_custkey % 8", TOOLS)} AS tool,
+       CASE WHEN o_custkey % 50 = 0 THEN '' ELSE {_case("o_custkey % 8", TOOLS)} || CASE WHEN o_orderkey % 2 = 0 THEN ' download p' ELSE ' -x p' END || CAST(o_orderkey % 100 AS STRING) END AS line FROM orders""",
     "out": """
 SELECT o_orderkey AS cmd_idx, 0 AS pos, 'obj/p' || CAST(o_orderkey AS STRING) || CASE WHEN o_orderkey % 3 = 0 THEN '.py' ELSE '.o' END AS path,
        md5('p' || CAST(o_orderkey AS STRING)) AS hash
@@ -38,7 +39,7 @@ SELECT l.l_orderkey AS cmd_idx,
        row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_shipdate) - 1 AS pos,
        CASE WHEN l_linenumber = 1 THEN 'obj/p' || CAST(l_partkey AS STRING) || CASE WHEN l_partkey % 3 = 0 THEN '.py' ELSE '.o' END
             WHEN l_linenumber IN (2, 3, 4) AND s.ord IS NOT NULL THEN s.path
-            WHEN l_linenumber = 5 THEN {_case("l_suppkey % 6", FOLDERS)} || 'e' || CAST(l_partkey AS STRING) || {_case("l_partkey % 6", ENDINGS)}
+            WHEN l_linenumber = 5 THEN {_case("l_orderkey % 6", FOLDERS)} || 'e' || CAST(l_orderkey AS STRING) || {_case("l_partkey % 6", ENDINGS)}
             WHEN l_linenumber = 6 AND l_suppkey % 10 < 3 THEN 'arc/a' || CAST(l_suppkey % 40 AS STRING)
             ELSE '/usr/share/d' || CAST(l_suppkey AS STRING) END AS path,
        CASE WHEN l_linenumber = 1 THEN md5('p' || CAST(l_partkey AS STRING)) WHEN l_linenumber IN (2, 3, 4) AND s.ord IS NOT NULL THEN s.hash
@@ -46,11 +47,16 @@ SELECT l.l_orderkey AS cmd_idx,
             ELSE md5('d' || CAST(l_suppkey AS STRING)) END AS hash
 FROM lineitem l LEFT JOIN sig s ON s.ord = l.l_partkey % (SELECT count(*) FROM documents) AND s.ord % 5 <> 0""",
     "bin": f"""
-SELECT p_partkey AS ord, {_case("p_partkey % 5", PLACES)} || 'b' || CAST(p_partkey AS STRING) || CASE WHEN p_partkey % 7 = 0 THEN '.class' ELSE '' END AS path,
+SELECT p_partkey AS ord, {_case("p_partkey % 6", PLACES)} || 'b' || CAST(p_partkey AS STRING) || CASE WHEN p_partkey % 7 = 0 THEN '.class' ELSE '' END AS path,
        md5('p' || CAST(p_partkey AS STRING)) AS hash
 FROM part WHERE p_size <= 5
 UNION ALL
-SELECT 1000000000 + ord AS ord, 'P/bin/d3/s' || CAST(ord AS STRING) AS path, hash FROM sig WHERE ord % 17 = 0""",
+SELECT 1000000000 + ord AS ord, 'P/bin/d3/s' || CAST(ord AS STRING) AS path, hash FROM sig WHERE ord % 17 = 0
+UNION ALL
+SELECT 2000000000 + p_partkey AS ord, {_case("p_partkey % 6", PLACES)} || 'u' || CAST(p_partkey AS STRING) AS path, md5('u' || CAST(p_partkey AS STRING)) AS hash
+FROM part WHERE p_size = 6
+UNION ALL
+SELECT 3000000000 + p_partkey AS ord, 'P/bin/d5/x' || CAST(p_partkey AS STRING) AS path, md5('x' || CAST(p_partkey AS STRING)) AS hash FROM part WHERE p_size <= 9 AND p_size > 6""",
 }
 
 #: For oracles: the relations as common table expressions.
@@ -65,6 +71,6 @@ def build(spark: SparkSession, sf_dir: str) -> Build:
     for name, text in RELATIONS.items():
         made[name] = spark.sql(text)
         made[name].createOrReplaceTempView(name)
-    normal = {k: v.withColumn("path_norm", normpath(F.col("path"))) if k != "cmd" else v for k, v in made.items()}
+    normal = {k: v.withColumn("path_norm", normpath(F.col("path"))) if k != "cmd" else v.withColumn("argv", F.filter(F.split("line", " "), lambda w: w != "")) for k, v in made.items()}
     src = normal["sig"].withColumn("chain", F.array("parent")).drop("parent")
     return Build(src, normal["bin"], normal["cmd"], normal["dep"], normal["out"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import adapters
@@ -14,7 +14,8 @@ from .functions import archives as A
 from .functions import packages as K
 from .functions import paths as P
 from .functions import text as X
-from .plans import binaries, hotspots, packages, passes, signatures
+from .operators import naming
+from .plans import binaries, hotspots, languages, packages, passes, runs, signatures, summaries, tools
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -152,9 +153,13 @@ def external_deps(spark, sf_dir):
     return passes.external_dependencies(_build(spark, sf_dir))
 
 
-@query(rf"""{W}, {_EXT}, based AS (SELECT *, regexp_replace(dep_path, '\.so(\.\d+)*$', '.so') AS base FROM ext)
-SELECT bin_path, bin_hash, CASE WHEN count(*) > 1 THEN base ELSE min(dep_path) END AS dep_path, first(dep_hash ORDER BY length(dep_path), dep_path) AS dep_hash,
-       CASE WHEN count(*) > 1 THEN string_agg(dep_path, ',' ORDER BY dep_path) END AS aliases FROM based GROUP BY bin_path, bin_hash, base""")
+_ALIASED = r"""regexp_matches(dep_path, '\.so(\.\d+)*$')"""
+
+
+@query(rf"""{W}, {_EXT}, based AS (SELECT *, regexp_replace(dep_path, '\.so(\.\d+)*$', '.so') AS base FROM ext WHERE {_ALIASED})
+SELECT bin_path, bin_hash, CASE WHEN count(*) > 1 THEN base ELSE min(dep_path) END AS dep_path, first(dep_hash ORDER BY length(dep_path), dep_path, dep_hash) AS dep_hash,
+       CASE WHEN count(*) > 1 THEN string_agg(DISTINCT dep_path, ',' ORDER BY dep_path) END AS aliases FROM based GROUP BY bin_path, bin_hash, base
+UNION ALL SELECT bin_path, bin_hash, dep_path, dep_hash, NULL FROM ext WHERE NOT {_ALIASED}""")
 def external_deps_alias_merged(spark, sf_dir):
     return passes.merged_aliases(passes.external_dependencies(_build(spark, sf_dir)))
 
@@ -166,31 +171,32 @@ def summary_percent(spark, sf_dir):
 
 @query(f"{W} SELECT coalesce(tool, '__no_command__') AS tool, count(*) AS commands FROM cmd GROUP BY 1")
 def tool_histogram(spark, sf_dir):
-    return _build(spark, sf_dir).cmd.groupBy(F.coalesce("tool", F.lit("__no_command__")).alias("tool")).agg(F.count("*").alias("commands"))
+    return tools.tool_counts(_build(spark, sf_dir).cmd)
+
+
+@query(f"{W}, c AS (SELECT CASE WHEN line <> '' THEN tool ELSE '__no_command__' END AS tool FROM cmd) SELECT count(*) AS commands, count(*) FILTER (WHERE tool = '__no_command__') AS no_command, count(DISTINCT tool) AS tools FROM c")
+def tool_totals(spark, sf_dir):
+    cmd = _build(spark, sf_dir).cmd
+    return tools.tool_totals(cmd.withColumn("tool", tools.tool_of(F.col("argv"))))
 
 
 @query(f"{W} SELECT tool, cmd_idx FROM (SELECT *, row_number() OVER (PARTITION BY tool ORDER BY cmd_idx) AS k FROM cmd) WHERE k <= 5")
 def tool_first_n(spark, sf_dir):
-    by = Window.partitionBy("tool").orderBy("cmd_idx")
-    return _build(spark, sf_dir).cmd.withColumn("k", F.row_number().over(by)).filter("k <= 5").select("tool", "cmd_idx")
+    return tools.tool_samples(_build(spark, sf_dir).cmd, 5).select("tool", "cmd_idx")
 
 
-@query(f"{W} SELECT cmd_idx, tool FROM cmd WHERE contains(lower(tool), 'cc') OR contains(lower(tool), 'apt')")
+@query(f"{W} SELECT cmd_idx, tool FROM cmd WHERE tool IN ('apt', 'cc') OR contains(lower(tool), 'cc') OR contains(lower(tool), 'apt')")
 def tool_search(spark, sf_dir):
-    t = F.lower("tool")
-    return _build(spark, sf_dir).cmd.filter(t.contains("cc") | t.contains("apt")).select("cmd_idx", "tool")
+    return _build(spark, sf_dir).cmd.filter(tools.is_tool(F.col("tool"), ["apt", "cc"])).select("cmd_idx", "tool")
 
 
-_FOUND = """found AS (SELECT 'INPUT' AS role, cmd_idx, path FROM dep WHERE contains(lower(path), 'opt/ext/e1') UNION ALL
-  SELECT 'OUTPUT', cmd_idx, path FROM out WHERE contains(lower(path), 'opt/ext/e1') UNION ALL SELECT 'INPUT', cmd_idx, path FROM dep WHERE contains(lower(path), 'obj/p1')
-  UNION ALL SELECT 'OUTPUT', cmd_idx, path FROM out WHERE contains(lower(path), 'obj/p1'))"""
+_FOUND = """found AS (SELECT p.package, f.role, c.tool, f.cmd_idx, f.path, f.hash FROM (VALUES ('OPT/ext/e1'), ('obj/p1')) p(package)
+  JOIN (SELECT 'INPUT' AS role, cmd_idx, path, hash FROM dep UNION ALL SELECT 'OUTPUT', cmd_idx, path, hash FROM out) f ON contains(lower(f.path), lower(p.package)) LEFT JOIN cmd c USING (cmd_idx))"""
 
 
 def _found(spark, sf_dir) -> DataFrame:
     b = _build(spark, sf_dir)
-    both = b.dep.select(F.lit("INPUT").alias("role"), "cmd_idx", "path").union(b.out.select(F.lit("OUTPUT").alias("role"), "cmd_idx", "path"))
-    p = F.lower("path")
-    return both.filter(p.contains("opt/ext/e1") | p.contains("obj/p1"))
+    return tools.package_matches(b.cmd, b.dep, b.out, ["OPT/ext/e1", "obj/p1"])
 
 
 @query(f"{W}, {_FOUND} SELECT * FROM found")
@@ -198,12 +204,15 @@ def package_search(spark, sf_dir):
     return _found(spark, sf_dir)
 
 
-@query(f"""{W}, {_FOUND} SELECT path, CASE WHEN bool_or(role = 'OUTPUT') AND bool_or(role = 'INPUT') THEN 'intermediate' WHEN bool_or(role = 'OUTPUT') THEN 'built' ELSE 'external' END AS likely,
-  count(*) AS matches FROM found GROUP BY path""")
+@query(f"{W}, {_FOUND} SELECT package, role, tool, path, count(*) AS matches FROM found GROUP BY package, role, tool, path")
+def package_role_counts(spark, sf_dir):
+    return tools.package_roles(_found(spark, sf_dir))
+
+
+@query(f"""{W}, {_FOUND} SELECT package, path, CASE WHEN bool_or(role = 'OUTPUT') AND bool_or(role = 'INPUT') THEN 'intermediate' WHEN bool_or(role = 'OUTPUT') THEN 'built' ELSE 'external' END AS likely,
+  count(*) AS matches FROM found GROUP BY package, path""")
 def package_role_category(spark, sf_dir):
-    has = lambda r: F.bool_or(F.col("role") == r)
-    likely = F.when(has("OUTPUT") & has("INPUT"), "intermediate").when(has("OUTPUT"), "built").otherwise("external")
-    return _found(spark, sf_dir).groupBy("path").agg(likely.alias("likely"), F.count("*").alias("matches"))
+    return tools.likely_origin(_found(spark, sf_dir), "package", "path")
 
 
 @query(f"""{W}, target AS (SELECT min(hash) AS h FROM out) SELECT 'dependencies' AS section, cmd_idx, path FROM dep, target WHERE hash = h
@@ -261,14 +270,58 @@ def translit(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", X.transliterate(name).alias("name"))
 
 
-@query(f"{W}, s AS (SELECT ord, regexp_replace(lower(regexp_extract(path, '([^/]*)$', 1)), '\\.py[co]?$', '') AS stem FROM sig) SELECT stem, count(*) AS files, min(ord) AS first_ord FROM s GROUP BY stem")
+_STEM = "regexp_replace(lower(regexp_extract({}, '([^/]*)$', 1)), '\\.py[co]?$', '')"
+
+
+@query(f"{W}, s AS (SELECT ord, {_STEM.format('path')} AS stem FROM sig) SELECT stem, count(*) AS files, min(ord) AS first_ord FROM s GROUP BY stem")
 def stem_match(spark, sf_dir):
     return _build(spark, sf_dir).src.groupBy(P.stem(F.col("path")).alias("stem")).agg(F.count("*").alias("files"), F.min("ord").alias("first_ord"))
 
 
-@query("SELECT page_id, length(url) AS chars FROM pages WHERE length(url) > 30")
+@query(f"{W}, w AS (SELECT DISTINCT 'f' || (o_orderkey % 300) || '.pyc' AS name FROM orders) SELECT w.name, s.path, s.hash FROM w JOIN sig s ON {_STEM.format('s.path')} = {_STEM.format('w.name')}")
+def similar_files(spark, sf_dir):
+    names = table(spark, sf_dir, "orders").select(F.concat(F.lit("f"), (F.col("o_orderkey") % 300).cast("string"), F.lit(".pyc")).alias("name")).distinct()
+    return tools.similar_files(names, _build(spark, sf_dir).src)
+
+
+_LONG = """long AS (SELECT url AS path, 4 + length(url) AS key_length, CASE WHEN ext = '' THEN 'no_extension' ELSE ext END AS ext
+  FROM (SELECT url, lower(regexp_extract(url, '(?:^|/)\\.*[^/.][^/]*?(\\.[^./]*)$', 1)) AS ext FROM pages) WHERE 4 + length(url) > 34)"""
+
+
+@query(f"WITH {_LONG}, r AS (SELECT *, row_number() OVER (PARTITION BY ext ORDER BY key_length DESC, path DESC) AS k FROM long) SELECT ext, count(*) AS files, string_agg(path, ' ' ORDER BY k) FILTER (WHERE k <= 5) AS examples FROM r GROUP BY ext")
 def long_path_hist(spark, sf_dir):
-    return table(spark, sf_dir, "pages").filter(F.length("url") > 30).select("page_id", F.length("url").cast("long").alias("chars"))
+    files = table(spark, sf_dir, "pages").select(F.col("url").alias("path"))
+    return languages.long_path_histogram(files, "key", 34).withColumn("examples", F.array_join("examples", " "))
+
+
+_BY_LANGUAGE = " ".join(f"WHEN ext IN {_listed(e)} THEN '{n}'" for n, e in languages.EXTENSIONS.items())
+_KNOWN = "[" + ", ".join(f"'{n}'" for n in sorted(languages.EXTENSIONS)) + "]"
+_ALWAYS = "[" + ", ".join(f"'{n}'" for n in languages.ALWAYS_EXCLUDED) + "]"
+
+
+@query(f"""{W}, e AS (SELECT split_part(path, '/', 3) AS source, {_case("path")} AS ext FROM sig), l AS (SELECT source, CASE {_BY_LANGUAGE} END AS language FROM e),
+g AS (SELECT source, coalesce(list(DISTINCT language) FILTER (WHERE language IS NOT NULL), []) AS found FROM l GROUP BY source)
+SELECT source, array_to_string(list_sort(list_filter(found, lambda x: NOT list_contains({_ALWAYS}, x))), ',') AS to_analyze,
+  array_to_string(list_sort(list_distinct(list_concat(list_filter({_KNOWN}, lambda x: NOT list_contains(found, x)), {_ALWAYS}))), ',') AS to_exclude FROM g""")
+def language_sets(spark, sf_dir):
+    rows = _build(spark, sf_dir).src.select(F.split("path", "/")[2].alias("source"), P.splitext(F.col("path")).alias("ext"))
+    sets = languages.language_sets(rows, "source")
+    return sets.select("source", F.array_join("to_analyze", ",").alias("to_analyze"), F.array_join("to_exclude", ",").alias("to_exclude"))
+
+
+@query(r"""SELECT doc_id, left(trim(regexp_replace(source || ' ' || lang || '/' || doc_id || '__x', '[^\p{L}\p{N}\-_.:]', '_', 'g'), '_'), 95) || '_ab12' AS key FROM documents""")
+def sanitize(spark, sf_dir):
+    name = F.concat("source", F.lit(" "), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit("__x"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.project_key(name, F.lit("ab12")).alias("key"))
+
+
+@query("""SELECT doc_id, CASE WHEN n < 1000 THEN n || 'ms' WHEN n < 60000 THEN CASE WHEN n < 1000 THEN '' ELSE CAST(n // 1000 AS VARCHAR) END || '.' || lpad(CAST(n % 1000 // 10 AS VARCHAR), 2, '0') || 's'
+  ELSE CAST(n // 60000 AS VARCHAR) || 'm' || lpad(CAST(n // 1000 % 60 AS VARCHAR), 2, '0') || 's' END AS short,
+  lpad(CAST(n // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST(n % 3600 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(n % 60 AS VARCHAR), 2, '0') AS clock
+  FROM (SELECT doc_id, doc_id * 77 % 200000 AS n FROM documents)""")
+def durations(spark, sf_dir):
+    n = F.col("doc_id") * 77 % 200000
+    return table(spark, sf_dir, "documents").select("doc_id", X.short_duration(n * 1_000_000 + 7).alias("short"), X.clock(n + 0.5).alias("clock"))
 
 
 @query("""SELECT user_id, event_type AS status, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
@@ -475,6 +528,126 @@ def parent_chain(spark, sf_dir):
     return signatures.parent_chain(spark.sql(f"WITH {_UNPACKED} SELECT * FROM files")).withColumn("parents_chain", F.array_join("parents_chain", ","))
 
 
+@query(f"""{W}, {_GOOD}, {_FIRST}, {_PASS3}, l AS (SELECT p.ord, p.path, p.hash, c.line FROM p3 p JOIN reads r ON r.hash = p.hash JOIN cmd c ON c.cmd_idx = r.cmd_idx WHERE p.category = 'executed')
+SELECT p.ord, p.path, p.hash, coalesce(string_agg(DISTINCT l.line, '; ') FILTER (WHERE l.line <> ''), '') AS commands FROM p3 p LEFT JOIN l USING (ord) WHERE p.category = 'executed' GROUP BY p.ord, p.path, p.hash""")
+def executed_commands(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    return passes.executed_commands(b, passes.pass3(b, passes.good(b))).withColumn("commands", F.array_join("commands", "; "))
+
+
+_ALL = f"""{W}, {_PASS1}, {_GOOD}, {_KEYS}, {_PASS2}, {_FIRST}, {_PASS3}, {_PASS4},
+classes AS (SELECT category FROM p2 UNION ALL SELECT 'redundant' FROM p2 WHERE category = 'not_compiled' UNION ALL SELECT category FROM p3 UNION ALL SELECT category FROM p4)"""
+
+
+def _classes(spark, sf_dir) -> DataFrame:
+    b = _build(spark, sf_dir)
+    good = passes.good(b)
+    second = summaries.with_redundant(passes.pass2(b, passes.pass1(b), good))
+    return second.select("category").union(passes.pass3(b, good).select("category")).union(binaries.pass4(b).select("category"))
+
+
+@query(f"""{_ALL}, t AS (SELECT count(*) FILTER (WHERE category IN {_listed(summaries.SOURCES)}) AS total_source, count(*) FILTER (WHERE category IN {_listed(summaries.INTERPRETED)}) AS total_interpreted,
+  count(*) FILTER (WHERE category IN {_listed(summaries.SPARE)}) AS redundant_all, count(*) FILTER (WHERE category IN {_listed(summaries.BINARIES)}) AS total_binaries FROM classes)
+SELECT total_source, total_interpreted, total_source + total_interpreted AS total_all, redundant_all, total_source + total_interpreted - redundant_all AS used_all, total_binaries FROM t""")
+def summary_counts(spark, sf_dir):
+    return summaries.totals(_classes(spark, sf_dir))
+
+
+@query(f"""{_ALL}, s AS (SELECT CASE WHEN category IN {_listed(summaries.SOURCES)} THEN 'source' WHEN category IN {_listed(summaries.INTERPRETED)} THEN 'interpreted' WHEN category IN {_listed(summaries.BINARIES)} THEN 'binaries' END AS section, category FROM classes)
+SELECT section, category, count(*) AS files, round(100.0 * count(*) / sum(count(*)) OVER (PARTITION BY section), 1)::DOUBLE AS percent FROM s WHERE section IS NOT NULL GROUP BY section, category""")
+def summary_shares(spark, sf_dir):
+    return summaries.shares(_classes(spark, sf_dir))
+
+
+@query(f"""{W}, {_PASS4}, r4 AS (SELECT DISTINCT cmd_idx FROM ({" UNION ".join(f"SELECT cmd_idx FROM t{k}" for k in _STEPS)}))
+SELECT bucket, count(*) AS inputs, count(*) * 100 // sum(count(*)) OVER () AS percent FROM d4 JOIN r4 USING (cmd_idx) GROUP BY bucket""")
+def filter_statistics(spark, sf_dir):
+    return binaries.filter_statistics(binaries.scan(_build(spark, sf_dir))).withColumn("percent", F.col("percent").cast("long"))
+
+
+_LOADED = f"""{_INDEX}, loaded AS (SELECT DISTINCT regexp_extract(o.path, '([^/]*)$', 1) AS container FROM o9 o JOIN cmd c USING (cmd_idx) WHERE c.tool = 'apt' AND split_part(c.line, ' ', 2) = 'download' AND ends_with(lower(o.path), '.deb'))"""
+
+
+def _with_packages(spark, sf_dir) -> passes.Build:
+    """The adapter's commands write no packages: outputs of two tools are renamed."""
+    b = _build(spark, sf_dir)
+    return replace(b, out=b.out.join(b.cmd.select("cmd_idx", "tool"), "cmd_idx").withColumn("path", F.expr(_WRITTEN)).drop("tool"))
+
+
+@query(f"{W}, {_LOADED} SELECT container FROM loaded")
+def apt_containers(spark, sf_dir):
+    return binaries.apt_containers(_with_packages(spark, sf_dir))
+
+
+_CONTENT = f"""{_PASS4}, {_LOADED}, a4c AS (SELECT path, hash, container, CASE WHEN container IN (SELECT container FROM loaded) THEN 'apt_package_content' ELSE category END AS category FROM p4),
+n4 AS (SELECT path, hash, package_type, container FROM (SELECT path, hash, {_PACKAGE} FROM a4c WHERE category = 'untraced_external') WHERE package_type IS NOT NULL
+  UNION ALL SELECT path, hash, 'deb', container FROM a4c WHERE category = 'apt_package_content'),
+f9 AS (SELECT i.container, CASE WHEN ends_with(i.path, '.whl') THEN 'pip' ELSE 'deb' END AS package_type, coalesce(d.path, i.path) AS source, CASE i.tool WHEN 'apt' THEN 'apt download' ELSE i.tool END AS command, i.cmd_idx
+  FROM i9 i LEFT JOIN d9 d ON d.container = i.container AND d.k = 1),
+s9 AS (SELECT n.path, n.package_type, n.container, f.source, f.command, row_number() OVER (PARTITION BY n.path ORDER BY f.cmd_idx) AS k FROM n4 n JOIN f9 f ON f.package_type = 'pip' AND n.package_type = 'pip' AND contains(lower(f.container), lower(n.container))),
+c9 AS (SELECT n.*, coalesce(f.source, s.source, '') AS source, coalesce(f.command, s.command, n.package_type) AS command FROM n4 n LEFT JOIN f9 f ON f.container = n.container LEFT JOIN s9 s ON s.path = n.path AND s.k = 1)"""
+
+
+def _content(spark, sf_dir) -> DataFrame:
+    b, plain = _with_packages(spark, sf_dir), _build(spark, sf_dir)
+    return binaries.all_package_content(binaries.pass4(plain, binaries.apt_containers(b)), packages.package_index(b))
+
+
+@query(f"{W}, {_CONTENT} SELECT path, hash, package_type, container, source, command FROM c9")
+def package_content_origin(spark, sf_dir):
+    return _content(spark, sf_dir)
+
+
+@query(f"""{W}, {_CONTENT} SELECT package_type, container, first(source ORDER BY path, hash) AS source, first(command ORDER BY path, hash) AS command, count(*) AS files_count,
+  string_agg(path || ' ' || hash, ',' ORDER BY path, hash) AS files FROM c9 GROUP BY package_type, container""")
+def package_groups(spark, sf_dir):
+    shown = F.array_join(F.transform("files", lambda f: F.concat_ws(" ", f.path, f.hash)), ",")
+    return summaries.packages(_content(spark, sf_dir)).withColumn("files", shown)
+
+
+@query(f"{W}, {_CONTENT} SELECT count(*) AS total_files, count(DISTINCT (package_type, container)) AS total_packages FROM c9")
+def package_totals(spark, sf_dir):
+    return summaries.package_count(_content(spark, sf_dir))
+
+
+_DIRECT = f"""x5 AS ({" UNION ".join(f"SELECT t.key, p.path AS dep_path, p.hash AS dep_hash FROM t{k} t JOIN cmd c USING (cmd_idx) JOIN d4 d USING (cmd_idx) JOIN dep p ON p.cmd_idx = d.cmd_idx AND p.path = d.path AND right(p.hash, 16) = d.key WHERE c.tool IN {_MAKERS} AND d.bucket = 'suspicious'" for k in _STEPS)})"""
+
+
+@query(f"{W}, {_PASS4}, {_DIRECT} SELECT p.ord, p.path, p.hash, x.dep_path, x.dep_hash FROM p4 p JOIN x5 x ON x.key = right(p.hash, 16) WHERE p.category = 'external_built' AND NOT {_ALIASED}")
+def external_inputs(spark, sf_dir):
+    """Those that aren't shared libraries; versions of these are merged in external_deps_alias_merged."""
+    b = _build(spark, sf_dir)
+    scanned = binaries.scan(b)
+    rows = binaries.external_inputs(b, binaries.pass4(b, scanned=scanned), scanned)
+    return rows.filter(~F.col("dep_path").rlike(r"\.so(\.\d+)*$")).select("ord", "path", "hash", "dep_path", "dep_hash").distinct()
+
+
+@query("""WITH w AS (SELECT page_id AS ord, 'd' || (page_id % 3) AS folder, 'n' || (page_id % 40) || CASE WHEN page_id % 41 = 0 THEN '_1' ELSE '' END AS name FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY folder, name ORDER BY ord) - 1 AS n FROM w),
+c AS (SELECT DISTINCT s.folder, s.name, s.name || '_' || k AS made, k FROM (SELECT DISTINCT folder, name FROM w) s, (SELECT unnest(generate_series(1, 200)) AS k)),
+f AS (SELECT folder, name, made, row_number() OVER (PARTITION BY folder, name ORDER BY k) AS n FROM c WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.folder = c.folder AND w.name = c.made))
+SELECT r.folder, r.name, r.ord, coalesce(f.made, r.name) AS "unique" FROM r LEFT JOIN f ON f.folder = r.folder AND f.name = r.name AND f.n = r.n""")
+def unique_names(spark, sf_dir):
+    name = F.concat(F.lit("n"), (F.col("page_id") % 40).cast("string"), F.when(F.col("page_id") % 41 == 0, "_1").otherwise(""))
+    return naming.unique_names(table(spark, sf_dir, "pages").select(F.concat(F.lit("d"), (F.col("page_id") % 3).cast("string")).alias("folder"), name.alias("name"), F.col("page_id").alias("ord")))
+
+
+@query("""WITH k AS (SELECT DISTINCT user_id, CASE WHEN user_id % 3 = 0 THEN 'exported' ELSE 'never' END AS state FROM events WHERE user_id % 4 <> 0),
+n AS (SELECT user_id, max(event_id) AS last FROM events WHERE event_type IN ('purchase', 'error') AND user_id % 2 = 0 GROUP BY user_id), r AS (SELECT n.user_id, CASE WHEN e.event_type = 'error' THEN 'failed' ELSE 'success' END AS status FROM n JOIN events e ON e.event_id = n.last)
+SELECT 'u' || coalesce(k.user_id, r.user_id) AS project_name, coalesce(r.status, 'success') AS status,
+  CASE WHEN r.status = 'failed' THEN 'never' ELSE coalesce(k.state, 'never') END AS hotspots_status FROM k FULL JOIN r ON r.user_id = k.user_id""")
+def run_upserts(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    name = F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("project_name")
+    empty = {c.split(" ")[0]: F.lit(None).cast(c.split(" ")[1]) for c in runs.RUN.split(", ")}
+    state = F.when(F.col("user_id") % 3 == 0, "exported").otherwise("never")
+    known = events.filter("user_id % 4 <> 0").select("user_id").distinct().select(name, state.alias("hotspots_status")).withColumns({c: v for c, v in empty.items() if c not in ("project_name", "hotspots_status")})
+    known = known.withColumn("status", F.lit("success")).select(*empty)
+    last = events.filter("event_type IN ('purchase', 'error') AND user_id % 2 = 0").groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("kind"))
+    results = last.select(name, F.when(F.col("kind") == "error", "failed").otherwise("success").alias("status")).withColumns({c: empty[c] for c in runs.RESULT if c != "status"})
+    return runs.with_results(known, results).select("project_name", "status", "hotspots_status")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

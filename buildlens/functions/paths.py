@@ -123,6 +123,16 @@ def container(p: Column) -> Column:
     return F.try_element_at(F.filter(parts, lambda c: c.rlike(r"\.(?i:" + "|".join(x[1:] for x in CONTAINERS) + ")$")), F.lit(-1))
 
 
+def without_dir(p: Column) -> Column:
+    """Path in which the folders of unpacked archives have the archives' own names."""
+    return F.regexp_replace(p, "_dir(?=/|$)", "")
+
+
+def archive_depth(p: Column) -> Column:
+    """How many folders of unpacked archives the path lies in."""
+    return F.size(F.filter(F.slice(F.split(p, "/"), 1, F.size(F.split(p, "/")) - 1), lambda c: c.endswith("_dir")))
+
+
 def so_base(p: Column) -> Column:
     """Shared library's path without version numbers."""
     return F.regexp_replace(p, r"\.so(\.\d+)*$", ".so")

@@ -121,6 +121,21 @@ def pass4(b: Build, apt: DataFrame | None = None, transitive: bool = False, scan
     return rows.select("ord", "path", "hash", "container", category.alias("category"))
 
 
+def apt_containers(b: Build) -> DataFrame:
+    """(container): names of .deb files that commands ``apt download`` wrote. ``cmd`` needs argv."""
+    loads = b.cmd.filter((F.col("tool") == "apt") & (F.try_element_at("argv", F.lit(2)) == "download")).select("cmd_idx")
+    name = paths.basename(F.col("path"))
+    return b.out.join(loads, "cmd_idx", "left_semi").select(name.alias("container")).filter(F.lower("container").endswith(".deb")).distinct()
+
+
+def all_package_content(fourth: DataFrame, index: DataFrame) -> DataFrame:
+    """(path, hash, package_type, container, source, command): untraced files in packages with their origin, and the content of packages that apt loaded."""
+    from .packages import content_with_origin
+
+    loaded = fourth.filter("category = 'apt_package_content'").select("path", "hash", F.lit("deb").alias("package_type"), "container")
+    return content_with_origin(package_content(fourth).unionByName(loaded), index)
+
+
 def package_content(fourth: DataFrame) -> DataFrame:
     """(path, hash, package_type, container) of untraced external files that lie in a package."""
     rows = fourth.filter("category = 'untraced_external'").select("path", "hash", packages.package(F.col("path")).alias("p"))
@@ -191,12 +206,7 @@ def external_inputs(b: Build, fourth: DataFrame, scanned: Scan | None = None, tr
         reach = reduce(DataFrame.union, seen).join(own.withColumnRenamed("key", "node"), "node").select("key", "path", "hash").distinct()
     built = fourth.filter("category = 'external_built'").select("ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
     rows = built.join(reach.select("key", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), "key")
-    short = F.struct(F.length("dep_path"), "dep_path")
-    groups = rows.groupBy("ord", "path", "hash", paths.so_base(F.col("dep_path")).alias("base")).agg(
-        F.min_by("dep_hash", short).alias("dep_hash"), F.min_by("dep_path", short).alias("only"), F.array_sort(F.collect_set("dep_path")).alias("all")
-    )
-    many = F.size("all") > 1
-    return groups.select("ord", "path", "hash", F.when(many, F.col("base")).otherwise(F.col("only")).alias("dep_path"), "dep_hash", F.when(many, F.col("all")).alias("aliases"))
+    return passes.with_aliases(rows, "ord", "path", "hash")
 
 
 def trusted_java(b: Build, fourth: DataFrame, scanned: Scan | None = None) -> DataFrame:

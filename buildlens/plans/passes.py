@@ -131,6 +131,21 @@ def pass3(b: Build, good_: DataFrame) -> DataFrame:
     return rows.select("ord", "path", "hash", category.alias("category"))
 
 
+def executed_commands(b: Build, third: DataFrame) -> DataFrame:
+    """(ord, path, hash, commands) of executed files: the distinct commands, in their order, that read them.
+
+    Of each file that interpreters read only the first command counts. A file with a hash is looked up
+    by it alone, so one that was met by its path only has no commands. ``cmd`` needs argv.
+    """
+    reads = interpreter_files(b, b.dep).join(b.cmd.select("cmd_idx", F.array_join("argv", " ").alias("line")), "cmd_idx")
+    rows = third.filter("category = 'executed'").select("ord", "path", "hash", F.when(F.col("hash").isNull(), P.normpath(F.col("path"))).alias("path_norm"))
+    by_hash = rows.join(reads.select("hash", "cmd_idx", "line"), "hash").select("ord", "cmd_idx", "line")
+    by_path = rows.filter("hash IS NULL").join(reads.select("path_norm", "cmd_idx", "line"), "path_norm").select("ord", "cmd_idx", "line")
+    lines = by_hash.union(by_path).filter("line <> ''").groupBy("ord").agg(F.array_sort(F.collect_set(F.struct("cmd_idx", "line"))).alias("c"))
+    commands = F.coalesce(F.array_distinct("c.line"), F.array().cast("array<string>"))
+    return rows.join(lines, "ord", "left").select("ord", "path", "hash", commands.alias("commands"))
+
+
 def pass3_outputs(b: Build, good_: DataFrame, third: DataFrame) -> DataFrame:
     """(path, hash, category) of interpreted files that interpreter commands wrote and pass 3 has not recorded by path as compiled.
 
@@ -158,15 +173,23 @@ def external_dependencies(b: Build) -> DataFrame:
     return made.join(deps.select("cmd_idx", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), "cmd_idx").select("bin_path", "bin_hash", "dep_path", "dep_hash").distinct()
 
 
+def with_aliases(deps: DataFrame, *by: str) -> DataFrame:
+    """(by, dep_path, dep_hash, aliases): inputs with those that are versions of one shared library in a folder as one row.
+
+    Such a row, from two inputs on, has the library's path without version, the hash of the shortest path and all paths, sorted. Other inputs stay as they are.
+    """
+    path = F.col("dep_path")
+    library = F.coalesce(path.rlike(r"\.so(\.\d+)*$"), F.lit(False))
+    order = F.struct(F.length("dep_path").alias("n"), "dep_path", "dep_hash")
+    groups = deps.filter(library).groupBy(*by, P.so_base(path).alias("base")).agg(F.min(order).alias("first"), F.count("*").alias("many"), F.array_sort(F.collect_set("dep_path")).alias("all"))
+    several = F.col("many") > 1
+    merged = groups.select(*by, F.when(several, F.col("base")).otherwise(F.col("first.dep_path")).alias("dep_path"), F.col("first.dep_hash").alias("dep_hash"), F.when(several, F.col("all")).alias("aliases"))
+    return deps.filter(~library).select(*by, "dep_path", "dep_hash", F.lit(None).cast("array<string>").alias("aliases")).union(merged)
+
+
 def merged_aliases(deps: DataFrame) -> DataFrame:
-    """External dependencies with versions of one shared library as one row: hash of the shortest path, sorted aliases."""
-    base = P.so_base(F.col("dep_path"))
-    groups = deps.groupBy("bin_path", "bin_hash", base.alias("base")).agg(
-        F.min_by("dep_hash", F.struct(F.length("dep_path"), "dep_path")).alias("dep_hash"), F.min_by("dep_path", F.struct(F.length("dep_path"), "dep_path")).alias("only"),
-        F.array_sort(F.collect_set("dep_path")).alias("aliases"),
-    )
-    many = F.size("aliases") > 1
-    return groups.select("bin_path", "bin_hash", F.when(many, F.col("base")).otherwise(F.col("only")).alias("dep_path"), "dep_hash", F.when(many, F.array_join("aliases", ",")).alias("aliases"))
+    """External dependencies with versions of one shared library as one row, aliases joined by commas; see ``with_aliases``."""
+    return with_aliases(deps, "bin_path", "bin_hash").withColumn("aliases", F.array_join("aliases", ","))
 
 
 def summary(category_rows: DataFrame) -> DataFrame:

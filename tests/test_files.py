@@ -1,6 +1,5 @@
 import json
 
-from buildlens import sinks
 from buildlens.sources import lists
 from buildlens.streaming.tools import tool_counts
 
@@ -14,17 +13,6 @@ def test_lists(spark, tmp_path):
     assert got == [("compilers", "g++"), ("compilers", "gcc"), ("compilers", "rustc"), ("linkers", "ar"), ("linkers", "ld"), ("other", "gcc"), ("other", "true")]
 
 
-def test_sinks(spark, tmp_path):
-    rows = spark.createDataFrame([("b", "2"), ("a", '"1'), ("a", '"1'), (None, "3"), (None, None), ("", "")], "path string, hash string")
-    target = sinks.write_tsv(rows, str(tmp_path), "direct")
-    lines = [x for p in sorted((tmp_path / "direct").glob("part-*")) for x in p.read_text().splitlines()]
-    assert [x for x in lines if x != "path\thash"] == ["\t3", 'a\t"1', "b\t2"] and target.endswith("/direct")
-    assert sinks.write_tsv(rows.limit(0), str(tmp_path), "none").endswith("/none_EMPTY")
-    sinks.write_category_json(rows, str(tmp_path), "parent")
-    total = spark.read.json(str(tmp_path / "parent_total")).first()
-    assert (total.category, total.total, spark.read.json(str(tmp_path / "parent")).count()) == ("parent", 6, 6)
-
-
 def test_stream(spark, tmp_path):
     for k, commands in enumerate(([["/usr/bin/gcc", "a.c"], []], [["gcc"], ["ld"]])):
         (tmp_path / f"{k}.json").write_text(json.dumps({"component_commands": [{"command": c} for c in commands]}))
