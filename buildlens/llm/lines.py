@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .graph import joined_apart
 from .store import saved
 
 #: Fewest words of a run whose later copies go.
@@ -111,7 +110,8 @@ def _place() -> Column:
 def _ranked(rows: DataFrame, by: list[str], *also: str) -> DataFrame:
     """Suffixes whose ``by`` occurs more than once, with the first place of its group as rank."""
     groups = rows.groupBy(*by).agg(F.min("at").alias("rank"), F.count("*").alias("many")).filter("many > 1")
-    return joined_apart(rows, groups, by, "rank", "at").select("doc", "place", "at", "rank", *also)
+    # written, so that the join below stands on plain tables and adaptive execution can split a frequent group
+    return rows.join(saved(groups.select(*by, "rank")), by).select("doc", "place", "at", "rank", *also)
 
 
 def copies(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -138,7 +138,7 @@ def copies(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         whole = whole.withColumn("tail", F.col("head")) if not k else whole.withColumn("end", F.col("start") + F.col("length") - (1 << k)).join(tail, ["doc", "end"])
         runs_by = ["head", "tail", "length"]
         first = whole.groupBy(*runs_by).agg(F.min("at").alias("first"), F.count("*").alias("many")).filter("many > 1")
-        later = joined_apart(whole, first, runs_by, "first", "at").filter("at <> first").select("doc", "start", "length", "first")
+        later = whole.join(saved(first.drop("many")), runs_by).filter("at <> first").select("doc", "start", "length", "first")
         found = later if found is None else found.union(later)
     return found
 
