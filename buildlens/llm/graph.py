@@ -1,4 +1,8 @@
-"""Connected components of a graph that is spread over the cluster, and look-ups by keys that many rows share."""
+"""Connected components of a graph that is spread over the cluster.
+
+Hubs and large components make keys that many rows share. Every join here is one of written tables, with
+no aggregate on its key, so that adaptive execution can deal the rows of such a key to many tasks.
+"""
 
 from __future__ import annotations
 
@@ -7,43 +11,12 @@ from pyspark.sql import functions as F
 
 from .store import saved
 
-#: Parts that the rows of one key are dealt to.
-SALTS = 64
-#: Groups that ``joined_apart`` broadcasts.
-FREQUENT = 256
-
-
-def looked_up(rows: DataFrame, table: DataFrame, key: str | list[str], by: str) -> DataFrame:
-    """``rows`` joined with ``table``, whose ``key`` (a column or several) is unique, where a third of all rows may share one key.
-
-    Rows are dealt by key and a salt from the column ``by``. The table's rows are copied for the salts that
-    occur, at most ``SALTS`` a key and never more than the key has rows.
-    """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
-    keys = [key] if isinstance(key, str) else key
-    wanted = salted.select(*keys, "_salt").distinct().join(table, keys)
-    return salted.join(wanted, [*keys, "_salt"]).drop("_salt")
-
-
-def joined_apart(rows: DataFrame, groups: DataFrame, by: list[str], value: str, unique: str) -> DataFrame:
-    """``rows`` with the ``value`` of their group, for rows whose group is in ``groups`` (by, value, many); binary columns ``by``.
-
-    The ``FREQUENT`` largest groups are broadcast, so that their rows needn't meet in one task: they are dealt by
-    a digest of ``unique`` instead, which no group has. Of the other groups none holds more than one of that many parts of all rows.
-    """
-    spare = f"{value}_frequent"
-    frequent = groups.orderBy(F.desc("many"), *by).limit(FREQUENT).select(*by, F.col(value).alias(spare))
-    dealt = rows.join(F.broadcast(frequent), by, "left")
-    dealt = dealt.withColumn(by[0], F.when(F.col(spare).isNull(), F.col(by[0])).otherwise(F.unhex(F.md5(unique))))
-    return dealt.join(groups.select(*by, value), by, "left").withColumn(value, F.coalesce(spare, value)).filter(F.col(value).isNotNull()).drop(spare)
-
-
 def _ends(pointers: DataFrame) -> DataFrame:
-    """(node, parent): where each chain of pointers to smaller nodes ends. Written rounds halve the chains twice each."""
+    """(node, parent): where each chain of pointers to smaller nodes ends. Each written round leaves a third of a chain's steps."""
     while True:
-        step = lambda rows, table: looked_up(rows, table.select(F.col("node").alias("parent"), F.col("parent").alias("above")), "parent", "node")
-        once = step(pointers, pointers).select("node", F.col("parent").alias("was"), F.col("above").alias("parent"))
-        new = saved(step(once, once).select("node", "was", F.col("above").alias("parent")))
+        above = pointers.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+        once = pointers.join(above, "parent").select("node", F.col("parent").alias("was"), F.col("above").alias("parent"))
+        new = saved(once.join(above, "parent").select("node", "was", F.col("above").alias("parent")))
         if new.filter("was <> parent").isEmpty():
             return new.select("node", "parent")
         pointers = new.select("node", "parent")
@@ -55,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     In a round every node points to its least neighbour, if that is smaller; chains of pointers are followed
     to their ends by doubling, and the graph is contracted: each link joins the ends of its own ends, links
     within one end go. Every tree has two nodes at least, so the nodes that are left at least halve, and
-    each round works on what is left only. Hubs, with a third of all links, are looked up by salted keys.
+    each round works on what is left only.
     """
     least, most = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     edges = saved(links.filter("a <> b").select(least, most).distinct())
@@ -66,9 +39,8 @@ def components(links: DataFrame) -> DataFrame:
         if labels is None:
             labels = ends.select("node", F.col("parent").alias("component"))
         else:
-            moved = labels.select("component").distinct().join(ends.withColumnRenamed("node", "component"), "component", "left").select("component", F.coalesce("parent", "component").alias("to"))
-            labels = saved(looked_up(labels, moved, "component", "node").select("node", F.col("to").alias("component")))
+            labels = saved(labels.join(ends.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("parent", "component").alias("component")))
         for end, other in (("a", "b"), ("b", "a")):
-            edges = looked_up(edges, ends.select(F.col("node").alias(end), F.col("parent").alias("end")), end, other).select(F.col("end").alias(end), other)
+            edges = edges.join(ends.select(F.col("node").alias(end), F.col("parent").alias("end")), end).select(F.col("end").alias(end), other)
         edges = saved(edges.filter("a <> b").select(least, most).distinct())
     return labels

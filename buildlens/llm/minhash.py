@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components, looked_up
+from .graph import components
 from .store import saved
 from .text import LOWER, raw, slices, words
 
@@ -197,8 +197,8 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets overlap enough. The second's set moves to the first's, once a pair."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = saved(_sets(docs, ends.join(nodes.select("node", "first_id", "x"), "node")))
-    # one lead may have a third of all pairs
-    both = looked_up(pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b"), sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a", "b")
+    # one lead may have a third of all pairs: no aggregate stands on its key, so adaptive execution can split it
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a")
     common = F.size(F.array_intersect("s", "t"))
     return both.filter(100 * common >= PERCENT * (F.size("s") + F.size("t") - common)).select("a", "b")
 
@@ -212,9 +212,9 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def near(pairs: DataFrame) -> DataFrame:
         of = lambda end: facts.select(F.col("node").alias(end), F.col("n_shingles").alias(f"n{end}"), F.col("planes").alias(f"p{end}"))
-        return looked_up(pairs.join(of("b"), "b"), of("a"), "a", "b").filter(_plausible("pa", "pb", "na", "nb")).select("a", "b")
+        return pairs.join(of("b"), "b").join(of("a"), "a").filter(_plausible("pa", "pb", "na", "nb")).select("a", "b")
 
-    stars = members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    stars = saved(members.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
     found = components(confirmed(docs, nodes, saved(near(stars))))
     # buckets with several components
     placed = members.join(found, "node", "left").select("key", "band", "node", "lead", F.coalesce("component", "node").alias("component"))
@@ -240,8 +240,7 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
     merged = components(ends).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     alone = merged.select(F.col("component").alias("node"), "whole").join(found, "node", "left_anti").select("node", F.col("whole").alias("component"))
-    wholes = found.select("component").distinct().join(merged, "component", "left").select("component", F.coalesce("whole", "component").alias("whole"))
-    return looked_up(found, wholes, "component", "node").select("node", F.col("whole").alias("component")).union(alone)
+    return found.join(merged, "component", "left").select("node", F.coalesce("whole", "component").alias("component")).union(alone)
 
 
 def _named(classes: DataFrame) -> DataFrame:
@@ -270,8 +269,8 @@ def duplicates(docs: DataFrame) -> DataFrame:
     nodes = _named(saved(classes))
     linked = saved(_links(docs, nodes))
     firsts = linked.join(nodes.select("node", "first_id"), "node")
-    ids = firsts.groupBy("component").agg(F.min("first_id").alias("least_id"))
-    least = looked_up(firsts, ids, "component", "node").select("node", "least_id")
+    ids = saved(firsts.groupBy("component").agg(F.min("first_id").alias("least_id")))
+    least = firsts.join(ids, "component").select("node", "least_id")
     whole = nodes.join(least, "node", "left").select("x", "y", F.coalesce("least_id", "first_id").alias("component_id"))
     own = base.select("doc_id", "n_shingles", "x", "y")
     some = own.filter("n_shingles > 0").join(whole, ["x", "y"], "left").select("doc_id", "n_shingles", "component_id")
