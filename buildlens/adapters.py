@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,14 +65,18 @@ SELECT 3000000000 + p_partkey AS ord, 'P/bin/d5/x' || CAST(p_partkey AS STRING)
 WITH = "WITH RECURSIVE " + ",".join(f"{k} AS ({v})" for k, v in RELATIONS.items())
 
 
+def over(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
+    """The result of SQL in which tables are these DataFrames; the session's own views are left alone."""
+    names = "|".join(frames)
+    return spark.sql(re.sub(rf"\b(FROM|JOIN) ({names})\b", r"\1 {\2}", text), **frames)
+
+
 def build(spark: SparkSession, sf_dir: str) -> Build:
     """The relations over the tables of a folder, with normalised paths."""
-    for name in ("documents", "orders", "part", "lineitem"):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    made: dict[str, DataFrame] = {}
+    frames = {name: table(spark, sf_dir, name) for name in ("documents", "orders", "part", "lineitem")}
     for name, text in RELATIONS.items():
-        made[name] = spark.sql(text)
-        made[name].createOrReplaceTempView(name)
+        frames[name] = over(spark, text, **frames)
+    made = {name: frames[name] for name in RELATIONS}
     normal = {k: v.withColumn("path_norm", normpath(F.col("path"))) if k != "cmd" else v.withColumn("argv", F.filter(F.split("line", " "), lambda w: w != "")) for k, v in made.items()}
     src = normal["sig"].withColumn("chain", F.array("parent")).drop("parent")
     return Build(src, normal["bin"], normal["cmd"], normal["dep"], normal["out"])

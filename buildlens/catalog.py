@@ -456,8 +456,7 @@ _NAME = "lower(regexp_extract(path, '([^/]*)$', 1))"
 
 
 def _named_files(spark, sf_dir) -> DataFrame:
-    table(spark, sf_dir, "documents").createOrReplaceTempView("documents")
-    return spark.sql(f"WITH {_NAMED} SELECT * FROM f")
+    return adapters.over(spark, f"WITH {_NAMED} SELECT * FROM f", documents=table(spark, sf_dir, "documents"))
 
 
 _PLAN = f"""CASE {" ".join(f"WHEN regexp_matches({_NAME}, '{A.pattern(e)}') THEN '{m}'" for e, m in A.METHODS_BY_ENDING)} ELSE '' END AS m1,
@@ -495,8 +494,7 @@ SELECT coalesce(ruleKey, '') AS "rule", coalesce(CASE WHEN length(clean) > 32767
   CASE WHEN ext = '' THEN 'Unknown' ELSE {_lookup("ext", hotspots.LANGUAGES, "upper(ext)")} END AS language, regexp_replace(component, '^K:', '') AS file, coalesce(CAST(line AS VARCHAR), '') AS line,
   status, '' AS resolution, '' AS comments FROM t""")
 def hotspot_report(spark, sf_dir):
-    table(spark, sf_dir, "documents").createOrReplaceTempView("documents")
-    return hotspots.report(spark.sql(f"WITH {_SPOTS} SELECT * FROM spots"), "K")
+    return hotspots.report(adapters.over(spark, f"WITH {_SPOTS} SELECT * FROM spots", documents=table(spark, sf_dir, "documents")), "K")
 
 
 _WRITTEN = "CASE WHEN tool IN ('apt', 'cp') THEN 'dl/e' || (cmd_idx % 50) || '_1' || CASE WHEN cmd_idx % 2 = 0 THEN '.deb' ELSE '.whl' END ELSE path END"
@@ -524,8 +522,7 @@ UNION ALL SELECT DISTINCT 'x' || (p_partkey % 7) || '.iso_dir/y' || (p_partkey %
 @query(f"""WITH {_UNPACKED}, c AS (SELECT f.path, f.hash, coalesce(list(a.hash ORDER BY length(a.path) DESC) FILTER (WHERE a.hash IS NOT NULL), []) AS c FROM files f LEFT JOIN files a ON starts_with(f.path, a.path || '_dir/') GROUP BY f.path, f.hash)
 SELECT path, hash, replace(path, '_dir/', '/') AS virtual_path, coalesce(c[1], '0') AS parents_hash, array_to_string(c, ',') AS parents_chain FROM c""")
 def parent_chain(spark, sf_dir):
-    table(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return signatures.parent_chain(spark.sql(f"WITH {_UNPACKED} SELECT * FROM files")).withColumn("parents_chain", F.array_join("parents_chain", ","))
+    return signatures.parent_chain(adapters.over(spark, f"WITH {_UNPACKED} SELECT * FROM files", part=table(spark, sf_dir, "part"))).withColumn("parents_chain", F.array_join("parents_chain", ","))
 
 
 @query(f"""{W}, {_GOOD}, {_FIRST}, {_PASS3}, l AS (SELECT p.ord, p.path, p.hash, c.line FROM p3 p JOIN reads r ON r.hash = p.hash JOIN cmd c ON c.cmd_idx = r.cmd_idx WHERE p.category = 'executed')
