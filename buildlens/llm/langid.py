@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import bounded, per_text, raw, share_of, slices
+from .text import bounded, per_text, raw, share_of, slices, trimmed
 
 #: Longest context in bytes.
 ORDER = 4
@@ -172,4 +172,4 @@ def identify(docs: DataFrame, model: Ppm | None = None) -> DataFrame:
         F.col("doc_id").cast("long"), share_of("doc_id", 4, 2).alias("held_out"), "text",
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"),
     )
-    return rows.mapInArrow(scored, SCHEMA)
+    return rows.mapInArrow(trimmed(scored), SCHEMA)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import saved
+from .text import trimmed
 
 #: Fewest words of a run whose later copies go.
 MIN_WORDS = 50
@@ -95,7 +96,7 @@ def sequences(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
                     out, volume = ([], [], [], []), 0
             yield _lines(out)
 
-    return _keyed(docs).mapInArrow(rows, LINES)
+    return _keyed(docs).mapInArrow(trimmed(rows), LINES)
 
 
 def _lines(out: tuple[list, list, list, list]) -> pa.RecordBatch:
@@ -178,4 +179,4 @@ def dedup(docs: DataFrame, least: int = MIN_WORDS, note: str = "removed") -> Dat
             columns = [pa.array(texts, batch.column(c).type) if c == "text" else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.list_(pa.int32()))], names=[*names, note])
 
-    return joined.mapInArrow(rows, schema)
+    return joined.mapInArrow(trimmed(rows), schema)

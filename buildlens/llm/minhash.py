@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .store import saved
-from .text import LOWER, raw, slices, words
+from .text import LOWER, raw, slices, trimmed, words
 
 SHINGLE = 5
 #: Linked from so many percent of the union on.
@@ -128,7 +128,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "n_shingles", "x", "y", "bands", "planes"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, SKETCH)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(rows), SKETCH)
 
 
 def _filter(ids: DataFrame) -> tuple[np.ndarray, int]:
@@ -167,7 +167,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([part.column("first_id").take(pa.array(some)), pa.array(x.view(np.int64)), sets], names=["first_id", "x", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").filter("first_id IS NOT NULL").withColumn("spot", F.pmod(F.xxhash64("first_id"), F.lit(size)))
-    return texts.mapInArrow(rows, "first_id long, x long, set array<long>").join(nodes, ["first_id", "x"]).select("node", "set")
+    return texts.mapInArrow(trimmed(rows), "first_id long, x long, set array<long>").join(nodes, ["first_id", "x"]).select("node", "set")
 
 
 def _estimate(p: Column, q: Column) -> Column:

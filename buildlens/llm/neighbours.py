@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import bounded, per_text, raw, share_of, slices, words
+from .text import bounded, per_text, raw, share_of, slices, trimmed, words
 
 #: Marked rows that are kept as voters, for each of the two marks on average, and the longest of their texts in bytes.
 TRAIN_ROWS = 2000
@@ -182,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Voters:
                 packed = [place[a:b].astype("<u2").tobytes() + weight[a:b].astype("<f4").tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(packed, pa.binary())], names=["doc_id", "quality", "terms"])
 
-    found = sorted(((r.doc_id, r.quality, bytes(r.terms)) for r in rows.mapInArrow(featured, "doc_id long, quality int, terms binary").collect()))
+    found = sorted(((r.doc_id, r.quality, bytes(r.terms)) for r in rows.mapInArrow(trimmed(featured), "doc_id long, quality int, terms binary").collect()))
     terms = [(np.frombuffer(t, "<u2", len(t) // 6).astype(np.int64), np.frombuffer(t, "<f4", -1, len(t) // 6 * 2).astype(float)) for _, _, t in found]
     return fit(terms, np.array([q for _, q, _ in found], float))
 
@@ -205,7 +205,7 @@ def score(docs: DataFrame, labels: DataFrame, model: Voters | None = None) -> Da
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), share_of("doc_id", 5, 0).alias("held_out"), "text")
-    return rows.mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(trimmed(scored), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep(docs: DataFrame, labels: DataFrame, model: Voters | None = None) -> DataFrame:
@@ -216,7 +216,7 @@ def keep(docs: DataFrame, labels: DataFrame, model: Voters | None = None) -> Dat
         for part, votes in _voted(shared.value, batches):
             yield part.filter(pa.array(votes >= THRESHOLD))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.mapInArrow(trimmed(kept), docs.schema)
 
 
 def _voted(voters: Voters, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .subwords import byte_bpe
-from .text import raw, slices
+from .text import raw, slices, trimmed
 
 CAPACITY = 1024
 SENTENCE_CUT = 4
@@ -202,4 +202,4 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         if pieces := stream.flush(True):
             yield _batch(pieces, digest)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, SCHEMA_DIGEST if digest else SCHEMA_IDS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(rows), SCHEMA_DIGEST if digest else SCHEMA_IDS)

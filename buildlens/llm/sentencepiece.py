@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .subwords import Encoder, _made, space_splits
-from .text import raw, slices
+from .text import raw, slices, trimmed
 
 MARKER = "▁"
 #: Kinds of pieces and model types, fixed values of the format.
@@ -196,7 +196,7 @@ def _coded(docs: DataFrame, path: str, schema: str, make) -> DataFrame:
                 ids, ends = own.encode(data, off)
                 yield make(own, part, data, off, ids, ends)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(rows), schema)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

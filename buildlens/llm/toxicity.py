@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import LOWER, NOT_ALNUM, bounded, raw, share_of, slices, words
+from .text import LOWER, NOT_ALNUM, bounded, raw, share_of, slices, trimmed, words
 
 #: Marked rows that training uses, for each of the two marks on average, and the longest of their texts in bytes.
 TRAIN_ROWS = 2000
@@ -194,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Chain:
         return Chain({}, np.zeros(0, np.int64), [np.array([-30.0 if not share else 30.0])])
     z = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
     chosen = (
-        sample.mapInArrow(counted, "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+        sample.mapInArrow(trimmed(counted), "term string, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
         .filter(F.col("n") >= LEAST_TEXTS).withColumn("z", z).filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "term").limit(TERMS).collect()
     )
     terms = {r.term: k for k, r in enumerate(chosen)}
@@ -207,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Chain:
                 off = np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.ListArray.from_arrays(pa.array(off), pa.array(term.astype(np.int32)))], names=["doc_id", "toxic", "terms"])
 
-    rows = sorted(sample.mapInArrow(held, "doc_id long, toxic int, terms array<int>").collect())
+    rows = sorted(sample.mapInArrow(trimmed(held), "doc_id long, toxic int, terms array<int>").collect())
     x = np.zeros((len(rows), len(terms)))
     for k, r in enumerate(rows):
         x[k, r.terms] = 1
@@ -243,4 +243,4 @@ def score(docs: DataFrame, labels: DataFrame, model: Chain | None = None) -> Dat
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), share_of("doc_id", 5, 0).alias("held_out"), "text")
-    return rows.mapInArrow(scored, "doc_id long, held_out boolean, categories array<double>, score double, predicted int")
+    return rows.mapInArrow(trimmed(scored), "doc_id long, held_out boolean, categories array<double>, score double, predicted int")
