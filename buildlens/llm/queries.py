@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..cluster import ship_code, table
-from . import chat, ivfpq, langid, lines, minhash, neighbours, packing, repetition, sentencepiece, toxicity
+from . import chat, ivfpq, langid, lines, middle, minhash, neighbours, packing, repetition, resampling, sentencepiece, toxicity, warc
+from .store import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +62,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), f"{folder}/streams")
+    warc.normalise(spark, f"{folder}/streams", f"{folder}/records")
+    found = warc.read(spark, f"{folder}/records", payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.digests(middle.transform(table(spark, sf_dir, "documents")))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -71,7 +90,7 @@ def _shipped(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = [
         op1_language_id, op2_quality_rules, op3_nearest_vectors, op4_packing, op5_toxicity, op6_chat_format, op7_sentencepiece,
-        op8_near_duplicates, op9_line_dedup, op10_quality_classifier,
+        op8_near_duplicates, op9_line_dedup, op10_quality_classifier, op11_warc, op12_importance_resampling, op13_fill_in_middle,
     ]
     return {q.__name__: _shipped(q) for q in found}
 
@@ -141,6 +160,58 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
 
+OP11_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS n, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n >= 1000 AND newest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND newest <> page_id THEN newest END AS refers_to
+FROM d
+"""
+
+OP12_SQL = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_concat([n], range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS step FROM range(256) r(n)),
+texts AS (SELECT doc_id AS id, text, false AS target FROM documents UNION ALL SELECT item_id, text, true FROM benchmark),
+found AS (
+  SELECT id, target, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM texts),
+bytes AS (
+  SELECT w, list_transform(range(strlen(w)), lambda i: ('0x' || substr(hex(encode(w)), (2 * i + 1)::INT, 2))::BIGINT) AS b FROM (SELECT DISTINCT w FROM found)),
+hashed AS (
+  SELECT w, xor(list_reduce(list_concat([4294967295::BIGINT], b), lambda c, x: xor(c >> 8, step[1 + (xor(c, x) & 255)])), 4294967295) % 10000 AS bucket FROM bytes, crc_table),
+features AS (SELECT id, target, bucket FROM found JOIN hashed USING (w)),
+counts AS (SELECT bucket, count(*) FILTER (NOT target) AS s, count(*) FILTER (target) AS t FROM features GROUP BY bucket),
+totals AS (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM counts),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain FROM counts, totals),
+weights AS (SELECT id, count(*) AS n, sum(gain) AS weight FROM features JOIN gains USING (bucket) WHERE NOT target GROUP BY id),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN weights ON id = doc_id),
+ordered AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS k FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= (SELECT 10 * count(k) // 100 FROM ordered) THEN k END AS rank FROM ordered
+"""
+
+OP13_SQL = r"""
+WITH cuts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || doc_id) AS h FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[25:32])::BIGINT AS h4 FROM cuts),
+parts AS (
+  SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high, u,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+cut AS (
+  SELECT doc_id, text, n, form, array_to_string(u[:low], '') AS p, array_to_string(u[low + 1:high], '') AS m, array_to_string(u[high + 1:], '') AS s FROM parts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Queries that SQL can express on whole tables; the others are tested against brute force."""
-    return {"op6_chat_format": OP6_SQL, "op8_near_duplicates": OP8_SQL, "op9_line_dedup": OP9_SQL}
+    return {
+        "op6_chat_format": OP6_SQL, "op8_near_duplicates": OP8_SQL, "op9_line_dedup": OP9_SQL,
+        "op11_warc": OP11_SQL, "op12_importance_resampling": OP12_SQL, "op13_fill_in_middle": OP13_SQL,
+    }
