@@ -137,7 +137,7 @@ def probes(index: Index, q: np.ndarray, sizes: np.ndarray, rows: int) -> np.ndar
     return out & (sizes > 0)
 
 
-def best_of(index: Index, left: pd.DataFrame, right: pd.DataFrame, nearest: int) -> tuple[pd.DataFrame, int]:
+def best_of(index: Index, left: pd.DataFrame, right: pd.DataFrame, nearest: int, rerank: int | None = RERANK) -> tuple[pd.DataFrame, int]:
     """The nearest of a shard's rows (vec_id, v, list, codes) for each query (query_id, v, lists) that probes it, and the rows scored."""
     out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
     if not len(left) or not len(right):
@@ -148,7 +148,7 @@ def best_of(index: Index, left: pd.DataFrame, right: pd.DataFrame, nearest: int)
     x = np.stack(left["v"].to_numpy()).astype(float)
     lists, starts = np.unique(at, return_index=True)
     bounds = np.append(starts, len(at))
-    take, scored = min(RERANK, len(ids)), 0
+    take, scored = min(rerank or len(ids), len(ids)), 0
     for low in range(0, len(right), QUERY_BLOCK):
         part = right.iloc[low : low + QUERY_BLOCK]
         q_ids, q = part["query_id"].to_numpy(), np.stack(part["v"].to_numpy()).astype(float)
@@ -188,14 +188,16 @@ def best_of(index: Index, left: pd.DataFrame, right: pd.DataFrame, nearest: int)
     return pd.concat(out), scored
 
 
-def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 20, share: float = PROBED_SHARE, least_rows: int = LEAST_ROWS) -> DataFrame:
+def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 20, share: float = PROBED_SHARE, least_rows: int = LEAST_ROWS, rerank: int | None = RERANK) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of every query, by inner product, ties to the smaller vec_id.
 
     Queries are the rows whose id is divisible by ``query_modulus``; a query's own id is no candidate.
     Every query gets ``nearest`` rows, or all candidates where there are fewer: the probed lists hold at
     least so many besides rows with its own id. Null, zero and non-finite vectors, rows without id, and
-    vectors of another width than most take no part. Repeated ids are vectors of their own; as queries
-    they share one answer. An empty table gives no rows; columns besides vec_id and embedding aren't read.
+    vectors of another width than most take no part. Repeated ids are vectors of their own as candidates; as a
+    query an id is asked once, with its smallest vector (by the first component that differs). ``rerank``: rows
+    of a shard that are scored exactly for a query, None for all; with ``share`` 1 the answer is then exact. An
+    empty table gives no rows; columns besides vec_id and embedding aren't read.
     """
     rows = usable(embeddings)
     kind = rows.schema["v"].dataType.elementType.simpleString()
@@ -223,8 +225,8 @@ def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 2
     for r in file.groupBy("list").count().collect():  # a row a list
         sizes[r["list"]] = r["count"]
     first, many, _ = plan(sizes)
-    asked = file.filter(F.col("vec_id") % query_modulus == 0)
-    most_alike = asked.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 0
+    asked = saved(file.filter(F.col("vec_id") % query_modulus == 0).groupBy("vec_id").agg(F.min("v").alias("v"), F.count("*").alias("many")))
+    most_alike = asked.agg(F.max("many")).first()[0] or 0
     wanted_rows = max(int(np.ceil(share * total)), least_rows, nearest + most_alike)
     groups = max(1, -(-asked.count() // QUERY_GROUP))
     of_list = F.broadcast(spark.createDataFrame([(k, int(first[k]), int(many[k])) for k in range(len(sizes))], "list int, first long, many long"))  # a row a list
@@ -254,7 +256,7 @@ def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 2
     asks = asks.mapInPandas(sent, f"query_id long, v array<{kind}>, shard long, part int, lists array<int>")
 
     def matched(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return best_of(index.value, left, right, nearest)[0]
+        return best_of(index.value, left, right, nearest, rerank)[0]
 
     keys = ["shard", "part"]
     found = shards.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(matched, "query_id long, vec_id long, score double")

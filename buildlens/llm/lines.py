@@ -73,7 +73,13 @@ def document_key(doc_id: int | None, text_hash: int) -> bytes:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"), "text")
+    """Id, hash of the text and text; rows that share id and text once. Only rows with a repeated id are moved for that."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"), "text")
+    twice = saved(rows.groupBy("id").count().filter("count > 1").select(F.col("id").alias("twice")))
+    if twice.isEmpty():
+        return rows
+    again = F.col("id").eqNullSafe(F.col("twice"))
+    return rows.join(twice, again, "left_anti").union(rows.join(twice, again, "left_semi").dropDuplicates(["id", "h"]))
 
 
 def sequences(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:

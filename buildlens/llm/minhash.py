@@ -197,6 +197,8 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets overlap enough. The second's set moves to the first's, once a pair."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = saved(_sets(docs, ends.join(nodes.select("node", "first_id", "x"), "node")))
+    if not sets.groupBy("node").count().filter("count > 1").isEmpty():  # rows that are given several times
+        sets = saved(sets.dropDuplicates(["node"]))
     # one lead may have a third of all pairs: no aggregate stands on its key, so adaptive execution can split it
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("t")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("s")), "a")
     common = F.size(F.array_intersect("s", "t"))
@@ -282,7 +284,7 @@ def keep(docs: DataFrame) -> DataFrame:
     """The rows of documents of which ``duplicates`` keeps the id, with all their columns; rows without id stay.
 
     Rows that share an id stay or go together: they stay if any of them is kept, so no text is lost
-    that has no copy elsewhere. Columns of any other name are passed on as they are.
+    that has no copy elsewhere. Columns of any other name are passed on as they are. An empty table gives no rows.
     """
     spare = "_" * (1 + max(map(len, docs.columns), default=0))  # longer than any column of the table
     judged = duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))

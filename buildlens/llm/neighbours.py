@@ -68,7 +68,8 @@ def counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     same[1:] = (codes[1:] == codes[:-1]) & (text[1:] == text[:-1])
     again = np.zeros(len(codes), np.int64)
     if len(codes) > 3:
-        run = codes[:-2] * 1_000_003 + codes[1:-1] * 10_007 + codes[2:]
+        _, two = np.unique(codes[:-2] * max(1, len(distinct)) + codes[1:-1], return_inverse=True)
+        run = two * max(1, len(distinct)) + codes[2:]
         order = np.lexsort((run, text[:-2]))
         repeated = (run[order][1:] == run[order][:-1]) & (text[:-2][order][1:] == text[:-2][order][:-1])
         again[order[1:][repeated]] = 1
@@ -159,9 +160,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], marks: np.ndarray) -> Voters:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Voters:
-    """Voters from at most about twice ``TRAIN_ROWS`` rows, one sample in which each mark has its share of the whole table; rows with crc32(doc_id) mod 5 = 0 aren't used.
+    """Voters from about twice ``TRAIN_ROWS`` rows, never more than twice as many: one sample in which each mark has its share of the whole table; rows with crc32(doc_id) mod 5 = 0 aren't used.
 
-    The driver gets the sample's hashed terms, a few MB by the bound on rows.
+    An id votes once: of rows that share it, the one with the smallest text. The driver gets the sample's hashed terms, a few MB by the bound on ids.
     """
     usable = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~share_of("doc_id", 5, 0))
     marks: dict[int, int] = {}
@@ -170,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Voters:
     sample = docs.sparkSession.createDataFrame(sorted(marks.items()), "marked_id long, quality int")
     rows = (
         docs.select(F.col("doc_id").cast("long"), "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= TRAIN_BYTES))
-        .join(F.broadcast(sample), F.col("doc_id") == F.col("marked_id")).select("doc_id", "text", "quality")
+        .join(F.broadcast(sample), F.col("doc_id") == F.col("marked_id")).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     )
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

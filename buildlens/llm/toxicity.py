@@ -164,7 +164,7 @@ def chain(x: np.ndarray, toxic: np.ndarray, fold: np.ndarray, terms: dict[str, i
 
 
 def _marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and toxic of the training sample. The marks that are joined are bounded in number, so they're broadcast."""
+    """doc_id, text and toxic of the training sample. The marks that are joined are bounded in number, so they're broadcast; an id that rows share teaches once, by its smallest text."""
     usable = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~share_of("doc_id", 5, 0))
     marks: dict[int, int] = {}
     for r in sorted(bounded(usable, None, 2 * TRAIN_ROWS).collect()):
@@ -172,7 +172,7 @@ def _marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sample = docs.sparkSession.createDataFrame(sorted(marks.items()), "marked_id long, toxic int")
     return (
         docs.select(F.col("doc_id").cast("long"), "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= TRAIN_BYTES))
-        .join(F.broadcast(sample), F.col("doc_id") == F.col("marked_id")).select("doc_id", "text", "toxic")
+        .join(F.broadcast(sample), F.col("doc_id") == F.col("marked_id")).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     )
 
 
