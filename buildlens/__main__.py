@@ -23,7 +23,7 @@ from .sources import hotspots as service
 def load(spark: SparkSession, base: str, project: str, dictionary: str | None) -> passes.Build:
     """A project's sources, binaries and traces as a build."""
     results = f"{base}/results/{project}"
-    src = trace.read_signatures(spark, [f"{results}/sources/{project}_src.json"]).withColumn("ord", F.monotonically_increasing_id())
+    src = trace.read_signatures(spark, [f"{results}/sources/{project}_src.json"])
     known = lists.read_path_hashes(spark, [f"{results}/sources/{project}_bin.json"])
     entries = lists.binary_entries(lists.read_binary_list(spark, [f"{results}/ext/binaries_in_bin.txt"]), known, project)
     bin_ = entries.select("path", trace.normpath(F.col("path")).alias("path_norm"), "hash").withColumn("ord", F.monotonically_increasing_id())

@@ -2,33 +2,28 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..cluster import saved
 from ..functions.paths import basename, normpath
+from .ranges import elements
 
-COMMANDS = "component_commands array<struct<id:bigint,command:array<string>,dependencies:string,output:string,modified:string>>"
-SIGNATURES = "directory string, signatures array<struct<path:string,hash:string,archive:int,parents_hash:string,parents_chain:array<string>>>"
+COMMAND = "id bigint, command array<string>, dependencies string, output string, modified string"
+SIGNATURE = "path string, hash string, archive int, parents_hash string, parents_chain array<string>"
 ENTRY = "struct<path:string,hash:string>"
 
 
-def read_documents(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """(file, doc, broken): each JSON file as one value; bytes that aren't UTF-8 become U+FFFD, control characters may stand in strings.
+def broken_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, broken) of trace files that can't be parsed, and why or where."""
+    return elements(spark, paths, "component_commands", COMMAND)[1]
 
-    ``broken`` is the beginning of a file that can't be parsed, cut off or not JSON; its doc is null.
-    """
-    text = F.make_valid_utf8("value")
-    options = {"allowUnquotedControlChars": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-    rows = spark.read.option("recursiveFileLookup", True).text(paths, wholetext=True)
-    rows = rows.select(F.col("_metadata.file_path").alias("file"), text.alias("text"), F.from_json(text, f"{schema}, _broken string", options).alias("doc"))
-    broken = F.col("doc").isNull() | F.col("doc._broken").isNotNull()
-    return rows.select("file", F.when(~broken, F.col("doc")).alias("doc"), F.when(broken, F.left("text", F.lit(200))).alias("broken"))
 
-
-def broken_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, broken) of trace files that can't be parsed."""
-    return read_documents(spark, paths, COMMANDS).filter("broken IS NOT NULL").select("file", "broken")
+def _whole(found: DataFrame, broken: DataFrame, what: str, strict: bool) -> DataFrame:
+    if strict and (first := broken.orderBy("file").first()):
+        raise PySparkException(f"unreadable {what}: {first.file}: {first.broken}")
+    return found
 
 
 def stripped(s: Column) -> Column:
@@ -51,12 +46,9 @@ def entries(raw: Column) -> Column:
 def read_commands(spark: SparkSession, paths: list[str], strict: bool = True) -> DataFrame:
     """(cmd_idx, file, id, command, dependencies, output, modified): commands of all files, by file name, then path, and place in it.
 
-    A file that can't be parsed fails the job with its name; unless ``strict`` it is left out, see ``broken_files``.
+    Files are read by ranges, see ``ranges``. One that can't be parsed is an error with its name; unless ``strict`` it is left out, see ``broken_files``.
     """
-    found = read_documents(spark, paths, COMMANDS)
-    if strict:
-        found = found.withColumn("doc", F.when(F.col("broken").isNotNull(), F.raise_error(F.concat(F.lit("unreadable trace: "), "file"))).otherwise(F.col("doc")))
-    rows = found.select("file", F.posexplode("doc.component_commands").alias("pos", "c"))
+    rows = _whole(*elements(spark, paths, "component_commands", COMMAND), "trace", strict)
     sizes = rows.groupBy("file").agg(F.count("*").alias("n"))
     return rows.join(placed(sizes), "file").select((F.col("before") + F.col("pos")).alias("cmd_idx"), "file", "c.*")
 
@@ -81,12 +73,12 @@ def edges(commands: DataFrame, column: str) -> DataFrame:
 
 
 def read_signatures(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, path_norm, hash, archive, parents_hash, chain) of all signature files; a blank hash is null. A file that can't be parsed fails the job."""
-    found = read_documents(spark, paths, SIGNATURES)
-    doc = F.when(F.col("broken").isNotNull(), F.raise_error(F.concat(F.lit("unreadable signatures: "), "file"))).otherwise(F.col("doc"))
-    rows = found.select(doc.alias("doc")).select(F.inline("doc.signatures"))
+    """(ord, path, path_norm, hash, archive, parents_hash, chain) of all signature files in their order; a blank hash is null. A file that can't be parsed is an error."""
+    rows = _whole(*elements(spark, paths, "signatures", SIGNATURE), "signatures", True)
+    sizes = rows.groupBy("file").agg(F.count("*").alias("n"))
+    rows = rows.join(placed(sizes), "file").select((F.col("before") + F.col("pos")).alias("ord"), "c.*")
     bare = stripped(F.col("hash"))
-    return rows.select("path", normpath(F.col("path")).alias("path_norm"), F.when(bare != "", bare).alias("hash"), "archive", "parents_hash", F.col("parents_chain").alias("chain"))
+    return rows.select("ord", "path", normpath(F.col("path")).alias("path_norm"), F.when(bare != "", bare).alias("hash"), "archive", "parents_hash", F.col("parents_chain").alias("chain"))
 
 
 def shipped_sets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:
