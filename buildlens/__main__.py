@@ -70,7 +70,7 @@ def analyze(spark: SparkSession, base: str, project: str, dictionary: str | None
 
 def sign(spark: SparkSession, base: str, project: str) -> None:
     for side in ("src", "bin"):
-        found = files.signatures(files.walk(spark, f"{base}/unpacked/{project}/{side}"), project, side)
+        found = files.signatures(trace.saved(files.digests(spark, f"{base}/unpacked/{project}/{side}")), project, side)
         sinks.write_signatures(found, sinks.versioned(spark, f"{base}/results/{project}/sources/{project}_{side}.json"), f"{project}/{side}")
 
 

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import adapters
-from .cluster import table
+from . import adapters, versioned
+from .cluster import shared_folder, table
 from .functions import archives as A
 from .functions import packages as K
 from .functions import paths as P
 from .functions import text as X
 from .operators import naming
 from .plans import binaries, hotspots, languages, packages, passes, runs, signatures, summaries, tools
+from .sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -209,23 +211,12 @@ def package_role_counts(spark, sf_dir):
     return tools.package_roles(_found(spark, sf_dir))
 
 
-@query(f"""{W}, {_FOUND} SELECT package, path, CASE WHEN bool_or(role = 'OUTPUT') AND bool_or(role = 'INPUT') THEN 'intermediate' WHEN bool_or(role = 'OUTPUT') THEN 'built' ELSE 'external' END AS likely,
+@query(f"""{W}, {_FOUND} SELECT package, path, CASE WHEN bool_or(role = 'OUTPUT') AND bool_or(role = 'INPUT') THEN 'external_built or compiled_from_src' WHEN bool_or(role = 'OUTPUT') THEN 'external_prebuilt or untraced_from_src' ELSE 'external_prebuilt' END AS likely,
   count(*) AS matches FROM found GROUP BY package, path""")
 def package_role_category(spark, sf_dir):
     return tools.likely_origin(_found(spark, sf_dir), "package", "path")
 
 
-@query(f"""{W}, target AS (SELECT min(hash) AS h FROM out) SELECT 'dependencies' AS section, cmd_idx, path FROM dep, target WHERE hash = h
-  UNION ALL SELECT 'output', cmd_idx, path FROM out, target WHERE hash = h""")
-def trace_by_hash(spark, sf_dir):
-    b = _build(spark, sf_dir)
-    target = F.broadcast(b.out.agg(F.min("hash").alias("hash")))  # one row
-    return (
-        b.dep.join(target, "hash").select(F.lit("dependencies").alias("section"), "cmd_idx", "path")
-        .union(b.out.join(target, "hash").select(F.lit("output").alias("section"), "cmd_idx", "path"))
-    )
-
-
 _DISK = r"coalesce(nullif(regexp_extract(path, '^(?:[^/]*/)*?(?:src|bin)/([^/]*)', 1), ''), 'unknown')"
 
 
@@ -260,19 +251,60 @@ def report_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", X.report_text(F.col("text"), 100).alias("shown"))
 
 
-_CYRILLIC, _LATIN = "".join(X.ONE), "".join(X.ONE.values())
+_LETTERS = (
+    "а:a б:b в:v г:g д:d е:e ё:e ж:zh з:z и:i й:y к:k л:l м:m н:n о:o п:p р:r с:s т:t у:u ф:f х:kh ц:ts ч:ch ш:sh щ:sch ъ: ы:y ь: э:e ю:yu я:ya А:A Б:B В:V Г:G Д:D Е:E Ё:E Ж:ZH З:Z И:I Й:Y К:K Л:L М:M "
+    "Н:N О:O П:P Р:R С:S Т:T У:U Ф:F Х:KH Ц:TS Ч:CH Ш:SH Щ:SCH Ъ: Ы:Y Ь: Э:E Ю:YU Я:YA"
+)
+_WORDS = "Отдел Щёлк ЁЛКА съешь же ещё этих мягких французских булок да выпей чаю ХЦЧШЪЫЬЭЮЯЖ"
 
 
-@query(rf"""WITH t AS (SELECT doc_id, upper(translate(lower(name), '{_CYRILLIC}', '{_LATIN}')) AS t FROM (SELECT doc_id, source || ' Отдел ' || lang || '__№' || doc_id || '.tar' AS name FROM documents))
+@query(rf"""WITH letters AS (SELECT split_part(x, ':', 1) AS k, split_part(x, ':', 2) AS v FROM (SELECT unnest(string_split('{_LETTERS}', ' ')) AS x)),
+known AS (SELECT map(list(k), list(v)) AS m FROM letters),
+t AS (SELECT doc_id, upper(list_aggregate(list_transform(string_split(name, ''), lambda c: coalesce(m[c], c)), 'string_agg', '')) AS t FROM (SELECT doc_id, source || ' {_WORDS} ' || lang || '__№' || doc_id || '.tar' AS name FROM documents), known)
 SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(t, ' ', '_'), '[^A-Z0-9_.-]', '', 'g'), '_+', '_', 'g'), '^_|_$', '', 'g') AS name FROM t""")
 def translit(spark, sf_dir):
-    name = F.concat("source", F.lit(" Отдел "), "lang", F.lit("__№"), F.col("doc_id").cast("string"), F.lit(".tar"))
+    name = F.concat("source", F.lit(f" {_WORDS} "), "lang", F.lit("__№"), F.col("doc_id").cast("string"), F.lit(".tar"))
     return table(spark, sf_dir, "documents").select("doc_id", X.transliterate(name).alias("name"))
 
 
+_TAILS = (".tar.gz", ".tar.bz2", ".TAR.XZ", ".tar.zst", ".tar.Z", ".tar.lz4", ".tar.lzma", ".lz4", ".gz", ".c++", ".C", "", "./x", ".tar")
+
+
+@query(rf"""WITH p AS (SELECT doc_id, 'a.b/' || doc_id || list_extract({list(_TAILS)}, 1 + (doc_id % {len(_TAILS)})::INT) AS path FROM documents), n AS (SELECT *, lower(regexp_extract(path, '([^/]*)$', 1)) AS low FROM p)
+SELECT doc_id, CASE WHEN regexp_matches(low, '\.tar\.z$') THEN '.tar.Z' WHEN regexp_matches(low, '\.tar\.(gz|bz2|xz|zst|lz4|lzma)$') THEN regexp_extract(low, '(\.tar\.[^.]*)$', 1)
+  WHEN contains(low, '.') THEN regexp_extract(low, '(\.[^.]*)$', 1) ELSE 'no_extension' END AS ext FROM n""")
+def profiler_extension(spark, sf_dir):
+    ending = F.element_at(F.array(*map(F.lit, _TAILS)), (1 + F.col("doc_id") % len(_TAILS)).cast("int"))
+    path = F.concat(F.lit("a.b/"), F.col("doc_id").cast("string"), ending)
+    return table(spark, sf_dir, "documents").select("doc_id", P.shell_extension(path).alias("ext"))
+
+
+@query("""WITH p AS (SELECT source, 'x/' || doc_id || list_extract(['.c++', '.h', '.C', '.py', '.cpp', '.rsx'], 1 + (length(source) % 3 + doc_id % 2 * 3)::INT) AS path FROM documents)
+SELECT source, bool_or(ends_with(path, '.c') OR ends_with(path, '.h')) AS c, bool_or(ends_with(path, '.c++') OR ends_with(path, '.h++') OR ends_with(path, '.cpp')) AS cpp,
+  bool_or(ends_with(path, '.py') OR ends_with(path, '.pyw')) AS python, bool_or(ends_with(path, '.rs')) AS rust FROM p GROUP BY source""")
+def language_flags(spark, sf_dir):
+    endings = F.array(*map(F.lit, (".c++", ".h", ".C", ".py", ".cpp", ".rsx")))
+    ending = F.element_at(endings, (1 + F.length("source") % 3 + F.col("doc_id") % 2 * 3).cast("int"))
+    rows = table(spark, sf_dir, "documents").select("source", F.concat(F.lit("x/"), F.col("doc_id").cast("string"), ending).alias("path"))
+    return files.languages_by(rows, {"c": (".c", ".h"), "cpp": (".c++", ".h++", ".cpp"), "python": (".py", ".pyw"), "rust": (".rs",)}, "source")
+
+
 _STEM = "regexp_replace(lower(regexp_extract({}, '([^/]*)$', 1)), '\\.py[co]?$', '')"
 
 
+@query(f"""{W}, target AS (SELECT min(hash) AS h FROM out), met AS (SELECT 'dependencies' AS section, cmd_idx, path, hash FROM dep UNION ALL SELECT 'output', cmd_idx, path, hash FROM out)
+SELECT m.cmd_idx, CASE WHEN c.line = '' THEN '?' ELSE c.tool END AS tool, m.section, m.path FROM met m JOIN cmd c USING (cmd_idx), target
+WHERE m.hash = h OR {_STEM.format('m.path')} = 'p12.o'""")
+def trace_by_hash(spark, sf_dir):
+    b = _build(spark, sf_dir)
+    listed = F.to_json(F.array_sort(F.collect_list(F.struct("pos", "path", "hash"))))
+    commands = b.cmd.select("cmd_idx", F.col("cmd_idx").alias("id"), F.col("argv").alias("command"))
+    for section, edges in (("dependencies", b.dep), ("output", b.out)):
+        commands = commands.join(edges.groupBy("cmd_idx").agg(listed.alias(section)), "cmd_idx", "left")
+    commands = commands.withColumn("modified", F.lit(None).cast("string"))
+    return tools.find_file(commands, b.out.agg(F.min("hash")).first()[0], "p12.o").select("cmd_idx", "tool", "section", "path")
+
+
 @query(f"{W}, s AS (SELECT ord, {_STEM.format('path')} AS stem FROM sig) SELECT stem, count(*) AS files, min(ord) AS first_ord FROM s GROUP BY stem")
 def stem_match(spark, sf_dir):
     return _build(spark, sf_dir).src.groupBy(P.stem(F.col("path")).alias("stem")).agg(F.count("*").alias("files"), F.min("ord").alias("first_ord"))
@@ -326,7 +358,13 @@ def durations(spark, sf_dir):
 
 @query("""SELECT user_id, event_type AS status, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
 def run_status(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by(F.struct("event_type", "ts"), F.struct("ts", "event_id")).alias("e")).select("user_id", F.col("e.event_type").alias("status"), F.col("e.ts").alias("ts"))
+    """Two writes to a table of runs, in which the newer event of a user stays whichever comes first."""
+    events = table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("status"), "ts", F.struct("ts", "event_id").alias("at"))
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    known = versioned.VersionedTable(spark, f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/runs-{uuid.uuid4().hex}", kind)
+    for part in (F.col("status") >= "n", ~F.coalesce(F.col("status") >= "n", F.lit(False))):
+        known.upsert(events.filter(part), "user_id", newest="at")
+    return known.load().drop("at")
 
 
 @query("SELECT event_type AS status, count(*) AS runs FROM events GROUP BY 1")

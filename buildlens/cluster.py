@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import urllib.parse
 import uuid
 import zipfile
 
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
@@ -38,6 +40,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of its store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+
+
+def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The store (local, S3, GCS, HDFS) of a path as Spark writes it, with a scheme and nothing escaped, and the path within it; for tasks that read or write files themselves."""
+    if path.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pyarrow.fs.FileSystem.from_uri(urllib.parse.quote(path, safe="/:@"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, for tables between steps.
 

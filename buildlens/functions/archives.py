@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ SAFE = (
 
 def pattern(endings: tuple[str, ...]) -> str:
     """Pattern of names with one of the endings."""
-    return "(" + "|".join(x.replace(".", r"\.") for x in endings) + ")$"
+    return "(" + "|".join(map(re.escape, endings)) + ")$"
 
 
 def _first(cases) -> Column:

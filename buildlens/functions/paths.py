@@ -147,5 +147,5 @@ def stem(p: Column) -> Column:
 def shell_extension(p: Column) -> Column:
     """Extension as the profiler counts it: compound tar endings first, else from the last dot; no dot gives no_extension."""
     n = basename(p)
-    tar = F.regexp_extract(F.lower(n), r"(\.tar\.(gz|bz2|xz|z|zst|lzma))$", 1)
+    tar = F.regexp_extract(F.lower(n), r"(\.tar\.(gz|bz2|xz|zst|z|lz4|lzma))$", 1)
     return F.when(tar == ".tar.z", ".tar.Z").when(tar != "", tar).when(~n.contains("."), "no_extension").otherwise(F.lower(F.regexp_extract(n, r"(\.[^.]*)$", 1)))

@@ -8,9 +8,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Latin for Cyrillic letters, one to one and one to many.
-ONE = dict(zip("абвгдезийклмнопрстуфыэ", "abvgdeziyklmnoprstufye", strict=True))
-MANY = {"ё": "yo", "ж": "zh", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ь": "", "ю": "yu", "я": "ya"}
+# Latin for Cyrillic letters.
+LATIN = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "e", "ж": "zh", "з": "z", "и": "i", "й": "y", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o",
+    "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "sch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "yu", "я": "ya",
+}
 
 
 def hash_key(h: Column) -> Column:
@@ -21,9 +23,11 @@ def hash_key(h: Column) -> Column:
 
 def transliterate(s: Column) -> Column:
     """Upper-case file name of A-Z, digits, dot, hyphen and single underscores."""
-    t = F.translate(F.lower(s), "".join(ONE), "".join(ONE.values()))
-    for k, v in MANY.items():
-        t = F.replace(t, F.lit(k), F.lit(v))
+    one = {k: v for k, v in LATIN.items() if len(v) == 1}
+    t = F.translate(F.lower(s), "".join(one), "".join(one.values()))
+    for k, v in LATIN.items():
+        if len(v) != 1:
+            t = F.replace(t, F.lit(k), F.lit(v))
     t = F.regexp_replace(F.replace(F.upper(t), F.lit(" "), F.lit("_")), "[^A-Z0-9_.-]", "")
     return F.regexp_replace(F.regexp_replace(t, "_+", "_"), "^_|_$", "")
 

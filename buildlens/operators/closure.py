@@ -27,8 +27,8 @@ def good_commands(dep: DataFrame, out: DataFrame, bin_: DataFrame) -> DataFrame:
     """cmd_idx of commands that lead to the distribution: those with an output in it, and producers of their inputs, to the fixpoint.
 
     A round goes from new commands to the keys that they read and from these to the commands that write
-    them, so it costs the edges of new commands, never their pairs of readers and writers. Edges are
-    written once, and each round only its new commands.
+    them, never to their pairs of readers and writers. It scans all edges, which are written once as commands and
+    keys; what it shuffles further and writes are those of its new commands.
     """
     spark = dep.sparkSession
     reads, makes = saved(command_keys(dep)), saved(command_keys(out))

@@ -94,8 +94,8 @@ def unpack(files: DataFrame, every: bool = False, skip: str | None = None) -> tu
     """(files, log) after all archives among ``files`` (path, content), and those within them, are unpacked.
 
     files: (path, content) of the given files and all members. log: (path, event, detail), event unpacked
-    (detail: the method), failed (the errors of all methods), too_small, or skipped for a path that matches
-    ``skip``. Jars stay packed unless ``every``. Each level is written before the next.
+    (detail: the method), failed (the errors of all methods), too_small, skipped for a path that matches
+    ``skip``, or too_deep for an archive within ``LEVELS`` others. Jars stay packed unless ``every``. Each level is written before the next.
     """
     level = saved(files.select("path", "content"))
     all_files, logs = [level], []
@@ -115,4 +115,7 @@ def unpack(files: DataFrame, every: bool = False, skip: str | None = None) -> tu
         logs.append(made.filter("error IS NOT NULL").select(F.col("archive").alias("path"), F.lit("failed").alias("event"), F.col("error").alias("detail")))
         level = made.filter("path IS NOT NULL").select("path", "content")
         all_files.append(level)
+    else:  # what is still packed is told
+        deep = level.filter(archives.kind(F.col("path"), every) == "archive")
+        logs.append(deep.select("path", F.lit("too_deep").alias("event"), F.lit(f"beyond {LEVELS} levels").alias("detail")))
     return reduce(DataFrame.union, all_files), reduce(DataFrame.union, logs)

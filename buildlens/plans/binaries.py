@@ -244,9 +244,12 @@ def filtered_dependencies(b: Build, fourth: DataFrame) -> DataFrame:
     p = F.col("path")
     built = fourth.filter("category = 'external_built'").select(hash_key(F.col("hash")).alias("key"), "ord", "path", "hash")
     last = built.groupBy("key").agg(F.max_by(F.struct("ord", "path", "hash"), "ord").alias("file"))
-    allowed = b.dep.filter(paths.is_system(p) | paths.is_allowed(p)).groupBy("cmd_idx", "path").agg(F.min_by(F.struct(F.coalesce("hash", F.lit("")).alias("hash")), "pos").alias("first"))
-    commands = _keyed(b.out).select("cmd_idx", "key").distinct().join(last.select("key"), "key").join(allowed.select("cmd_idx").distinct(), "cmd_idx", "left_semi")
-    chosen = commands.groupBy("key").agg(F.max("cmd_idx").alias("cmd_idx")).join(last, "key")
+    makers = saved(_keyed(b.out).select("cmd_idx", "key").distinct().join(last.select("key"), "key"))
+    # inputs of the commands that made one of the files, not of all
+    own = saved(b.dep.filter(paths.is_system(p) | paths.is_allowed(p)).join(makers.select("cmd_idx").distinct(), "cmd_idx", "left_semi").select("cmd_idx", "pos", "path", "hash"))
+    last_made = makers.join(own.select("cmd_idx").distinct(), "cmd_idx", "left_semi").groupBy("key").agg(F.max("cmd_idx").alias("cmd_idx"))
+    chosen = last_made.join(last, "key")
+    allowed = own.join(last_made.select("cmd_idx").distinct(), "cmd_idx", "left_semi").groupBy("cmd_idx", "path").agg(F.min_by(F.struct(F.coalesce("hash", F.lit("")).alias("hash")), "pos").alias("first"))
     reason = F.when(F.lower(paths.splitext(F.col("dep_path"))).isin(".h", ".hpp", ".hxx"), "header").otherwise("system_path")
     rows = chosen.join(allowed.withColumnRenamed("path", "dep_path"), "cmd_idx")
     return rows.select("file.*", "dep_path", F.col("first.hash").alias("dep_hash"), reason.alias("reason"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import saved
+from ..versioned import VersionedTable
+
 RUN = (
     "project_name string, project_key string, server_url string, source_path string, languages_analyzed array<string>, languages_excluded array<string>, status string, "
     "analyzed_at timestamp, dashboard_url string, depth_exclusion string, error_message string, hotspots_status string, hotspots_exported_at timestamp"
@@ -35,6 +38,18 @@ def with_results(known: DataFrame, results: DataFrame) -> DataFrame:
     return known.join(results.select("project_name"), "project_name", "left_anti").unionByName(new.select(known.columns))
 
 
+def record(spark: SparkSession, folder: str, results: DataFrame) -> int:
+    """Writes new results back to the table of runs in a folder, beside other writers; see ``with_results``. Returns the table's version."""
+    results = saved(results)
+    return VersionedTable(spark, folder, RUN).change(lambda known: with_results(known, results))
+
+
+def record_states(spark: SparkSession, folder: str, states: DataFrame, state: str, at: str, done: str, also: str | None = None) -> int:
+    """Writes new states back to the table of runs in a folder, see ``with_states``."""
+    states = saved(states)
+    return VersionedTable(spark, folder, RUN).change(lambda known: with_states(known, states, state, at, done, also))
+
+
 def with_states(known: DataFrame, states: DataFrame, state: str, at: str, done: str, also: str | None = None) -> DataFrame:
     """Runs after new states (project_name, state, at): column ``state`` is set, ``at`` only with the state ``done``; projects that aren't known are left out.
 

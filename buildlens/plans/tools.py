@@ -73,10 +73,14 @@ def package_roles(matches: DataFrame) -> DataFrame:
     return matches.groupBy("package", "role", "tool", "path").agg(F.count("*").alias("matches"))
 
 
+# Likely classes by how a file was met.
+LIKELY = {"written": "external_prebuilt or untraced_from_src", "read": "external_prebuilt", "both": "external_built or compiled_from_src"}
+
+
 def likely_origin(matches: DataFrame, *by: str) -> DataFrame:
-    """(by, likely, matches): intermediate if it was read and written, built if only written, external if only read."""
+    """(by, likely, matches): the classes of pass 4 that are likely for a file that was read and written, only written, or only read."""
     has = lambda r: F.bool_or(F.col("role") == r)
-    likely = F.when(has("OUTPUT") & has("INPUT"), "intermediate").when(has("OUTPUT"), "built").otherwise("external")
+    likely = F.when(has("OUTPUT") & has("INPUT"), LIKELY["both"]).when(has("OUTPUT"), LIKELY["written"]).otherwise(LIKELY["read"])
     return matches.groupBy(*by).agg(likely.alias("likely"), F.count("*").alias("matches"))
 
 

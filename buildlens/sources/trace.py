@@ -11,6 +11,8 @@ from ..functions.paths import basename, normpath
 from .ranges import elements
 
 COMMAND = "id bigint, command array<string>, dependencies string, output string, modified string"
+#: The array of a trace, for readers of whole small files.
+COMMANDS = f"component_commands array<struct<{COMMAND}>>"
 SIGNATURE = "path string, hash string, archive int, parents_hash string, parents_chain array<string>"
 ENTRY = "struct<path:string,hash:string>"
 
