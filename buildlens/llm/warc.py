@@ -21,10 +21,10 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..cluster import opened, qualified
 from .store import saved
 from .text import trimmed
 
@@ -201,19 +201,9 @@ def members(source, target, level: int = 6) -> Iterator[tuple[int, int, dict[str
 # ---- normalising
 
 
-def _opened(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
-
-
-def qualified(spark: SparkSession, folder: str) -> str:
-    """The folder with the scheme of its store."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
-
-
 def _normalised(source: str, folder: str, level: int, strict: bool) -> tuple[str, int, int, str | None]:
-    store, place = _opened(source)
-    target, base = _opened(folder)
+    store, place = opened(source)
+    target, base = opened(folder)
     target.create_dir(base)
     name = f"{source.rstrip('/').rpartition('/')[2].partition('.')[0]}-{hashlib.sha1(source.encode()).hexdigest()[:12]}.warc.gz"
     archive, index = f"{base}/{name}", f"{base}/{name}.index.jsonl"
@@ -303,7 +293,7 @@ def read(spark: SparkSession, folder: str, payload: bool = True, types: tuple[st
                     if archive != opened:
                         if file:
                             file.close()
-                        store, place = _opened(archive)
+                        store, place = opened(archive)
                         opened, file = archive, store.open_input_file(place)
                     out.append(parsed(file.read_at(length, offset), payload))
                     volume += out[-1]["payload_bytes"] or 0 if payload else 200

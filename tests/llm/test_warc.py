@@ -79,12 +79,12 @@ def test_archives_of_others(spark, tmp_path):
     given = [record("warcinfo", b"software: x"), record("resource", b"abc" * 9, "page:7", "WARC-Target-URI: a\r\n b\r\n"), record("metadata", b""), record("response", b"no head", "urn")]
     os.makedirs(tmp_path / "in" / "deep")
     (tmp_path / "in" / "deep" / "whole.warc.gz").write_bytes(gzip.compress(b"".join(given)))
-    (tmp_path / "in" / "members.warc.gz").write_bytes(b"".join(map(gzip.compress, given)))
+    (tmp_path / "in" / "mémbers 1.warc.gz").write_bytes(b"".join(map(gzip.compress, given)))
     (tmp_path / "in" / "none.warc.gz").write_bytes(gzip.compress(b""))
     (tmp_path / "in" / "zero.warc.gz").write_bytes(b"")
     (tmp_path / "in" / "notes.txt").write_bytes(b"no archive")
     found = {os.path.basename(r.source): r for r in warc.normalise(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
-    assert {n: r.records for n, r in found.items()} == {"whole.warc.gz": 4, "members.warc.gz": 4, "none.warc.gz": 0}
+    assert {n: r.records for n, r in found.items()} == {"whole.warc.gz": 4, "mémbers 1.warc.gz": 4, "none.warc.gz": 0}
     got = warc.read(spark, str(tmp_path / "out")).collect()
     assert sorted((r.record_type, r.page_id, bytes(r.payload), r.target_uri) for r in got if r.record_type == "resource") == [("resource", 7, b"abc" * 9, "a b")] * 2
     assert sum(r.record_type == "response" and r.page_id is None for r in got) == 2
