@@ -285,16 +285,16 @@ def read(spark: SparkSession, folder: str, payload: bool = True, types: tuple[st
     spots = index.repartitionByRange(max(1, size // TASK_BYTES, spark.sparkContext.defaultParallelism), "archive", "offset").sortWithinPartitions("archive", "offset")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened, file = None, None
+        last, file = None, None
         try:
             for batch in batches:
                 out, volume = [], 0
                 for archive, offset, length in zip(*(batch.column(c).to_pylist() for c in ("archive", "offset", "length")), strict=True):
-                    if archive != opened:
+                    if archive != last:
                         if file:
                             file.close()
                         store, place = opened(archive)
-                        opened, file = archive, store.open_input_file(place)
+                        last, file = archive, store.open_input_file(place)
                     out.append(parsed(file.read_at(length, offset), payload))
                     volume += out[-1]["payload_bytes"] or 0 if payload else 200
                     if volume > CHUNK:
