@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sinks
+from .cluster import clear_saved
 from .functions.paths import basename
 from .operators import unpack
 from .plans import binaries, hotspots, packages, passes, summaries, tools
@@ -20,39 +21,78 @@ from .sources import files, lists, trace
 from .sources import hotspots as service
 
 
+def _build(src: DataFrame, bin_: DataFrame, commands: DataFrame, by: list[str], roles: passes.Roles) -> passes.Build:
+    """A build whose tables are written once, and its commands parsed once, whatever reads them."""
+    saved, commands = trace.saved, trace.saved(commands)
+    bin_ = bin_.select(*by, "path", trace.normpath(F.col("path")).alias("path_norm"), "hash").withColumn("ord", F.monotonically_increasing_id())
+    cmd = commands.select(*by, "cmd_idx", tools.tool_of(F.col("command")).alias("tool"), F.col("command").alias("argv"))
+    return passes.Build(saved(src), saved(bin_), cmd, saved(trace.edges(commands, "dependencies")), saved(trace.edges(commands, "output")), roles)
+
+
+def _roles(spark: SparkSession, dictionary: str | None) -> passes.Roles:
+    return passes.roles_of(lists.read_tools(spark, dictionary)) if dictionary else passes.Roles()
+
+
 def load(spark: SparkSession, base: str, project: str, dictionary: str | None) -> passes.Build:
     """A project's sources, binaries and traces as a build."""
     results = f"{base}/results/{project}"
     src = trace.read_signatures(spark, [f"{results}/sources/{project}_src.json"])
     known = lists.read_path_hashes(spark, [f"{results}/sources/{project}_bin.json"])
     entries = lists.binary_entries(lists.read_binary_list(spark, [f"{results}/ext/binaries_in_bin.txt"]), known, project)
-    bin_ = entries.select("path", trace.normpath(F.col("path")).alias("path_norm"), "hash").withColumn("ord", F.monotonically_increasing_id())
-    commands = trace.read_commands(spark, [f"{base}/builds/{project}"], strict=False)
-    cmd = commands.select("cmd_idx", tools.tool_of(F.col("command")).alias("tool"), F.col("command").alias("argv"))
-    roles = passes.roles_of(lists.read_tools(spark, dictionary)) if dictionary else passes.Roles()
-    saved = trace.saved
-    return passes.Build(saved(src), saved(bin_), saved(cmd), saved(trace.edges(commands, "dependencies")), saved(trace.edges(commands, "output")), roles)
+    return _build(src, entries, trace.read_commands(spark, [f"{base}/builds/{project}"], strict=False), [], _roles(spark, dictionary))
 
 
-def analyze(spark: SparkSession, base: str, project: str, dictionary: str | None, by_disk: bool, keep: bool, trust_java: bool) -> None:
-    """Passes 1 to 4, and 5 with ``by_disk``: every class as JSON and text, packages and a summary in a run's folder."""
-    began = time.monotonic()
-    b = load(spark, base, project, dictionary)
-    folder = sinks.run_folder(spark, f"{base}/results/{project}/reports", keep)
-    good = passes.good(b)
+def load_all(spark: SparkSession, base: str, dictionary: str | None, only: list[str] | None = None) -> passes.Build:
+    """All projects' sources, binaries and traces as one build with a project column; ``only`` some of them. A trace that can't be parsed is left out."""
+    def project(folder: str, file: F.Column) -> F.Column:
+        return F.regexp_extract(file, rf"/{folder}/([^/]+)/", 1)
+
+    def chosen(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("project").isin(only)) if only else df
+
+    results, at = f"{base}/results/*", project("results", F.col("_metadata.file_path"))
+    src = trace.read_signatures(spark, [f"{results}/sources/*_src.json"]).withColumn("project", project("results", F.col("file")))
+    src = src.filter(F.col("file").endswith(F.concat(F.lit("/"), "project", F.lit("_src.json"))))  # not earlier versions
+    hashes = lists.read_path_hashes(spark, [f"{results}/sources/*_bin.json"], F.when(F.col("_metadata.file_path").endswith(F.concat(F.lit("/"), at, F.lit("_bin.json"))), at)).filter("project IS NOT NULL")
+    entries = lists.binary_entries(lists.read_binary_list(spark, [f"{results}/ext/binaries_in_bin.txt"], at), hashes)
+    commands = trace.read_commands(spark, [f"{base}/builds/*"], strict=False).withColumn("project", project("builds", F.col("file")))
+    return _build(chosen(src), chosen(entries), chosen(commands), ["project"], _roles(spark, dictionary))
+
+
+def classified(b: passes.Build, trust_java: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Passes 1 to 4: (classes, commands of executed files, content of packages), each written once; by project where the build has several."""
+    by, good = b.by, passes.good(b)
     second = summaries.with_redundant(passes.pass2(b, passes.pass1(b), good))
     third = trace.saved(passes.pass3(b, good))
     written = passes.pass3_outputs(b, good, third)
-    executed = passes.executed_commands(b, third).select("path", "hash", F.to_json("commands").alias("commands"))
+    executed = passes.executed_commands(b, third).select(*by, "path", "hash", F.to_json("commands").alias("commands"))
     scanned = binaries.scan(b)
     fourth = trace.saved(binaries.pass4(b, binaries.apt_containers(b), scanned=scanned))
     content = trace.saved(binaries.all_package_content(fourth, packages.package_index(b)))
-    rest = fourth.filter("category <> 'apt_package_content'").join(content.select("path", "hash").distinct(), ["path", "hash"], "left_anti")
+    rest = fourth.filter("category <> 'apt_package_content'").join(content.select(*by, "path", "hash").distinct(), [*by, "path", "hash"], "left_anti")
     if trust_java:
-        trusted = binaries.trusted_java(b, fourth, scanned).filter("category = 'compiled_from_src'").select("ord", F.lit("compiled_from_src").alias("trusted"))
-        rest = rest.join(trusted, "ord", "left").withColumn("category", F.coalesce("trusted", "category"))
-    classes = second.union(third.select("path", "hash", "category")).union(written.select("path", "hash", "category")).union(rest.select("path", "hash", "category"))
-    classes = trace.saved(classes.union(content.select("path", "hash", F.lit("external_package_content"))))
+        trusted = binaries.trusted_java(b, fourth, scanned).filter("category = 'compiled_from_src'").select(*by, "ord", F.lit("compiled_from_src").alias("trusted"))
+        rest = rest.join(trusted, [*by, "ord"], "left").withColumn("category", F.coalesce("trusted", "category"))
+    columns = [*by, "path", "hash", "category"]
+    classes = second.select(columns).union(third.select(columns)).union(written.select(columns)).union(rest.select(columns))
+    return trace.saved(classes.union(content.select(*by, "path", "hash", F.lit("external_package_content")))), executed, content
+
+
+def together(spark: SparkSession, base: str, only: list[str] | None, dictionary: str | None, trust_java: bool) -> None:
+    """Passes 1 to 4 of all projects in one plan: below ``together`` classes and package content as JSON lines by project, and sums by project, section and class."""
+    classes, executed, content = classified(load_all(spark, base, dictionary, only), trust_java)
+    commands = executed.withColumn("category", F.lit("executed"))
+    sinks.write_categories(classes.join(commands, ["project", "category", "path", "hash"], "left"), f"{base}/together/classes")
+    content.write.mode("overwrite").partitionBy("project").json(f"{base}/together/package_content")
+    summaries.rollup(classes).write.mode("overwrite").json(f"{base}/together/summary")
+
+
+def analyze(spark: SparkSession, base: str, project: str, dictionary: str | None, by_disk: bool, keep: bool, trust_java: bool) -> None:
+    """Passes 1 to 4, and 5 with ``by_disk``: every class as JSON and text, packages and a summary in a run's folder."""
+    began = time.monotonic()
+    b = load(spark, base, project, dictionary)
+    folder = sinks.run_folder(spark, f"{base}/results/{project}/reports", keep)
+    classes, executed, content = classified(b, trust_java)
     reports = {}
     for r in classes.select("category").distinct().orderBy("category").collect():  # the classes of the passes
         own = classes.filter(F.col("category") == r.category).drop("category")
@@ -110,6 +150,7 @@ def arguments() -> argparse.ArgumentParser:
     own.add_argument("-t", "--tools", help="dictionary of tools (YAML)")
     own.add_argument("-d", "--by-disk", action="store_true")
     own.add_argument("-k", "--keep", action="store_true", help="keep earlier runs")
+    own.add_argument("--together", action="store_true", help="all projects in one plan, results as folders")
     own.add_argument("--trust-java", action=argparse.BooleanOptionalAction, default=True)
     add("sign", "signatures of unpacked files")
     add("profile", "extensions and binaries").add_argument("--no-rewrite", action="store_true")
@@ -163,8 +204,12 @@ def run(spark: SparkSession, a: argparse.Namespace, project: str) -> None:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = arguments().parse_args(argv)
+    own = spark is None
     spark = spark or SparkSession.builder.appName(f"buildlens {a.command}").getOrCreate()
     roots = {"unpack": "src", "sign": "unpacked", "profile": "unpacked", "hotspots": "results", "analyze": "results"}
+    if a.command == "analyze" and a.together:
+        together(spark, a.base, a.project, a.tools, a.trust_java)
+        return 0
     failed = []
     for project in a.project or files.projects(spark, f"{a.base}/{roots.get(a.command, 'builds')}"):
         try:
@@ -172,6 +217,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         except Exception as wrong:  # noqa: BLE001  the other projects still run
             print(f"{project}: {wrong}", file=sys.stderr)
             failed.append(project)
+        if own:  # a session that is given may still read its tables
+            clear_saved(spark)
     return int(bool(failed))
 
 

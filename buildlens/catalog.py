@@ -657,6 +657,58 @@ def external_inputs(spark, sf_dir):
     return rows.filter(~F.col("dep_path").rlike(r"\.so(\.\d+)*$")).select("ord", "path", "hash", "dep_path", "dep_hash").distinct()
 
 
+_TRANSITIVE = f"""m5 AS (SELECT o.cmd_idx, o.key FROM o4 o JOIN cmd c USING (cmd_idx) WHERE c.tool IN {_MAKERS}),
+e5 AS (SELECT DISTINCT m.key, d.key AS used FROM m5 m JOIN d4 d USING (cmd_idx) WHERE d.bucket = 'intermediate'),
+s5 AS (SELECT DISTINCT m.key, p.path AS dep_path, p.hash AS dep_hash FROM m5 m JOIN d4 d USING (cmd_idx) JOIN dep p ON p.cmd_idx = d.cmd_idx AND p.path = d.path AND right(p.hash, 16) = d.key WHERE d.bucket = 'suspicious'),
+w1 AS (SELECT DISTINCT right(hash, 16) AS key, right(hash, 16) AS node FROM p4 WHERE category = 'external_built'),
+{", ".join(f"w{k} AS (SELECT DISTINCT w.key, e.used AS node FROM w{k - 1} w JOIN e5 e ON e.key = w.node)" for k in _STEPS if k > 1)},
+x5 AS (SELECT DISTINCT w.key, s.dep_path, s.dep_hash FROM ({" UNION ".join(f"SELECT key, node FROM w{k}" for k in _STEPS)}) w JOIN s5 s ON s.key = w.node)"""
+
+
+@query(f"{W}, {_PASS4.replace(_TAINTED, _REACHED)}, {_TRANSITIVE} SELECT p.ord, p.path, p.hash, x.dep_path, x.dep_hash FROM p4 p JOIN x5 x ON x.key = right(p.hash, 16) WHERE p.category = 'external_built' AND NOT {_ALIASED}")
+def external_inputs_transitive(spark, sf_dir):
+    """As ``external_inputs``, over up to three steps of made inputs."""
+    b = _build(spark, sf_dir)
+    scanned = binaries.scan(b)
+    rows = binaries.external_inputs(b, binaries.pass4(b, transitive=True, scanned=scanned), scanned, transitive=True)
+    return rows.filter(~F.col("dep_path").rlike(r"\.so(\.\d+)*$")).select("ord", "path", "hash", "dep_path", "dep_hash").distinct()
+
+
+def _projects(spark, sf_dir) -> passes.Build:
+    """Two projects with the same files; odd commands are of one, even ones of the other."""
+    b = _build(spark, sf_dir)
+    name = F.when(F.col("cmd_idx") % 2 == 1, "odd").otherwise("even").alias("project")
+    own = lambda df: df.select("*", name)
+    both = lambda df: df.select("*", F.explode(F.array(F.lit("odd"), F.lit("even"))).alias("project"))
+    return passes.Build(both(b.src), both(b.bin), own(b.cmd), own(b.dep), own(b.out), b.roles)
+
+
+_NAMED = "CASE WHEN cmd_idx % 2 = 1 THEN 'odd' ELSE 'even' END AS project"
+_BOTH = "(SELECT unnest(['odd', 'even']) AS project)"
+
+
+@query(f"""{W}, pool AS (SELECT {_NAMED}, hash FROM dep UNION SELECT {_NAMED}, hash FROM out)
+SELECT n.project, s.ord, s.path, CASE WHEN (n.project, s.hash) IN (SELECT (project, hash) FROM pool) THEN 'direct' WHEN (n.project, s.parent) IN (SELECT (project, hash) FROM pool) THEN 'parent'
+  WHEN s.hash IN (SELECT hash FROM bin) THEN 'untraced_in_distrib' ELSE 'redundant' END AS category FROM sig s, {_BOTH} n WHERE {_IS_SOURCE}""")
+def projects_pass1(spark, sf_dir):
+    return passes.pass1(_projects(spark, sf_dir)).select("project", "ord", "path", "category")
+
+
+@query(f"""{W}, good AS (SELECT {_NAMED}, cmd_idx FROM out WHERE hash IN (SELECT hash FROM bin) OR path IN (SELECT path FROM bin)
+  UNION SELECT g.project, o.cmd_idx FROM good g JOIN dep d ON d.cmd_idx = g.cmd_idx JOIN out o ON (o.hash = d.hash OR o.path = d.path) AND o.cmd_idx % 2 = g.cmd_idx % 2) SELECT * FROM good""")
+def projects_good_commands(spark, sf_dir):
+    return passes.good(_projects(spark, sf_dir)).select("project", "cmd_idx")
+
+
+@query(f"""{W}, {_PASS1}, k AS (SELECT split_part(path, '/', 4) AS project, CASE WHEN category = 'untraced_in_distrib' THEN 'other' ELSE 'source' END AS section, category FROM p1),
+sums AS (SELECT project, section, category, count(*) AS files, GROUPING_ID(project, section, category) AS level FROM k GROUP BY ROLLUP (project, section, category))
+SELECT s.project, s.section, s.category, s.files, round(100.0 * s.files / a.files, 4)::DOUBLE AS percent FROM sums s LEFT JOIN sums a ON a.level > 0 AND a.level = CASE s.level WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 7 END
+  AND (s.level = 3 OR s.level = 7 OR a.project = s.project) AND (s.level > 0 OR a.section = s.section)""")
+def projects_rollup(spark, sf_dir):
+    rows = passes.pass1(_build(spark, sf_dir)).select(F.split("path", "/")[3].alias("project"), "category")
+    return summaries.rollup(rows)
+
+
 @query("""WITH w AS (SELECT page_id AS ord, 'd' || (page_id % 3) AS folder, 'n' || (page_id % 40) || CASE WHEN page_id % 41 = 0 THEN '_1' ELSE '' END AS name FROM pages),
 r AS (SELECT *, row_number() OVER (PARTITION BY folder, name ORDER BY ord) - 1 AS n FROM w),
 c AS (SELECT DISTINCT s.folder, s.name, s.name || '_' || k AS made, k FROM (SELECT DISTINCT folder, name FROM w) s, (SELECT unnest(generate_series(1, 200)) AS k)),

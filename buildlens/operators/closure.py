@@ -10,17 +10,23 @@ from pyspark.sql import functions as F
 from ..cluster import saved, shared_folder
 
 
+def scope(df: DataFrame) -> list[str]:
+    """The columns that keep projects apart: of a table with several projects ``project``, else none."""
+    return [c for c in ("project",) if c in df.columns]
+
+
 def by_hash_or_path(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` that match ``right`` by hash or by path: two equi semi-joins, as one join with OR would be a nested loop."""
-    h = left.join(right.select("hash").filter("hash IS NOT NULL").distinct(), "hash", "left_semi")
-    p = left.join(right.select("path_norm").filter("path_norm IS NOT NULL").distinct(), "path_norm", "left_semi")
+    """Rows of ``left`` that match ``right``, in their project, by hash or by path: two equi semi-joins, as one join with OR would be a nested loop."""
+    by = scope(left)
+    h = left.join(right.select(*by, "hash").filter("hash IS NOT NULL").distinct(), [*by, "hash"], "left_semi")
+    p = left.join(right.select(*by, "path_norm").filter("path_norm IS NOT NULL").distinct(), [*by, "path_norm"], "left_semi")
     return h.unionByName(p)
 
 
 def command_keys(edges: DataFrame) -> DataFrame:
     """(cmd_idx, key): hashes and normalised paths of the edges, as keys that can't meet each other."""
     keys = F.array(F.concat(F.lit("h"), "hash"), F.concat(F.lit("p"), "path_norm"))
-    return edges.select("cmd_idx", F.explode(keys).alias("key")).filter("key IS NOT NULL").distinct()
+    return edges.select(*scope(edges), "cmd_idx", F.explode(keys).alias("key")).filter("key IS NOT NULL").distinct()
 
 
 def good_commands(dep: DataFrame, out: DataFrame, bin_: DataFrame) -> DataFrame:
@@ -30,10 +36,10 @@ def good_commands(dep: DataFrame, out: DataFrame, bin_: DataFrame) -> DataFrame:
     them, never to their pairs of readers and writers. It scans all edges, which are written once as commands and
     keys; what it shuffles further and writes are those of its new commands.
     """
-    spark = dep.sparkSession
+    spark, by = dep.sparkSession, scope(dep)
     reads, makes = saved(command_keys(dep)), saved(command_keys(out))
     folder = f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    frontier = by_hash_or_path(out, bin_).select("cmd_idx").distinct()
+    frontier = by_hash_or_path(out, bin_).select(*by, "cmd_idx").distinct()
     kind = frontier.schema
     turn = 0
     while True:
@@ -42,6 +48,6 @@ def good_commands(dep: DataFrame, out: DataFrame, bin_: DataFrame) -> DataFrame:
         good = spark.read.schema(kind).parquet(*(f"{folder}/round={k}" for k in range(turn + 1)))
         if new.isEmpty():
             return good
-        keys = reads.join(new, "cmd_idx", "left_semi").select("key").distinct()
-        frontier = makes.join(keys, "key", "left_semi").select("cmd_idx").distinct().join(good, "cmd_idx", "left_anti")
+        keys = reads.join(new, [*by, "cmd_idx"], "left_semi").select(*by, "key").distinct()
+        frontier = makes.join(keys, [*by, "key"], "left_semi").select(*by, "cmd_idx").distinct().join(good, [*by, "cmd_idx"], "left_anti")
         turn += 1

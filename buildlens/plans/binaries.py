@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..cluster import saved
 from ..functions import packages, paths
 from ..functions.text import hash_key
+from ..operators.closure import scope
 from . import passes
 from .passes import Build
 
@@ -29,12 +30,13 @@ def _flag(df: DataFrame, name: str) -> DataFrame:
 def judged_inputs(b: Build, made: DataFrame) -> DataFrame:
     """(cmd_idx, path, hash, key, bucket) of inputs with a valid hash: system, src, resource, allowed, intermediate or suspicious, the first that holds."""
     p = F.col("path")
-    rows = _keyed(b.dep).join(_flag(_keyed(b.src).select("key"), "own"), "key", "left").join(_flag(made, "made"), "key", "left")
+    by = b.by
+    rows = _keyed(b.dep).join(_flag(_keyed(b.src).select(*by, "key"), "own"), [*by, "key"], "left").join(_flag(made, "made"), [*by, "key"], "left")
     bucket = (
         F.when(paths.is_system(p), "system").when(F.col("own"), "src").when(paths.is_resource(p), "resource").when(paths.is_allowed(p), "allowed")
         .when(F.col("made"), "intermediate").otherwise("suspicious")
     )
-    return rows.select("cmd_idx", "path", "hash", "key", bucket.alias("bucket"))
+    return rows.select(*by, "cmd_idx", "path", "hash", "key", bucket.alias("bucket"))
 
 
 @dataclass
@@ -58,31 +60,32 @@ def scan(b: Build) -> Scan:
 
     Keys that already have a suspicious input lead no further. Each round is written once.
     """
-    out = saved(_keyed(b.out).select("cmd_idx", "key").distinct())
-    made = out.select("key").distinct()
+    by = b.by
+    out = saved(_keyed(b.out).select(*by, "cmd_idx", "key").distinct())
+    made = out.select(*by, "key").distinct()
     deps = saved(judged_inputs(b, made))
     makers = passes.makers(b)
-    frontier = saved(_keyed(b.bin).select("key").distinct())
+    frontier = saved(_keyed(b.bin).select(*by, "key").distinct())
     commands, external = [], []
     for _ in range(ROUNDS):
-        touched = saved(out.join(frontier, "key").select("cmd_idx", "key"))
-        read = deps.join(touched, "cmd_idx", "left_semi")
-        suspicious = deps.filter("bucket = 'suspicious'").select("cmd_idx", "path", "hash")
-        found = touched.join(makers, "cmd_idx", "left_semi").withColumnRenamed("key", "bin_key").join(suspicious, "cmd_idx").drop("cmd_idx")
-        commands.append(touched.select("cmd_idx"))
+        touched = saved(out.join(frontier, [*by, "key"]).select(*by, "cmd_idx", "key"))
+        read = deps.join(touched, [*by, "cmd_idx"], "left_semi")
+        suspicious = deps.filter("bucket = 'suspicious'").select(*by, "cmd_idx", "path", "hash")
+        found = touched.join(makers, [*by, "cmd_idx"], "left_semi").withColumnRenamed("key", "bin_key").join(suspicious, [*by, "cmd_idx"]).drop("cmd_idx")
+        commands.append(touched.select(*by, "cmd_idx"))
         external.append(saved(found))
-        known = reduce(DataFrame.union, external).select(F.col("bin_key").alias("key"))
-        frontier = saved(read.filter("bucket = 'intermediate'").select("key").distinct().join(known, "key", "left_anti"))
+        known = reduce(DataFrame.union, external).select(*by, F.col("bin_key").alias("key"))
+        frontier = saved(read.filter("bucket = 'intermediate'").select(*by, "key").distinct().join(known, [*by, "key"], "left_anti"))
         if frontier.isEmpty():
             break
     touched = saved(reduce(DataFrame.union, commands).distinct())
-    seen = saved(deps.join(touched, "cmd_idx", "left_semi").select("key").distinct())
+    seen = saved(deps.join(touched, [*by, "cmd_idx"], "left_semi").select(*by, "key").distinct())
     return Scan(out, deps, made, seen, reduce(DataFrame.union, external), touched)
 
 
 def filter_statistics(s: Scan) -> DataFrame:
     """(bucket, inputs, percent): what the inputs of the commands on the way were judged to be, whole percents."""
-    counts = s.deps.join(s.touched, "cmd_idx", "left_semi").groupBy("bucket").agg(F.count("*").alias("inputs"))
+    counts = s.deps.join(s.touched, [*scope(s.deps), "cmd_idx"], "left_semi").groupBy("bucket").agg(F.count("*").alias("inputs"))
     total = counts.agg(F.sum("inputs").alias("total"))  # one row of at most six
     return counts.join(F.broadcast(total)).select("bucket", "inputs", F.expr("inputs * 100 div total").alias("percent"))
 
@@ -98,16 +101,16 @@ def pass4(b: Build, apt: DataFrame | None = None, transitive: bool = False, scan
     inputs count too, up to ``ROUNDS`` steps away. Whether a file is in the sources is told by its whole hash.
     """
     s = scanned or scan(b)
-    made, seen = s.made, s.seen
-    tainted = tainted_within(maker_edges(b, s)) if transitive else s.external.select("bin_key")
+    by, made, seen = b.by, s.made, s.seen
+    tainted = tainted_within(maker_edges(b, s)) if transitive else s.external.select(*by, "bin_key")
     p = F.col("path")
-    rows = b.bin.select("ord", "path", "hash").withColumns({"key": hash_key(F.col("hash")), "container": paths.container(p)})
+    rows = b.bin.select(*by, "ord", "path", "hash").withColumns({"key": hash_key(F.col("hash")), "container": paths.container(p)})
     rows = (
-        rows.join(_flag(made, "made"), "key", "left").join(_flag(seen, "seen"), "key", "left")
-        .join(_flag(tainted.select(F.col("bin_key").alias("key")), "tainted"), "key", "left")
-        .join(_flag(b.src.select("hash").filter("hash IS NOT NULL"), "own"), "hash", "left")
+        rows.join(_flag(made, "made"), [*by, "key"], "left").join(_flag(seen, "seen"), [*by, "key"], "left")
+        .join(_flag(tainted.select(*by, F.col("bin_key").alias("key")), "tainted"), [*by, "key"], "left")
+        .join(_flag(b.src.select(*by, "hash").filter("hash IS NOT NULL"), "own"), [*by, "hash"], "left")
     )
-    rows = rows.withColumn("loaded", F.lit(None).cast("boolean")) if apt is None else rows.join(_flag(apt.select("container"), "loaded"), "container", "left")
+    rows = rows.withColumn("loaded", F.lit(None).cast("boolean")) if apt is None else rows.join(_flag(apt.select(*by, "container"), "loaded"), [*by, "container"], "left")
 
     def by_source(yes: str, no: str) -> F.Column:
         return F.when(F.col("own"), yes).otherwise(no)
@@ -118,28 +121,28 @@ def pass4(b: Build, apt: DataFrame | None = None, transitive: bool = False, scan
         .when(F.col("made").isNull(), by_source("binaries_from_src", "external_prebuilt"))
         .when(F.col("tainted"), "external_built").otherwise(by_source("binaries_from_src", "compiled_from_src"))
     )
-    return rows.select("ord", "path", "hash", "container", category.alias("category"))
+    return rows.select(*by, "ord", "path", "hash", "container", category.alias("category"))
 
 
 def apt_containers(b: Build) -> DataFrame:
     """(container): names of .deb files that commands ``apt download`` wrote. ``cmd`` needs argv."""
-    loads = b.cmd.filter((F.col("tool") == "apt") & (F.try_element_at("argv", F.lit(2)) == "download")).select("cmd_idx")
+    loads = b.cmd.filter((F.col("tool") == "apt") & (F.try_element_at("argv", F.lit(2)) == "download")).select(*b.by, "cmd_idx")
     name = paths.basename(F.col("path"))
-    return b.out.join(loads, "cmd_idx", "left_semi").select(name.alias("container")).filter(F.lower("container").endswith(".deb")).distinct()
+    return b.out.join(loads, [*b.by, "cmd_idx"], "left_semi").select(*b.by, name.alias("container")).filter(F.lower("container").endswith(".deb")).distinct()
 
 
 def all_package_content(fourth: DataFrame, index: DataFrame) -> DataFrame:
     """(path, hash, package_type, container, source, command): untraced files in packages with their origin, and the content of packages that apt loaded."""
     from .packages import content_with_origin
 
-    loaded = fourth.filter("category = 'apt_package_content'").select("path", "hash", F.lit("deb").alias("package_type"), "container")
+    loaded = fourth.filter("category = 'apt_package_content'").select(*scope(fourth), "path", "hash", F.lit("deb").alias("package_type"), "container")
     return content_with_origin(package_content(fourth).unionByName(loaded), index)
 
 
 def package_content(fourth: DataFrame) -> DataFrame:
     """(path, hash, package_type, container) of untraced external files that lie in a package."""
-    rows = fourth.filter("category = 'untraced_external'").select("path", "hash", packages.package(F.col("path")).alias("p"))
-    return rows.select("path", "hash", "p.package_type", "p.container").filter("package_type IS NOT NULL")
+    rows = fourth.filter("category = 'untraced_external'").select(*scope(fourth), "path", "hash", packages.package(F.col("path")).alias("p"))
+    return rows.select(*scope(fourth), "path", "hash", "p.package_type", "p.container").filter("package_type IS NOT NULL")
 
 
 def by_disk(*tables: DataFrame) -> DataFrame:
@@ -157,11 +160,12 @@ def tainted_within(edges: DataFrame, hops: int = ROUNDS) -> DataFrame:
     ``edges``: (made, used, bucket), intermediate or suspicious. The walk goes from suspicious inputs
     towards outputs, so each round costs its edges, not products of outputs and all they reach.
     """
-    inner = edges.filter("bucket = 'intermediate'").select("made", "used")
-    reached = saved(edges.filter("bucket = 'suspicious'").select(F.col("made").alias("bin_key")).distinct())
+    by = scope(edges)
+    inner = edges.filter("bucket = 'intermediate'").select(*by, "made", "used")
+    reached = saved(edges.filter("bucket = 'suspicious'").select(*by, F.col("made").alias("bin_key")).distinct())
     for _ in range(hops - 1):
-        more = inner.join(reached.select(F.col("bin_key").alias("used")), "used", "left_semi").select(F.col("made").alias("bin_key")).distinct()
-        new = saved(more.join(reached, "bin_key", "left_anti"))
+        more = inner.join(reached.select(*by, F.col("bin_key").alias("used")), [*by, "used"], "left_semi").select(*by, F.col("made").alias("bin_key")).distinct()
+        new = saved(more.join(reached, [*by, "bin_key"], "left_anti"))
         if new.isEmpty():
             break
         reached = saved(reached.union(new))
@@ -170,16 +174,17 @@ def tainted_within(edges: DataFrame, hops: int = ROUNDS) -> DataFrame:
 
 def maker_edges(b: Build, s: Scan) -> DataFrame:
     """(made, used, bucket): keys of outputs and inputs of compiler and linker commands; inputs that need a source or an origin only."""
-    deps = s.deps.filter("bucket IN ('intermediate', 'suspicious')").select("cmd_idx", F.col("key").alias("used"), "bucket")
-    out = s.out.select("cmd_idx", F.col("key").alias("made")).join(passes.makers(b), "cmd_idx", "left_semi")
-    return saved(out.join(deps, "cmd_idx").drop("cmd_idx").distinct())
+    by = b.by
+    deps = s.deps.filter("bucket IN ('intermediate', 'suspicious')").select(*by, "cmd_idx", F.col("key").alias("used"), "bucket")
+    out = s.out.select(*by, "cmd_idx", F.col("key").alias("made")).join(passes.makers(b), [*by, "cmd_idx"], "left_semi")
+    return saved(out.join(deps, [*by, "cmd_idx"]).drop("cmd_idx").distinct())
 
 
 def suspicious_inputs(b: Build, fourth: DataFrame, scanned: Scan | None = None) -> DataFrame:
     """(ord, path, hash, dep_path) of external_built files: the suspicious inputs of direct mode, versions of one shared library as one."""
-    external = (scanned or scan(b)).external.select(F.col("bin_key").alias("key"), paths.so_base(F.col("path")).alias("dep_path")).distinct()
-    built = fourth.filter("category = 'external_built'").select("ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
-    return built.join(external, "key").drop("key")
+    external = (scanned or scan(b)).external.select(*b.by, F.col("bin_key").alias("key"), paths.so_base(F.col("path")).alias("dep_path")).distinct()
+    built = fourth.filter("category = 'external_built'").select(*b.by, "ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
+    return built.join(external, [*b.by, "key"]).drop("key")
 
 
 def external_inputs(b: Build, fourth: DataFrame, scanned: Scan | None = None, transitive: bool = False) -> DataFrame:
@@ -190,23 +195,24 @@ def external_inputs(b: Build, fourth: DataFrame, scanned: Scan | None = None, tr
     over made ones count too.
     """
     s = scanned or scan(b)
-    reach = s.external.select(F.col("bin_key").alias("key"), "path", "hash")
+    by = b.by
+    reach = s.external.select(*by, F.col("bin_key").alias("key"), "path", "hash")
     if transitive:
         edges = s.deps.filter("bucket IN ('intermediate', 'suspicious')")
-        made = s.out.join(passes.makers(b), "cmd_idx", "left_semi")
-        own = saved(made.join(edges.drop("key").filter("bucket = 'suspicious'").select("cmd_idx", "path", "hash"), "cmd_idx").select("key", "path", "hash").distinct())
-        inner = saved(made.join(edges.filter("bucket = 'intermediate'").select("cmd_idx", F.col("key").alias("used")), "cmd_idx").select("key", "used").distinct())
-        wanted = saved(fourth.filter("category = 'external_built'").select(hash_key(F.col("hash")).alias("key")).distinct())
-        at = wanted.select("key", F.col("key").alias("node"))
+        made = s.out.join(passes.makers(b), [*by, "cmd_idx"], "left_semi")
+        own = saved(made.join(edges.drop("key").filter("bucket = 'suspicious'").select(*by, "cmd_idx", "path", "hash"), [*by, "cmd_idx"]).select(*by, "key", "path", "hash").distinct())
+        inner = saved(made.join(edges.filter("bucket = 'intermediate'").select(*by, "cmd_idx", F.col("key").alias("used")), [*by, "cmd_idx"]).select(*by, "key", "used").distinct())
+        wanted = saved(fourth.filter("category = 'external_built'").select(*by, hash_key(F.col("hash")).alias("key")).distinct())
+        at = wanted.select(*by, "key", F.col("key").alias("node"))
         seen = [at]
         for _ in range(ROUNDS - 1):
-            further = at.join(inner.select(F.col("key").alias("node"), "used"), "node").select("key", F.col("used").alias("node")).distinct()
-            at = saved(further.join(reduce(DataFrame.union, seen), ["key", "node"], "left_anti"))
+            further = at.join(inner.select(*by, F.col("key").alias("node"), "used"), [*by, "node"]).select(*by, "key", F.col("used").alias("node")).distinct()
+            at = saved(further.join(reduce(DataFrame.union, seen), [*by, "key", "node"], "left_anti"))
             seen.append(at)
-        reach = reduce(DataFrame.union, seen).join(own.withColumnRenamed("key", "node"), "node").select("key", "path", "hash").distinct()
-    built = fourth.filter("category = 'external_built'").select("ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
-    rows = built.join(reach.select("key", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), "key")
-    return passes.with_aliases(rows, "ord", "path", "hash")
+        reach = reduce(DataFrame.union, seen).join(own.withColumnRenamed("key", "node"), [*by, "node"]).select(*by, "key", "path", "hash").distinct()
+    built = fourth.filter("category = 'external_built'").select(*by, "ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
+    rows = built.join(reach.select(*by, "key", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), [*by, "key"])
+    return passes.with_aliases(rows, *by, "ord", "path", "hash")
 
 
 def trusted_java(b: Build, fourth: DataFrame, scanned: Scan | None = None) -> DataFrame:
@@ -225,14 +231,15 @@ def trusted_java(b: Build, fourth: DataFrame, scanned: Scan | None = None) -> Da
         return F.split(stem(p), r"\$")[0]
 
     java = F.lower(paths.splitext(F.col("path"))) == ".java"
-    named = _flag(b.src.filter(java).select(stem(F.col("path")).alias("stem")), "named")
+    by = b.by
+    named = _flag(b.src.filter(java).select(*by, stem(F.col("path")).alias("stem")), "named")
     deps = suspicious_inputs(b, fourth, scanned).withColumn("class", F.lower(paths.splitext(F.col("dep_path"))) == ".class")
-    judged = deps.withColumn("stem", outer(F.col("dep_path"))).join(named, "stem", "left").withColumn("real", F.col("class") & F.col("named").isNull())
-    counts = judged.groupBy("ord", "path", "hash").agg(F.count_if("real").alias("real"), F.count_if(~F.col("real")).alias("removed"))
-    own = counts.withColumn("stem", outer(F.col("path"))).join(named, "stem", "left")
+    judged = deps.withColumn("stem", outer(F.col("dep_path"))).join(named, [*by, "stem"], "left").withColumn("real", F.col("class") & F.col("named").isNull())
+    counts = judged.groupBy(*by, "ord", "path", "hash").agg(F.count_if("real").alias("real"), F.count_if(~F.col("real")).alias("removed"))
+    own = counts.withColumn("stem", outer(F.col("path"))).join(named, [*by, "stem"], "left")
     trusted = F.coalesce(F.col("named"), F.lit(False)) & F.lower(F.col("path")).endswith(".class")
     category = F.when(trusted | (F.col("real") == 0), "compiled_from_src").otherwise("external_built")
-    return own.select("ord", "path", "hash", category.alias("category"), F.when(~trusted, F.col("removed")).alias("deps_removed"))
+    return own.select(*by, "ord", "path", "hash", category.alias("category"), F.when(~trusted, F.col("removed")).alias("deps_removed"))
 
 
 def filtered_dependencies(b: Build, fourth: DataFrame) -> DataFrame:
@@ -242,14 +249,15 @@ def filtered_dependencies(b: Build, fourth: DataFrame) -> DataFrame:
     counts once, by its first place. Of files with one hash only the last gets them.
     """
     p = F.col("path")
-    built = fourth.filter("category = 'external_built'").select(hash_key(F.col("hash")).alias("key"), "ord", "path", "hash")
-    last = built.groupBy("key").agg(F.max_by(F.struct("ord", "path", "hash"), "ord").alias("file"))
-    makers = saved(_keyed(b.out).select("cmd_idx", "key").distinct().join(last.select("key"), "key"))
+    by = b.by
+    built = fourth.filter("category = 'external_built'").select(*by, hash_key(F.col("hash")).alias("key"), "ord", "path", "hash")
+    last = built.groupBy(*by, "key").agg(F.max_by(F.struct("ord", "path", "hash"), "ord").alias("file"))
+    makers = saved(_keyed(b.out).select(*by, "cmd_idx", "key").distinct().join(last.select(*by, "key"), [*by, "key"]))
     # inputs of the commands that made one of the files, not of all
-    own = saved(b.dep.filter(paths.is_system(p) | paths.is_allowed(p)).join(makers.select("cmd_idx").distinct(), "cmd_idx", "left_semi").select("cmd_idx", "pos", "path", "hash"))
-    last_made = makers.join(own.select("cmd_idx").distinct(), "cmd_idx", "left_semi").groupBy("key").agg(F.max("cmd_idx").alias("cmd_idx"))
-    chosen = last_made.join(last, "key")
-    allowed = own.join(last_made.select("cmd_idx").distinct(), "cmd_idx", "left_semi").groupBy("cmd_idx", "path").agg(F.min_by(F.struct(F.coalesce("hash", F.lit("")).alias("hash")), "pos").alias("first"))
+    own = saved(b.dep.filter(paths.is_system(p) | paths.is_allowed(p)).join(makers.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").select(*by, "cmd_idx", "pos", "path", "hash"))
+    last_made = makers.join(own.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").groupBy(*by, "key").agg(F.max("cmd_idx").alias("cmd_idx"))
+    chosen = last_made.join(last, [*by, "key"])
+    allowed = own.join(last_made.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").groupBy(*by, "cmd_idx", "path").agg(F.min_by(F.struct(F.coalesce("hash", F.lit("")).alias("hash")), "pos").alias("first"))
     reason = F.when(F.lower(paths.splitext(F.col("dep_path"))).isin(".h", ".hpp", ".hxx"), "header").otherwise("system_path")
-    rows = chosen.join(allowed.withColumnRenamed("path", "dep_path"), "cmd_idx")
-    return rows.select("file.*", "dep_path", F.col("first.hash").alias("dep_hash"), reason.alias("reason"))
+    rows = chosen.join(allowed.withColumnRenamed("path", "dep_path"), [*by, "cmd_idx"])
+    return rows.select(*by, "file.*", "dep_path", F.col("first.hash").alias("dep_hash"), reason.alias("reason"))

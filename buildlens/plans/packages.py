@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import basename
+from ..operators.closure import scope
 from .passes import Build
 
-# Readable commands of package tools; pip3.5 and later as pip.
+# Readable commands of package tools.
 READABLE = {
-    "apt": "apt download", "apt-get": "apt-get install", "dpkg": "dpkg -i", "pip": "pip install", "pip2": "pip install", "pip3": "pip install", "npm": "npm install", "yarn": "yarn add",
+    "apt": "apt download", "apt-get": "apt-get install", "dpkg": "dpkg -i", "pip": "pip install", "pip2": "pip install", "pip3": "pip install", "pip3.5": "pip install", "pip3.6": "pip install",
+    "pip3.7": "pip install", "pip3.8": "pip install", "pip3.9": "pip install", "pip3.10": "pip install", "pip3.11": "pip install", "npm": "npm install", "yarn": "yarn add",
 }
 
 
@@ -22,21 +24,20 @@ def package_index(b: Build) -> DataFrame:
     """
     name = F.lower(basename(F.col("path")))
     kind = F.when(name.rlike(r"\.(deb|rpm)$"), "deb").when(name.endswith(".whl"), "pip")
-    made = b.out.filter(kind.isNotNull()).select("cmd_idx", "pos", "path", basename(F.col("path")).alias("container"), kind.alias("package_type"))
-    first = made.join(b.cmd.filter("tool IS NOT NULL").select("cmd_idx", "tool"), "cmd_idx").groupBy("container").agg(
-        F.min_by(F.struct("cmd_idx", "pos", "path", "package_type", "tool"), F.struct("cmd_idx", "pos")).alias("f")).select("container", "f.*")
-    deps = b.dep.filter("path IS NOT NULL").join(first.select("cmd_idx").distinct(), "cmd_idx", "left_semi").select("cmd_idx", F.col("pos").alias("dep_pos"), F.col("path").alias("dep_path"))
+    by = b.by
+    made = b.out.filter(kind.isNotNull()).select(*by, "cmd_idx", "pos", "path", basename(F.col("path")).alias("container"), kind.alias("package_type"))
+    first = made.join(b.cmd.filter("tool IS NOT NULL").select(*by, "cmd_idx", "tool"), [*by, "cmd_idx"]).groupBy(*by, "container").agg(
+        F.min_by(F.struct("cmd_idx", "pos", "path", "package_type", "tool"), F.struct("cmd_idx", "pos")).alias("f")).select(*by, "container", "f.*")
+    deps = b.dep.filter("path IS NOT NULL").join(first.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").select(*by, "cmd_idx", F.col("pos").alias("dep_pos"), F.col("path").alias("dep_path"))
     lower = F.lower("container")
     rank = F.when(F.lower(basename(F.col("dep_path"))) == lower, 0).when(F.contains(F.lower("dep_path"), F.substring_index(lower, "_", 1)), 1)
     source = (
-        first.select("cmd_idx", "container").join(deps, "cmd_idx").withColumn("rank", rank).filter("rank IS NOT NULL")
-        .groupBy("container").agg(F.min_by("dep_path", F.struct("rank", "dep_pos")).alias("source"))
+        first.select(*by, "cmd_idx", "container").join(deps, [*by, "cmd_idx"]).withColumn("rank", rank).filter("rank IS NOT NULL")
+        .groupBy(*by, "container").agg(F.min_by("dep_path", F.struct("rank", "dep_pos")).alias("source"))
     )
-    command = F.when(F.col("tool").rlike(r"^pip3\.([5-9]|1[01])$"), "pip install")
-    for tool, text in READABLE.items():
-        command = command.when(F.col("tool") == tool, text)
-    rows = first.join(source, "container", "left")
-    return rows.select("container", "package_type", F.coalesce("source", "path").alias("source"), command.otherwise(F.col("tool")).alias("command"), "cmd_idx", "pos")
+    command = F.coalesce(*(F.when(F.col("tool").isin(*(t for t, x in READABLE.items() if x == text)), text) for text in dict.fromkeys(READABLE.values())), F.col("tool"))
+    rows = first.join(source, [*by, "container"], "left")
+    return rows.select(*by, "container", "package_type", F.coalesce("source", "path").alias("source"), command.alias("command"), "cmd_idx", "pos")
 
 
 def content_with_origin(content: DataFrame, index: DataFrame) -> DataFrame:
@@ -45,15 +46,15 @@ def content_with_origin(content: DataFrame, index: DataFrame) -> DataFrame:
     Names are looked up inside wheels' names by the first three characters of every tail of these, so
     the lookup is a join on keys. Without a package the source is empty and the command its type.
     """
-    facts = F.struct("source", "command")
-    exact = content.join(index.select("container", facts.alias("exact")), "container", "left")
+    by, facts = scope(content), F.struct("source", "command")
+    exact = content.join(index.select(*by, "container", facts.alias("exact")), [*by, "container"], "left")
     low = F.lower("container")
-    wanted = content.filter("package_type = 'pip'").select(F.lower("container").alias("low")).filter("low <> ''").distinct().withColumn("gram", F.left("low", F.lit(3)))
+    wanted = content.filter("package_type = 'pip'").select(*by, F.lower("container").alias("low")).filter("low <> ''").distinct().withColumn("gram", F.left("low", F.lit(3)))
     tails = (
-        index.filter("package_type = 'pip'").select(low.alias("wheel"), "cmd_idx", "pos", facts.alias("facts"))
-        .select("*", F.explode(F.sequence(F.lit(1), F.length("wheel"))).alias("at")).select("cmd_idx", "pos", "facts", F.substr("wheel", "at").alias("tail"))
+        index.filter("package_type = 'pip'").select(*by, low.alias("wheel"), "cmd_idx", "pos", facts.alias("facts"))
+        .select("*", F.explode(F.sequence(F.lit(1), F.length("wheel"))).alias("at")).select(*by, "cmd_idx", "pos", "facts", F.substr("wheel", "at").alias("tail"))
         .select("*", F.explode(F.array(*(F.left("tail", F.lit(k)) for k in (1, 2, 3)))).alias("gram")).distinct()
     )
-    inside = wanted.join(tails, "gram").filter(F.col("tail").startswith(F.col("low"))).groupBy("low").agg(F.min_by("facts", F.struct("cmd_idx", "pos")).alias("inside"))
-    rows = exact.withColumn("low", F.when(F.col("package_type") == "pip", low)).join(inside, "low", "left").withColumn("from", F.coalesce("exact", "inside"))
-    return rows.select("path", "hash", "package_type", "container", F.coalesce("from.source", F.lit("")).alias("source"), F.coalesce("from.command", "package_type").alias("command"))
+    inside = wanted.join(tails, [*by, "gram"]).filter(F.col("tail").startswith(F.col("low"))).groupBy(*by, "low").agg(F.min_by("facts", F.struct("cmd_idx", "pos")).alias("inside"))
+    rows = exact.withColumn("low", F.when(F.col("package_type") == "pip", low)).join(inside, [*by, "low"], "left").withColumn("from", F.coalesce("exact", "inside"))
+    return rows.select(*by, "path", "hash", "package_type", "container", F.coalesce("from.source", F.lit("")).alias("source"), F.coalesce("from.command", "package_type").alias("command"))

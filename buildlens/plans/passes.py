@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
-from ..operators.closure import by_hash_or_path, good_commands
+from ..operators.closure import by_hash_or_path, good_commands, scope
 
 # Roles of tools where no dictionary is given.
 COMPILERS = ("gcc", "g++", "cc", "c++", "clang", "rustc", "javac", "go")
@@ -37,7 +37,11 @@ def roles_of(tools: DataFrame) -> Roles:
 
 @dataclass
 class Build:
-    """src, bin: (ord, path, path_norm, hash, chain); cmd: (cmd_idx, tool, argv); dep, out: (cmd_idx, pos, path, path_norm, hash)."""
+    """src, bin: (ord, path, path_norm, hash, chain); cmd: (cmd_idx, tool, argv); dep, out: (cmd_idx, pos, path, path_norm, hash).
+
+    With a column ``project`` in all of them they hold many projects: every pass then runs over all at once,
+    results have the column too, and nothing of one project meets another's files or commands.
+    """
 
     src: DataFrame
     bin: DataFrame
@@ -46,76 +50,81 @@ class Build:
     out: DataFrame
     roles: Roles = Roles()
 
+    @property
+    def by(self) -> list[str]:
+        """What keeps projects apart, see ``scope``."""
+        return scope(self.cmd)
+
 
 def with_tool(tools: tuple[str, ...], cmd: DataFrame) -> DataFrame:
     """cmd_idx of commands of these tools."""
-    return cmd.filter(F.col("tool").isin(*tools) if tools else F.lit(False)).select("cmd_idx")
+    return cmd.filter(F.col("tool").isin(*tools) if tools else F.lit(False)).select(*scope(cmd), "cmd_idx")
 
 
 def makers(b: Build) -> DataFrame:
     """cmd_idx of compilers and linkers; of all commands where the dictionary names neither."""
-    return with_tool(b.roles.makers, b.cmd) if b.roles.makers else b.cmd.select("cmd_idx")
+    return with_tool(b.roles.makers, b.cmd) if b.roles.makers else b.cmd.select(*b.by, "cmd_idx")
 
 
 def pool(b: Build) -> DataFrame:
     """Distinct hashes of the trace."""
-    return b.dep.select("hash").union(b.out.select("hash")).filter("hash IS NOT NULL").distinct()
+    return b.dep.select(*b.by, "hash").union(b.out.select(*b.by, "hash")).filter("hash IS NOT NULL").distinct()
 
 
 def pass1(b: Build) -> DataFrame:
     """(ord, path, hash, parent_hash, category) of source files: direct, parent, untraced_in_distrib or redundant."""
-    rows = b.src.filter(P.is_source(F.col("path")))
+    by, rows = b.by, b.src.filter(P.is_source(F.col("path")))
     traced = pool(b).withColumn("direct", F.lit(True))
     first = (
-        rows.select("ord", F.posexplode("chain").alias("pos", "link")).join(traced.select(F.col("hash").alias("link")), "link")
-        .groupBy("ord").agg(F.min_by("link", "pos").alias("parent_hash"))
+        rows.select(*by, "ord", F.posexplode("chain").alias("pos", "link")).join(traced.select(*by, F.col("hash").alias("link")), [*by, "link"])
+        .groupBy(*by, "ord").agg(F.min_by("link", "pos").alias("parent_hash"))
     )
-    shipped = b.bin.select("hash").filter("hash IS NOT NULL").distinct().withColumn("shipped", F.lit(True))
-    found = rows.join(traced, "hash", "left").join(first, "ord", "left").join(shipped, "hash", "left")
+    shipped = b.bin.select(*by, "hash").filter("hash IS NOT NULL").distinct().withColumn("shipped", F.lit(True))
+    found = rows.join(traced, [*by, "hash"], "left").join(first, [*by, "ord"], "left").join(shipped, [*by, "hash"], "left")
     category = F.when(F.col("direct"), "direct").when(F.col("parent_hash").isNotNull(), "parent").when(F.col("shipped"), "untraced_in_distrib").otherwise("redundant")
-    return found.select("ord", "path", "path_norm", "hash", F.when(F.col("direct").isNull(), F.col("parent_hash")).alias("parent_hash"), category.alias("category"))
+    return found.select(*by, "ord", "path", "path_norm", "hash", F.when(F.col("direct").isNull(), F.col("parent_hash")).alias("parent_hash"), category.alias("category"))
 
 
 def good(b: Build) -> DataFrame:
     """cmd_idx of good commands; without compilers those with an output in the distribution."""
-    return good_commands(b.dep, b.out, b.bin) if b.roles.compilers else by_hash_or_path(b.out, b.bin).select("cmd_idx").distinct()
+    return good_commands(b.dep, b.out, b.bin) if b.roles.compilers else by_hash_or_path(b.out, b.bin).select(*b.by, "cmd_idx").distinct()
 
 
 def compiler_inputs(b: Build, good_: DataFrame) -> DataFrame:
     """Distinct keys, hashes and paths alike, of what good compiler and linker commands read."""
-    cmds = with_tool(b.roles.makers, b.cmd).join(good_, "cmd_idx", "left_semi")
-    deps = b.dep.join(cmds, "cmd_idx", "left_semi")
-    return deps.select(F.explode(F.array("hash", "path_norm")).alias("key")).filter("key IS NOT NULL").distinct()
+    cmds = with_tool(b.roles.makers, b.cmd).join(good_, [*b.by, "cmd_idx"], "left_semi")
+    deps = b.dep.join(cmds, [*b.by, "cmd_idx"], "left_semi")
+    return deps.select(*b.by, F.explode(F.array("hash", "path_norm")).alias("key")).filter("key IS NOT NULL").distinct()
 
 
 def pass2(b: Build, first: DataFrame, good_: DataFrame) -> DataFrame:
     """Rows of pass 1 after the compiler check: compiled sources that no good command read become not_compiled; without compilers none does."""
     keys = compiler_inputs(b, good_).withColumn("read", F.lit(True))
     checked = (
-        first.join(keys.withColumnRenamed("key", "hash").withColumnRenamed("read", "by_hash"), "hash", "left")
-        .join(keys.withColumnRenamed("key", "path_norm").withColumnRenamed("read", "by_path"), "path_norm", "left")
+        first.join(keys.withColumnRenamed("key", "hash").withColumnRenamed("read", "by_hash"), [*b.by, "hash"], "left")
+        .join(keys.withColumnRenamed("key", "path_norm").withColumnRenamed("read", "by_path"), [*b.by, "path_norm"], "left")
     )
     unread = F.lit(bool(b.roles.compilers)) & F.col("category").isin("direct", "parent") & P.is_compiled(F.col("path")) & F.col("by_hash").isNull() & F.col("by_path").isNull()
-    return checked.select("ord", "path", "path_norm", "hash", "parent_hash", F.when(unread, F.col("category")).alias("source"), F.when(unread, "not_compiled").otherwise(F.col("category")).alias("category"))
+    return checked.select(*b.by, "ord", "path", "path_norm", "hash", "parent_hash", F.when(unread, F.col("category")).alias("source"), F.when(unread, "not_compiled").otherwise(F.col("category")).alias("category"))
 
 
 def interpreter_files(b: Build, edges: DataFrame) -> DataFrame:
     """First (cmd_idx, pos) for each interpreted file that interpreter commands read or wrote, by hash or else path."""
-    rows = edges.join(with_tool(b.roles.interpreters, b.cmd), "cmd_idx", "left_semi").filter(P.is_interpreted(F.col("path")))
-    by = Window.partitionBy(F.coalesce("hash", "path_norm")).orderBy("cmd_idx", "pos")
+    rows = edges.join(with_tool(b.roles.interpreters, b.cmd), [*b.by, "cmd_idx"], "left_semi").filter(P.is_interpreted(F.col("path")))
+    by = Window.partitionBy(*b.by, F.coalesce("hash", "path_norm")).orderBy("cmd_idx", "pos")
     return rows.withColumn("k", F.row_number().over(by)).filter("k = 1").drop("k")
 
 
 def pass3(b: Build, good_: DataFrame) -> DataFrame:
     """(ord, path, hash, category) of interpreted files: copied, compiled_unused, compiled_used, executed or not_used, the first that holds."""
     reads, writes = interpreter_files(b, b.dep), interpreter_files(b, b.out)
-    led = reads.join(good_.withColumn("good", F.lit(True)), "cmd_idx", "left")
+    led = reads.join(good_.withColumn("good", F.lit(True)), [*b.by, "cmd_idx"], "left")
     rows = b.src.filter(P.is_interpreted(F.col("path")) & F.lit(bool(b.roles.interpreters)))
 
     def flag(table: DataFrame, key: str, label: str, *value: F.Column) -> None:
         nonlocal rows
-        keyed = table.filter(F.col(key).isNotNull()).groupBy(key).agg(*(value or (F.lit(True).alias(label),)))
-        rows = rows.join(keyed, key, "left")
+        keyed = table.filter(F.col(key).isNotNull()).groupBy(*b.by, key).agg(*(value or (F.lit(True).alias(label),)))
+        rows = rows.join(keyed, [*b.by, key], "left")
 
     flag(b.bin, "hash", "bin_hash")
     flag(b.bin, "path_norm", "bin_path")
@@ -128,7 +137,7 @@ def pass3(b: Build, good_: DataFrame) -> DataFrame:
         F.when(F.col("bin_hash") | F.col("bin_path"), "copied").when(F.col("out_hash") | F.col("out_path"), "compiled_unused").when(leads, "compiled_used")
         .when(P.is_python(F.col("path")) & (F.col("in_hash") | F.col("in_path")), "executed").otherwise("not_used")
     )
-    return rows.select("ord", "path", "hash", category.alias("category"))
+    return rows.select(*b.by, "ord", "path", "hash", category.alias("category"))
 
 
 def executed_commands(b: Build, third: DataFrame) -> DataFrame:
@@ -137,13 +146,14 @@ def executed_commands(b: Build, third: DataFrame) -> DataFrame:
     Of each file that interpreters read only the first command counts. A file with a hash is looked up
     by it alone, so one that was met by its path only has no commands. ``cmd`` needs argv.
     """
-    reads = interpreter_files(b, b.dep).join(b.cmd.select("cmd_idx", F.array_join("argv", " ").alias("line")), "cmd_idx")
-    rows = third.filter("category = 'executed'").select("ord", "path", "hash", F.when(F.col("hash").isNull(), P.normpath(F.col("path"))).alias("path_norm"))
-    by_hash = rows.join(reads.select("hash", "cmd_idx", "line"), "hash").select("ord", "cmd_idx", "line")
-    by_path = rows.filter("hash IS NULL").join(reads.select("path_norm", "cmd_idx", "line"), "path_norm").select("ord", "cmd_idx", "line")
-    lines = by_hash.union(by_path).filter("line <> ''").groupBy("ord").agg(F.array_sort(F.collect_set(F.struct("cmd_idx", "line"))).alias("c"))
+    by = b.by
+    reads = interpreter_files(b, b.dep).join(b.cmd.select(*by, "cmd_idx", F.array_join("argv", " ").alias("line")), [*by, "cmd_idx"])
+    rows = third.filter("category = 'executed'").select(*by, "ord", "path", "hash", F.when(F.col("hash").isNull(), P.normpath(F.col("path"))).alias("path_norm"))
+    by_hash = rows.join(reads.select(*by, "hash", "cmd_idx", "line"), [*by, "hash"]).select(*by, "ord", "cmd_idx", "line")
+    by_path = rows.filter("hash IS NULL").join(reads.select(*by, "path_norm", "cmd_idx", "line"), [*by, "path_norm"]).select(*by, "ord", "cmd_idx", "line")
+    lines = by_hash.union(by_path).filter("line <> ''").groupBy(*by, "ord").agg(F.array_sort(F.collect_set(F.struct("cmd_idx", "line"))).alias("c"))
     commands = F.coalesce(F.array_distinct("c.line"), F.array().cast("array<string>"))
-    return rows.join(lines, "ord", "left").select("ord", "path", "hash", commands.alias("commands"))
+    return rows.join(lines, [*by, "ord"], "left").select(*by, "ord", "path", "hash", commands.alias("commands"))
 
 
 def pass3_outputs(b: Build, good_: DataFrame, third: DataFrame) -> DataFrame:
@@ -153,24 +163,26 @@ def pass3_outputs(b: Build, good_: DataFrame, third: DataFrame) -> DataFrame:
     by hash or path, or if its first reader, by hash or else by path, is a good command; else compiled_unused.
     """
     reads, writes = interpreter_files(b, b.dep), interpreter_files(b, b.out)
-    recorded = third.filter("category IN ('compiled_used', 'compiled_unused')").select(P.normpath(F.col("path")).alias("path_norm")).distinct()
-    first = writes.filter("path_norm IS NOT NULL").groupBy("path_norm").agg(F.min_by(F.struct("path", "hash"), F.struct("cmd_idx", "pos")).alias("f"))
-    rows = first.join(recorded, "path_norm", "left_anti").select("path_norm", "f.*")
-    led = reads.join(good_.withColumn("good", F.lit(True)), "cmd_idx", "left").withColumn("good", F.coalesce("good", F.lit(False)))
+    by = b.by
+    recorded = third.filter("category IN ('compiled_used', 'compiled_unused')").select(*by, P.normpath(F.col("path")).alias("path_norm")).distinct()
+    first = writes.filter("path_norm IS NOT NULL").groupBy(*by, "path_norm").agg(F.min_by(F.struct("path", "hash"), F.struct("cmd_idx", "pos")).alias("f"))
+    rows = first.join(recorded, [*by, "path_norm"], "left_anti").select(*by, "path_norm", "f.*")
+    led = reads.join(good_.withColumn("good", F.lit(True)), [*by, "cmd_idx"], "left").withColumn("good", F.coalesce("good", F.lit(False)))
     for key in ("hash", "path_norm"):
-        rows = rows.join(led.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max("good").alias(f"good_{key}")), key, "left")
-        rows = rows.join(b.bin.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(f"bin_{key}", F.lit(True)), key, "left")
+        rows = rows.join(led.filter(F.col(key).isNotNull()).groupBy(*by, key).agg(F.max("good").alias(f"good_{key}")), [*by, key], "left")
+        rows = rows.join(b.bin.select(*by, key).filter(F.col(key).isNotNull()).distinct().withColumn(f"bin_{key}", F.lit(True)), [*by, key], "left")
     used = F.coalesce("bin_hash", "bin_path_norm", "good_hash", "good_path_norm", F.lit(False))
-    return rows.select("path", "hash", F.when(used, "compiled_used").otherwise("compiled_unused").alias("category"))
+    return rows.select(*by, "path", "hash", F.when(used, "compiled_used").otherwise("compiled_unused").alias("category"))
 
 
 def external_dependencies(b: Build) -> DataFrame:
     """(bin_path, bin_hash, dep_path, dep_hash) of suspicious inputs of the compiler commands that made distribution files: not system, source, resource, allowed, or made by the build."""
-    made = b.out.join(b.bin.select(F.col("path").alias("bin_path"), "hash"), "hash").select("cmd_idx", "bin_path", F.col("hash").alias("bin_hash")).join(makers(b), "cmd_idx", "left_semi")
+    by = b.by
+    made = b.out.join(b.bin.select(*by, F.col("path").alias("bin_path"), "hash"), [*by, "hash"]).select(*by, "cmd_idx", "bin_path", F.col("hash").alias("bin_hash")).join(makers(b), [*by, "cmd_idx"], "left_semi")
     p = F.col("path")
     deps = b.dep.filter(F.col("hash").isNotNull() & ~P.is_system(p) & ~P.is_resource(p) & ~P.is_allowed(p))
-    deps = deps.join(b.src.select("hash").distinct(), "hash", "left_anti").join(b.out.select("hash").filter("hash IS NOT NULL").distinct(), "hash", "left_anti")
-    return made.join(deps.select("cmd_idx", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), "cmd_idx").select("bin_path", "bin_hash", "dep_path", "dep_hash").distinct()
+    deps = deps.join(b.src.select(*by, "hash").distinct(), [*by, "hash"], "left_anti").join(b.out.select(*by, "hash").filter("hash IS NOT NULL").distinct(), [*by, "hash"], "left_anti")
+    return made.join(deps.select(*by, "cmd_idx", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), [*by, "cmd_idx"]).select(*by, "bin_path", "bin_hash", "dep_path", "dep_hash").distinct()
 
 
 def with_aliases(deps: DataFrame, *by: str) -> DataFrame:
@@ -189,11 +201,11 @@ def with_aliases(deps: DataFrame, *by: str) -> DataFrame:
 
 def merged_aliases(deps: DataFrame) -> DataFrame:
     """External dependencies with versions of one shared library as one row, aliases joined by commas; see ``with_aliases``."""
-    return with_aliases(deps, "bin_path", "bin_hash").withColumn("aliases", F.array_join("aliases", ","))
+    return with_aliases(deps, *scope(deps), "bin_path", "bin_hash").withColumn("aliases", F.array_join("aliases", ","))
 
 
 def summary(category_rows: DataFrame) -> DataFrame:
-    """Files and percent by category."""
+    """Files and percent by category, of all rows; of many projects see ``summaries.rollup``."""
     counts = category_rows.groupBy("category").agg(F.count("*").alias("files"))
     total = category_rows.agg(F.count("*").alias("total"))  # one row
     return counts.join(F.broadcast(total)).select("category", "files", F.round(100.0 * F.col("files") / F.col("total"), 4).alias("percent"))

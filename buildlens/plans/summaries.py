@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.closure import scope
+
 # Classes of the passes that the totals add up.
 SOURCES = ("direct", "parent", "redundant")
 INTERPRETED = ("executed", "compiled_used", "compiled_unused", "copied", "not_used")
@@ -14,7 +16,7 @@ SPARE = ("redundant", "compiled_unused", "not_used")
 
 def with_redundant(second: DataFrame) -> DataFrame:
     """Rows of pass 2 by class, where a row that is not compiled is also redundant: (path, hash, category)."""
-    rows = second.select("path", "hash", "category")
+    rows = second.select(*scope(second), "path", "hash", "category")
     return rows.union(rows.filter("category = 'not_compiled'").withColumn("category", F.lit("redundant")))
 
 
@@ -40,6 +42,20 @@ def shares(rows: DataFrame) -> DataFrame:
     return known.join(F.broadcast(sums), "section").select("section", "category", "files", F.round(100.0 * F.col("files") / F.col("total"), 1).alias("percent"))
 
 
+def rollup(rows: DataFrame) -> DataFrame:
+    """(project, section, category, files, percent) over (project, category) rows of all passes, with sums: a null category is a project's section, a null section a project, a null project all.
+
+    percent is that of the next larger sum, four digits.
+    """
+    section = F.array_compact(F.array(*(F.when(F.col("category").isin(*names), s) for s, names in (("source", SOURCES), ("interpreted", INTERPRETED), ("binaries", BINARIES)))))
+    known = rows.select("project", F.coalesce(F.try_element_at(section, F.lit(1)), F.lit("other")).alias("section"), "category")
+    sums = known.rollup("project", "section", "category").agg(F.count("*").alias("files"), F.grouping_id().alias("level"))
+    above = sums.select(F.col("project").alias("p"), F.col("section").alias("s"), F.col("files").alias("whole"), F.col("level").alias("l")).filter("l > 0")  # a few rows a project
+    parent = F.when(F.col("level") == 0, 1).when(F.col("level") == 1, 3).otherwise(7)
+    same = (F.col("l") == parent) & F.col("p").eqNullSafe(F.when(F.col("level") < 3, F.col("project"))) & F.col("s").eqNullSafe(F.when(F.col("level") < 1, F.col("section")))
+    return sums.join(above, same, "left").select("project", "section", "category", "files", F.round(100.0 * F.col("files") / F.col("whole"), 4).alias("percent"))
+
+
 def packages(content: DataFrame) -> DataFrame:
     """(package_type, container, source, command, files_count, files) of package content (path, hash, package_type, container, source, command), a row a package.
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .functions.paths import disk
 from .functions.text import report_text
+from .operators.closure import scope
 
 
 def _system(spark: SparkSession, path: str):
@@ -113,13 +114,13 @@ def write_tsv(rows: DataFrame, path: str, category: str) -> str:
 
 
 def write_categories(rows: DataFrame, folder: str) -> None:
-    """All classes of (path, hash, category, ...) rows at once, as JSON lines by category: for results that no single file should hold."""
-    rows.write.mode("overwrite").partitionBy("category").json(folder)
+    """All classes of (path, hash, category, ...) rows at once, as JSON lines by category, of many projects also by project: for results that no single file should hold."""
+    rows.write.mode("overwrite").partitionBy(*scope(rows), "category").json(folder)
 
 
 def write_by_disk(rows: DataFrame, folder: str) -> None:
     """Pass 5: JSON lines by category and disk."""
-    rows.withColumn("disk", disk(F.col("path"))).write.mode("overwrite").partitionBy("category", "disk").json(folder)
+    rows.withColumn("disk", disk(F.col("path"))).write.mode("overwrite").partitionBy(*scope(rows), "category", "disk").json(folder)
 
 
 def write_packages(packages: DataFrame, path: str) -> str:

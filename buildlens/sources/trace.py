@@ -70,17 +70,18 @@ def placed(sizes: DataFrame) -> DataFrame:
 
 def edges(commands: DataFrame, column: str) -> DataFrame:
     """(cmd_idx, pos, path, path_norm, hash) of a file field of all commands."""
-    rows = commands.select("cmd_idx", F.posexplode(entries(F.col(column))).alias("pos", "f"))
-    return rows.select("cmd_idx", "pos", F.col("f.path").alias("path"), normpath(F.col("f.path")).alias("path_norm"), F.col("f.hash").alias("hash"))
+    by = [c for c in ("project",) if c in commands.columns]
+    rows = commands.select(*by, "cmd_idx", F.posexplode(entries(F.col(column))).alias("pos", "f"))
+    return rows.select(*by, "cmd_idx", "pos", F.col("f.path").alias("path"), normpath(F.col("f.path")).alias("path_norm"), F.col("f.hash").alias("hash"))
 
 
 def read_signatures(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(ord, path, path_norm, hash, archive, parents_hash, chain) of all signature files in their order; a blank hash is null. A file that can't be parsed is an error."""
+    """(ord, file, path, path_norm, hash, archive, parents_hash, chain) of all signature files in their order; a blank hash is null. A file that can't be parsed is an error."""
     rows = _whole(*elements(spark, paths, "signatures", SIGNATURE), "signatures", True)
     sizes = rows.groupBy("file").agg(F.count("*").alias("n"))
-    rows = rows.join(placed(sizes), "file").select((F.col("before") + F.col("pos")).alias("ord"), "c.*")
+    rows = rows.join(placed(sizes), "file").select((F.col("before") + F.col("pos")).alias("ord"), "file", "c.*")
     bare = stripped(F.col("hash"))
-    return rows.select("ord", "path", normpath(F.col("path")).alias("path_norm"), F.when(bare != "", bare).alias("hash"), "archive", "parents_hash", F.col("parents_chain").alias("chain"))
+    return rows.select("ord", "file", "path", normpath(F.col("path")).alias("path_norm"), F.when(bare != "", bare).alias("hash"), "archive", "parents_hash", F.col("parents_chain").alias("chain"))
 
 
 def shipped_sets(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, DataFrame]:

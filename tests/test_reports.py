@@ -244,6 +244,11 @@ def test_the_command_line(spark, tmp_path):
     read = lambda c: json.loads((at / f"P_{c}.json").read_text())["files"]
     assert [f["path"] for f in read("redundant")] == ["P/src/d1/b.c"] and [f["path"] for f in read("compiled_from_src")] == ["P/bin/x.deb/prog"]
     assert json.loads(read("executed")[0]["commands"]) == ["python3 t.py"] and "direct" in (at / "summary.txt").read_text() and (at / "by_disk").exists()
+    assert cli.main(["analyze", str(base), "--together"], spark) == 0
+    rows = spark.read.json(f"{base}/together/classes").collect()
+    assert {(r.project, r.category, r.path) for r in rows} >= {("P", "redundant", "P/src/d1/b.c"), ("P", "compiled_from_src", "P/bin/x.deb/prog")}
+    sums = {(r.project, r.section, r.category): r.files for r in spark.read.json(f"{base}/together/summary").collect()}
+    assert sums[None, None, None] == len(rows) == sums["P", None, None] and sums["P", "source", "redundant"] == 1
     for argv in (["search", str(base), "--tools", "gcc", "--packages", "a.c"], ["sample", str(base), "-n", "1"], ["trace", str(base), "-f", "t.py"]):
         assert cli.main(argv, spark) == 0
     assert cli.main(["analyze", str(base), "-p", "missing"], spark) == 1
