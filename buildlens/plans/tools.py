@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import basename, stem
 from ..functions.text import shown_command
+from ..operators.matching import holding
 from ..sources.trace import entries, stripped
 
 #: Stands for a command without words.
@@ -60,11 +61,9 @@ def tool_samples(cmd: DataFrame, n: int = 5, tools: list[str] | None = None) ->
 
 
 def package_matches(cmd: DataFrame, dep: DataFrame, out: DataFrame, patterns: list[str]) -> DataFrame:
-    """(package, role, tool, cmd_idx, path, hash): inputs and outputs whose path holds a pattern, whatever the case; a row for each pattern."""
-    low = F.lower("path")
-    hits = F.filter(F.array(*(F.when(low.contains(p.lower()), p) for p in patterns)), lambda p: p.isNotNull())
+    """(package, role, tool, cmd_idx, path, hash): inputs and outputs whose path holds a pattern, whatever the case; a row for each pattern, of which there may be many."""
     both = dep.select(F.lit("INPUT").alias("role"), "cmd_idx", "path", "hash").unionByName(out.select(F.lit("OUTPUT").alias("role"), "cmd_idx", "path", "hash"))
-    found = both.select(F.explode(hits).alias("package"), "role", "cmd_idx", "path", "hash")
+    found = holding(both, "path", patterns, "package")
     return found.join(cmd.select("cmd_idx", "tool"), "cmd_idx", "left").select("package", "role", "tool", "cmd_idx", "path", "hash")
 
 
