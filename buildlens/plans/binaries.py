@@ -12,6 +12,7 @@ from ..cluster import saved
 from ..functions import packages, paths
 from ..functions.text import hash_key
 from ..operators.closure import scope
+from ..operators.reach import members, numbered, reached
 from . import passes
 from .passes import Build
 
@@ -202,14 +203,10 @@ def external_inputs(b: Build, fourth: DataFrame, scanned: Scan | None = None, tr
         made = s.out.join(passes.makers(b), [*by, "cmd_idx"], "left_semi")
         own = saved(made.join(edges.drop("key").filter("bucket = 'suspicious'").select(*by, "cmd_idx", "path", "hash"), [*by, "cmd_idx"]).select(*by, "key", "path", "hash").distinct())
         inner = saved(made.join(edges.filter("bucket = 'intermediate'").select(*by, "cmd_idx", F.col("key").alias("used")), [*by, "cmd_idx"]).select(*by, "key", "used").distinct())
-        wanted = saved(fourth.filter("category = 'external_built'").select(*by, hash_key(F.col("hash")).alias("key")).distinct())
-        at = wanted.select(*by, "key", F.col("key").alias("node"))
-        seen = [at]
-        for _ in range(ROUNDS - 1):
-            further = at.join(inner.select(*by, F.col("key").alias("node"), "used"), [*by, "node"]).select(*by, "key", F.col("used").alias("node")).distinct()
-            at = saved(further.join(reduce(DataFrame.union, seen), [*by, "key", "node"], "left_anti"))
-            seen.append(at)
-        reach = reduce(DataFrame.union, seen).join(own.withColumnRenamed("key", "node"), [*by, "node"]).select(*by, "key", "path", "hash").distinct()
+        inputs = numbered(own.select(*by, "path", "hash").distinct(), *by, "path", "hash")
+        sets = reached(own.join(inputs, [*by, "path", "hash"]).select(*by, "key", "id"), inner, ROUNDS - 1, by)
+        wanted = fourth.filter("category = 'external_built'").select(*by, hash_key(F.col("hash")).alias("key")).distinct()
+        reach = members(sets.join(wanted, [*by, "key"], "left_semi")).join(inputs.select("id", "path", "hash"), "id").select(*by, "key", "path", "hash")
     built = fourth.filter("category = 'external_built'").select(*by, "ord", "path", "hash", hash_key(F.col("hash")).alias("key"))
     rows = built.join(reach.select(*by, "key", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), [*by, "key"])
     return passes.with_aliases(rows, *by, "ord", "path", "hash")
