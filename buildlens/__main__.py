@@ -12,7 +12,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sinks
+from . import sinks, sql
 from .cluster import clear_saved
 from .functions.paths import basename
 from .operators import unpack
@@ -59,8 +59,11 @@ def load_all(spark: SparkSession, base: str, dictionary: str | None, only: list[
     return _build(chosen(src), chosen(entries), chosen(commands), ["project"], _roles(spark, dictionary))
 
 
-def classified(b: passes.Build, trust_java: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Passes 1 to 4: (classes, commands of executed files, content of packages), each written once; by project where the build has several."""
+def classified(b: passes.Build, trust_java: bool) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, int]]:
+    """Passes 1 to 4: (classes, commands of executed files, content of packages, files by class); by project where the build has several.
+
+    Files are counted while the classes are written.
+    """
     by, good = b.by, passes.good(b)
     second = summaries.with_redundant(passes.pass2(b, passes.pass1(b), good))
     third = trace.saved(passes.pass3(b, good))
@@ -75,12 +78,13 @@ def classified(b: passes.Build, trust_java: bool) -> tuple[DataFrame, DataFrame,
         rest = rest.join(trusted, [*by, "ord"], "left").withColumn("category", F.coalesce("trusted", "category"))
     columns = [*by, "path", "hash", "category"]
     classes = second.select(columns).union(third.select(columns)).union(written.select(columns)).union(rest.select(columns))
-    return trace.saved(classes.union(content.select(*by, "path", "hash", F.lit("external_package_content")))), executed, content
+    rows, seen = summaries.observed(classes.union(content.select(*by, "path", "hash", F.lit("external_package_content"))))
+    return trace.saved(rows), executed, content, seen.get
 
 
 def together(spark: SparkSession, base: str, only: list[str] | None, dictionary: str | None, trust_java: bool) -> None:
     """Passes 1 to 4 of all projects in one plan: below ``together`` classes and package content as JSON lines by project, and sums by project, section and class."""
-    classes, executed, content = classified(load_all(spark, base, dictionary, only), trust_java)
+    classes, executed, content, _ = classified(load_all(spark, base, dictionary, only), trust_java)
     commands = executed.withColumn("category", F.lit("executed"))
     sinks.write_categories(classes.join(commands, ["project", "category", "path", "hash"], "left"), f"{base}/together/classes")
     content.write.mode("overwrite").partitionBy("project").json(f"{base}/together/package_content")
@@ -92,17 +96,17 @@ def analyze(spark: SparkSession, base: str, project: str, dictionary: str | None
     began = time.monotonic()
     b = load(spark, base, project, dictionary)
     folder = sinks.run_folder(spark, f"{base}/results/{project}/reports", keep)
-    classes, executed, content = classified(b, trust_java)
+    classes, executed, content, counts = classified(b, trust_java)
     reports = {}
-    for r in classes.select("category").distinct().orderBy("category").collect():  # the classes of the passes
-        own = classes.filter(F.col("category") == r.category).drop("category")
-        sinks.write_category_json(own.join(executed, ["path", "hash"], "left") if r.category == "executed" else own, f"{folder}/{project}_{r.category}.json", r.category)
-        reports[f"{project}_{r.category}.txt"] = (sinks.write_tsv(own, f"{folder}/{project}_{r.category}.txt", r.category), f"files of the class {r.category}")
+    for category in sorted(c for c, n in counts.items() if n and c != "rows"):
+        own = classes.filter(F.col("category") == category).drop("category")
+        sinks.write_category_json(own.join(executed, ["path", "hash"], "left") if category == "executed" else own, f"{folder}/{project}_{category}.json", category)
+        reports[f"{project}_{category}.txt"] = (sinks.write_tsv(own, f"{folder}/{project}_{category}.txt", category), f"files of the class {category}")
     sinks.write_packages(summaries.packages(content), f"{folder}/external_package_content.json")
     sinks.write_package_tsv(content, f"{folder}/external_package_content.txt")
     if by_disk:
         sinks.write_by_disk(classes.filter("category <> 'external_package_content'"), f"{folder}/by_disk")
-    lines = sinks.summary_lines(project, summaries.shares(classes).collect(), summaries.totals(classes).first(), time.strftime("%H:%M:%S", time.gmtime(time.monotonic() - began)))
+    lines = sinks.summary_lines(project, *summaries.summary_of(counts), time.strftime("%H:%M:%S", time.gmtime(time.monotonic() - began)))
     sinks.write_summary(spark, f"{folder}/summary.txt", lines)
     sinks.copy_reports(spark, reports, f"{folder}/summary")
     print("\n".join(lines))
@@ -164,6 +168,7 @@ def arguments() -> argparse.ArgumentParser:
     own.add_argument("--tools", nargs="*")
     own.add_argument("-n", type=int, default=5)
     own.add_argument("--tools-only", action="store_true")
+    add("sql", "a query over a project's tables and passes, which are views").add_argument("-q", "--query", required=True)
     own = add("trace", "commands that met a file")
     own.add_argument("-f", "--file")
     own.add_argument("--hash")
@@ -182,6 +187,9 @@ def run(spark: SparkSession, a: argparse.Namespace, project: str) -> None:
         profile(spark, a.base, project, not a.no_rewrite)
     elif a.command == "unpack":
         expand(spark, a.base, project, a.all, a.skip)
+    elif a.command == "sql":
+        sql.register(spark, load(spark, a.base, project, None))
+        show(spark.sql(a.query))
     elif a.command == "hotspots":
         sinks.write_xlsx(hotspots.report(service.read_service(spark, a.url, project), project), f"{a.out}/{project}.xlsx")
     else:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import ROUND_HALF_UP, Decimal
+
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from ..operators.closure import scope
@@ -12,6 +14,9 @@ SOURCES = ("direct", "parent", "redundant")
 INTERPRETED = ("executed", "compiled_used", "compiled_unused", "copied", "not_used")
 BINARIES = ("compiled_from_src", "binaries_from_src", "untraced_from_src", "external_built", "external_prebuilt", "untraced_external", "system_binaries", "external_package_content")
 SPARE = ("redundant", "compiled_unused", "not_used")
+SECTIONS = {"source": SOURCES, "interpreted": INTERPRETED, "binaries": BINARIES}
+#: Classes that no section has.
+OTHERS = ("not_compiled", "untraced_in_distrib", "apt_package_content")
 
 
 def with_redundant(second: DataFrame) -> DataFrame:
@@ -42,6 +47,24 @@ def shares(rows: DataFrame) -> DataFrame:
     return known.join(F.broadcast(sums), "section").select("section", "category", "files", F.round(100.0 * F.col("files") / F.col("total"), 1).alias("percent"))
 
 
+def observed(rows: DataFrame, name: str = "classes") -> tuple[DataFrame, Observation]:
+    """The rows, and the number of each class (and ``rows``, all of them) that is known once they are written: it costs no job of its own."""
+    seen = Observation(name)
+    classes = [c for names in (*SECTIONS.values(), OTHERS) for c in names]
+    return rows.observe(seen, F.count("*").alias("rows"), *(F.count_if(F.col("category") == c).alias(c) for c in dict.fromkeys(classes))), seen
+
+
+def summary_of(counts: dict[str, int]) -> tuple[list[Row], Row]:
+    """Rows of ``shares`` and the row of ``totals`` from the numbers of the classes, see ``observed``; a few numbers on the driver, no job."""
+    found = []
+    for section, names in SECTIONS.items():
+        whole = sum(counts.get(c, 0) for c in names)
+        found += [Row(section=section, category=c, files=counts[c], percent=float(Decimal(repr(100.0 * counts[c] / whole)).quantize(Decimal("0.1"), ROUND_HALF_UP))) for c in names if counts.get(c)]
+    add = lambda names: sum(counts.get(c, 0) for c in names)
+    source, interpreted, spare = add(SOURCES), add(INTERPRETED), add(SPARE)
+    return found, Row(total_source=source, total_interpreted=interpreted, total_all=source + interpreted, redundant_all=spare, used_all=source + interpreted - spare, total_binaries=add(BINARIES))
+
+
 def rollup(rows: DataFrame) -> DataFrame:
     """(project, section, category, files, percent) over (project, category) rows of all passes, with sums: a null category is a project's section, a null section a project, a null project all.
 

@@ -45,7 +45,8 @@ def build(spark, rows, project=None):
 
 
 def results(b):
-    classes, executed, content = classified(b, True)
+    classes, executed, content, counts = classified(b, True)
+    assert {r.category: r["count"] for r in classes.groupBy("category").count().collect()} == {c: n for c, n in counts.items() if n and c != "rows"} and counts["rows"] == classes.count()
     scanned = binaries.scan(b)
     fourth = binaries.pass4(b, scanned=scanned)
     return {

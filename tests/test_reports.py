@@ -249,6 +249,6 @@ def test_the_command_line(spark, tmp_path):
     assert {(r.project, r.category, r.path) for r in rows} >= {("P", "redundant", "P/src/d1/b.c"), ("P", "compiled_from_src", "P/bin/x.deb/prog")}
     sums = {(r.project, r.section, r.category): r.files for r in spark.read.json(f"{base}/together/summary").collect()}
     assert sums[None, None, None] == len(rows) == sums["P", None, None] and sums["P", "source", "redundant"] == 1
-    for argv in (["search", str(base), "--tools", "gcc", "--packages", "a.c"], ["sample", str(base), "-n", "1"], ["trace", str(base), "-f", "t.py"]):
+    for argv in (["sql", str(base), "-q", "SELECT * FROM files_of_class('redundant')"], ["search", str(base), "--tools", "gcc", "--packages", "a.c"], ["sample", str(base), "-n", "1"], ["trace", str(base), "-f", "t.py"]):
         assert cli.main(argv, spark) == 0
     assert cli.main(["analyze", str(base), "-p", "missing"], spark) == 1
