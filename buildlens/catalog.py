@@ -683,18 +683,18 @@ def _projects(spark, sf_dir) -> passes.Build:
     return passes.Build(both(b.src), both(b.bin), own(b.cmd), own(b.dep), own(b.out), b.roles)
 
 
-_NAMED = "CASE WHEN cmd_idx % 2 = 1 THEN 'odd' ELSE 'even' END AS project"
+_PROJECT = "CASE WHEN cmd_idx % 2 = 1 THEN 'odd' ELSE 'even' END AS project"
 _BOTH = "(SELECT unnest(['odd', 'even']) AS project)"
 
 
-@query(f"""{W}, pool AS (SELECT {_NAMED}, hash FROM dep UNION SELECT {_NAMED}, hash FROM out)
+@query(f"""{W}, pool AS (SELECT {_PROJECT}, hash FROM dep UNION SELECT {_PROJECT}, hash FROM out)
 SELECT n.project, s.ord, s.path, CASE WHEN (n.project, s.hash) IN (SELECT (project, hash) FROM pool) THEN 'direct' WHEN (n.project, s.parent) IN (SELECT (project, hash) FROM pool) THEN 'parent'
   WHEN s.hash IN (SELECT hash FROM bin) THEN 'untraced_in_distrib' ELSE 'redundant' END AS category FROM sig s, {_BOTH} n WHERE {_IS_SOURCE}""")
 def projects_pass1(spark, sf_dir):
     return passes.pass1(_projects(spark, sf_dir)).select("project", "ord", "path", "category")
 
 
-@query(f"""{W}, good AS (SELECT {_NAMED}, cmd_idx FROM out WHERE hash IN (SELECT hash FROM bin) OR path IN (SELECT path FROM bin)
+@query(f"""{W}, good AS (SELECT {_PROJECT}, cmd_idx FROM out WHERE hash IN (SELECT hash FROM bin) OR path IN (SELECT path FROM bin)
   UNION SELECT g.project, o.cmd_idx FROM good g JOIN dep d ON d.cmd_idx = g.cmd_idx JOIN out o ON (o.hash = d.hash OR o.path = d.path) AND o.cmd_idx % 2 = g.cmd_idx % 2) SELECT * FROM good""")
 def projects_good_commands(spark, sf_dir):
     return passes.good(_projects(spark, sf_dir)).select("project", "cmd_idx")
