@@ -3,6 +3,9 @@
 Each stage works on the documents that the one before kept. Documents pass the repetition rules and
 the quality classifier whole or not at all; line dedup shortens texts (and drops those of which
 nothing is left); of near duplicates one document stays; the rest is packed.
+
+In every stage an empty table gives an empty one, columns of any name and type are passed on (not by packing), and
+repeated rows are judged alike, each by its own text.
 """
 
 from __future__ import annotations
@@ -17,18 +20,19 @@ from buildlens.llm.store import saved
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of too few words or too much repetition go; so do null and empty texts, which have no words."""
     ship_code(spark)
     return repetition.keep(docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the marked ones among the documents that are left."""
+    """Learns from the marked ones among the documents that are left; without any all stay. Null texts are scored as empty ones, null ids teach nothing; ties at the last vote go to the smallest ids."""
     ship_code(spark)
     return neighbours.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of long runs of lines; one that loses its last word goes."""
+    """Documents without later copies of long runs of lines, the first in order of id (null first) stays; one that loses its last word goes. Null texts stay; rows with one id and text lose the same lines."""
     ship_code(spark)
     note = "_" * (1 + max(map(len, docs.columns)))  # longer than any column of the table
     found = lines.dedup(docs, note=note)
@@ -41,11 +45,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, that with the smallest id. Rows that share an id stay or go together; rows without id, words or text stay."""
     ship_code(spark)
     return minhash.keep(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row a piece, see ``packing``; a null text is packed as an empty one, and every row has its own pieces."""
     ship_code(spark)
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"))
 
