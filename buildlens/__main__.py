@@ -15,34 +15,33 @@ from pyspark.sql import functions as F
 from . import sinks, sql
 from .cluster import clear_saved
 from .functions.paths import basename
+from .functions.rules import Rules
 from .operators import unpack
 from .plans import binaries, hotspots, packages, passes, summaries, tools
 from .sources import files, lists, trace
 from .sources import hotspots as service
 
 
-def _build(src: DataFrame, bin_: DataFrame, commands: DataFrame, by: list[str], roles: passes.Roles) -> passes.Build:
-    """A build whose tables are written once, and its commands parsed once, whatever reads them."""
+def _build(src: DataFrame, bin_: DataFrame, commands: DataFrame, by: list[str], dictionary: str | None, rules: str | None) -> passes.Build:
+    """A build whose tables are written once, and its commands parsed once, whatever reads them. ``dictionary``: file of tools, before the roles in the file ``rules``."""
+    spark = commands.sparkSession
+    roles = passes.roles_of(lists.read_tools(spark, dictionary)) if dictionary else None
     saved, commands = trace.saved, trace.saved(commands)
     bin_ = bin_.select(*by, "path", trace.normpath(F.col("path")).alias("path_norm"), "hash").withColumn("ord", F.monotonically_increasing_id())
     cmd = commands.select(*by, "cmd_idx", tools.tool_of(F.col("command")).alias("tool"), F.col("command").alias("argv"))
-    return passes.Build(saved(src), saved(bin_), cmd, saved(trace.edges(commands, "dependencies")), saved(trace.edges(commands, "output")), roles)
+    return passes.Build(saved(src), saved(bin_), cmd, saved(trace.edges(commands, "dependencies")), saved(trace.edges(commands, "output")), roles, lists.read_rules(spark, rules) if rules else Rules())
 
 
-def _roles(spark: SparkSession, dictionary: str | None) -> passes.Roles:
-    return passes.roles_of(lists.read_tools(spark, dictionary)) if dictionary else passes.Roles()
-
-
-def load(spark: SparkSession, base: str, project: str, dictionary: str | None) -> passes.Build:
+def load(spark: SparkSession, base: str, project: str, dictionary: str | None, rules: str | None = None) -> passes.Build:
     """A project's sources, binaries and traces as a build."""
     results = f"{base}/results/{project}"
     src = trace.read_signatures(spark, [f"{results}/sources/{project}_src.json"])
     known = lists.read_path_hashes(spark, [f"{results}/sources/{project}_bin.json"])
     entries = lists.binary_entries(lists.read_binary_list(spark, [f"{results}/ext/binaries_in_bin.txt"]), known, project)
-    return _build(src, entries, trace.read_commands(spark, [f"{base}/builds/{project}"], strict=False), [], _roles(spark, dictionary))
+    return _build(src, entries, trace.read_commands(spark, [f"{base}/builds/{project}"], strict=False), [], dictionary, rules)
 
 
-def load_all(spark: SparkSession, base: str, dictionary: str | None, only: list[str] | None = None) -> passes.Build:
+def load_all(spark: SparkSession, base: str, dictionary: str | None, only: list[str] | None = None, rules: str | None = None) -> passes.Build:
     """All projects' sources, binaries and traces as one build with a project column; ``only`` some of them. A trace that can't be parsed is left out."""
     def project(folder: str, file: F.Column) -> F.Column:
         return F.regexp_extract(file, rf"/{folder}/([^/]+)/", 1)
@@ -56,7 +55,7 @@ def load_all(spark: SparkSession, base: str, dictionary: str | None, only: list[
     hashes = lists.read_path_hashes(spark, [f"{results}/sources/*_bin.json"], F.when(F.col("_metadata.file_path").endswith(F.concat(F.lit("/"), at, F.lit("_bin.json"))), at)).filter("project IS NOT NULL")
     entries = lists.binary_entries(lists.read_binary_list(spark, [f"{results}/ext/binaries_in_bin.txt"], at), hashes)
     commands = trace.read_commands(spark, [f"{base}/builds/*"], strict=False).withColumn("project", project("builds", F.col("file")))
-    return _build(chosen(src), chosen(entries), chosen(commands), ["project"], _roles(spark, dictionary))
+    return _build(chosen(src), chosen(entries), chosen(commands), ["project"], dictionary, rules)
 
 
 def classified(b: passes.Build, trust_java: bool) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, int]]:
@@ -82,19 +81,19 @@ def classified(b: passes.Build, trust_java: bool) -> tuple[DataFrame, DataFrame,
     return trace.saved(rows), executed, content, seen.get
 
 
-def together(spark: SparkSession, base: str, only: list[str] | None, dictionary: str | None, trust_java: bool) -> None:
+def together(spark: SparkSession, base: str, only: list[str] | None, dictionary: str | None, trust_java: bool, rules: str | None = None) -> None:
     """Passes 1 to 4 of all projects in one plan: below ``together`` classes and package content as JSON lines by project, and sums by project, section and class."""
-    classes, executed, content, _ = classified(load_all(spark, base, dictionary, only), trust_java)
+    classes, executed, content, _ = classified(load_all(spark, base, dictionary, only, rules), trust_java)
     commands = executed.withColumn("category", F.lit("executed"))
     sinks.write_categories(classes.join(commands, ["project", "category", "path", "hash"], "left"), f"{base}/together/classes")
     content.write.mode("overwrite").partitionBy("project").json(f"{base}/together/package_content")
     summaries.rollup(classes).write.mode("overwrite").json(f"{base}/together/summary")
 
 
-def analyze(spark: SparkSession, base: str, project: str, dictionary: str | None, by_disk: bool, keep: bool, trust_java: bool) -> None:
+def analyze(spark: SparkSession, base: str, project: str, dictionary: str | None, by_disk: bool, keep: bool, trust_java: bool, rules: str | None = None) -> None:
     """Passes 1 to 4, and 5 with ``by_disk``: every class as JSON and text, packages and a summary in a run's folder."""
     began = time.monotonic()
-    b = load(spark, base, project, dictionary)
+    b = load(spark, base, project, dictionary, rules)
     folder = sinks.run_folder(spark, f"{base}/results/{project}/reports", keep)
     classes, executed, content, counts = classified(b, trust_java)
     reports = {}
@@ -152,6 +151,7 @@ def arguments() -> argparse.ArgumentParser:
 
     own = add("analyze", "passes and reports")
     own.add_argument("-t", "--tools", help="dictionary of tools (YAML)")
+    own.add_argument("-r", "--rules", help="rules of paths and tools (JSON)")
     own.add_argument("-d", "--by-disk", action="store_true")
     own.add_argument("-k", "--keep", action="store_true", help="keep earlier runs")
     own.add_argument("--together", action="store_true", help="all projects in one plan, results as folders")
@@ -168,7 +168,9 @@ def arguments() -> argparse.ArgumentParser:
     own.add_argument("--tools", nargs="*")
     own.add_argument("-n", type=int, default=5)
     own.add_argument("--tools-only", action="store_true")
-    add("sql", "a query over a project's tables and passes, which are views").add_argument("-q", "--query", required=True)
+    own = add("sql", "a query over a project's tables and passes, which are views")
+    own.add_argument("-q", "--query", required=True)
+    own.add_argument("-r", "--rules", help="rules of paths and tools (JSON)")
     own = add("trace", "commands that met a file")
     own.add_argument("-f", "--file")
     own.add_argument("--hash")
@@ -180,7 +182,7 @@ def arguments() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, a: argparse.Namespace, project: str) -> None:
     if a.command == "analyze":
-        analyze(spark, a.base, project, a.tools, a.by_disk, a.keep, a.trust_java)
+        analyze(spark, a.base, project, a.tools, a.by_disk, a.keep, a.trust_java, a.rules)
     elif a.command == "sign":
         sign(spark, a.base, project)
     elif a.command == "profile":
@@ -188,7 +190,7 @@ def run(spark: SparkSession, a: argparse.Namespace, project: str) -> None:
     elif a.command == "unpack":
         expand(spark, a.base, project, a.all, a.skip)
     elif a.command == "sql":
-        sql.register(spark, load(spark, a.base, project, None))
+        sql.register(spark, load(spark, a.base, project, None, a.rules))
         show(spark.sql(a.query))
     elif a.command == "hotspots":
         sinks.write_xlsx(hotspots.report(service.read_service(spark, a.url, project), project), f"{a.out}/{project}.xlsx")
@@ -216,7 +218,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"buildlens {a.command}").getOrCreate()
     roots = {"unpack": "src", "sign": "unpacked", "profile": "unpacked", "hotspots": "results", "analyze": "results"}
     if a.command == "analyze" and a.together:
-        together(spark, a.base, a.project, a.tools, a.trust_java)
+        together(spark, a.base, a.project, a.tools, a.trust_java, a.rules)
         return 0
     failed = []
     for project in a.project or files.projects(spark, f"{a.base}/{roots.get(a.command, 'builds')}"):

@@ -14,6 +14,7 @@ from .cluster import shared_folder, table
 from .functions import archives as A
 from .functions import packages as K
 from .functions import paths as P
+from .functions import rules
 from .functions import text as X
 from .operators import naming
 from .plans import binaries, hotspots, languages, packages, passes, runs, signatures, summaries, tools
@@ -680,7 +681,7 @@ def _projects(spark, sf_dir) -> passes.Build:
     name = F.when(F.col("cmd_idx") % 2 == 1, "odd").otherwise("even").alias("project")
     own = lambda df: df.select("*", name)
     both = lambda df: df.select("*", F.explode(F.array(F.lit("odd"), F.lit("even"))).alias("project"))
-    return passes.Build(both(b.src), both(b.bin), own(b.cmd), own(b.dep), own(b.out), b.roles)
+    return passes.Build(both(b.src), both(b.bin), own(b.cmd), own(b.dep), own(b.out), b.roles, b.rules)
 
 
 _PROJECT = "CASE WHEN cmd_idx % 2 = 1 THEN 'odd' ELSE 'even' END AS project"
@@ -735,6 +736,43 @@ def run_upserts(spark, sf_dir):
     return runs.with_results(known, results).select("project_name", "status", "hotspots_status")
 
 
+_RULES = {
+    "sources": [".PY", ".js", ".sh"], "excluded": [], "compiled": [".js"], "byte_code": [], "build_files": {"remove": ["Makefile"]}, "system_folders": ["/opt/ext/", "/usr/share/"], "headers": [],
+    "resources": {"add": [".h"], "remove": [".sql"]}, "library_folders": ["/srv/"], "library_parts": [], "compilers": ["cp", "gcc"], "linkers": {"remove": ["ar", "gold", "lld"]}, "interpreters": ["bash"],
+}
+
+
+def _ruled(sql: str) -> str:
+    """The passes' SQL with the lists of ``_RULES`` written out."""
+    changed = {
+        _listed(_SOURCES): "('.py', '.js', '.sh')", _listed(P.COMPILED): "('.js')", _listed((*passes.COMPILERS, *passes.LINKERS)): "('cp', 'gcc', 'ld')", _listed(passes.INTERPRETERS): "('bash')",
+        _listed(P.INTERPRETED): "('.py', '.sh')",
+    }
+    for old, new in changed.items():
+        sql = sql.replace(old, new)
+    return sql
+
+
+@query(_ruled(f"""{W}, {_PASS1}, {_GOOD}, {_KEYS}, {_PASS2}, {_FIRST}, {_PASS3}
+SELECT 'compiled' AS kind, ord, path, hash, category FROM p2 UNION ALL SELECT 'interpreted', ord, path, hash, category FROM p3"""))
+def rules_classes(spark, sf_dir):
+    """Passes 1 to 3 under other rules than the defaults."""
+    b = replace(_build(spark, sf_dir), rules=rules.of(_RULES), roles=None)
+    good = passes.good(b)
+    columns = ["ord", "path", "hash", "category"]
+    second = passes.pass2(b, passes.pass1(b), good).select(F.lit("compiled").alias("kind"), *columns)
+    return second.union(passes.pass3(b, good).select(F.lit("interpreted").alias("kind"), *columns))
+
+
+@query(f"""{W}, made AS (SELECT o.cmd_idx, b.path AS bin_path, b.hash AS bin_hash FROM out o JOIN bin b ON b.hash = o.hash JOIN cmd c ON c.cmd_idx = o.cmd_idx WHERE c.tool IN ('cp', 'gcc', 'ld'))
+SELECT DISTINCT m.bin_path, m.bin_hash, d.path AS dep_path, d.hash AS dep_hash FROM made m JOIN dep d ON d.cmd_idx = m.cmd_idx
+WHERE NOT (starts_with(d.path, '/opt/ext/') OR starts_with(d.path, '/usr/share/')) AND {_case("d.path")} <> '.h' AND NOT (regexp_matches(d.path, '\\.so(\\.\\d+)*$') AND starts_with(d.path, '/srv/'))
+  AND d.hash NOT IN (SELECT hash FROM sig) AND d.hash NOT IN (SELECT hash FROM out)""")
+def rules_external_deps(spark, sf_dir):
+    """External dependencies under other rules: headers are resources, two folders are the system's."""
+    return passes.external_dependencies(replace(_build(spark, sf_dir), rules=rules.of(_RULES), roles=None))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -37,6 +37,9 @@ SYSTEM_PREFIXES = (
     "/usr/powerpc64-linux-gnu/", "/usr/powerpc64le-linux-gnu/", "/usr/riscv64-linux-gnu/", "/usr/s390x-linux-gnu/", "/usr/x86_64-linux-gnu/", "/usr/i686-linux-gnu/",
     "/usr/sparc64-linux-gnu/", "/usr/m68k-linux-gnu/", "/usr/sh4-linux-gnu/", "/usr/hppa-linux-gnu/",
 )
+# Shared libraries need no source below these folders, or in a folder of these names.
+LIBRARY_FOLDERS = ("/usr/", "/lib")
+LIBRARY_PARTS = ("lib", "lib64", "include")
 CONTAINERS = (".iso", ".deb", ".rpm", ".tar", ".tgz", ".zip", ".gz", ".xz", ".bz2")
 
 
@@ -78,38 +81,6 @@ def normpath(p: Column) -> Column:
     return F.when(whole == "", ".").otherwise(whole)
 
 
-def is_source(p: Column) -> Column:
-    ext = F.lower(suffix(p))
-    return ~ext.isin(*EXCLUDED) & (ext.isin(*SOURCES) | name(p).isin(*BUILD_FILES))
-
-
-def is_compiled(p: Column) -> Column:
-    return F.lower(splitext(p)).isin(*COMPILED)
-
-
-def is_interpreted(p: Column) -> Column:
-    return F.lower(splitext(p)).isin(*INTERPRETED)
-
-
-def is_python(p: Column) -> Column:
-    return F.lower(splitext(p)).isin(*PYTHON)
-
-
-def is_system(p: Column) -> Column:
-    """Inside a system folder; one pattern, as a chain of prefixes overgrows generated code."""
-    return p.rlike("^(?:" + "|".join(SYSTEM_PREFIXES) + ")")
-
-
-def is_resource(p: Column) -> Column:
-    return F.lower(splitext(p)).isin(*RESOURCES)
-
-
-def is_allowed(p: Column) -> Column:
-    """External dependency that needs no source: a header, a system file, or a shared library in a library folder."""
-    library = basename(p).rlike(r"\.so(\.\d+)*$") & (p.rlike("/(lib|lib64|include)/") | p.startswith("/usr/") | p.startswith("/lib"))
-    return (p != "") & (F.lower(splitext(p)).isin(*HEADERS) | is_system(p) | library)
-
-
 def disk(p: Column) -> Column:
     """Component after the first ``src`` or ``bin``."""
     parts = F.split(p, "/")

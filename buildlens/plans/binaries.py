@@ -34,7 +34,7 @@ def judged_inputs(b: Build, made: DataFrame) -> DataFrame:
     by = b.by
     rows = _keyed(b.dep).join(_flag(_keyed(b.src).select(*by, "key"), "own"), [*by, "key"], "left").join(_flag(made, "made"), [*by, "key"], "left")
     bucket = (
-        F.when(paths.is_system(p), "system").when(F.col("own"), "src").when(paths.is_resource(p), "resource").when(paths.is_allowed(p), "allowed")
+        F.when(b.rules.is_system(p), "system").when(F.col("own"), "src").when(b.rules.is_resource(p), "resource").when(b.rules.is_allowed(p), "allowed")
         .when(F.col("made"), "intermediate").otherwise("suspicious")
     )
     return rows.select(*by, "cmd_idx", "path", "hash", "key", bucket.alias("bucket"))
@@ -251,7 +251,7 @@ def filtered_dependencies(b: Build, fourth: DataFrame) -> DataFrame:
     last = built.groupBy(*by, "key").agg(F.max_by(F.struct("ord", "path", "hash"), "ord").alias("file"))
     makers = saved(_keyed(b.out).select(*by, "cmd_idx", "key").distinct().join(last.select(*by, "key"), [*by, "key"]))
     # inputs of the commands that made one of the files, not of all
-    own = saved(b.dep.filter(paths.is_system(p) | paths.is_allowed(p)).join(makers.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").select(*by, "cmd_idx", "pos", "path", "hash"))
+    own = saved(b.dep.filter(b.rules.is_system(p) | b.rules.is_allowed(p)).join(makers.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").select(*by, "cmd_idx", "pos", "path", "hash"))
     last_made = makers.join(own.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").groupBy(*by, "key").agg(F.max("cmd_idx").alias("cmd_idx"))
     chosen = last_made.join(last, [*by, "key"])
     allowed = own.join(last_made.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").groupBy(*by, "cmd_idx", "path").agg(F.min_by(F.struct(F.coalesce("hash", F.lit("")).alias("hash")), "pos").alias("first"))

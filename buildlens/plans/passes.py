@@ -8,27 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import paths as P
+from ..functions.rules import COMPILERS, INTERPRETERS, LINKERS, Roles, Rules  # noqa: F401  names of tools for those who read passes
 from ..operators.closure import by_hash_or_path, good_commands, scope
 
-# Roles of tools where no dictionary is given.
-COMPILERS = ("gcc", "g++", "cc", "c++", "clang", "rustc", "javac", "go")
-LINKERS = ("ld", "ar", "gold", "lld")
-INTERPRETERS = ("python3", "python", "node", "bash", "sh", "perl", "ruby")
-
-
-@dataclass(frozen=True)
-class Roles:
-    """Names of tools by role. Without compilers pass 2 moves nothing and only commands with an output in the distribution are good; without interpreters pass 3 is empty."""
-
-    compilers: tuple[str, ...] = COMPILERS
-    linkers: tuple[str, ...] = LINKERS
-    interpreters: tuple[str, ...] = INTERPRETERS
-
-    @property
-    def makers(self) -> tuple[str, ...]:
-        return (*self.compilers, *self.linkers)
-
-
 def roles_of(tools: DataFrame) -> Roles:
     """Roles from a dictionary (role, tool), a small configuration; a tool may have several."""
     rows = sorted((r.role, r.tool) for r in tools.select("role", "tool").distinct().collect())
@@ -40,7 +22,8 @@ class Build:
     """src, bin: (ord, path, path_norm, hash, chain); cmd: (cmd_idx, tool, argv); dep, out: (cmd_idx, pos, path, path_norm, hash).
 
     With a column ``project`` in all of them they hold many projects: every pass then runs over all at once,
-    results have the column too, and nothing of one project meets another's files or commands.
+    results have the column too, and nothing of one project meets another's files or commands. ``rules`` say what a file
+    is by its path; ``roles``, where given, stand for those of the rules.
     """
 
     src: DataFrame
@@ -48,7 +31,11 @@ class Build:
     cmd: DataFrame
     dep: DataFrame
     out: DataFrame
-    roles: Roles = Roles()
+    roles: Roles | None = None
+    rules: Rules = Rules()
+
+    def __post_init__(self) -> None:
+        self.roles = self.roles or self.rules.roles
 
     @property
     def by(self) -> list[str]:
@@ -73,7 +60,7 @@ def pool(b: Build) -> DataFrame:
 
 def pass1(b: Build) -> DataFrame:
     """(ord, path, hash, parent_hash, category) of source files: direct, parent, untraced_in_distrib or redundant."""
-    by, rows = b.by, b.src.filter(P.is_source(F.col("path")))
+    by, rows = b.by, b.src.filter(b.rules.is_source(F.col("path")))
     traced = pool(b).withColumn("direct", F.lit(True))
     first = (
         rows.select(*by, "ord", F.posexplode("chain").alias("pos", "link")).join(traced.select(*by, F.col("hash").alias("link")), [*by, "link"])
@@ -104,13 +91,13 @@ def pass2(b: Build, first: DataFrame, good_: DataFrame) -> DataFrame:
         first.join(keys.withColumnRenamed("key", "hash").withColumnRenamed("read", "by_hash"), [*b.by, "hash"], "left")
         .join(keys.withColumnRenamed("key", "path_norm").withColumnRenamed("read", "by_path"), [*b.by, "path_norm"], "left")
     )
-    unread = F.lit(bool(b.roles.compilers)) & F.col("category").isin("direct", "parent") & P.is_compiled(F.col("path")) & F.col("by_hash").isNull() & F.col("by_path").isNull()
+    unread = F.lit(bool(b.roles.compilers)) & F.col("category").isin("direct", "parent") & b.rules.is_compiled(F.col("path")) & F.col("by_hash").isNull() & F.col("by_path").isNull()
     return checked.select(*b.by, "ord", "path", "path_norm", "hash", "parent_hash", F.when(unread, F.col("category")).alias("source"), F.when(unread, "not_compiled").otherwise(F.col("category")).alias("category"))
 
 
 def interpreter_files(b: Build, edges: DataFrame) -> DataFrame:
     """First (cmd_idx, pos) for each interpreted file that interpreter commands read or wrote, by hash or else path."""
-    rows = edges.join(with_tool(b.roles.interpreters, b.cmd), [*b.by, "cmd_idx"], "left_semi").filter(P.is_interpreted(F.col("path")))
+    rows = edges.join(with_tool(b.roles.interpreters, b.cmd), [*b.by, "cmd_idx"], "left_semi").filter(b.rules.is_interpreted(F.col("path")))
     by = Window.partitionBy(*b.by, F.coalesce("hash", "path_norm")).orderBy("cmd_idx", "pos")
     return rows.withColumn("k", F.row_number().over(by)).filter("k = 1").drop("k")
 
@@ -119,7 +106,7 @@ def pass3(b: Build, good_: DataFrame) -> DataFrame:
     """(ord, path, hash, category) of interpreted files: copied, compiled_unused, compiled_used, executed or not_used, the first that holds."""
     reads, writes = interpreter_files(b, b.dep), interpreter_files(b, b.out)
     led = reads.join(good_.withColumn("good", F.lit(True)), [*b.by, "cmd_idx"], "left")
-    rows = b.src.filter(P.is_interpreted(F.col("path")) & F.lit(bool(b.roles.interpreters)))
+    rows = b.src.filter(b.rules.is_interpreted(F.col("path")) & F.lit(bool(b.roles.interpreters)))
 
     def flag(table: DataFrame, key: str, label: str, *value: F.Column) -> None:
         nonlocal rows
@@ -135,7 +122,7 @@ def pass3(b: Build, good_: DataFrame) -> DataFrame:
     leads = F.when(F.col("in_hash"), F.col("good_hash")).otherwise(F.col("good_path"))
     category = (
         F.when(F.col("bin_hash") | F.col("bin_path"), "copied").when(F.col("out_hash") | F.col("out_path"), "compiled_unused").when(leads, "compiled_used")
-        .when(P.is_python(F.col("path")) & (F.col("in_hash") | F.col("in_path")), "executed").otherwise("not_used")
+        .when(b.rules.is_python(F.col("path")) & (F.col("in_hash") | F.col("in_path")), "executed").otherwise("not_used")
     )
     return rows.select(*b.by, "ord", "path", "hash", category.alias("category"))
 
@@ -180,7 +167,7 @@ def external_dependencies(b: Build) -> DataFrame:
     by = b.by
     made = b.out.join(b.bin.select(*by, F.col("path").alias("bin_path"), "hash"), [*by, "hash"]).select(*by, "cmd_idx", "bin_path", F.col("hash").alias("bin_hash")).join(makers(b), [*by, "cmd_idx"], "left_semi")
     p = F.col("path")
-    deps = b.dep.filter(F.col("hash").isNotNull() & ~P.is_system(p) & ~P.is_resource(p) & ~P.is_allowed(p))
+    deps = b.dep.filter(F.col("hash").isNotNull() & ~b.rules.is_system(p) & ~b.rules.is_resource(p) & ~b.rules.is_allowed(p))
     deps = deps.join(b.src.select(*by, "hash").distinct(), [*by, "hash"], "left_anti").join(b.out.select(*by, "hash").filter("hash IS NOT NULL").distinct(), [*by, "hash"], "left_anti")
     return made.join(deps.select(*by, "cmd_idx", F.col("path").alias("dep_path"), F.col("hash").alias("dep_hash")), [*by, "cmd_idx"]).select(*by, "bin_path", "bin_hash", "dep_path", "dep_hash").distinct()
 

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rules
 from ..functions.paths import without_dir
 from .trace import stripped
 
@@ -41,6 +42,12 @@ def read_tools(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, "role string, tool string").distinct()
 
 
+def read_rules(spark: SparkSession, path: str) -> rules.Rules:
+    """Rules of a JSON file, a small configuration: an object of lists that take the place of the defaults', or of objects with ``add`` and ``remove``; see ``rules.of``. An empty file gives the defaults."""
+    text = spark.read.text(path, wholetext=True).first()
+    return rules.parsed(text.value if text else "")
+
+
 def read_path_hashes(spark: SparkSession, paths: list[str], project: Column | None = None) -> DataFrame:
     """(path, hash) of a distribution's file list: a JSON list, or an object with the list under ``signatures`` or else ``files``; rows without either are left out.
 

@@ -29,7 +29,7 @@ def tables(b: Build) -> dict[str, DataFrame]:
     return {
         "sources": b.src, "binaries": b.bin, "commands": b.cmd, "inputs": b.dep, "outputs": b.out, "good_commands": good, "pass1": passes.pass1(b), "pass2": second, "pass3": third,
         "pass3_outputs": passes.pass3_outputs(b, good, third), "pass4": fourth, "classes": second.select(columns).union(third.select(columns)).union(fourth.select(columns)),
-        "external_dependencies": passes.external_dependencies(b), "suspicious_inputs": binaries.suspicious_inputs(b, fourth, scanned), "trusted_java": binaries.trusted_java(b, fourth, scanned),
+        "rules": b.cmd.sparkSession.createDataFrame(b.rules.rows(), "rule string, value string"), "external_dependencies": passes.external_dependencies(b), "suspicious_inputs": binaries.suspicious_inputs(b, fourth, scanned), "trusted_java": binaries.trusted_java(b, fourth, scanned),
         "filtered_dependencies": binaries.filtered_dependencies(b, fourth), "external_inputs": binaries.external_inputs(b, fourth, scanned), "package_index": packages.package_index(b),
     }
 
