@@ -3,18 +3,23 @@
 Coarse centroids and, for residuals, a codebook of ``CODES`` words in each of ``PARTS`` subspaces
 are fitted on a bounded sample. Every vector goes to its centroid's list with the codes of its
 residual, and the file is written. Lists are packed into shards of about ``SHARD_ROWS`` rows; a list
-that is longer has several shards of its own, dealt by a hash of the id. A query ranks the lists by
+that is longer has several shards of its own, dealt by a hash of id and place, so that one id given often is dealt too. A query ranks the lists by
 the score that their best vectors may have (inner product with the centroid, and ``REACH`` times the
 list's spread) and probes as many as hold ``PROBED_SHARE`` of all rows, ``LEAST_ROWS`` at least. It is
 sent only to shards with such lists, and scores there only these lists' rows: by code, from its
 asymmetric distance tables (inner products of its parts with all codewords), and the best ``RERANK``
 of a shard exactly in double precision. The best of all shards remain.
+
+Rows and queries of a shard meet by one sort: its rows come first and are held, its queries follow as a
+stream of batches. So the file is shuffled once, whatever the number of queries, and a task holds one
+shard and one batch of queries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -35,8 +40,6 @@ REACH = 2.0
 PARTS, CODES = 16, 128
 #: Rows of a shard, and those of them that are scored exactly for each query.
 SHARD_ROWS, RERANK = 4096, 192
-#: Queries that meet a shard in one task; a shard is copied for each such group.
-QUERY_GROUP = 4096
 #: Queries that are scored by code at once.
 QUERY_BLOCK = 256
 NEAREST = 20
@@ -218,9 +221,9 @@ def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 2
             if len(pdf):
                 x = np.stack(pdf["v"].to_numpy())
                 at = own.assign(x)
-                yield pd.DataFrame({"vec_id": pdf["vec_id"], "v": pdf["v"], "list": at.astype(np.int32), "codes": [c.tobytes() for c in own.encode(x, at)]})
+                yield pd.DataFrame({"vec_id": pdf["vec_id"], "v": pdf["v"], "place": np.arange(len(pdf), dtype=np.int32), "list": at.astype(np.int32), "codes": [c.tobytes() for c in own.encode(x, at)]})
 
-    file = saved(rows.mapInPandas(placed, f"vec_id long, v array<{kind}>, list int, codes binary"))
+    file = saved(rows.mapInPandas(placed, f"vec_id long, v array<{kind}>, place int, list int, codes binary"))
     sizes = np.zeros(len(fitted.centroids), np.int64)
     for r in file.groupBy("list").count().collect():  # a row a list
         sizes[r["list"]] = r["count"]
@@ -228,12 +231,9 @@ def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 2
     asked = saved(file.filter(F.col("vec_id") % query_modulus == 0).groupBy("vec_id").agg(F.min("v").alias("v"), F.count("*").alias("many")))
     most_alike = asked.agg(F.max("many")).first()[0] or 0
     wanted_rows = max(int(np.ceil(share * total)), least_rows, nearest + most_alike)
-    groups = max(1, -(-asked.count() // QUERY_GROUP))
     of_list = F.broadcast(spark.createDataFrame([(k, int(first[k]), int(many[k])) for k in range(len(sizes))], "list int, first long, many long"))  # a row a list
-    shards = (
-        file.join(of_list, "list").withColumn("shard", F.col("first") + F.pmod(F.xxhash64("vec_id", F.lit(7)), F.col("many"))).drop("first", "many")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    )
+    home = F.col("first") + F.pmod(F.xxhash64("vec_id", "place", F.lit(7)), F.col("many"))
+    held = file.join(of_list, "list").select(home.alias("shard"), F.lit(False).alias("asks"), "vec_id", "v", "list", "codes", F.lit(None).cast("array<int>").alias("lists"))
 
     def sent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = index.value
@@ -241,24 +241,37 @@ def search(embeddings: DataFrame, nearest: int = NEAREST, query_modulus: int = 2
             for low in range(0, len(pdf), QUERY_BLOCK):
                 block = pdf.iloc[low : low + QUERY_BLOCK]
                 chosen = probes(own, np.stack(block["v"].to_numpy()).astype(float), sizes, wanted_rows)
-                made: tuple[list, list, list, list, list] = ([], [], [], [], [])
-                for k, (query, v, part) in enumerate(zip(block["vec_id"], block["v"], block["part"], strict=True)):
+                made: tuple[list, list, list, list] = ([], [], [], [])
+                for k, (query, v) in enumerate(zip(block["vec_id"], block["v"], strict=True)):
                     lists = np.flatnonzero(chosen[k])
                     homes = np.repeat(lists, many[lists])
                     shard = np.repeat(first[lists], many[lists]) + np.arange(len(homes)) - np.repeat(np.cumsum(many[lists]) - many[lists], many[lists])
                     edges = np.flatnonzero(np.diff(shard, prepend=-1))
                     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(shard)], strict=True):
-                        for column, value in zip(made, (query, v, int(shard[a]), part, homes[a:b].astype(np.int32)), strict=True):
+                        for column, value in zip(made, (query, v, int(shard[a]), homes[a:b].astype(np.int32)), strict=True):
                             column.append(value)
-                yield pd.DataFrame(dict(zip(("query_id", "v", "shard", "part", "lists"), made, strict=True)))
+                yield pd.DataFrame(dict(zip(("vec_id", "v", "shard", "lists"), made, strict=True)))
 
-    asks = asked.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit(11)), F.lit(groups)).cast("int").alias("part"))
-    asks = asks.mapInPandas(sent, f"query_id long, v array<{kind}>, shard long, part int, lists array<int>")
+    asks = asked.select("vec_id", "v").mapInPandas(sent, f"vec_id long, v array<{kind}>, shard long, lists array<int>")
+    asks = asks.select("shard", F.lit(True).alias("asks"), "vec_id", "v", F.lit(-1).alias("list"), F.lit(None).cast("binary").alias("codes"), "lists")
 
-    def matched(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return best_of(index.value, left, right, nearest, rerank)[0]
-
-    keys = ["shard", "part"]
-    found = shards.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInPandas(matched, "query_id long, vec_id long, score double")
+    def matched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, parts, whole = -1, [], None
+        for pdf in batches:
+            runs = 2 * pdf["shard"].to_numpy() + pdf["asks"].to_numpy()
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(pdf)]):
+                part = pdf.iloc[a:b]
+                if not len(part):
+                    continue
+                if runs[a] // 2 != at:
+                    at, parts, whole = runs[a] // 2, [], None
+                if runs[a] % 2 == 0:
+                    parts.append(part[["vec_id", "v", "list", "codes"]])
+                elif parts:
+                    whole = pd.concat(parts) if whole is None else whole
+                    yield best_of(index.value, whole, part.rename(columns={"vec_id": "query_id"}), nearest, rerank)[0]
+
+    both = held.unionByName(asks).repartition("shard").sortWithinPartitions("shard", "asks")
+    found = both.mapInPandas(matched, "query_id long, vec_id long, score double")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= nearest).select("query_id", F.col("rank").cast("int"), "vec_id", "score")

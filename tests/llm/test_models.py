@@ -98,7 +98,7 @@ def embeddings(spark, x, ids=None):
 def test_search_over_shards_lists_and_groups(spark, monkeypatch):
     """A query scores less than half of the rows and still finds nine of ten."""
     monkeypatch.setattr(ivfpq, "SHARD_ROWS", 300)
-    monkeypatch.setattr(ivfpq, "QUERY_GROUP", 100)
+    monkeypatch.setattr(ivfpq, "QUERY_BLOCK", 100)
     monkeypatch.setattr(ivfpq, "RERANK", 64)
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(40, 24))

@@ -88,3 +88,22 @@ def test_training_is_bounded_by_ids(spark, operator, monkeypatch):
     want = {r.doc_id: r.score for r in operator.score(docs, labels).collect()}
     got = operator.score(hot, labels).collect()
     assert len(got) == 3060 and max(abs(want[r.doc_id] - r.score) for r in got) < 1e-3  # single precision
+
+
+def test_an_id_given_often_is_dealt_to_several_shards(spark, monkeypatch):
+    """Every query meets all shards of a list, and the file goes through one shuffle whatever the number of queries."""
+    monkeypatch.setattr(ivfpq, "SHARD_ROWS", 200)
+    rng = np.random.default_rng(2)
+    base = [(k, rng.normal(size=8).round(3).tolist()) for k in range(400)]
+    one = spark.createDataFrame([(401, [0.5] * 8)], "vec_id long, embedding array<double>")
+    got = ivfpq.search(spark.createDataFrame(base, one.schema).union(times(one, 3000)), query_modulus=2, share=1.0, rerank=None)
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 6)))
+    assert set(found) == set(range(0, 400, 2))
+    for q in (0, 100, 398):
+        v = dict(base)[q]
+        rows = [(k, x) for k, x in base if k != q] + [(401, [0.5] * 8)] * 20
+        want = sorted((-sum(a * b for a, b in zip(v, x, strict=True)), k) for k, x in rows)[:20]
+        assert [(k, s) for _, k, s in sorted(found[q])] == [(k, round(-s, 6)) for s, k in want]
