@@ -154,6 +154,7 @@ def arguments() -> argparse.ArgumentParser:
     own.add_argument("-r", "--rules", help="rules of paths and tools (JSON)")
     own.add_argument("-d", "--by-disk", action="store_true")
     own.add_argument("-k", "--keep", action="store_true", help="keep earlier runs")
+    own.add_argument("--parts", action="store_true", help="reports as folders of parts, written by many tasks")
     own.add_argument("--together", action="store_true", help="all projects in one plan, results as folders")
     own.add_argument("--trust-java", action=argparse.BooleanOptionalAction, default=True)
     add("sign", "signatures of unpacked files")
@@ -220,6 +221,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.command == "analyze" and a.together:
         together(spark, a.base, a.project, a.tools, a.trust_java, a.rules)
         return 0
+    if a.command == "analyze":
+        spark.conf.set(sinks.PARTS, str(a.parts).lower())
     failed = []
     for project in a.project or files.projects(spark, f"{a.base}/{roots.get(a.command, 'builds')}"):
         try:

@@ -49,31 +49,49 @@ def run_folder(spark: SparkSession, folder: str, keep: bool = False) -> str:
     return f"{folder}/try{n if keep else 1}"
 
 
-def write_file(lines: DataFrame, path: str, comma: str = "") -> None:
-    """One text file of the column ``line`` in the order of the column ``ord``; with ``comma`` lines after the first of ord 1 begin with it.
+#: Setting of a session by which reports become folders of parts, see ``write_file``.
+PARTS = "spark.buildlens.reports.parts"
 
-    A single file is written by a single task, which streams the sorted lines.
+
+def in_parts(spark: SparkSession) -> bool:
+    return spark.conf.get(PARTS, "false").lower() == "true"
+
+
+def write_file(lines: DataFrame, path: str, comma: str = "", parts: bool | None = None) -> None:
+    """Text of the column ``line`` by ``place`` and ``ord``; with ``comma`` lines of place 1 after the first begin with it.
+
+    With ``parts`` (None: the session's setting ``PARTS``) the path is a folder of files, each a range of the order that
+    its own task sorts and writes; one after another by name they are the document. Else it is one file, which
+    a single task writes, streaming the sorted lines. What lies at the path is replaced.
     """
     spark = lines.sparkSession
+    parts = in_parts(spark) if parts is None else parts
+    lines = lines.withColumn("ord", F.coalesce("ord", F.lit("")))
+    # rows with the least order lie in one range, so its first row is the document's first
+    first = lines.filter("place = 1").agg(F.min("ord")).first()[0] if comma else None
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = False
         for batch in batches:
             out = []
-            for place, line in zip(batch.column("place").to_pylist(), batch.column("line").to_pylist(), strict=True):
-                out.append(comma + line if place == 1 and seen else line)
+            for place, order, line in zip(*(batch.column(c).to_pylist() for c in ("place", "ord", "line")), strict=True):
+                out.append(comma + line if place == 1 and (seen or order != first) else line)
                 seen = seen or place == 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
-    rows = lines.orderBy("place", "ord").coalesce(1)
-    rows = rows.select("place", "line").mapInArrow(joined, "value string") if comma else rows.select(F.col("line").alias("value"))
+    rows = lines.select("place", "ord", "line").orderBy("place", "ord")
+    rows = rows if parts else rows.coalesce(1)
+    rows = rows.mapInArrow(joined, "value string") if comma else rows.select(F.col("line").alias("value"))
     folder = f"{path}.{uuid.uuid4().hex}"
     rows.write.text(folder)
     system, at = _system(spark, folder)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system.delete(target, True)
+    if parts:
+        system.rename(at, target)
+        return
     for status in system.listStatus(at):
         if status.getPath().getName().startswith("part-"):
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            system.delete(target, False)
             system.rename(status.getPath(), target)
     system.delete(at, True)
 
@@ -160,19 +178,24 @@ def summary_lines(project: str, shares: list, totals, elapsed: str = "00:00:00")
 
 
 def write_summary(spark: SparkSession, path: str, lines: list[str]) -> None:
-    write_file(_lines(spark, 0, *lines), path)
+    write_file(_lines(spark, 0, *lines), path, parts=False)
 
 
 def copy_reports(spark: SparkSession, reports: dict[str, tuple[str, str]], folder: str) -> list[str]:
-    """Copies reports (name to file and description) that aren't empty to ``folder`` and writes a README that lists them; returns the copied names."""
+    """Copies reports (name to file and description) that aren't empty to ``folder`` and writes a README that lists them; returns the listed names.
+
+    Reports in parts stay where they are and are only listed, with their places.
+    """
     util, conf = spark._jvm.org.apache.hadoop.fs.FileUtil, spark._jsc.hadoopConfiguration()
     copied = []
     for name, (path, _) in sorted(reports.items()):
         if not path.rpartition(".")[0].endswith("_EMPTY") and exists(spark, path):
             (source, at), (target, to) = _system(spark, path), _system(spark, f"{folder}/{name}")
-            util.copy(source, at, target, to, False, True, conf)
+            if source.getFileStatus(at).isFile():
+                util.copy(source, at, target, to, False, True, conf)
             copied.append(name)
-    write_summary(spark, f"{folder}/README.md", ["# Reports", "", *(f"- `{n}`: {reports[n][1]}" for n in copied)])
+    place = (lambda n: f" ({reports[n][0]})") if in_parts(spark) else (lambda n: "")
+    write_summary(spark, f"{folder}/README.md", ["# Reports", "", *(f"- `{n}`: {reports[n][1]}{place(n)}" for n in copied)])
     return copied
 
 
