@@ -4,7 +4,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from buildlens import sql
+from buildlens import __main__ as cli
+from buildlens import sinks, sql
 from buildlens.functions import paths, rules
 from buildlens.plans import binaries, passes
 from buildlens.sources import lists
@@ -66,3 +67,24 @@ def test_rules_reach_every_pass(spark, tmp_path):
     after = {x.bucket for x in binaries.judged_inputs(every, b.out.limit(0).selectExpr("hash AS key")).select("bucket").distinct().collect()}
     assert len(before) > 1 and after == {"system"}
     assert rows(sql.tables(other)["rules"]) == sorted(r.rows(), key=repr)
+
+
+def test_the_command_line_with_rules_and_parts(spark, tmp_path):
+    base = tmp_path
+    (base / "unpacked/P/src").mkdir(parents=True)
+    (base / "unpacked/P/bin").mkdir()
+    (base / "unpacked/P/src/a.c").write_text("int a;")
+    (base / "unpacked/P/src/b.foo").write_text("int b;")
+    (base / "unpacked/P/bin/prog").write_bytes(b"\x7fELF\x02\x01\x01" + b"\0" * 60)
+    assert cli.main(["sign", str(base)], spark) == 0 and cli.main(["profile", str(base), "-p", "P"], spark) == 0
+    (base / "builds/P").mkdir(parents=True)
+    (base / "builds/P/t.json").write_text(json.dumps({"component_commands": [{"command": ["gcc", "a.c"], "dependencies": {}, "output": {}}]}))
+    (base / "rules.json").write_text('{"sources": {"add": [".foo"], "remove": [".c"]}}')
+    assert cli.main(["analyze", str(base), "--parts", "--rules", f"{base}/rules.json"], spark) == 0
+    folder = base / "results/P/reports/try1/P_redundant.json"
+    text = "".join(p.read_text() for p in sorted(folder.iterdir()) if p.name.startswith("part-"))
+    assert [f["path"] for f in json.loads(text)["files"]] == ["P/src/b.foo"]
+    assert cli.main(["sql", str(base), "-q", "SELECT * FROM rules", "--rules", f"{base}/rules.json"], spark) == 0
+    (base / "rules.json").write_text('{"source": []}')
+    assert cli.main(["analyze", str(base), "--rules", f"{base}/rules.json"], spark) == 1
+    assert spark.conf.get(sinks.PARTS) == "false"
