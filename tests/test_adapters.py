@@ -11,3 +11,11 @@ def test_every_order_and_line_item_is_in_the_build(spark):
     assert sorted(r[0] for r in b.out.select("cmd_idx").collect()) == every
     assert sorted(r[0] for r in b.dep.select("cmd_idx").collect()) == sorted(r[0] for r in items.select("l_orderkey").collect())
     assert b.dep.filter("path IS NULL OR hash IS NULL").isEmpty()
+
+
+def test_inputs_are_those_of_the_relation(spark):
+    names = ("documents", "orders", "part", "lineitem")
+    frames = {name: spark.read.parquet(f"{SF}/{name}.parquet") for name in names}
+    frames["sig"] = adapters.over(spark, adapters.RELATIONS["sig"], **frames)
+    got, want = adapters.inputs(spark, frames), adapters.over(spark, adapters.RELATIONS["dep"], **frames)
+    assert got.schema == want.schema and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -1,7 +1,9 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
+from buildlens.operators import closure
 from buildlens.operators.closure import good_commands
 from buildlens.plans import passes
 from buildlens.sources import trace
@@ -44,3 +46,25 @@ def test_trace_reader_takes_all_shapes(spark, tmp_path):
     dep = trace.edges(commands, "dependencies").orderBy("cmd_idx", "pos").collect()
     assert [(r.cmd_idx, r.pos, r.path, r.path_norm, r.hash) for r in dep] == [(0, 0, "/z", "/z", "h1"), (0, 1, "a/../b", "b", None), (1, 0, "x", "x", None), (1, 1, "y", "y", None)]
     assert trace.edges(commands, "output").filter(F.col("hash") == "h2").count() == 1
+
+
+def test_closure_writes_only_reads_that_meet_a_writer(spark, monkeypatch):
+    # 1 reads what 2 and 3 write; nobody writes what 4 and all others read
+    dep = edges(spark, [(1, "both", None), (3, None, "aa"), (3, None, "AA")] + [(1000 + k, f"u{k}", f"{k:04x}") for k in range(300)])
+    out = edges(spark, [(1, "o", "01"), (2, "both", "b2"), (3, "both", "b3"), (5, "f", "aa"), (6, "g", "AA"), (7, "h", "xaa")])
+    shipped = spark.createDataFrame([("bin/o", "bin/o", "01")], "path string, path_norm string, hash string")
+    written, real = [], closure.saved
+    monkeypatch.setattr(closure, "saved", lambda df: written.append(real(df)) or written[-1])
+    assert sorted(r[0] for r in good_commands(dep, out, shipped).collect()) == [1, 2, 3, 5, 6]
+    assert sum(w.count() for w in written) < 20
+
+
+def test_closure_equals_a_walk(spark):
+    rng = random.Random(3)
+    some = lambda: [(c, rng.choice([None, f"f{rng.randrange(25)}"]), rng.choice([None, f"{rng.randrange(25):02x}"])) for c in range(40) for _ in range(rng.randrange(3))]
+    dep, out = some(), some()
+    want = {c for c, p, h in out if p in ("f1", "f2") or h in ("03", "04")}
+    while more := {c for c, p, h in out for d, q, g in dep if d in want and (p == q and p or h == g and h)} - want:
+        want |= more
+    shipped = spark.createDataFrame([("f1", "f1", "03"), ("f2", "f2", "04")], "path string, path_norm string, hash string")
+    assert sorted(r[0] for r in good_commands(edges(spark, dep), edges(spark, out), shipped).collect()) == sorted(want)
