@@ -90,3 +90,16 @@ def test_transitive_java_and_filtered(spark):
     empty = build(spark, [], [], [], [], [])
     for f in (binaries.trusted_java, binaries.filtered_dependencies):
         assert f(empty, binaries.pass4(empty, transitive=True)).collect() == []
+
+
+def test_the_walk_writes_keys_that_matter_alone(spark, monkeypatch):
+    # of 200 inputs of system folders none is written, of the other inputs keys without paths and hashes
+    dep = [(1, f"/usr/include/s{k}", h(1000 + k)) for k in range(200)] + [(1, "/opt/v.a", h(31)), (1, "a.c", h(1))]
+    b = build(spark, [("P/src/a.c", h(1))], [("P/bin/d/x", h(11)), ("P/bin/d/i", h(1003))], [(1, "gcc")], dep, [(1, "x", h(11))])
+    written, real = [], binaries.saved
+    monkeypatch.setattr(binaries, "saved", lambda df: written.append(real(df)) or written[-1])
+    scanned = binaries.scan(b)
+    assert sum(w.count() for w in written) < 20 and not any({"path", "hash"} & set(w.columns) for w in written)
+    assert [tuple(r) for r in scanned.external.collect()] == [(h(11)[-16:], "/opt/v.a", h(31))]
+    assert {r.path: r.category for r in binaries.pass4(b, scanned=scanned).collect()} == {"P/bin/d/x": "external_built", "P/bin/d/i": "external_prebuilt"}
+    assert {tuple(r) for r in binaries.filter_statistics(scanned).collect()} == {("system", 200, 99), ("suspicious", 1, 0), ("src", 1, 0)}
