@@ -68,3 +68,14 @@ def test_closure_equals_a_walk(spark):
         want |= more
     shipped = spark.createDataFrame([("f1", "f1", "03"), ("f2", "f2", "04")], "path string, path_norm string, hash string")
     assert sorted(r[0] for r in good_commands(edges(spark, dep), edges(spark, out), shipped).collect()) == sorted(want)
+
+
+def test_traced_keys_take_half_of_a_hash_and_keep_texts_apart(spark):
+    texts = ["ab" * 16, "AB" * 16, "ab" * 16 + "\n", "abc", "é", "", None, "ab" * 16]
+    src = spark.createDataFrame([(k, f"{k}.c", f"{k}.c", t, []) for k, t in enumerate(texts)], "ord long, path string, path_norm string, hash string, chain array<string>")
+    none = spark.createDataFrame([], "path string, path_norm string, hash string")
+    cmd = spark.createDataFrame([(1, "gcc")], "cmd_idx long, tool string")
+    for k, text in enumerate(texts):
+        b = passes.Build(src, none, cmd, edges(spark, [(1, "p", text)]), edges(spark, []))
+        assert [len(r.key) for r in passes.traced_keys(b).collect()] == ([] if text is None else [17 if text == texts[0] else 1 + len(text.encode())])
+        assert {r.ord for r in passes.pass1(b).filter("category = 'direct'").collect()} == {j for j, t in enumerate(texts) if t == text and t is not None}
