@@ -79,3 +79,23 @@ def test_traced_keys_take_half_of_a_hash_and_keep_texts_apart(spark):
         b = passes.Build(src, none, cmd, edges(spark, [(1, "p", text)]), edges(spark, []))
         assert [len(r.key) for r in passes.traced_keys(b).collect()] == ([] if text is None else [17 if text == texts[0] else 1 + len(text.encode())])
         assert {r.ord for r in passes.pass1(b).filter("category = 'direct'").collect()} == {j for j, t in enumerate(texts) if t == text and t is not None}
+
+
+def semi_joins(df):
+    """The kinds of left semi joins in the plan; tables made from lists have no known size, so Spark broadcasts none of them."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return {"broadcast" if "BroadcastHashJoin" in line else "shuffled" for line in plan if "LeftSemi" in line}
+
+
+def test_few_commands_and_sources_are_broadcast(spark):
+    src = spark.createDataFrame([(1, "a.c", "a.c", "aa", ["cc"]), (2, "b.c", "b.c", None, None), (3, "c.c", "c.c", "dd", [None, "cc"])], "ord long, path string, path_norm string, hash string, chain array<string>")
+    shipped = spark.createDataFrame([("bin/o", "bin/o", "01")], "path string, path_norm string, hash string")
+    cmd = spark.createDataFrame([(1, "gcc"), (2, "cp"), (3, "gcc")], "cmd_idx long, tool string")
+    dep = edges(spark, [(1, "a.c", "aa"), (2, "x", "bb"), (3, "y", "cc")])
+    b = passes.Build(src, shipped, cmd, dep, edges(spark, [(1, "o", "01"), (3, "q", "02")]))
+    good = passes.good(b)
+    keys = passes.compiler_inputs(b, good)
+    assert semi_joins(keys) == {"broadcast"} and sorted(r.key for r in keys.collect()) == ["a.c", "aa"]
+    first = passes.pass1(b)
+    assert semi_joins(first) == {"broadcast"}
+    assert sorted((r.ord, r.category, r.parent_hash) for r in first.collect()) == [(1, "direct", None), (2, "redundant", None), (3, "parent", "cc")]
