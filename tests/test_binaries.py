@@ -103,3 +103,17 @@ def test_the_walk_writes_keys_that_matter_alone(spark, monkeypatch):
     assert [tuple(r) for r in scanned.external.collect()] == [(h(11)[-16:], "/opt/v.a", h(31))]
     assert {r.path: r.category for r in binaries.pass4(b, scanned=scanned).collect()} == {"P/bin/d/x": "external_built", "P/bin/d/i": "external_prebuilt"}
     assert {tuple(r) for r in binaries.filter_statistics(scanned).collect()} == {("system", 200, 99), ("suspicious", 1, 0), ("src", 1, 0)}
+
+
+def test_suspicious_inputs_are_judged_among_those_of_their_commands(spark, monkeypatch):
+    b = build(
+        spark, src=[], bin_=[("P/bin/a", h(1))], cmd=[(1, "gcc"), (2, "gcc")],
+        dep=[(1, "/opt/v.a", h(31)), (1, "/opt/v.a", h(31)), (1, "/usr/include/s", h(31)), (1, "/opt/w.a", h(32)), *((2, f"/opt/{k}", h(100 + k)) for k in range(50))], out=[(1, "a", h(1)), (2, "b", h(2))],
+    )
+    s = binaries.scan(b)
+    written, real = [], binaries.saved
+    monkeypatch.setattr(binaries, "saved", lambda df: written.append(real(df)) or written[-1])
+    files = binaries.suspicious_files(s, s.found.select("cmd_idx").distinct())
+    assert sorted((r.cmd_idx, r.path) for r in files.collect()) == [(1, "/opt/v.a"), (1, "/opt/v.a"), (1, "/opt/w.a")]
+    assert [w.count() for w in written] == [2, 4]
+    assert "SortMergeJoin" not in files._jdf.queryExecution().executedPlan().toString()
