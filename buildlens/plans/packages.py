@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..cluster import saved
 from ..functions.paths import basename
 from ..operators.closure import scope
 from .passes import Build
@@ -20,14 +21,15 @@ def package_index(b: Build) -> DataFrame:
     """(container, package_type, source, command, cmd_idx, pos): deb, rpm and whl files that commands wrote, the first of a name.
 
     The source is the command's first input of the same name whatever its case, else its first input
-    whose path holds the name up to the first underscore, else the file itself.
+    whose path holds the name up to the first underscore, else the file itself. The packages' first commands are
+    written, so that where they are few Spark broadcasts them and places the inputs of these commands only.
     """
     name = F.lower(basename(F.col("path")))
     kind = F.when(name.rlike(r"\.(deb|rpm)$"), "deb").when(name.endswith(".whl"), "pip")
     by = b.by
     made = b.out.filter(kind.isNotNull()).select(*by, "cmd_idx", "pos", "path", basename(F.col("path")).alias("container"), kind.alias("package_type"))
-    first = made.join(b.cmd.filter("tool IS NOT NULL").select(*by, "cmd_idx", "tool"), [*by, "cmd_idx"]).groupBy(*by, "container").agg(
-        F.min_by(F.struct("cmd_idx", "pos", "path", "package_type", "tool"), F.struct("cmd_idx", "pos")).alias("f")).select(*by, "container", "f.*")
+    first = saved(made.join(b.cmd.filter("tool IS NOT NULL").select(*by, "cmd_idx", "tool"), [*by, "cmd_idx"]).groupBy(*by, "container").agg(
+        F.min_by(F.struct("cmd_idx", "pos", "path", "package_type", "tool"), F.struct("cmd_idx", "pos")).alias("f")).select(*by, "container", "f.*"))
     deps = b.dep.filter("path IS NOT NULL").join(first.select(*by, "cmd_idx").distinct(), [*by, "cmd_idx"], "left_semi").select(*by, "cmd_idx", F.col("pos").alias("dep_pos"), F.col("path").alias("dep_path"))
     lower = F.lower("container")
     rank = F.when(F.lower(basename(F.col("dep_path"))) == lower, 0).when(F.contains(F.lower("dep_path"), F.substring_index(lower, "_", 1)), 1)
