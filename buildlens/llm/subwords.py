@@ -178,14 +178,19 @@ def byte_bpe(path: str) -> Encoder:
 
         tokenizer = Tokenizer.from_file(path)
         added = tuple(t.content.encode() for t in tokenizer.get_added_tokens_decoder().values())
-        model, shown = tokenizer.model, _byte_characters()
+        tokenize, shown, one_word = tokenizer.model.tokenize, _byte_characters(), ONE_WORD.fullmatch
+        blank = shown[0x20]
 
         def encode(parts: list[bytes]):
             for part in parts:
-                if ONE_WORD.fullmatch(part):
-                    yield [t.id for t in model.tokenize(part.decode("latin-1").translate(shown))]
-                else:
+                if not one_word(part):
                     yield tokenizer.encode(part.decode(), add_special_tokens=False).ids
+                    continue
+                if not part.isascii():
+                    word = part.decode("latin-1").translate(shown)
+                else:  # of its bytes only a space in front is written as another
+                    word = blank + part[1:].decode() if part[0] == 0x20 else part.decode()
+                yield [t.id for t in tokenize(word)]
 
         _made["bpe", path] = Encoder(white_splits, encode, whole=added)
         _made["bpe", path].tokenizer = tokenizer
