@@ -45,3 +45,10 @@ def test_the_walk_ends_on_cycles_and_goes_from_a_key_once(spark, chain):
     b = catalog._build(spark, chain)
     assert sorted(r.cmd_idx for r in binaries.scan(b, None).touched.collect()) == list(range(9))
     assert sorted(r.cmd_idx for r in binaries.scan(b).touched.collect()) == [0, 1, 2]
+
+
+def test_external_inputs_count_however_far_away(spark, chain):
+    got = {r["path"].rsplit("/", 1)[1]: r["category"] for r in by_query(spark, chain, "pass4_classes_transitive")}
+    assert got == {"b0.class": "external_built", "b100": "external_prebuilt", "b103": "external_prebuilt", "b106": "untraced_external"}
+    edges = binaries.maker_edges(catalog._build(spark, chain), binaries.scan(catalog._build(spark, chain), None))
+    assert [binaries.tainted_within(edges, k).count() for k in (1, 2, 3, None)] == [3, 5, 6, 9]
