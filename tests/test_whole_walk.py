@@ -52,3 +52,8 @@ def test_external_inputs_count_however_far_away(spark, chain):
     assert got == {"b0.class": "external_built", "b100": "external_prebuilt", "b103": "external_prebuilt", "b106": "untraced_external"}
     edges = binaries.maker_edges(catalog._build(spark, chain), binaries.scan(catalog._build(spark, chain), None))
     assert [binaries.tainted_within(edges, k).count() for k in (1, 2, 3, None)] == [3, 5, 6, 9]
+
+
+def test_shares_count_files_that_far_commands_read(spark, chain):
+    got = {r["category"]: r["files"] for r in by_query(spark, chain, "summary_shares") if r["section"] == "binaries"}
+    assert got == {"compiled_from_src": 1, "external_prebuilt": 2, "untraced_external": 1}
