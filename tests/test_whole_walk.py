@@ -37,7 +37,7 @@ def by_query(spark, folder, name):
 
 
 def test_packages_are_without_files_that_far_commands_read(spark, chain):
-    # files 100 (site-packages) and 103 (node_modules) are read five and six steps away from b0, so they are known; 106 is read by nobody
+    # files 100 (site-packages) and 103 (x.deb) are read five and six steps away from b0, so they are known; 106 is read by nobody
     assert [(r["package_type"], r["container"], r["files"].split(" ")[0]) for r in by_query(spark, chain, "package_groups")] == [("pip", "p", "P/bin/d2/site-packages/p/b106")]
 
 
